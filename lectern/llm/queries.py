@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import decontaminate
+from lectern.llm import decontaminate, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,12 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.find_overlaps(docs, items))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = secrets.train(secrets.labelled_samples(docs))
+    return secrets.digest(secrets.scan(docs, model))
+
+
 _WORDS = "list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"
 
 OP9_SQL = f"""
@@ -42,7 +48,7 @@ FROM docs d LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
 
 
 def queries() -> dict[str, Query]:
-    return {"op9_decontamination": op9_decontamination}
+    return {"op6_secrets": op6_secrets, "op9_decontamination": op9_decontamination}
 
 
 def oracle_sql() -> dict[str, str]:
