@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import decontaminate, secrets
+from lectern.llm import bpe, decontaminate, secrets
+
+#: Folder of the public tokenizers' files.
+TOKENIZERS = "/opt/tokenizers"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +23,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.find_overlaps(docs, items))
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = secrets.train(secrets.labelled_samples(docs))
@@ -48,7 +55,7 @@ FROM docs d LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
 
 
 def queries() -> dict[str, Query]:
-    return {"op6_secrets": op6_secrets, "op9_decontamination": op9_decontamination}
+    return {"op4_bpe": op4_bpe, "op6_secrets": op6_secrets, "op9_decontamination": op9_decontamination}
 
 
 def oracle_sql() -> dict[str, str]:
