@@ -25,14 +25,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import cut, hot_lookup, mix64, texts_of
+from lectern.llm.common import bloom_filter, bloom_keys, cut, hot_lookup, in_bloom, mix64, texts_of
 from lectern.llm.tokens import SPACES, encoder, split_words
 
 #: A chunk has about 1 << CHUNK_BITS bytes, and at least CHUNK_LEAST.
 CHUNK_BITS, CHUNK_LEAST, WINDOW = 10, 64, 32
-#: Bits of the filter of shared chunks, and probes in it.
-FILTER_BITS, PROBES = 1 << 26, 4
-_PAGE = 1 << 15
 _GEAR = (mix64(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 _SPACE_SET = frozenset(SPACES)
 
@@ -72,38 +69,9 @@ def _digests(batches):
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["h"])
 
 
-def _probes(h: bytes) -> list[int]:
-    a, b = int.from_bytes(h[:8], "little"), int.from_bytes(h[8:], "little") | 1
-    return [(a + i * b) % (1 << 64) % FILTER_BITS for i in range(PROBES)]
-
-
-def _bits(batches):
-    for batch in batches:
-        at = np.array([p for h in batch.column(0).to_pylist() for p in _probes(h)], np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(at // _PAGE, pa.int64()), pa.array(at % _PAGE, pa.int64())], ["page", "bit"])
-
-
-def _pages(batches):
-    pages: dict[int, np.ndarray] = {}
-    for batch in batches:
-        page, bit = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        for p in np.unique(page).tolist():
-            pages.setdefault(p, np.zeros(_PAGE, bool))[bit[page == p]] = True
-    rows = [(p, np.packbits(x, bitorder="little").tobytes()) for p, x in pages.items()]
-    yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["page", "bits"])
-
-
-def shared_filter(texts: DataFrame) -> bytes:
-    """Bloom filter of the digests of chunks that two documents or more have: FILTER_BITS / 8 bytes."""
-    shared = texts.mapInArrow(_digests, "h binary").groupBy("h").count().where("count > 1").select("h")
-    out = bytearray(FILTER_BITS // 8)
-    for r in shared.mapInArrow(_bits, "page long, bit long").distinct().repartition("page").mapInArrow(_pages, "page long, bits binary").toLocalIterator():
-        out[r["page"] * _PAGE // 8 : (r["page"] + 1) * _PAGE // 8] = r["bits"]
-    return bytes(out)
-
-
-def _in_filter(bits: bytes, h: bytes) -> bool:
-    return all(bits[p >> 3] >> (p & 7) & 1 for p in _probes(h))
+def shared_filter(texts: DataFrame):
+    """Bloom filter of the digests of chunks that two documents or more have."""
+    return bloom_filter(texts.mapInArrow(_digests, "h binary").groupBy("h").count().where("count > 1").select("h"))
 
 
 def encode_part(enc, text: str) -> tuple[str, bytes, str, bool]:
@@ -148,7 +116,7 @@ def _first_pass(blob, bits):
                 row += 1
                 cuts = chunks(text)
                 keys = [_digest(c) for c in cuts]
-                shared = [_in_filter(bits.value, h) for h in keys]
+                shared = in_bloom(bits.value, bloom_keys(pa.array(keys, pa.binary()))).tolist()
                 if not any(shared):
                     n, a, b = enc.digests(split_words(text.decode()))
                     out.append((DONE, row, key, 0, n, a, b, None, None, None, None, None, None))

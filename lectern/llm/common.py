@@ -101,6 +101,60 @@ class WordHashes(dict):
         return out
 
 
+#: Bits of a Bloom filter, and probes in it: FILTER_BITS / 8 bytes at every corpus size.
+FILTER_BITS, PROBES = 1 << 26, 4
+_PAGE = 1 << 15
+
+
+def bloom_keys(column: pa.Array) -> np.ndarray:
+    """uint64 keys of a column of longs, or of binary digests of at least eight bytes."""
+    if pa.types.is_integer(column.type):
+        return column.drop_null().cast(pa.int64()).to_numpy(zero_copy_only=False).view(np.uint64)
+    return np.frombuffer(b"".join(h[:8] for h in column.to_pylist()), "<u8")
+
+
+def _probes(keys: np.ndarray) -> list[np.ndarray]:
+    return [(mix64(keys + np.uint64(0x9E3779B97F4A7C15 * i & MASK64)) & np.uint64(FILTER_BITS - 1)).astype(np.int64) for i in range(1, PROBES + 1)]
+
+
+def _bits(batches):
+    for batch in batches:
+        at = np.unique(np.concatenate(_probes(bloom_keys(batch.column(0)))))
+        yield pa.RecordBatch.from_arrays([pa.array(at // _PAGE), pa.array(at % _PAGE)], ["page", "bit"])
+
+
+def _pages(batches):
+    pages: dict[int, np.ndarray] = {}
+    for batch in batches:
+        page, bit = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        order = np.argsort(page, kind="stable")
+        page, bit = page[order], bit[order]
+        starts = np.flatnonzero(np.diff(page, prepend=-1))
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(page)], strict=True):
+            pages.setdefault(int(page[a]), np.zeros(_PAGE, bool))[bit[a:b]] = True
+    rows = [(p, np.packbits(x, bitorder="little").tobytes()) for p, x in pages.items()]
+    yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["page", "bits"])
+
+
+def bloom_filter(keys: DataFrame) -> np.ndarray:
+    """Filter of the values of a one-column table, for a broadcast.
+
+    False positives must do no harm to the caller: a saturated filter lets everything through.
+    """
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    pages = keys.mapInArrow(_bits, "page long, bit long").repartition("page").mapInArrow(_pages, "page long, bits binary")
+    for r in pages.toLocalIterator():
+        out[r["page"] * _PAGE // 8 : (r["page"] + 1) * _PAGE // 8] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def in_bloom(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    hit = np.ones(len(keys), bool)
+    for at in _probes(keys):
+        hit &= (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+    return hit
+
+
 def _find(parent: dict, x):
     root = x
     while parent.get(root, root) != root:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import bpe, decontaminate, secrets
+from lectern.llm import bpe, decontaminate, embedding_dedup, jaccard_join, secrets
 
 #: Folder of the public tokenizers' files.
 TOKENIZERS = "/opt/tokenizers"
@@ -23,10 +23,18 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.find_overlaps(docs, items))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.group(_table(spark, sf_dir, "documents"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.deduplicate(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = secrets.train(secrets.labelled_samples(docs))
@@ -54,9 +62,26 @@ FROM docs d LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
 
+_SHINGLES = """
+WITH RECURSIVE docs AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents),
+sets AS (SELECT doc_id, list_distinct(list_transform(generate_series(1, greatest(1, len(w) - 3)), lambda i: array_to_string(w[i:i + 3], ' '))) AS s FROM docs WHERE len(w) > 0),
+flat AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+common AS (SELECT a.doc_id AS u, b.doc_id AS v, any_value(a.n) + any_value(b.n) AS total, count(*) AS c FROM flat a JOIN flat b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT u, v FROM common WHERE 100 * c >= 85 * (total - c)),
+reach AS (SELECT u AS doc_id, u AS other FROM links UNION SELECT r.doc_id, l.v FROM reach r JOIN links l ON r.other = l.u)
+"""
+
+OP2_SQL = _SHINGLES + """
+SELECT d.doc_id, CAST(coalesce(len(s.s), 0) AS BIGINT) AS n_shingles, coalesce(r.c, d.doc_id) AS component_id, coalesce(k.class_id, d.doc_id) AS class_id
+FROM documents d LEFT JOIN sets s USING (doc_id) LEFT JOIN (SELECT doc_id, min(other) AS c FROM reach GROUP BY 1) r USING (doc_id)
+LEFT JOIN (SELECT doc_id, min(doc_id) OVER (PARTITION BY list_sort(s)) AS class_id FROM sets) k USING (doc_id)
+"""
+
+
 def queries() -> dict[str, Query]:
-    return {"op4_bpe": op4_bpe, "op6_secrets": op6_secrets, "op9_decontamination": op9_decontamination}
+    return {"op2_jaccard_join": op2_jaccard_join, "op4_bpe": op4_bpe, "op5_embedding_dedup": op5_embedding_dedup, "op6_secrets": op6_secrets, "op9_decontamination": op9_decontamination}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_decontamination": OP9_SQL}
+    return {"op2_jaccard_join": OP2_SQL, "op9_decontamination": OP9_SQL}
