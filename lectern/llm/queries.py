@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import bpe, decontaminate, embedding_dedup, jaccard_join, secrets
+from lectern.llm import bpe, decontaminate, embedding_dedup, jaccard_join, secrets, training_order, warc
 
 #: Folder of the public tokenizers' files.
 TOKENIZERS = "/opt/tokenizers"
@@ -18,6 +18,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages")).drop("url")
+
+
+def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order.round_trip(_table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return decontaminate.digest(decontaminate.find_overlaps(docs, items))
@@ -79,9 +87,18 @@ LEFT JOIN (SELECT doc_id, min(doc_id) OVER (PARTITION BY list_sort(s)) AS class_
 """
 
 
+OP8_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+m AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first < page_id THEN first END AS refers_to
+FROM m
+"""
+
+
 def queries() -> dict[str, Query]:
-    return {"op2_jaccard_join": op2_jaccard_join, "op4_bpe": op4_bpe, "op5_embedding_dedup": op5_embedding_dedup, "op6_secrets": op6_secrets, "op9_decontamination": op9_decontamination}
+    return {"op2_jaccard_join": op2_jaccard_join, "op4_bpe": op4_bpe, "op5_embedding_dedup": op5_embedding_dedup, "op6_secrets": op6_secrets, "op8_warc": op8_warc, "op9_decontamination": op9_decontamination, "op10_training_order": op10_training_order}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_jaccard_join": OP2_SQL, "op9_decontamination": OP9_SQL}
+    return {"op2_jaccard_join": OP2_SQL, "op8_warc": OP8_SQL, "op9_decontamination": OP9_SQL}
