@@ -5,8 +5,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-
-import numpy as np
+from array import array
 
 # What the tokenizer's own patterns treat as white space.
 SPACES = "\t\n\x0b\x0c\r \x85\xa0                　"
@@ -21,57 +20,70 @@ def split_words(text: str) -> list[str]:
     return text.split()
 
 
-class WordEncoder(dict):
-    """Word to (ids as an array, ids in decimal, decoded), encoded once while it is remembered.
+class _Memo:
+    """What words become, in two generations: words not seen for a whole generation are forgotten."""
+
+    LIMIT = 250_000
+
+    def __init__(self, tokenizer, make):
+        self.tokenizer, self.make = tokenizer, make
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def of(self, words: list[str]) -> list:
+        missing = set(words).difference(self.young)
+        if missing:
+            if len(self.young) + len(missing) > self.LIMIT:
+                self.old, self.young = self.young, {}
+                missing = set(words)
+            new = []
+            for w in missing:
+                if (x := self.old.get(w)) is None:
+                    new.append(w)
+                else:
+                    self.young[w] = x
+            for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+                self.young[w] = self.make(e.ids)
+        return list(map(self.young.__getitem__, words))
+
+
+class WordEncoder:
+    """Encodes texts word by word, and each word once while it is remembered.
 
     The tokenizer drops white space and splits at it before merging, so a text's ids are those
     of its words one after the other; other tokenizers are refused.
     """
 
-    LIMIT = 250_000
-
     def __init__(self, blob: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_str(blob)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.typecode = "H" if size <= 1 << 16 else "I"
         self.decimal = [str(i) for i in range(size)]
         self.token = [self.tokenizer.id_to_token(i) for i in range(size)]
         probe = self.tokenizer.encode("a b\né  c", add_special_tokens=False).ids
         if probe != [i for w in ("a", "b", "é", "c") for i in self.tokenizer.encode(w, add_special_tokens=False).ids] or self.tokenizer.decoder is not None:
             raise ValueError("the tokenizer's pieces may cross white space, or it has a decoder")
-
-    def learn(self, words: list[str]) -> None:
-        """Encode the words that are not remembered."""
-        new = list({w for w in words if w not in self})
-        if not new:
-            return
-        if len(self) > self.LIMIT:
-            self.clear()
-            new = list(set(words))
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            ids = e.ids
-            self[w] = np.array(ids, self.dtype).tobytes(), " ".join(map(self.decimal.__getitem__, ids)), " ".join(map(self.token.__getitem__, ids))
+        self._texts = _Memo(self.tokenizer, lambda ids: (" ".join(map(self.decimal.__getitem__, ids)), " ".join(map(self.token.__getitem__, ids))))
+        self._ids = _Memo(self.tokenizer, lambda ids: array(self.typecode, ids).tobytes())
 
     def ids(self, words: list[str]) -> bytes:
-        self.learn(words)
-        return b"".join([self[w][0] for w in words])
+        """Ids of the words, two or four bytes each."""
+        return b"".join(self._ids.of(words))
 
     def digests(self, words: list[str]) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the decimal ids and of the decoded text."""
-        self.learn(words)
-        got = [x for w in words if (x := self[w])[0]]
-        ids = " ".join([x[1] for x in got]).encode()
+        got = [x for x in self._texts.of(words) if x[0]]
+        ids = " ".join([x[0] for x in got]).encode()
         n = ids.count(b" ") + 1 if ids else 0
-        return n, hashlib.sha256(ids).hexdigest(), hashlib.sha256(" ".join([x[2] for x in got]).encode()).hexdigest()
+        return n, hashlib.sha256(ids).hexdigest(), hashlib.sha256(" ".join([x[1] for x in got]).encode()).hexdigest()
 
     def digests_of_ids(self, ids: bytes) -> tuple[int, str, str]:
-        numbers = np.frombuffer(ids, self.dtype).tolist()
+        numbers = memoryview(ids).cast(self.typecode).tolist()
         decimal = " ".join(map(self.decimal.__getitem__, numbers)).encode()
         decoded = " ".join(map(self.token.__getitem__, numbers)).encode()
         return len(numbers), hashlib.sha256(decimal).hexdigest(), hashlib.sha256(decoded).hexdigest()
