@@ -5,11 +5,12 @@ shingles alike: by how often a count sketch of the whole corpus saw them, then b
 overlap of at least o, two linked sets of n shingles share at least l of their first n - o + l
 shingles, for every l.  Each document picks the l at which the estimated cost of its postings
 and of its candidates is least; a pair becomes a candidate once it shares the smaller l of its
-two documents within both prefixes.  Candidates are verified on whole sets.
+two documents at places that the overlap needed for their two sizes allows.  Candidates are
+verified on whole sets.
 
-Only groups are wanted, so first each document is verified against the first document of each
-of its prefix shingles: that merges groups of near copies along a linear number of pairs.  Then
-shingles whose documents are all in one group are done; for the rest, all candidates between
+Only groups are wanted, so first each document is verified against one leader: of the
+documents that come first at one of its shingles, the one that does so most often.  That
+merges groups of near copies along a linear number of pairs.  Then all candidates between
 different groups are verified.  No pair within a group is needed, and no link between groups is
 lost.
 
@@ -72,19 +73,24 @@ def _scan(size):
 
     def rows(batches):
         memo, counts = WordHashes(), np.zeros(SKETCH, np.uint32)
+        held, waiting = [], 0
         names = ["kind", "id", "n", "sig", "counts"]
         for batch in batches:
             sizes, sigs = [], []
             for text in texts_of(batch.column(1)):
                 h = shingle_hashes(word_list(text), size, memo)
-                counts += np.bincount(_bucket(h), minlength=SKETCH).astype(np.uint32) if len(h) > SKETCH // 8 else 0
-                if len(h) <= SKETCH // 8:
-                    np.add.at(counts, _bucket(h), np.uint32(1))
+                held.append(h)
+                waiting += len(h)
+                if waiting > SKETCH:
+                    counts += np.bincount(_bucket(np.concatenate(held)), minlength=SKETCH).astype(np.uint32)
+                    held, waiting = [], 0
                 sizes.append(len(h))
                 x = np.arange(1, len(h) + 1, dtype=np.uint64) * _FACTORS[0]
                 sigs.append(b"" if not len(h) else int(np.bitwise_xor.reduce(mix64(h + x))).to_bytes(8, "little") + int(mix64(h ^ x).sum(dtype=np.uint64)).to_bytes(8, "little"))
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays([pa.array([0] * n, pa.int32()), batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary()), pa.nulls(n, pa.binary())], names)
+        if held:
+            counts += np.bincount(_bucket(np.concatenate(held)), minlength=SKETCH).astype(np.uint32)
         blocks = [k for k in range(SKETCH_BLOCKS) if counts[k * _BLOCK : (k + 1) * _BLOCK].any()]
         data = [zlib.compress(counts[k * _BLOCK : (k + 1) * _BLOCK].tobytes(), 1) for k in blocks]
         m = len(blocks)
@@ -141,7 +147,7 @@ def _postings(size, levels, some, noise, per, of):
     def rows(batches):
         memo = WordHashes()
         for batch in _maybe(batches, some):
-            ids, tokens, sizes, wants = [], [], [], []
+            ids, tokens, sizes, wants, places = [], [], [], [], []
             for key, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
                 h = shingle_hashes(word_list(text), size, memo)
                 if not len(h):
@@ -151,8 +157,9 @@ def _postings(size, levels, some, noise, per, of):
                 ids.append(np.full(len(first), key, np.int64))
                 sizes.append(np.full(len(first), len(h), np.int32))
                 wants.append(np.full(len(first), want, np.int8))
+                places.append(np.arange(len(first), dtype=np.int32))
             cat = lambda xs, t: pa.array(np.concatenate(xs) if xs else np.zeros(0, t))
-            yield pa.RecordBatch.from_arrays([cat([t.view(np.int64) for t in tokens], np.int64), cat(ids, np.int64), cat(sizes, np.int32), cat(wants, np.int8)], ["token", "id", "n", "want"])
+            yield pa.RecordBatch.from_arrays([cat([t.view(np.int64) for t in tokens], np.int64), cat(ids, np.int64), cat(sizes, np.int32), cat(wants, np.int8), cat(places, np.int32)], ["token", "id", "n", "want", "at"])
 
     return rows
 
@@ -169,12 +176,9 @@ def _sets(size, some):
     return rows
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, size: int, per: int, of: int) -> DataFrame:
+def _linked(pairs: DataFrame, sets: DataFrame, per: int, of: int) -> DataFrame:
     """The pairs (u, v) whose whole sets link."""
-    wanted = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
-    some = pairs.sparkSession.sparkContext.broadcast(bloom_filter(wanted))
-    sets = cut(texts.mapInArrow(_sets(size, some), "id long, set array<long>"), "jaccard-sets")
-    both = pairs.join(sets.select(F.col("id").alias("u"), F.col("set").alias("a")), "u").join(sets.select(F.col("id").alias("v"), F.col("set").alias("b")), "v")
+    both = pairs.join(sets.select(F.col("id").alias("v"), F.col("set").alias("b")), "v").join(sets.select(F.col("id").alias("u"), F.col("set").alias("a")), "u")
     common = F.size(F.array_intersect("a", "b"))
     return both.select("u", "v", common.alias("c"), (F.size("a") + F.size("b") - common).alias("d")).where(F.col("c") * of >= F.col("d") * per).select("u", "v")
 
@@ -192,28 +196,35 @@ def group(docs: DataFrame, size: int = 4, per: int = 85, of: int = 100, id_col:
     noise = float(2.0 ** (np.median(levels) / 4.0) - 1.0) * 1.5
     sc = docs.sparkSession.sparkContext
     told, some = sc.broadcast(levels), sc.broadcast(bloom_filter(classes.select("class_id")))
-    postings = texts.mapInArrow(_postings(size, told, some, noise, per, of), "token long, id long, n int, want byte")
+    postings = texts.mapInArrow(_postings(size, told, some, noise, per, of), "token long, id long, n int, want byte, at int")
     listed = W.partitionBy("token")
-    shared = postings.withColumn("u", F.min("id").over(listed)).withColumn("last", F.max("id").over(listed)).where("u < last")
-    shared = cut(shared.drop("last"), "jaccard-shared")
-    fits = lambda a, b: (F.col(a) * of >= F.col(b) * per) & (F.col(b) * of >= F.col(a) * per)
-    ns = shared.select(F.col("id").alias("u"), F.col("n").alias("nu")).distinct()
-    star = cut(shared.where("u < id").select("u", F.col("id").alias("v"), "n").distinct().join(ns, "u").where(fits("n", "nu")).select("u", "v"), "jaccard-star")
-    links = cut(_linked(star, texts, size, per, of), "jaccard-links")
-    groups = components(links)
-    named = shared.join(groups.withColumnRenamed("node", "id"), "id", "left").select("token", "id", "n", "want", F.coalesce("component", "id").alias("g"))
-    open_tokens = named.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low < high").select("token")
-    left = cut(named.join(open_tokens, "token"), "jaccard-open")
-    kinds = left.select("token", "g").distinct()
-    cross = kinds.join(kinds.withColumnRenamed("g", "g2"), "token").where("g < g2")
-    side = lambda g, i: left.select("token", F.col("g").alias(g), *(F.col(c).alias(c + i) for c in ("id", "n", "want")))
-    pairs = cross.join(side("g", "1"), ["token", "g"]).join(side("g2", "2"), ["token", "g2"]).where(fits("n1", "n2"))
-    ready = pairs.groupBy(F.least("id1", "id2").alias("u"), F.greatest("id1", "id2").alias("v")).agg(F.count("*").alias("c"), F.first(F.least("want1", "want2")).alias("want")).where("c >= want")
+    heads = F.min(F.struct("at", "id", "n", "want")).over(listed)
+    shared = postings.withColumn("low", F.min("id").over(listed)).withColumn("high", F.max("id").over(listed)).withColumn("head", heads).where("low < high")
+    shared = cut(shared.drop("low", "high"), "jaccard-shared")
+    wanted = sc.broadcast(bloom_filter(shared.select("id").distinct()))
+    sets = cut(texts.mapInArrow(_sets(size, wanted), "id long, set array<long>"), "jaccard-sets")
+
+    def may_link(n1, at1, n2, at2, want):
+        """Whether a common shingle at these places can be among the first `want` of a linked pair."""
+        need = F.ceil((F.col(n1) + F.col(n2)) * per / (per + of))
+        return (F.col(at1) - F.col(want) < F.col(n1) - need) & (F.col(at2) - F.col(want) < F.col(n2) - need) & (F.col(n1) * of >= F.col(n2) * per) & (F.col(n2) * of >= F.col(n1) * per)
+
+    told_of = shared.where(F.col("id") != F.col("head.id")).select("id", "n", "at", F.col("head.id").alias("u"), F.col("head.n").alias("n1"), F.col("head.at").alias("at1"), F.least("want", F.col("head.want")).alias("w"))
+    votes = told_of.where(may_link("n1", "at1", "n", "at", "w")).groupBy("id", "u").count()
+    star = votes.groupBy("id").agg(F.max(F.struct("count", "u")).alias("best")).select(F.col("best.u").alias("u"), F.col("id").alias("v"))
+    links = cut(_linked(cut(star, "jaccard-star"), sets, per, of), "jaccard-links")
+    groups = cut(components(links).toDF("id", "g"), "jaccard-groups")
+    left = shared.join(groups, "id", "left").select("token", "id", "n", "want", "at", F.coalesce("g", "id").alias("g"))
+    mixed = F.min("g").over(listed) < F.max("g").over(listed)
+    left = cut(left.withColumn("mixed", mixed).where("mixed").drop("mixed"), "jaccard-open")
+    other = left.select("token", *(F.col(c).alias(f"{c}2") for c in ("id", "n", "want", "at", "g")))
+    pairs = left.join(other, "token").where("g <> g2 and (n < n2 or n = n2 and id < id2)").withColumn("w", F.least("want", "want2")).where(may_link("n", "at", "n2", "at2", "w"))
+    ready = pairs.groupBy(F.col("id").alias("u"), F.col("id2").alias("v")).agg(F.count("*").alias("c"), F.first("w").alias("w")).where("c >= w")
     ready = cut(ready.select("u", "v"), "jaccard-pairs")
     if not ready.isEmpty():
-        more = cut(_linked(ready, texts, size, per, of), "jaccard-links")
-        groups = components(links.union(more))
-    groups = cut(groups, "jaccard-groups")
+        more = cut(_linked(ready, sets, per, of), "jaccard-links")
+        groups = cut(components(links.union(more)).toDF("id", "g"), "jaccard-groups")
+    groups = groups.toDF("node", "component")
     named = classes.join(groups.withColumnRenamed("node", "class_id"), "class_id", "left").select("sig", "class_id", F.coalesce("component", "class_id").alias("component_id"), "copies")
     out = hot_lookup(rows, named, ["sig"], "copies")
     return out.select(F.col("id").cast(docs.schema[id_col].dataType).alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"), F.coalesce("class_id", "id").alias("class_id"))
