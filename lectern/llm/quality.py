@@ -5,7 +5,8 @@ probabilities of seen n-grams and weights of contexts for each order; lower orde
 continuation counts.  A document's perplexity is looked up in these tables: in a broadcast of
 them while they have at most MODEL_ROWS rows, which bounds its size, and by joins on the n-gram
 beyond that.  Both give the same numbers.  A document is rejected where the logarithm of its
-perplexity lies far above what trusted documents of its language have, told by two quantiles.
+perplexity lies far above what trusted documents of its language have, told by two quantiles; the limit is
+wider for short texts, whose mean is noisy.
 
 Defined results: null and empty texts have no perplexity and are rejected; a null language is a
 language of its own; languages without trusted documents use the quantiles of all trusted
@@ -30,6 +31,8 @@ PLAIN = 3_072
 MODEL_ROWS = 6_000_000
 #: Rejected: log perplexity over the median by SPREAD times the distance from median to HIGH quantile.
 HIGH, SPREAD = 0.9, 4.0
+#: Added for short texts, over the square root of the number of characters: the mean of few is noisy.
+SHORT_SLACK = 2.0
 #: Characters scored at once.
 BLOCK_CHARS = 1 << 21
 
@@ -153,7 +156,7 @@ def _scorer(model, size):
                 sums += (run[ends[1:]] - run[ends[:-1]]).tolist()
                 counts += list(map(len, part))
             scores = [-s / n if n else None for s, n in zip(sums, counts, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("lang"), batch.column("trusted"), pa.array(scores, pa.float64())], ["id", "lang", "trusted", "log_ppl"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("lang"), pa.array(counts, pa.int64()), pa.array(scores, pa.float64())], ["id", "lang", "chars", "log_ppl"])
 
     return rows
 
@@ -178,12 +181,12 @@ def _doc_grams(batches):
             if not len(g):
                 g, c = np.array([-1]), np.array([0])
             keep = pa.array([i] * len(g))
-            yield pa.RecordBatch.from_arrays([batch.column("row").take(keep), batch.column("id").take(keep), batch.column("lang").take(keep), batch.column("trusted").take(keep), pa.array(g), pa.array(c)], ["row", "id", "lang", "trusted", "g", "c"])
+            yield pa.RecordBatch.from_arrays([batch.column("row").take(keep), batch.column("id").take(keep), batch.column("lang").take(keep), pa.array(g), pa.array(c)], ["row", "id", "lang", "g", "c"])
 
 
 def _by_joins(rows: DataFrame, model: DataFrame, size: int, id_type: str) -> DataFrame:
     numbered = cut(rows.withColumn("row", F.monotonically_increasing_id()), "quality-rows")
-    found = cut(numbered.mapInArrow(_doc_grams, f"row long, id {id_type}, lang string, trusted boolean, g long, c long"), "quality-grams")
+    found = cut(numbered.mapInArrow(_doc_grams, f"row long, id {id_type}, lang string, g long, c long"), "quality-grams")
     known = found.select("g").distinct().withColumn("p", F.lit(None).cast("double")).withColumn("weight", F.lit(1.0))
     for k in range(ORDER, 0, -1):
         table = lambda kind, name, k=k: model.where((F.col("level") == k) & (F.col("kind") == kind)).select(F.col("key").alias(f"key_{kind}"), F.col("value").alias(name))
@@ -191,7 +194,7 @@ def _by_joins(rows: DataFrame, model: DataFrame, size: int, id_type: str) -> Dat
         known = known.join(table("p", "seen"), "key_p", "left").join(table("w", "more"), "key_w", "left")
         known = known.select("g", F.coalesce("p", F.col("weight") * F.col("seen")).alias("p"), (F.col("weight") * F.coalesce("more", F.lit(1.0))).alias("weight"))
     known = known.select("g", F.log(F.coalesce("p", F.col("weight") / size)).alias("log"))
-    sums = found.join(known, "g").groupBy("row", "id", "lang", "trusted").agg((-F.sum(F.col("log") * F.col("c")) / F.nullif(F.sum("c"), F.lit(0))).alias("log_ppl"))
+    sums = found.join(known, "g").groupBy("row", "id", "lang").agg(F.sum("c").alias("chars"), (-F.sum(F.col("log") * F.col("c")) / F.nullif(F.sum("c"), F.lit(0))).alias("log_ppl"))
     return sums.drop("row")
 
 
@@ -202,15 +205,14 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     trusted = rows.select("id", "text").join(good, "id", "left_semi").select("text")
     model, size = train(trusted)
-    rows = rows.withColumn("trusted", F.lit(False))
-    schema = f"id {kind}, lang string, trusted boolean, log_ppl double"
+    schema = f"id {kind}, lang string, chars long, log_ppl double"
     scored = _by_broadcast(rows, model, size, schema) if model.count() <= model_rows else _by_joins(rows, model, size, kind)
-    scored = cut(scored.drop("trusted"), "quality-scores")
+    scored = cut(scored, "quality-scores")
     marks = F.expr(f"percentile_approx(log_ppl, array(0.5, {HIGH}), 10000)")
     limit = lambda q: q[0] + SPREAD * (q[1] - q[0])
     base = scored.where("log_ppl is not null").join(good, "id", "left_semi")
     limits = base.groupBy("lang").agg(marks.alias("q")).select(F.coalesce("lang", F.lit("")).alias("of"), limit(F.col("q")).alias("own"))
     every = base.agg(marks.alias("q")).first()["q"]
     general = F.lit(float(limit(every)) if every else float("inf"))
-    out = scored.withColumn("of", F.coalesce("lang", F.lit(""))).join(limits, "of", "left").withColumn("limit", F.coalesce("own", general))
+    out = scored.withColumn("of", F.coalesce("lang", F.lit(""))).join(limits, "of", "left").withColumn("limit", F.coalesce("own", general) + SHORT_SLACK / F.sqrt(F.greatest("chars", F.lit(1))))
     return out.select(F.col("id").alias("doc_id"), "lang", "log_ppl", F.exp("log_ppl").alias("perplexity"), "limit", F.coalesce(F.col("log_ppl") > F.col("limit"), F.lit(True)).alias("rejected"))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lectern.llm import bpe, decontaminate, embedding_dedup, jaccard_join, secrets, training_order, warc
+from lectern.llm import bpe, chat, decontaminate, embedding_dedup, jaccard_join, quality, secrets, toxicity, training_order, warc
 
 #: Folder of the public tokenizers' files.
 TOKENIZERS = "/opt/tokenizers"
@@ -18,6 +19,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages")).drop("url")
 
@@ -31,10 +36,21 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.find_overlaps(docs, items))
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+    return toxicity.score(docs, toxicity.train(docs, labels, ["low_quality", "toxic"]))
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.group(_table(spark, sf_dir, "documents"))
 
 
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = chat.from_turns(_table(spark, sf_dir, "conversations"))
+    return chat.link(messages, {"respond": chat.RESPOND}, ["conv_id", "turn"])
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
 
@@ -87,6 +103,30 @@ LEFT JOIN (SELECT doc_id, min(doc_id) OVER (PARTITION BY list_sort(s)) AS class_
 """
 
 
+OP3_SQL = """
+WITH m AS (SELECT conv_id, turn, role, coalesce(text, '') AS content FROM conversations),
+ids AS (
+  SELECT *, CASE role WHEN 'user' THEN concat(conv_id, '-', turn) WHEN 'assistant' THEN concat(conv_id, '-', turn - 1) END AS call_id,
+    CASE WHEN role = 'user' THEN concat(conv_id, '-', turn - 2) END AS after FROM m),
+calls AS (SELECT DISTINCT call_id, after FROM ids WHERE role = 'user'),
+depths AS (
+  WITH RECURSIVE d AS (
+    SELECT call_id, 0 AS depth FROM calls WHERE after NOT IN (SELECT call_id FROM calls)
+    UNION ALL SELECT c.call_id, d.depth + 1 FROM calls c JOIN d ON c.after = d.call_id)
+  SELECT * FROM d),
+answered AS (SELECT DISTINCT call_id FROM ids WHERE role = 'assistant')
+SELECT i.conv_id, i.turn, i.call_id,
+  CASE WHEN i.call_id IS NULL THEN 'message' WHEN role = 'assistant' AND d.depth IS NULL THEN 'orphan'
+    WHEN role = 'user' AND content = '' THEN 'invalid' WHEN role = 'user' AND a.call_id IS NULL THEN 'unanswered'
+    WHEN role = 'user' THEN 'call' ELSE 'result' END AS status,
+  CASE WHEN i.call_id IS NULL THEN 0 ELSE d.depth * 2 + CASE role WHEN 'user' THEN 1 ELSE 2 END END AS position,
+  CASE WHEN role = 'user' AND content = '' THEN '$.prompt: under minLength' END AS errors,
+  CASE role WHEN 'user' THEN concat('{"role":"assistant","tool_call":{"arguments":{"prompt":', to_json(content), ',"turn":', turn, '},"id":"', i.call_id, '","name":"respond"}}')
+    WHEN 'assistant' THEN concat('{"content":', to_json(content), ',"role":"tool","tool_call_id":"', i.call_id, '"}')
+    ELSE concat('{"content":', to_json(content), ',"role":', to_json(role), '}') END AS json
+FROM ids i LEFT JOIN depths d USING (call_id) LEFT JOIN answered a USING (call_id)
+"""
+
 OP8_SQL = """
 WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
 m AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM p)
@@ -97,8 +137,8 @@ FROM m
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_jaccard_join": op2_jaccard_join, "op4_bpe": op4_bpe, "op5_embedding_dedup": op5_embedding_dedup, "op6_secrets": op6_secrets, "op8_warc": op8_warc, "op9_decontamination": op9_decontamination, "op10_training_order": op10_training_order}
+    return {"op1_toxicity": op1_toxicity, "op2_jaccard_join": op2_jaccard_join, "op3_chat": op3_chat, "op4_bpe": op4_bpe, "op5_embedding_dedup": op5_embedding_dedup, "op6_secrets": op6_secrets, "op7_quality": op7_quality, "op8_warc": op8_warc, "op9_decontamination": op9_decontamination, "op10_training_order": op10_training_order}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_jaccard_join": OP2_SQL, "op8_warc": OP8_SQL, "op9_decontamination": OP9_SQL}
+    return {"op2_jaccard_join": OP2_SQL, "op3_chat": OP3_SQL, "op8_warc": OP8_SQL, "op9_decontamination": OP9_SQL}
