@@ -1,19 +1,19 @@
 """Training-order materialisation: sequences of token ids in shuffled, fixed-stride shards.
 
-Each text becomes its token ids, here the bytes of its UTF-8 form with END (which UTF-8 never
-has) after the last, cut into sequences of a fixed length and padded with END.  A keyed Feistel
+Each text becomes its token ids, here the bytes of its UTF-8 form, and END, which UTF-8 never
+has.  The texts of an input partition stand one after the other, cut into sequences of a fixed
+length; only a partition's last sequence is padded, with END.  A keyed Feistel
 permutation over the smallest even power of two, walked along its cycles until it falls into
 the range, gives each sequence a global slot: a bijection that any worker can compute alone.
 Slots are range-partitioned into shards, and a shard file holds its slots' records one after
 the other, STRIDE bytes each, so slot s lies at (s % SHARD_SLOTS) * STRIDE in its shard.  A reader
 resumes at any slot by that sum.
 
-Sequences are numbered by input partition and row, so the table must be one that is read in the
-same order each time (files); the numbering needs one pass over text lengths.
+Sequences are numbered by input partition and place, so the table must be one that is read in
+the same order each time (files); the numbering needs one pass over text lengths.
 
-Defined results: null reads as empty text; a text's last sequence is the one with END, so an
-empty text has one sequence of END alone; repeated rows and rows without an id have sequences of
-their own; an empty table gives no shard.  Other columns play no part.
+Defined results: null reads as empty text, which is END alone; repeated rows and rows without an
+id are texts like others; an empty table gives no shard.  Other columns play no part.
 """
 
 from __future__ import annotations
@@ -29,10 +29,10 @@ from pyspark.sql import functions as F
 from lectern.llm.common import mix64, scratch_path, texts_of
 
 #: Ids of a sequence, the id that ends a text and pads, and the byte after each record.
-LENGTH, END, SEPARATOR = 512, 255, "\n"
+LENGTH, END, SEPARATOR = 2048, 255, "\n"
 STRIDE = LENGTH + len(SEPARATOR)
 #: Slots of a shard.
-SHARD_SLOTS = 1 << 16
+SHARD_SLOTS = 1 << 14
 ROUNDS = 6
 
 
@@ -55,41 +55,44 @@ def feistel(index: np.ndarray, total: int, key: int) -> np.ndarray:
 
 
 def _count(batches):
-    n = sum((len(t) + LENGTH) // LENGTH for batch in batches for t in texts_of(batch.column(0)))
-    yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([n])], ["part", "n"])
+    n = sum(len(t) + 1 for batch in batches for t in texts_of(batch.column(0)))
+    yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([-(-n // LENGTH)])], ["part", "n"])
 
 
 def _sequences(base, total, key):
     def rows(batches):
-        at = base.value.get(TaskContext.get().partitionId(), 0)
+        at, end, left = base.value.get(TaskContext.get().partitionId(), 0), bytes([END]), b""
+
+        def dealt(data):
+            slots = feistel(np.arange(at, at + len(data)), total, key)
+            return pa.RecordBatch.from_arrays([pa.array(slots), pa.array(data, pa.binary())], ["slot", "data"])
+
         for batch in batches:
-            ids, seqs, data = [], [], []
-            for doc, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
-                for k, lo in enumerate(range(0, len(text) + 1, LENGTH)):
-                    ids.append(doc)
-                    seqs.append(k)
-                    data.append(text[lo : lo + LENGTH].ljust(LENGTH, b"\xff"))
-            slots = feistel(np.arange(at, at + len(ids)), total, key)
-            at += len(ids)
-            yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(ids, batch.column(0).type), pa.array(seqs, pa.int32()), pa.array(data, pa.binary())], ["slot", "doc_id", "seq", "data"])
+            whole = b"".join([left, *(x for t in texts_of(batch.column(0)) for x in (t, end))])
+            stop = len(whole) // LENGTH * LENGTH
+            data, left = [whole[i : i + LENGTH] for i in range(0, stop, LENGTH)], whole[stop:]
+            yield dealt(data)
+            at += len(data)
+        if left:
+            yield dealt([left.ljust(LENGTH, end)])
 
     return rows
 
 
-def materialise(docs: DataFrame, path: str, key: int = 20240229, id_col: str = "doc_id", text_col: str = "text") -> int:
+def materialise(docs: DataFrame, path: str, key: int = 20240229, text_col: str = "text") -> int:
     """Write the shards under path (one file in each shard=N folder); returns the number of slots."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    counts = sorted(rows.select("text", "doc_id").mapInArrow(_count, "part long, n long").collect())
+    rows = docs.select(F.col(text_col).alias("text"))
+    counts = sorted(rows.mapInArrow(_count, "part long, n long").collect())
     base, total = {}, 0
     for part, n in counts:
         base[part], total = total, total + n
     if not total:
         return 0
-    kind = docs.schema[id_col].dataType.simpleString()
-    slots = rows.mapInArrow(_sequences(spark.sparkContext.broadcast(base), total, key), f"slot long, doc_id {kind}, seq int, data binary")
+    slots = rows.mapInArrow(_sequences(spark.sparkContext.broadcast(base), total, key), "slot long, data binary")
     shards = -(-total // SHARD_SLOTS)
-    dealt = slots.select("slot", "data").withColumn("shard", F.floor(F.col("slot") / SHARD_SLOTS)).repartitionByRange(shards, "shard").sortWithinPartitions("shard", "slot")
+    shard = F.floor(F.col("slot") / SHARD_SLOTS)
+    dealt = slots.repartitionByRange(shards, shard).withColumn("shard", shard).sortWithinPartitions("shard", "slot")
     dealt.select("shard", F.col("data").cast("string").alias("value")).write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", 0).partitionBy("shard").text(path)
     return total
 
@@ -105,7 +108,7 @@ def _cut_up(first, last):
                 for a in range(lo, hi, 8192):
                     slots = range(a, min(a + 8192, hi))
                     records = [data[(s - start) * STRIDE : (s - start) * STRIDE + LENGTH] for s in slots]
-                    yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), pa.array([shard] * len(slots), pa.int64()), pa.array([(s - start) * STRIDE for s in slots], pa.int64()), pa.array([len(r.rstrip(b"\xff")) for r in records], pa.int64()), pa.array([hashlib.sha256(r).hexdigest() for r in records]), pa.array(records, pa.binary())], ["slot", "shard", "byte_offset", "n_tokens", "ids_sha256", "ids"])
+                    yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), pa.array([shard] * len(slots), pa.int64()), pa.array([(s - start) * STRIDE for s in slots], pa.int64()), pa.array([r.count(END) for r in records], pa.int64()), pa.array([hashlib.sha256(r).hexdigest() for r in records]), pa.array(records, pa.binary())], ["slot", "shard", "byte_offset", "n_ends", "ids_sha256", "ids"])
 
     return rows
 
@@ -114,7 +117,7 @@ def read_slots(spark: SparkSession, path: str, first: int = 0, last: int = 1 <<
     """Records of the slots from first up to last (exclusive); other shards are not opened."""
     files = spark.read.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary, shard long").option("basePath", path).option("pathGlobFilter", "*.txt").load(path)
     some = files.where(F.col("shard").between(first // SHARD_SLOTS, (last - 1) // SHARD_SLOTS)).select("shard", "content")
-    return some.mapInArrow(_cut_up(first, last), "slot long, shard long, byte_offset long, n_tokens long, ids_sha256 string, ids binary")
+    return some.mapInArrow(_cut_up(first, last), "slot long, shard long, byte_offset long, n_ends long, ids_sha256 string, ids binary")
 
 
 def round_trip(docs: DataFrame, **columns) -> DataFrame:
@@ -122,5 +125,5 @@ def round_trip(docs: DataFrame, **columns) -> DataFrame:
     spark = docs.sparkSession
     path = scratch_path(spark, "training-order")
     if not materialise(docs, path, **columns):
-        return spark.createDataFrame([], "slot long, shard long, byte_offset long, n_tokens long, ids_sha256 string")
+        return spark.createDataFrame([], "slot long, shard long, byte_offset long, n_ends long, ids_sha256 string")
     return read_slots(spark, path).drop("ids")
