@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import bloom_filter, bloom_keys, cut, hot_lookup, in_bloom, mix64, texts_of
+from lectern.llm.common import bloom_filter, bloom_keys, cut, hot_lookup, in_bloom, mix64, slices, texts_of
 from lectern.llm.tokens import SPACES, encoder, split_words
 
 #: A chunk has about 1 << CHUNK_BITS bytes, and at least CHUNK_LEAST.
@@ -64,7 +64,7 @@ def _digest(chunk: bytes) -> bytes:
 
 
 def _digests(batches):
-    for batch in batches:
+    for batch in slices(batches, 0):
         found = [h for t in texts_of(batch.column(0)) for h in {_digest(c) for c in chunks(t)}]
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["h"])
 
@@ -110,7 +110,7 @@ def _first_pass(blob, bits):
     def rows(batches):
         enc, told = encoder(blob.value), set()
         row = TaskContext.get().partitionId() << 40
-        for batch in batches:
+        for batch in slices(batches, 1):
             out = []
             for key, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
                 row += 1
@@ -140,7 +140,7 @@ def _first_pass(blob, bits):
 def _encode_chunks(blob):
     def rows(batches):
         enc = encoder(blob.value)
-        for batch in batches:
+        for batch in slices(batches, "text"):
             parts = [encode_part(enc, t) for t in batch.column("text").to_pylist()]
             head, ids, tail, solid = zip(*parts, strict=True) if parts else ((), (), (), ())
             yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("n_refs"), pa.array(ids, pa.binary()), pa.array(head, pa.string()), pa.array(tail, pa.string()), pa.array(solid, pa.bool_())], ["h", "n_refs", "ids", "head", "tail", "solid"])

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,15 +70,26 @@ def hot_lookup(facts: DataFrame, dim: DataFrame, keys: list[str], count: str, ho
     return done.unionByName(rest.select(*facts.columns, *values))
 
 
-def arrow_rows(df: DataFrame, fn, schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
-
-
 def texts_of(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null reads as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+#: Bytes of text that a task turns into Python objects at once.
+SLICE_BYTES = 4 << 20
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: int | str) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that a text column has at most about SLICE_BYTES in each; single texts stay whole."""
+    for batch in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        lo = 0
+        while lo < batch.num_rows:
+            hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + SLICE_BYTES, "right")))
+            yield batch.slice(lo, hi - lo)
+            lo = hi
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser on uint64."""
     x = (x ^ (x >> np.uint64(30))) * _M1
@@ -88,7 +100,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of words; forgets all when it has too many."""
 
-    LIMIT = 400_000
+    LIMIT = 150_000
 
     def __missing__(self, word: bytes) -> int:
         value = self[word] = xxhash.xxh64_intdigest(word)

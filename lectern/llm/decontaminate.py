@@ -12,7 +12,6 @@ empty result.  Other columns of the input play no part.
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -21,14 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import texts_of
+from lectern.llm.common import slices, texts_of
 
 #: Words in a window.
 WINDOW = 10
 #: Windows in one table; more windows are searched by further tables, each broadcast by itself.
 WINDOWS_PER_TABLE = 200_000
-#: Bytes of text searched at once, and of each lane of that search.
-BLOCK_BYTES, LANE = 4 << 20, 2048
+#: Bytes of each lane of the search.
+LANE = 2048
 #: Windows shorter than this use blocks of three bytes, others of eight.
 SHORT = 24
 
@@ -160,21 +159,11 @@ def _tables(benchmark: DataFrame, id_col: str, text_col: str, size: int) -> list
 
 def _searcher(matcher):
     def search(batches):
-        for batch in batches:
-            texts = texts_of(batch.column("text"))
-            hits, items = batch.column("hits").to_pylist(), batch.column("items").to_pylist()
-            counts, lo = [], 0
-            while lo < len(texts):
-                hi, size = lo, 0
-                while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= BLOCK_BYTES):
-                    size += len(texts[hi])
-                    hi += 1
-                for k, (n, words, found) in enumerate(matcher.value.mark(texts[lo:hi]), lo):
-                    counts.append(n)
-                    hits[k] = sorted(words.union(hits[k]))
-                    items[k] = sorted(found.union(items[k]))
-                lo = hi
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text"), pa.array(counts, pa.int64()), pa.array(hits, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))], ["id", "text", "n_words", "hits", "items"])
+        for batch in slices(batches, "text"):
+            marks = matcher.value.mark(texts_of(batch.column("text")))
+            hits = [sorted(words.union(old)) for (_, words, _), old in zip(marks, batch.column("hits").to_pylist(), strict=True)]
+            items = [sorted(found.union(old)) for (_, _, found), old in zip(marks, batch.column("items").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text"), pa.array([m[0] for m in marks], pa.int64()), pa.array(hits, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))], ["id", "text", "n_words", "hits", "items"])
 
     return search
 
@@ -220,17 +209,8 @@ def clean_rows(docs: DataFrame, benchmark: DataFrame, **columns) -> DataFrame:
 
     def keep(matcher):
         def rows(batches):
-            for batch in batches:
-                texts = texts_of(batch.column(at))
-                flags, lo = [], 0
-                while lo < len(texts):
-                    hi, size = lo, 0
-                    while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= BLOCK_BYTES):
-                        size += len(texts[hi])
-                        hi += 1
-                    flags += [not words for _, words, _ in matcher.value.mark(texts[lo:hi])]
-                    lo = hi
-                yield batch.filter(pa.array(flags, pa.bool_()))
+            for batch in slices(batches, at):
+                yield batch.filter(pa.array([not words for _, words, _ in matcher.value.mark(texts_of(batch.column(at)))], pa.bool_()))
 
         return rows
 
@@ -238,6 +218,3 @@ def clean_rows(docs: DataFrame, benchmark: DataFrame, **columns) -> DataFrame:
         docs = docs.mapInArrow(keep(matcher), docs.schema)
     return docs
 
-
-def item_digest(ids: list[str]) -> str:
-    return hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()

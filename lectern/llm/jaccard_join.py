@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from lectern.llm.common import ASCII_LOWER, WordHashes, bloom_filter, bloom_keys, components, cut, hot_lookup, in_bloom, mix64, texts_of
+from lectern.llm.common import ASCII_LOWER, WordHashes, bloom_filter, bloom_keys, components, cut, hot_lookup, in_bloom, mix64, slices, texts_of
 
 #: Counters of the sketch, and the blocks in which tasks hand them on.
 SKETCH, SKETCH_BLOCKS = 1 << 21, 64
@@ -75,13 +75,13 @@ def _scan(size):
         memo, counts = WordHashes(), np.zeros(SKETCH, np.uint32)
         held, waiting = [], 0
         names = ["kind", "id", "n", "sig", "counts"]
-        for batch in batches:
+        for batch in slices(batches, 1):
             sizes, sigs = [], []
             for text in texts_of(batch.column(1)):
                 h = shingle_hashes(word_list(text), size, memo)
                 held.append(h)
                 waiting += len(h)
-                if waiting > SKETCH:
+                if waiting > SKETCH // 4:
                     counts += np.bincount(_bucket(np.concatenate(held)), minlength=SKETCH).astype(np.uint32)
                     held, waiting = [], 0
                 sizes.append(len(h))
@@ -140,7 +140,7 @@ def _maybe(batches, some):
     """The rows whose id may be wanted."""
     for batch in batches:
         batch = batch.filter(pc.is_valid(batch.column(0)))
-        yield batch.filter(pa.array(in_bloom(some.value, bloom_keys(batch.column(0)))))
+        yield from slices([batch.filter(pa.array(in_bloom(some.value, bloom_keys(batch.column(0)))))], 1)
 
 
 def _postings(size, levels, some, noise, per, of):

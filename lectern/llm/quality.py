@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import cut, texts_of
+from lectern.llm.common import cut, slices, texts_of
 
 ORDER, BITS = 5, 12
 #: Characters up to here have a symbol each; all others share the rest of the symbols by hash.
@@ -33,8 +33,6 @@ MODEL_ROWS = 6_000_000
 HIGH, SPREAD = 0.9, 4.0
 #: Added for short texts, over the square root of the number of characters: the mean of few is noisy.
 SHORT_SLACK = 2.0
-#: Characters scored at once.
-BLOCK_CHARS = 1 << 21
 
 
 def symbols(text: bytes) -> np.ndarray:
@@ -58,22 +56,10 @@ def grams(text: bytes) -> np.ndarray:
     return out
 
 
-def _blocks(texts: list[bytes]):
-    lo = 0
-    while lo < len(texts):
-        hi, size = lo, 0
-        while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= BLOCK_CHARS):
-            size += len(texts[hi])
-            hi += 1
-        yield [grams(t) for t in texts[lo:hi]]
-        lo = hi
-
-
 def _count(batches):
-    for batch in batches:
-        for part in _blocks(texts_of(batch.column(0))):
-            g, c = np.unique(np.concatenate(part), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(c)], ["g", "c"])
+    for batch in slices(batches, 0):
+        g, c = np.unique(np.concatenate([grams(t) for t in texts_of(batch.column(0))]), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(c)], ["g", "c"])
 
 
 def _suffix(g: str, k: int) -> Column:
@@ -146,15 +132,13 @@ def log_probabilities(g: np.ndarray, model: dict, size: int) -> np.ndarray:
 
 def _scorer(model, size):
     def rows(batches):
-        for batch in batches:
-            sums, counts = [], []
-            for part in _blocks(texts_of(batch.column("text"))):
-                g, inverse = np.unique(np.concatenate(part), return_inverse=True)
-                logs = log_probabilities(g, model.value, size)[inverse]
-                ends = np.cumsum([0, *map(len, part)])
-                run = np.concatenate([[0.0], np.cumsum(logs)])
-                sums += (run[ends[1:]] - run[ends[:-1]]).tolist()
-                counts += list(map(len, part))
+        for batch in slices(batches, "text"):
+            part = [grams(t) for t in texts_of(batch.column("text"))]
+            g, inverse = np.unique(np.concatenate(part), return_inverse=True)
+            logs = log_probabilities(g, model.value, size)[inverse]
+            ends = np.cumsum([0, *map(len, part)])
+            counts = np.diff(ends).tolist()
+            sums = [float(logs[a:b].sum()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
             scores = [-s / n if n else None for s, n in zip(sums, counts, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("lang"), pa.array(counts, pa.int64()), pa.array(scores, pa.float64())], ["id", "lang", "chars", "log_ppl"])
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import texts_of
+from lectern.llm.common import slices, texts_of
 from lectern.llm.decontaminate import words_of
 
 #: About so many labelled rows train the chain.
@@ -164,9 +164,9 @@ def train(docs: DataFrame, labels: DataFrame, names: list[str], id_col: str = "d
 def _scorer(told, names):
     def rows(batches):
         chain = told.value
-        for batch in batches:
+        for batch in slices(batches, 1):
             texts = [set(words_of(t)) for t in texts_of(batch.column(1))]
-            p = predict(chain, texts) if texts else np.zeros((0, len(names)))
+            p = predict(chain, texts)
             marks = [pa.array(p[:, j] > chain.limits[j]) for j in range(len(names))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(p[:, j]) for j in range(len(names))), *marks], ["doc_id", *(f"p_{c}" for c in names), *(f"is_{c}" for c in names)])
 

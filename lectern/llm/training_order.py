@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.common import mix64, scratch_path, texts_of
+from lectern.llm.common import mix64, scratch_path, slices, texts_of
 
 #: Ids of a sequence, the id that ends a text and pads, and the byte after each record.
 LENGTH, END, SEPARATOR = 2048, 255, "\n"
@@ -55,7 +55,7 @@ def feistel(index: np.ndarray, total: int, key: int) -> np.ndarray:
 
 
 def _count(batches):
-    n = sum(len(t) + 1 for batch in batches for t in texts_of(batch.column(0)))
+    n = sum(len(t) + 1 for batch in slices(batches, 0) for t in texts_of(batch.column(0)))
     yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([-(-n // LENGTH)])], ["part", "n"])
 
 
@@ -67,7 +67,7 @@ def _sequences(base, total, key):
             slots = feistel(np.arange(at, at + len(data)), total, key)
             return pa.RecordBatch.from_arrays([pa.array(slots), pa.array(data, pa.binary())], ["slot", "data"])
 
-        for batch in batches:
+        for batch in slices(batches, 0):
             whole = b"".join([left, *(x for t in texts_of(batch.column(0)) for x in (t, end))])
             stop = len(whole) // LENGTH * LENGTH
             data, left = [whole[i : i + LENGTH] for i in range(0, stop, LENGTH)], whole[stop:]
