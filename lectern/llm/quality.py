@@ -187,7 +187,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     kind = docs.schema[id_col].dataType.simpleString()
     good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("id")).distinct()
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    trusted = rows.select("id", "text").join(good, "id", "left_semi").select("text")
+    trusted = rows.select("id", "text").join(good.hint("merge"), "id", "left_semi").select("text")  # one way at every size
     model, size = train(trusted)
     schema = f"id {kind}, lang string, chars long, log_ppl double"
     scored = _by_broadcast(rows, model, size, schema) if model.count() <= model_rows else _by_joins(rows, model, size, kind)
