@@ -1,16 +1,17 @@
 """Quality classifier: interpolated modified Kneser-Ney model of character 5-grams.
 
-Counts come from all trusted text.  They are joined, sharded by n-gram and by context, into
+Counts come from all trusted text but the part held out for the quantiles.  They are joined, sharded by n-gram and by context, into
 probabilities of seen n-grams and weights of contexts for each order; lower orders use
 continuation counts.  A document's perplexity is looked up in these tables: in a broadcast of
 them while they have at most MODEL_ROWS rows, which bounds its size, and by joins on the n-gram
 beyond that.  Both give the same numbers.  A document is rejected where the logarithm of its
-perplexity lies far above what trusted documents of its language have, told by two quantiles; the limit is
-wider for short texts, whose mean is noisy.
+perplexity lies far above what trusted documents of its language have, told by two quantiles; the
+quantiles are of trusted documents held out from the counts, as others are scored out of sample
+too, and the limit is wider for short texts, whose mean is noisy.
 
 Defined results: null and empty texts have no perplexity and are rejected; a null language is a
-language of its own; languages without trusted documents use the quantiles of all trusted
-documents; without any trusted text nothing but empty text is rejected; repeated rows each get
+language of its own; languages with fewer than OWN_LIMIT held-out documents use the quantiles of
+all held-out documents; without any trusted text nothing but empty text is rejected; repeated rows each get
 a row; repeated or contradictory labels count as trusted if one is; an empty table gives an
 empty result.  Other columns play no part.
 """
@@ -25,12 +26,16 @@ from pyspark.sql import functions as F
 from lectern.llm.common import cut, slices, texts_of
 
 ORDER, BITS = 5, 12
+#: Discounts where the counts of counts give none.
+FALLBACK = (0.5, 1.0, 1.5)
 #: Characters up to here have a symbol each; all others share the rest of the symbols by hash.
 PLAIN = 3_072
 #: Most rows of a model that is broadcast (at most 16 bytes each).
 MODEL_ROWS = 6_000_000
 #: Rejected: log perplexity over the median by SPREAD times the distance from median to HIGH quantile.
 HIGH, SPREAD = 0.9, 4.0
+#: One of so many trusted documents, by a hash of the id, is held out; a language's own limit needs so many.
+HELD_OUT, OWN_LIMIT = 5, 20
 #: Added for short texts, over the square root of the number of characters: the mean of few is noisy.
 SHORT_SLACK = 2.0
 
@@ -72,8 +77,12 @@ def _context(g: str) -> Column:
 
 def _discounts(counts: DataFrame) -> list[float]:
     n = counts.agg(*(F.count_if(F.col("c") == i).alias(f"n{i}") for i in (1, 2, 3, 4))).first()
-    y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0.0
-    return [min(float(i), max(0.0, i - (i + 1) * y * n[i] / n[i - 1])) if n[i - 1] else 0.0 for i in (1, 2, 3)]
+    if min(n) > 0:
+        y = n[0] / (n[0] + 2 * n[1])
+        own = [i - (i + 1) * y * n[i] / n[i - 1] for i in (1, 2, 3)]
+        if all(0 < d <= i for i, d in enumerate(own, 1)):
+            return own
+    return list(FALLBACK)
 
 
 def train(trusted: DataFrame) -> tuple[DataFrame, int]:
@@ -130,6 +139,10 @@ def log_probabilities(g: np.ndarray, model: dict, size: int) -> np.ndarray:
     return np.log(out)
 
 
+def is_held_out(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key.cast("string")), F.lit(HELD_OUT)) == 0
+
+
 def _scorer(model, size):
     def rows(batches):
         for batch in slices(batches, "text"):
@@ -187,15 +200,17 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     kind = docs.schema[id_col].dataType.simpleString()
     good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("id")).distinct()
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    trusted = rows.select("id", "text").join(good.hint("merge"), "id", "left_semi").select("text")  # one way at every size
+    counted = good.where(~is_held_out(F.col("id")))
+    trusted = rows.select("id", "text").join(counted.hint("merge"), "id", "left_semi").select("text")  # one way at every size
     model, size = train(trusted)
     schema = f"id {kind}, lang string, chars long, log_ppl double"
     scored = _by_broadcast(rows, model, size, schema) if model.count() <= model_rows else _by_joins(rows, model, size, kind)
     scored = cut(scored, "quality-scores")
     marks = F.expr(f"percentile_approx(log_ppl, array(0.5, {HIGH}), 10000)")
     limit = lambda q: q[0] + SPREAD * (q[1] - q[0])
-    base = scored.where("log_ppl is not null").join(good, "id", "left_semi")
-    limits = base.groupBy("lang").agg(marks.alias("q")).select(F.coalesce("lang", F.lit("")).alias("of"), limit(F.col("q")).alias("own"))
+    base = scored.where("log_ppl is not null").join(good.where(is_held_out(F.col("id"))), "id", "left_semi")
+    limits = base.groupBy("lang").agg(marks.alias("q"), F.count("*").alias("n")).where(F.col("n") >= OWN_LIMIT)
+    limits = limits.select(F.coalesce("lang", F.lit("")).alias("of"), limit(F.col("q")).alias("own"))
     every = base.agg(marks.alias("q")).first()["q"]
     general = F.lit(float(limit(every)) if every else float("inf"))
     out = scored.withColumn("of", F.coalesce("lang", F.lit(""))).join(limits, "of", "left").withColumn("limit", F.coalesce("own", general) + SHORT_SLACK / F.sqrt(F.greatest("chars", F.lit(1))))
