@@ -37,7 +37,7 @@ SKETCH, SKETCH_BLOCKS = 1 << 21, 64
 #: Longest multiple match that a document may ask for.
 MOST_MATCHES = 8
 #: Cost of verifying a candidate, in postings.
-VERIFY_COST = 40.0
+VERIFY_COST = 8.0
 
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
 _BLOCK = SKETCH // SKETCH_BLOCKS
@@ -121,18 +121,21 @@ def _sketch(scanned: DataFrame) -> np.ndarray:
 
 
 def prefix(h: np.ndarray, levels: np.ndarray, noise: float, per: int, of: int) -> tuple[np.ndarray, int]:
-    """The document's prefix shingles and the matches l that it asks for."""
+    """The document's prefix shingles and the matches l that it asks for.
+
+    The cost of an l is what other documents list at the places open to a partner of equal
+    size, and the share of them that l matches are expected to leave for verification.
+    """
     n = len(h)
     level = levels[_bucket(h)]
     order = np.lexsort((h, level))
     overlap = -(-per * n // of)
     most = min(MOST_MATCHES, overlap)
     first = order[: n - overlap + most]
-    others = np.maximum(0.0, 2.0 ** (level[first] / 4.0) - 1.0 - noise)
-    listed = np.cumsum(others + 1.0)
+    others = np.cumsum(np.maximum(0.0, 2.0 ** (level[first] / 4.0) - 1.0 - noise))
     steps = np.arange(1, most + 1)
-    at = n - overlap + steps - 1
-    matches = int(np.argmin(listed[at] + VERIFY_COST * np.cumsum(others)[at] / steps)) + 1
+    like = n - -(-2 * per * n // (per + of)) + steps - 1  # last place that a partner of equal size could share
+    matches = int(np.argmin(others[like] + VERIFY_COST * others[like] / steps + steps)) + 1
     return h[first[: n - overlap + matches]], matches
 
 
