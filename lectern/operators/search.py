@@ -42,7 +42,7 @@ def regex_hits(lines: DataFrame, patterns: list[str]) -> DataFrame:
 def override_hits(lines: DataFrame, overrides: DataFrame) -> DataFrame:
     """Hits of overrides (glob_re, wrong) in the lines of files that their path pattern names."""
     paths = lines.select("path").distinct()
-    named = paths.join(F.broadcast(overrides), F.expr("rlike(replace(path, '.script.txt', '.txt'), glob_re)")).select("path", F.col("wrong").alias("pattern")).distinct()
+    named = paths.join(F.broadcast(overrides.select("glob_re", "wrong")), F.expr("rlike(replace(path, '.script.txt', '.txt'), glob_re)")).select("path", F.col("wrong").alias("pattern")).distinct()
     rows = lines.join(named, "path").where(F.contains("text", F.col("pattern")))
     return rows.select("path", "line_no", "text", "pattern", F.lit("literal").alias("match_kind"))
 
