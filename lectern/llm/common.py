@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -12,12 +15,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Where tables that cut lineage go when a local session (tests) names no shared folder.
+#: Where tables that cut lineage go when a local session (tests) names no shared folder; removed at exit.
 LOCAL_CHECKPOINTS = "/tmp/checkpoints/lectern"
+_OWN: set[str] = set()
 
 #: A key counts as hot when it has over 1/HOT_SHARE of all rows, so at most HOT_SHARE keys are hot.
 HOT_SHARE = 64
-HOT_SALTS = 16
 
 MASK64 = (1 << 64) - 1
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -31,7 +34,11 @@ def shared_dir(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a shared folder")
-    return LOCAL_CHECKPOINTS
+    own = f"{LOCAL_CHECKPOINTS}/{os.getpid()}"
+    if own not in _OWN:
+        _OWN.add(own)
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+    return own
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

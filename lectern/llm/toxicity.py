@@ -28,7 +28,7 @@ from lectern.llm.common import slices, texts_of
 from lectern.llm.decontaminate import words_of
 
 #: About so many labelled rows train the chain.
-SAMPLE = 6_000
+SAMPLE = 4_000
 FOLDS, WORDS, LEAST_DOCS, RIDGE = 5, 300, 5, 1.0
 
 
@@ -156,9 +156,17 @@ def train(docs: DataFrame, labels: DataFrame, names: list[str], id_col: str = "d
     order = F.xxhash64(F.col("__id").cast("string"))
     sample = known.where(F.pmod(order, F.lit(1_000_000)) < int(1e6 * min(1.0, SAMPLE / n)) + 1)
     rows = docs.select(F.col(text_col).alias("t"), F.col(id_col).alias("__id")).join(F.broadcast(sample), "__id")  # about SAMPLE rows, by the filter above
-    got = rows.select("t", *names, order.alias("order")).mapInArrow(_word_sets, "words array<binary>, " + ", ".join(f"{c} int" for c in names) + ", order long").collect()
-    got.sort(key=lambda r: r["order"])
-    return fit_chain(names, [{bytes(w) for w in r["words"]} for r in got], np.array([[r[c] for c in names] for r in got], int).reshape(len(got), len(names)))
+    rows = rows.select("t", *names, order.alias("order")).mapInArrow(_word_sets, "words array<binary>, " + ", ".join(f"{c} int" for c in names) + ", order long")
+    number: dict[bytes, int] = {}
+    got = []
+    for r in rows.toLocalIterator():
+        got.append((r["order"], np.array([number.setdefault(bytes(w), len(number)) for w in r["words"]], np.int32), [r[c] for c in names]))
+    got.sort(key=lambda g: (g[0], g[2]))
+    seen = np.bincount(np.concatenate([g[1] for g in got]) if got else np.zeros(0, np.int32), minlength=len(number))
+    known = [w if n >= LEAST_DOCS else None for w, n in zip(number, seen.tolist(), strict=True)]  # rarer words cannot be chosen
+    del number
+    texts = [{known[i] for i in g[1].tolist()} - {None} for g in got]
+    return fit_chain(names, texts, np.array([g[2] for g in got], int).reshape(len(got), len(names)))
 
 
 def _scorer(told, names):
