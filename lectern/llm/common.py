@@ -83,16 +83,16 @@ def texts_of(column: pa.Array) -> list[bytes]:
 
 
 #: Bytes of text that a task turns into Python objects at once.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: int | str) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that a text column has at most about SLICE_BYTES in each; single texts stay whole."""
+def slices(batches: Iterator[pa.RecordBatch], column: int | str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that a text column has at most about `most` bytes in each; single texts stay whole."""
     for batch in batches:
         size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         lo = 0
         while lo < batch.num_rows:
-            hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + SLICE_BYTES, "right")))
+            hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + most, "right")))
             yield batch.slice(lo, hi - lo)
             lo = hi
 

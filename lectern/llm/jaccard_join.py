@@ -36,6 +36,8 @@ from lectern.llm.common import ASCII_LOWER, WordHashes, bloom_filter, bloom_keys
 SKETCH, SKETCH_BLOCKS = 1 << 21, 64
 #: Longest multiple match that a document may ask for.
 MOST_MATCHES = 8
+#: Most ids that are broadcast to filter sets (about 16 MB).
+MOST_IDS = 1_000_000
 #: Cost of verifying a candidate, in postings.
 VERIFY_COST = 8.0
 
@@ -180,7 +182,13 @@ def _sets(size, some):
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, per: int, of: int) -> DataFrame:
-    """The pairs (u, v) whose whole sets link."""
+    """The pairs (u, v) whose whole sets link.
+
+    While the documents of the pairs are few, a broadcast of their ids keeps other sets from moving.
+    """
+    ids = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
+    if ids.count() <= MOST_IDS:
+        sets = sets.join(F.broadcast(ids), "id", "left_semi")
     both = pairs.join(sets.select(F.col("id").alias("v"), F.col("set").alias("b")), "v").join(sets.select(F.col("id").alias("u"), F.col("set").alias("a")), "u")
     common = F.size(F.array_intersect("a", "b"))
     return both.select("u", "v", common.alias("c"), (F.size("a") + F.size("b") - common).alias("d")).where(F.col("c") * of >= F.col("d") * per).select("u", "v")

@@ -62,7 +62,7 @@ def grams(text: bytes) -> np.ndarray:
 
 
 def _count(batches):
-    for batch in slices(batches, 0):
+    for batch in slices(batches, 0, 2 << 20):
         g, c = np.unique(np.concatenate([grams(t) for t in texts_of(batch.column(0))]), return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(c)], ["g", "c"])
 
