@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Patterns that are held by every task at once; longer tables are joined in parts of this size.
-MOST_PATTERNS = 50_000
+#: Up to so many patterns are compared with every line; an automaton holds up to MOST_PATTERNS at once.
+FEW_PATTERNS, MOST_PATTERNS = 64, 200_000
 
 
 def literal_patterns(pairs: DataFrame, manual: DataFrame) -> DataFrame:
@@ -17,19 +18,51 @@ def literal_patterns(pairs: DataFrame, manual: DataFrame) -> DataFrame:
     return kept.select((F.row_number().over(Window.orderBy(F.length("pattern").desc(), "place")) - 1).alias("ord"), "pattern")
 
 
+def _automaton(patterns):
+    import ahocorasick
+
+    found = ahocorasick.Automaton()
+    for p in patterns:
+        found.add_word(p, p)
+    found.make_automaton()
+    return found
+
+
+def _match(told):
+    def rows(batches):
+        automaton = _automaton(told.value)
+        for batch in batches:
+            at, patterns = [], []
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                own = sorted({p for _, p in automaton.iter(text)}) if text else []
+                at += [i] * len(own)
+                patterns += own
+            keep = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(c.take(keep) for c in batch.columns), pa.array(patterns, pa.string())], [*batch.schema.names, "pattern"])
+
+    return rows
+
+
 def literal_hits(lines: DataFrame, patterns: DataFrame) -> DataFrame:
     """(path, line_no, text, pattern): one hit a line and pattern, however often it occurs.
 
-    The patterns, counted first, are compared with every line where it is read; a table beyond
-    MOST_PATTERNS goes in parts, each of a proven size.
+    A few patterns are compared with every line inside the JVM.  Beyond FEW_PATTERNS each line
+    passes once through an automaton of all patterns, so time does not grow with their number;
+    a table beyond MOST_PATTERNS goes in parts, each of a proven size.
     """
     rows = patterns.select("pattern").where("pattern <> ''").distinct()
-    parts = rows.count() // MOST_PATTERNS + 1
-    found = None
-    for k in range(parts):
-        part = F.broadcast(rows.where(F.pmod(F.xxhash64("pattern"), F.lit(parts)) == k))
-        one = lines.join(part, F.contains(lines["text"], part["pattern"]))
-        found = one if found is None else found.unionByName(one)
+    count = rows.count()
+    lines = lines.select("path", "line_no", "text")
+    if count <= FEW_PATTERNS:
+        part = F.broadcast(rows)
+        found = lines.join(part, F.contains(lines["text"], part["pattern"]))
+    else:
+        found, parts = None, count // MOST_PATTERNS + 1
+        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in lines.schema) + ", pattern string"
+        for k in range(parts):
+            own = [r["pattern"] for r in rows.where(F.pmod(F.xxhash64("pattern"), F.lit(parts)) == k).toLocalIterator()]
+            one = lines.mapInArrow(_match(lines.sparkSession.sparkContext.broadcast(own)), schema)
+            found = one if found is None else found.unionByName(one)
     return found.select("path", "line_no", "text", "pattern", F.lit("literal").alias("match_kind"))
 
 

@@ -92,6 +92,16 @@ def test_a_repeated_pattern_is_one_hit(spark):
     assert hits.count() == 1
 
 
+def test_many_patterns_give_the_same_hits(spark, monkeypatch):
+    lines = spark.createDataFrame([("p", i, f"ab{i}c{i * 7 % 13} aab") for i in range(60)] + [("q", 1, None), ("q", 2, "")], "path string, line_no int, text string")
+    patterns = spark.createDataFrame([(i, x) for i, x in enumerate(["a", "ab", "aab", "b1", "c", "3 a", "zz", ""])], "ord int, pattern string")
+    want = sorted(tuple(r) for r in search.literal_hits(lines, patterns).collect())
+    monkeypatch.setattr(search, "FEW_PATTERNS", 2)
+    assert sorted(tuple(r) for r in search.literal_hits(lines, patterns).collect()) == want
+    monkeypatch.setattr(search, "MOST_PATTERNS", 3)
+    assert sorted(tuple(r) for r in search.literal_hits(lines, patterns).collect()) == want and want
+
+
 def test_patterns_longest_first(spark):
     pairs = spark.createDataFrame([(0, "ab", "x"), (1, "cd", "y"), (2, "ab", "z")], "seq long, wrong string, right string")
     manual = spark.createDataFrame([(0, "abcd", "w")], "seq long, wrong string, right string")
