@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.text import display_stem, lines, mirror, strip
+from lectern.operators.search import MOST_PATTERNS, with_terms
 
 # Sections, their number and keywords by style; signals of an exhausted quota.
 SECTIONS = {
@@ -97,10 +98,9 @@ def run_totals(status: DataFrame) -> DataFrame:
 
 def glossary(docs: DataFrame, terms: DataFrame, limit: int = 80, path_col: str = "path", text_col: str = "text") -> DataFrame:
     """(path, rank, term): the first `limit` terms, in dictionary order, that the text contains."""
-    ordered = [r["term"] for r in terms.groupBy("term").agg(F.min("seq").alias("seq")).orderBy("seq").limit(100_000).collect()]
-    table = F.array(*map(F.lit, ordered)) if ordered else F.array().cast("array<string>")
-    found = F.slice(F.filter(table, lambda t: F.contains(F.col(text_col), t)), 1, limit)
-    return docs.select(F.col(path_col).alias("path"), F.posexplode(found).alias("i", "term")).select("path", (F.col("i") + 1).alias("rank"), "term")
+    ordered = [r["term"] for r in terms.groupBy("term").agg(F.min("seq").alias("seq")).orderBy("seq").limit(MOST_PATTERNS + 1).collect()]
+    rows = with_terms(docs.select(F.col(path_col).alias("path"), F.col(text_col).alias("text")), ordered)
+    return rows.select("path", F.posexplode(F.slice("found", 1, limit)).alias("i", "term")).select("path", (F.col("i") + 1).alias("rank"), "term")
 
 
 class QuotaError(RuntimeError):

@@ -66,6 +66,29 @@ def literal_hits(lines: DataFrame, patterns: DataFrame) -> DataFrame:
     return found.select("path", "line_no", "text", "pattern", F.lit("literal").alias("match_kind"))
 
 
+def with_terms(docs: DataFrame, terms: list[str], text_col: str = "text", name: str = "found") -> DataFrame:
+    """docs with an array of the terms that a text contains, in the order given.
+
+    As with literal_hits(), many terms are found in one pass; more than MOST_PATTERNS are refused.
+    """
+    terms = list(dict.fromkeys(t for t in terms if t))
+    if len(terms) > MOST_PATTERNS:
+        raise ValueError(f"over {MOST_PATTERNS} terms: take them in parts")
+    if len(terms) <= FEW_PATTERNS:
+        table = F.array(*map(F.lit, terms)) if terms else F.array().cast("array<string>")
+        return docs.withColumn(name, F.filter(table, lambda t: F.contains(F.col(text_col), t)))
+    told, at = docs.sparkSession.sparkContext.broadcast(terms), docs.columns.index(text_col)
+
+    def rows(batches):
+        automaton, place = _automaton(told.value), {t: i for i, t in enumerate(told.value)}
+        for batch in batches:
+            found = [sorted({p for _, p in automaton.iter(t)}, key=place.__getitem__) if t else [] for t in batch.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.string()))], [*batch.schema.names, name])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return docs.mapInArrow(rows, f"{schema}, `{name}` array<string>")
+
+
 def regex_hits(lines: DataFrame, patterns: list[str]) -> DataFrame:
     """The same for regular expressions, which users give by hand."""
     tests = F.array(*(F.when(F.col("text").rlike(p), F.lit(p)) for p in patterns)) if patterns else F.array().cast("array<string>")

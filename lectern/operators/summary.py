@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions.text import occurrences, title_tokens
+from lectern.operators.search import with_terms
 from lectern.operators.segments import sentence_rows
 
 # Words that are no keywords.
@@ -19,8 +20,6 @@ STOPWORDS = (
     *("부분들", "부분이", "것들", "하죠", "하는거", "같은", "이런식", "여기", "저기", "이번", "저번", "이제", "먼저", "다시", "사실"),
 )
 KEYWORDS, THEME_SIZE, THEMES, CONCEPTS = 16, 4, 3, 5
-#: Domain terms that every task holds.
-MOST_TERMS = 20_000
 
 
 def words(text: Column) -> Column:
@@ -30,12 +29,9 @@ def words(text: Column) -> Column:
 
 def term_counts(docs: DataFrame, terms: list[str], path_col: str = "path", text_col: str = "text") -> DataFrame:
     """(path, term, count) of domain terms by non-overlapping occurrences."""
-    if len(terms) > MOST_TERMS:
-        raise ValueError(f"over {MOST_TERMS} terms: count them in parts")
-    text = F.col(text_col)
-    table = F.array(*map(F.lit, sorted(set(terms)))) if terms else F.array().cast("array<string>")
-    found = F.filter(table, lambda t: F.contains(text, t))
-    return docs.select(F.col(path_col).alias("path"), F.explode(F.transform(found, lambda t: F.struct(t.alias("term"), occurrences(text, t).alias("count")))).alias("x")).select("path", "x.*")
+    rows = with_terms(docs.select(F.col(path_col).alias("path"), F.col(text_col).alias("text")), sorted(set(terms)))
+    counted = F.transform("found", lambda t: F.struct(t.alias("term"), occurrences(F.col("text"), t).alias("count")))
+    return rows.select("path", F.explode(counted).alias("x")).select("path", "x.*")
 
 
 def keywords(docs: DataFrame, terms: list[str], limit: int = KEYWORDS, path_col: str = "path", text_col: str = "text") -> DataFrame:

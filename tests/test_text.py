@@ -102,6 +102,15 @@ def test_many_patterns_give_the_same_hits(spark, monkeypatch):
     assert sorted(tuple(r) for r in search.literal_hits(lines, patterns).collect()) == want and want
 
 
+def test_many_terms_are_found_alike(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "abcab"), (2, None), (3, "")], "path long, text string")
+    few = [tuple(r) for r in search.with_terms(docs, ["ca", "zz", "ab", "ab", ""]).orderBy("path").collect()]
+    assert few[0][2] == ["ca", "ab"]
+    monkeypatch.setattr(search, "FEW_PATTERNS", 1)
+    many = [tuple(r) for r in search.with_terms(docs, ["ca", "zz", "ab", "ab", ""]).orderBy("path").collect()]
+    assert [m[2] for m in many] == [["ca", "ab"], [], []]
+
+
 def test_patterns_longest_first(spark):
     pairs = spark.createDataFrame([(0, "ab", "x"), (1, "cd", "y"), (2, "ab", "z")], "seq long, wrong string, right string")
     manual = spark.createDataFrame([(0, "abcd", "w")], "seq long, wrong string, right string")
