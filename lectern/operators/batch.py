@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,8 +90,3 @@ def manifest(concepts: DataFrame, course: str) -> DataFrame:
     draft = F.regexp_replace("path", r"\.[^./]+$", ".md")
     return rows.select("path", F.to_json(F.struct(F.col("path").alias("source_script"), draft.alias("draft_md"), F.lit(course).alias("course"), title.alias("title"), "concepts", themes.alias("theme_focuses"), F.lit("draft-then-direct-rewrite").alias("workflow"))).alias("json"))
 
-
-def check_stamp(stamp: str) -> str:
-    if not re.fullmatch(r"\d{8}-\d{6}", stamp):
-        raise ValueError("a stamp has the form YYYYMMDD-HHMMSS")
-    return stamp

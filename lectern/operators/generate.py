@@ -8,7 +8,6 @@ never stand in rows or plans.
 from __future__ import annotations
 
 import hashlib
-import random
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -117,7 +116,7 @@ def with_retries(call: Callable[[], str], tries: int = 5, sleep: Callable[[float
         except Exception:
             if attempt == tries:
                 raise
-            sleep(min(20.0, 1.8**attempt) + random.random() * 0)
+            sleep(min(20.0, 1.8**attempt))
     return ""
 
 
