@@ -107,7 +107,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of words; forgets all when it has too many."""
 
-    LIMIT = 150_000
+    LIMIT = 100_000
 
     def __missing__(self, word: bytes) -> int:
         value = self[word] = xxhash.xxh64_intdigest(word)

@@ -144,7 +144,8 @@ def prefix(h: np.ndarray, levels: np.ndarray, noise: float, per: int, of: int) -
 def _maybe(batches, some):
     """The rows whose id may be wanted."""
     for batch in batches:
-        batch = batch.filter(pc.is_valid(batch.column(0)))
+        if batch.column(0).null_count:
+            batch = batch.filter(pc.is_valid(batch.column(0)))
         yield from slices([batch.filter(pa.array(in_bloom(some.value, bloom_keys(batch.column(0)))))], 1)
 
 
