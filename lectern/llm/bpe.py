@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import bloom_filter, bloom_keys, cut, hot_lookup, in_bloom, mix64, slices, texts_of
+from lectern.llm.common import bloom_filter, bloom_keys, cut, hot_lookup, in_bloom, mix64, slices, texts_of, tidy
 from lectern.llm.tokens import SPACES, encoder, split_words
 
 #: A chunk has about 1 << CHUNK_BITS bytes, and at least CHUNK_LEAST.
@@ -63,6 +63,7 @@ def _digest(chunk: bytes) -> bytes:
     return hashlib.blake2b(chunk, digest_size=16).digest()
 
 
+@tidy
 def _digests(batches):
     for batch in slices(batches, 0):
         found = [h for t in texts_of(batch.column(0)) for h in {_digest(c) for c in chunks(t)}]
@@ -134,7 +135,7 @@ def _first_pass(blob, bits):
                         told.add(h)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _FIELDS, strict=True)] if out else [pa.array([], f.type) for f in _FIELDS], schema=_FIELDS)
 
-    return rows
+    return tidy(rows)
 
 
 def _encode_chunks(blob):
@@ -145,7 +146,7 @@ def _encode_chunks(blob):
             head, ids, tail, solid = zip(*parts, strict=True) if parts else ((), (), (), ())
             yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("n_refs"), pa.array(ids, pa.binary()), pa.array(head, pa.string()), pa.array(tail, pa.string()), pa.array(solid, pa.bool_())], ["h", "n_refs", "ids", "head", "tail", "solid"])
 
-    return rows
+    return tidy(rows)
 
 
 def _stitch(blob):
@@ -168,7 +169,7 @@ def _stitch(blob):
         if at is not None:
             yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(done(), (pa.string(), pa.int64(), pa.string(), pa.string()), strict=True)], names)
 
-    return rows
+    return tidy(rows)
 
 
 def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import os
 import shutil
 import uuid
@@ -82,6 +84,21 @@ def texts_of(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def tidy(rows):
+    """rows for mapInArrow that gives memory back to the system at the task's end.
+
+    Workers live on for other stages; what they keep would count against those.
+    """
+
+    def run(batches):
+        yield from rows(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 #: Bytes of text that a task turns into Python objects at once.
 SLICE_BYTES = 1 << 20
 
@@ -107,7 +124,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of words; forgets all when it has too many."""
 
-    LIMIT = 100_000
+    LIMIT = 60_000
 
     def __missing__(self, word: bytes) -> int:
         value = self[word] = xxhash.xxh64_intdigest(word)
@@ -194,6 +211,10 @@ def forest(pairs: Iterable[tuple[int, int]]) -> dict[int, int]:
     return {x: _find(parent, x) for x in list(parent)}
 
 
+#: Edges that a task of components() takes.
+EDGES_A_TASK = 100_000
+
+
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each task's edges become stars: as many rows as nodes, with the same components."""
     parent: dict[int, int] = {}
@@ -215,14 +236,15 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     table gives an empty result.
     """
     e = cut(edges.where("u <> v").select("u", "v").mapInArrow(_contract, "u long, v long").distinct(), name)
+    tasks = e.count() // EDGES_A_TASK + 4  # fewer than the session's partitions where edges are few
     seen = None
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        old, e = e, cut(small.union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), name)
+        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")).coalesce(tasks)
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(tasks).distinct().coalesce(tasks)
+        low = large.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks)
+        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(tasks)
+        old, e = e, cut(small.union(low.select("u", F.col("m").alias("v"))).where("u <> v").coalesce(tasks).distinct().coalesce(tasks), name)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         drop_table(old)
         if now == seen:

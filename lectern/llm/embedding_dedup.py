@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import components, cut, forest, hot_lookup
+from lectern.llm.common import components, cut, forest, hot_lookup, tidy
 
 #: Most vectors that the rotations are learnt from.
 SAMPLE = 8_192
@@ -97,7 +97,7 @@ def _code(model):
             codes = codes_of(_unit(batch.column("vec").to_pylist()), mean, projections) if batch.num_rows else np.zeros((0, 1), np.uint64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([c.tobytes() for c in codes], pa.binary())], [*batch.schema.names, "codes"])
 
-    return rows
+    return tidy(rows)
 
 
 def _index(width, bits):
@@ -112,7 +112,7 @@ def _index(width, bits):
             at = pa.array(np.repeat(np.arange(n), tables))
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), batch.column("class_id").take(at), batch.column("codes").take(at)], ["key", "class_id", "codes"])
 
-    return rows
+    return tidy(rows)
 
 
 def _near(codes: np.ndarray, blocks: np.ndarray, key: int, low: int, high: int, width: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -161,7 +161,7 @@ def _candidates(width, bits):
         kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32())
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], ["key", "low", "high", "class_id", "block"])
 
-    return rows
+    return tidy(rows)
 
 
 def _rerank(width, bits, least):
@@ -180,7 +180,7 @@ def _rerank(width, bits, least):
                 out += [(ids[k], int(links[k]), root[ids[k]]) for k in np.flatnonzero(links).tolist()]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(3)], ["u", "links", "v"])
 
-    return rows
+    return tidy(rows)
 
 
 def deduplicate(table: DataFrame, least: float = 0.9, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:

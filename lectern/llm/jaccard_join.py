@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from lectern.llm.common import ASCII_LOWER, WordHashes, bloom_filter, bloom_keys, components, cut, hot_lookup, in_bloom, mix64, slices, texts_of
+from lectern.llm.common import ASCII_LOWER, WordHashes, bloom_filter, bloom_keys, components, cut, hot_lookup, in_bloom, mix64, slices, texts_of, tidy
 
 #: Counters of the sketch, and the blocks in which tasks hand them on.
 SKETCH, SKETCH_BLOCKS = 1 << 21, 64
@@ -98,7 +98,7 @@ def _scan(size):
         m = len(blocks)
         yield pa.RecordBatch.from_arrays([pa.array([1] * m, pa.int32()), pa.array(blocks, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), pa.array(data, pa.binary())], names)
 
-    return rows
+    return tidy(rows)
 
 
 def _levels(counts: np.ndarray) -> np.ndarray:
@@ -167,7 +167,7 @@ def _postings(size, levels, some, noise, per, of):
             cat = lambda xs, t: pa.array(np.concatenate(xs) if xs else np.zeros(0, t))
             yield pa.RecordBatch.from_arrays([cat([t.view(np.int64) for t in tokens], np.int64), cat(ids, np.int64), cat(sizes, np.int32), cat(wants, np.int8), cat(places, np.int32)], ["token", "id", "n", "want", "at"])
 
-    return rows
+    return tidy(rows)
 
 
 def _sets(size, some):
@@ -179,7 +179,7 @@ def _sets(size, some):
             flat = pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), flat).cast(pa.list_(pa.int64()))], ["id", "set"])
 
-    return rows
+    return tidy(rows)
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, per: int, of: int) -> DataFrame:

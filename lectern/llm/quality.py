@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import cut, slices, texts_of
+from lectern.llm.common import cut, slices, texts_of, tidy
 
 ORDER, BITS = 5, 12
 #: Discounts where the counts of counts give none.
@@ -61,6 +61,7 @@ def grams(text: bytes) -> np.ndarray:
     return out
 
 
+@tidy
 def _count(batches):
     for batch in slices(batches, 0, 2 << 20):
         g, c = np.unique(np.concatenate([grams(t) for t in texts_of(batch.column(0))]), return_counts=True)
@@ -155,7 +156,7 @@ def _scorer(model, size):
             scores = [-s / n if n else None for s, n in zip(sums, counts, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("lang"), pa.array(counts, pa.int64()), pa.array(scores, pa.float64())], ["id", "lang", "chars", "log_ppl"])
 
-    return rows
+    return tidy(rows)
 
 
 def _by_broadcast(rows: DataFrame, model: DataFrame, size: int, schema: str) -> DataFrame:

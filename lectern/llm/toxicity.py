@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import slices, texts_of
+from lectern.llm.common import slices, texts_of, tidy
 from lectern.llm.decontaminate import words_of
 
 #: About so many labelled rows train the chain.
@@ -178,7 +178,7 @@ def _scorer(told, names):
             marks = [pa.array(p[:, j] > chain.limits[j]) for j in range(len(names))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(p[:, j]) for j in range(len(names))), *marks], ["doc_id", *(f"p_{c}" for c in names), *(f"is_{c}" for c in names)])
 
-    return rows
+    return tidy(rows)
 
 
 def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
