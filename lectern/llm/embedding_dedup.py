@@ -7,7 +7,12 @@ it meets and only there, so no list of pairs is kept: pairs near in Hamming dist
 by cosine in double precision, and a task hands on sums of links and a spanning star.  Large
 buckets are dealt in tiles of two blocks, so no task gets a whole bucket.
 
-The index holds every vector; the sample (SAMPLE vectors, by hash) only shapes the rotations.
+Substrings get longer as the table grows, and a longer one agrees less often.  So rotations are
+added until partners made at the threshold meet as often as at every other size; when there are
+MOST_ROTATIONS, substrings get shorter instead, so buckets grow and no recall is lost.
+
+The index holds every vector; the sample (SAMPLE vectors, by hash) only shapes the rotations and
+sets their number.
 
 Defined results: null, zero, empty and non-finite vectors, vectors with null components and
 vectors of another length than most link with nothing and are kept; a row without an id links
@@ -29,15 +34,20 @@ from lectern.llm.common import components, cut, forest, hot_lookup, tidy
 
 #: Most vectors that the rotations are learnt from.
 SAMPLE = 8_192
+#: Rotations at least, which are also those that the Hamming distance is taken over.
 ROTATIONS, CODE_BITS, ITERATIONS = 6, 64, 30
+#: Rotations at most, and the share of pairs at the threshold that may meet in no table.
+MOST_ROTATIONS, MISSED = 32, 0.02
+#: Vectors of the sample that get partners to measure that share.
+PROBED = 2_048
 #: Members of a block of a bucket.
 BLOCK = 128
 #: Share of differing bits up to which a pair is reranked; at a cosine of 0.9 about 0.144 differ.
 HAMMING_SHARE = 0.25
 
 
-def learn_rotations(sample: np.ndarray, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """(mean, projections of shape rotations x dims x bits) by iterative quantisation."""
+def learn_rotations(sample: np.ndarray, seed: int = 7, enough=lambda found: len(found) == ROTATIONS) -> tuple[np.ndarray, np.ndarray]:
+    """(mean, projections of shape rotations x dims x bits) by iterative quantisation, until enough(projections)."""
     dims = sample.shape[1]
     bits = min(dims, CODE_BITS)
     mean = sample.mean(0)
@@ -47,7 +57,7 @@ def learn_rotations(sample: np.ndarray, seed: int = 7) -> tuple[np.ndarray, np.n
     low = centred @ basis
     rng = np.random.default_rng(seed)
     out = []
-    for _ in range(ROTATIONS):
+    while not enough(out):
         r, _ = np.linalg.qr(rng.normal(size=(bits, bits)))
         for _ in range(ITERATIONS):
             u, _, vt = np.linalg.svd(low.T @ np.where(low @ r >= 0, 1.0, -1.0))
@@ -69,6 +79,41 @@ def _substrings(codes: np.ndarray, width: int, bits: int) -> np.ndarray:
     return np.stack([(codes[:, r] >> np.uint64(k * width)) & mask for r in range(codes.shape[1]) for k in range(per)], 1)
 
 
+def partners(sample: np.ndarray, least: float, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors and, at a cosine of least to each, one partner in any direction and one towards another vector."""
+    if sample.shape[1] == 1:
+        return sample, sample
+    noise = np.random.default_rng(seed).normal(size=sample.shape)
+    x = np.concatenate([sample, sample])
+    aside = np.concatenate([noise, np.roll(sample, 1, 0) + 1e-6 * noise])
+    aside -= (aside * x).sum(1)[:, None] * x
+    return x, least * x + math.sqrt(max(0.0, 1 - least * least)) * aside / np.linalg.norm(aside, axis=1)[:, None]
+
+
+def missed(a: np.ndarray, b: np.ndarray, width: int, bits: int) -> float:
+    """Share of the pairs of codes that meet in no table."""
+    return 1 - (_substrings(a, width, bits) == _substrings(b, width, bits)).any(1).mean()
+
+
+def plan(sample: np.ndarray, n: int, least: float) -> tuple[np.ndarray, np.ndarray, int]:
+    """(mean, projections, width of a substring) for n vectors: at the threshold at most MISSED pairs are missed."""
+    bits = min(sample.shape[1], CODE_BITS)
+    width = min(bits, max(8, math.ceil(math.log2(max(n, 2))) - 2), 32)
+    x, y = partners(sample[:PROBED], least)
+    mean, a, b = sample.mean(0), [], []
+
+    def enough(found):
+        for p in found[len(a) :]:
+            a.append(codes_of(x, mean, p[None])[:, 0])
+            b.append(codes_of(y, mean, p[None])[:, 0])
+        return len(found) >= ROTATIONS and (n < 2 or len(found) >= MOST_ROTATIONS or missed(np.stack(a, 1), np.stack(b, 1), width, bits) <= MISSED)
+
+    mean, projections = learn_rotations(sample, enough=enough)
+    while n > 1 and width > 1 and missed(np.stack(a, 1), np.stack(b, 1), width, bits) > MISSED:
+        width -= 1
+    return mean, projections, width
+
+
 def _prepare(batches):
     for batch in batches:
         sigs, vecs, dims = [], [], []
@@ -109,24 +154,32 @@ def _index(width, bits):
             subs = _substrings(codes, width, bits)
             n, tables = subs.shape
             keys = (np.arange(tables, dtype=np.int64) << 40) | subs.astype(np.int64)
-            at = pa.array(np.repeat(np.arange(n), tables))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), batch.column("class_id").take(at), batch.column("codes").take(at)], ["key", "class_id", "codes"])
+            some = pa.array([c.tobytes() for c in codes[:, :ROTATIONS]], pa.binary())
+            for lo in range(0, n, rows_of := max(1, 100_000 // tables)):
+                part = keys[lo : lo + rows_of]
+                at = pa.array(np.repeat(np.arange(lo, lo + len(part)), tables))
+                yield pa.RecordBatch.from_arrays([pa.array(part.ravel()), batch.column("class_id").take(at), some.take(at)], ["key", "class_id", "codes"])
 
     return tidy(rows)
 
 
 def _near(codes: np.ndarray, blocks: np.ndarray, key: int, low: int, high: int, width: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of a tile that are near and whose first common table is the tile's."""
+    """Index pairs of a tile that are near and whose first common table is the tile's.
+
+    Codes of fewer rotations than the index has leave in pairs that meet in none of their tables.
+    """
     if low == high:
         i, j = np.triu_indices(len(codes), 1)
     else:
         i, j = (x.ravel() for x in np.meshgrid(np.flatnonzero(blocks == low), np.flatnonzero(blocks == high), indexing="ij"))
-    apart = np.bitwise_count(codes[i] ^ codes[j]).sum(1)
-    near = apart <= HAMMING_SHARE * bits * codes.shape[1]
+    some = codes[:, :ROTATIONS]
+    apart = np.bitwise_count(some[i] ^ some[j]).sum(1)
+    near = apart <= HAMMING_SHARE * bits * some.shape[1]
     i, j = i[near], j[near]
     if len(i):
         subs = _substrings(codes, width, bits)
-        first = (subs[i] == subs[j]).argmax(1) == key >> 40
+        same = subs[i] == subs[j]
+        first = np.where(same.any(1), same.argmax(1) == key >> 40, key >> 40 >= subs.shape[1])
         i, j = i[first], j[first]
     return i, j
 
@@ -195,9 +248,9 @@ def deduplicate(table: DataFrame, least: float = 0.9, id_col: str = "vec_id", ve
     n = classes.count()
     part = F.pmod(F.xxhash64("sig"), F.lit(1_000_000)) < int(1e6 * min(1.0, SAMPLE / max(n, 1))) + 1
     sample = [bytes(r["vec"]) for r in classes.where(part).select("vec").limit(2 * SAMPLE).collect()] or [np.ones(dims).tobytes()]
-    model = spark.sparkContext.broadcast(learn_rotations(_unit(sample)))
+    *rotations, width = plan(_unit(sample), n, least)
+    model = spark.sparkContext.broadcast(rotations)
     bits = min(dims, CODE_BITS)
-    width = min(bits, max(8, math.ceil(math.log2(max(n, 2))) - 2), 32)
     coded = cut(classes.mapInArrow(_code(model), "sig binary, class_id long, copies long, vec binary, codes binary"), "itq-codes")
     index = coded.select("class_id", "codes").mapInArrow(_index(width, bits), "key long, class_id long, codes binary")
     sizes = cut(index.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "itq-buckets")

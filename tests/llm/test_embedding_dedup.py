@@ -1,3 +1,6 @@
+import math
+from types import SimpleNamespace
+
 import numpy as np
 
 from lectern.llm import embedding_dedup as ed
@@ -62,3 +65,19 @@ def test_codes_are_balanced_and_tables_cover_near_codes():
     bits = (codes[:, 0][:, None] >> np.arange(32, dtype=np.uint64)) & np.uint64(1)
     assert (np.abs(bits.mean(0) - 0.5) < 0.1).all()
     assert ed._substrings(codes, 8, 32).shape == (2000, 4 * ed.ROTATIONS)
+
+
+def test_recall_at_the_threshold_with_substrings_of_large_tables(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(600, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    aside = rng.normal(size=x.shape)
+    aside -= (aside * x).sum(1)[:, None] * x
+    aside /= np.linalg.norm(aside, axis=1)[:, None]
+    pairs = 0.905 * x + np.sqrt(1 - 0.905**2) * aside
+    rows = [(k, v.tolist()) for k, v in enumerate(np.concatenate([x, pairs]))]
+    want = sum(n for n, _ in brute(rows).values())
+    for n in (10**6, 10**7):
+        monkeypatch.setattr(ed, "math", SimpleNamespace(ceil=math.ceil, sqrt=math.sqrt, log2=lambda _, n=n: math.log2(n)))
+        found = sum(r["n_links"] for r in ed.deduplicate(frame(spark, rows)).collect())
+        assert 0.94 * want <= found <= want
