@@ -28,7 +28,8 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training_order.round_trip(_table(spark, sf_dir, "documents"))
+    ids, width = training_order.token_ids(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+    return training_order.round_trip(ids, width=width, text_col="ids")
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

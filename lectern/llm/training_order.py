@@ -1,16 +1,19 @@
 """Training-order materialisation: sequences of token ids in shuffled, fixed-stride shards.
 
-Each text becomes its token ids, here the bytes of its UTF-8 form, and END, which UTF-8 never
-has.  The texts of an input partition stand one after the other, cut into sequences of a fixed
+Each text becomes its token ids and END.  Ids are one, two or four bytes wide, little-endian, and
+END is the largest number of the width: token_ids() encodes texts with a tokenizer of fewer ids;
+a plain text column stands for ids of one byte, those of its UTF-8 form, which never has END.
+The ids of an input partition stand one after the other, cut into sequences of a fixed
 length; only a partition's last sequence is padded, with END.  A keyed Feistel
 permutation over the smallest even power of two, walked along its cycles until it falls into
 the range, gives each sequence a global slot: a bijection that any worker can compute alone.
 Slots are range-partitioned into shards, and a shard file holds its slots' records one after
-the other, STRIDE bytes each, so slot s lies at (s % SHARD_SLOTS) * STRIDE in its shard.  A reader
-resumes at any slot by that sum.
+the other, stride(width) bytes each, so with n = shard_slots(width), slot s lies at
+(s % n) * stride(width) in its shard.  A reader resumes at any slot by that sum.
 
 Sequences are numbered by input partition and place, so the table must be one that is read in
-the same order each time (files); the numbering needs one pass over text lengths.
+the same order each time (files); the numbering needs one pass over text lengths.  Texts are
+encoded once: token_ids() writes its table to the shared folder.
 
 Defined results: null reads as empty text, which is END alone; repeated rows and rows without an
 id are texts like others; an empty table gives no shard.  Other columns play no part.
@@ -19,6 +22,7 @@ id are texts like others; an empty table gives no shard.  Other columns play no
 from __future__ import annotations
 
 import hashlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +30,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.common import mix64, scratch_path, slices, texts_of
+from lectern.llm.common import cut, mix64, scratch_path, slices, texts_of, tidy
+from lectern.llm.tokens import encoder, split_words
 
-#: Ids of a sequence, the id that ends a text and pads, and the byte after each record.
+#: Ids of a sequence, the id of one byte that ends a text and pads, and the byte after each record.
 LENGTH, END, SEPARATOR = 2048, 255, "\n"
 STRIDE = LENGTH + len(SEPARATOR)
-#: Slots of a shard.
+#: Slots of a shard of ids of one byte; wider ids make fewer, so that shards have as many bytes.
 SHARD_SLOTS = 1 << 14
 ROUNDS = 6
 
@@ -54,14 +59,57 @@ def feistel(index: np.ndarray, total: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _count(batches):
-    n = sum(len(t) + 1 for batch in slices(batches, 0) for t in texts_of(batch.column(0)))
-    yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([-(-n // LENGTH)])], ["part", "n"])
+def stride(width: int) -> int:
+    """Bytes of a record of ids of width bytes."""
+    return LENGTH * width + len(SEPARATOR)
 
 
-def _sequences(base, total, key):
+def shard_slots(width: int) -> int:
+    return max(1, SHARD_SLOTS // width)
+
+
+def _ends(ids: bytes, width: int) -> int:
+    return int((np.frombuffer(ids, f"<u{width}") == (1 << 8 * width) - 1).sum())
+
+
+def _encode(blob, width):
+    def rows(batches):
+        enc = encoder(blob.value)
+        for batch in slices(batches, 0):
+            ids = [enc.ids(split_words(t.decode())) for t in texts_of(batch.column(0))]
+            if width == 4 and enc.typecode == "H":
+                ids = [np.frombuffer(x, "<u2").astype("<u4").tobytes() for x in ids]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["ids"])
+
+    return tidy(rows)
+
+
+def token_ids(docs: DataFrame, tokenizer: str, text_col: str = "text") -> tuple[DataFrame, int]:
+    """(table of each text's ids, bytes of an id), encoded with a tokenizer file."""
+    text = Path(tokenizer).read_text()
+    width = 2 if len(encoder(text).decimal) < 1 << 16 else 4
+    blob = docs.sparkSession.sparkContext.broadcast(text)
+    return cut(docs.select(F.col(text_col).alias("text")).mapInArrow(_encode(blob, width), "ids binary"), "training-ids"), width
+
+
+def _count(width):
+    def rows(batches):
+        n = 0
+        for batch in slices(batches, 0):
+            for t in texts_of(batch.column(0)):
+                if len(t) % width or width > 1 and _ends(t, width):
+                    raise ValueError(f"not ids of {width} bytes, or one of them is END")
+                n += len(t) // width + 1
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([-(-n // LENGTH)])], ["part", "n"])
+
+    return rows
+
+
+def _sequences(base, total, key, width):
+    size = LENGTH * width
+
     def rows(batches):
-        at, end, left = base.value.get(TaskContext.get().partitionId(), 0), bytes([END]), b""
+        at, end, left = base.value.get(TaskContext.get().partitionId(), 0), bytes([END]) * width, b""
 
         def dealt(data):
             slots = feistel(np.arange(at, at + len(data)), total, key)
@@ -69,61 +117,66 @@ def _sequences(base, total, key):
 
         for batch in slices(batches, 0):
             whole = b"".join([left, *(x for t in texts_of(batch.column(0)) for x in (t, end))])
-            stop = len(whole) // LENGTH * LENGTH
-            data, left = [whole[i : i + LENGTH] for i in range(0, stop, LENGTH)], whole[stop:]
+            stop = len(whole) // size * size
+            data, left = [whole[i : i + size] for i in range(0, stop, size)], whole[stop:]
             yield dealt(data)
             at += len(data)
         if left:
-            yield dealt([left.ljust(LENGTH, end)])
+            yield dealt([left.ljust(size, bytes([END]))])
 
     return rows
 
 
-def materialise(docs: DataFrame, path: str, key: int = 20240229, text_col: str = "text") -> int:
-    """Write the shards under path (one file in each shard=N folder); returns the number of slots."""
+def materialise(docs: DataFrame, path: str, key: int = 20240229, text_col: str = "text", width: int = 1) -> int:
+    """Write the shards under path (one file in each shard=N folder); returns the number of slots.
+
+    text_col holds texts, or with a width of 1, 2 or 4 bytes, binary ids.
+    """
     spark = docs.sparkSession
     rows = docs.select(F.col(text_col).alias("text"))
-    counts = sorted(rows.mapInArrow(_count, "part long, n long").collect())
+    counts = sorted(rows.mapInArrow(_count(width), "part long, n long").collect())
     base, total = {}, 0
     for part, n in counts:
         base[part], total = total, total + n
     if not total:
         return 0
-    slots = rows.mapInArrow(_sequences(spark.sparkContext.broadcast(base), total, key), "slot long, data binary")
-    shards = -(-total // SHARD_SLOTS)
-    shard = F.floor(F.col("slot") / SHARD_SLOTS)
+    slots = rows.mapInArrow(_sequences(spark.sparkContext.broadcast(base), total, key, width), "slot long, data binary")
+    shards = -(-total // shard_slots(width))
+    shard = F.floor(F.col("slot") / shard_slots(width))
     dealt = slots.repartitionByRange(shards, shard).withColumn("shard", shard).sortWithinPartitions("shard", "slot")
     dealt.select("shard", F.col("data").cast("string").alias("value")).write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", 0).partitionBy("shard").text(path)
     return total
 
 
-def _cut_up(first, last):
+def _cut_up(first, last, width):
+    size, step, slots_each = LENGTH * width, stride(width), shard_slots(width)
+
     def rows(batches):
         for batch in batches:
             for shard, data in zip(batch.column("shard").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                if len(data) % STRIDE:
+                if len(data) % step:
                     raise ValueError(f"shard {shard} is not a whole number of records")
-                start = shard * SHARD_SLOTS
-                lo, hi = max(first, start), min(last, start + len(data) // STRIDE)
-                for a in range(lo, hi, 8192):
-                    slots = range(a, min(a + 8192, hi))
-                    records = [data[(s - start) * STRIDE : (s - start) * STRIDE + LENGTH] for s in slots]
-                    yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), pa.array([shard] * len(slots), pa.int64()), pa.array([(s - start) * STRIDE for s in slots], pa.int64()), pa.array([r.count(END) for r in records], pa.int64()), pa.array([hashlib.sha256(r).hexdigest() for r in records]), pa.array(records, pa.binary())], ["slot", "shard", "byte_offset", "n_ends", "ids_sha256", "ids"])
+                start = shard * slots_each
+                lo, hi = max(first, start), min(last, start + len(data) // step)
+                for a in range(lo, hi, at_once := max(1, 8192 // width)):
+                    slots = range(a, min(a + at_once, hi))
+                    records = [data[(s - start) * step : (s - start) * step + size] for s in slots]
+                    yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int64()), pa.array([shard] * len(slots), pa.int64()), pa.array([(s - start) * step for s in slots], pa.int64()), pa.array([_ends(r, width) for r in records], pa.int64()), pa.array([hashlib.sha256(r).hexdigest() for r in records]), pa.array(records, pa.binary())], ["slot", "shard", "byte_offset", "n_ends", "ids_sha256", "ids"])
 
     return rows
 
 
-def read_slots(spark: SparkSession, path: str, first: int = 0, last: int = 1 << 62) -> DataFrame:
+def read_slots(spark: SparkSession, path: str, first: int = 0, last: int = 1 << 62, width: int = 1) -> DataFrame:
     """Records of the slots from first up to last (exclusive); other shards are not opened."""
     files = spark.read.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary, shard long").option("basePath", path).option("pathGlobFilter", "*.txt").load(path)
-    some = files.where(F.col("shard").between(first // SHARD_SLOTS, (last - 1) // SHARD_SLOTS)).select("shard", "content")
-    return some.mapInArrow(_cut_up(first, last), "slot long, shard long, byte_offset long, n_ends long, ids_sha256 string, ids binary")
+    some = files.where(F.col("shard").between(first // shard_slots(width), (last - 1) // shard_slots(width))).select("shard", "content")
+    return some.mapInArrow(_cut_up(first, last, width), "slot long, shard long, byte_offset long, n_ends long, ids_sha256 string, ids binary")
 
 
-def round_trip(docs: DataFrame, **columns) -> DataFrame:
+def round_trip(docs: DataFrame, width: int = 1, **columns) -> DataFrame:
     """Write shards of all rows to the shared folder; per slot, what the shards hold."""
     spark = docs.sparkSession
     path = scratch_path(spark, "training-order")
-    if not materialise(docs, path, **columns):
+    if not materialise(docs, path, width=width, **columns):
         return spark.createDataFrame([], "slot long, shard long, byte_offset long, n_ends long, ids_sha256 string")
-    return read_slots(spark, path).drop("ids")
+    return read_slots(spark, path, width=width).drop("ids")

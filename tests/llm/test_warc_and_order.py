@@ -1,11 +1,15 @@
 import gzip
 import hashlib
+import os
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
+from lectern.llm import queries
 from lectern.llm import training_order as to
 from lectern.llm import warc
+from lectern.llm.queries import TOKENIZERS
 from tests_llm_cases import LONG, empty, odd, odd_rows
 
 FAKE = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Payload-Digest: x\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
@@ -74,3 +78,39 @@ def test_shards_hold_the_stream_in_slot_order(spark, tmp_path, monkeypatch):
         for j in range(len(data) // to.STRIDE):
             assert data[j * to.STRIDE : j * to.STRIDE + to.LENGTH] == want[k * 16 + j]
     assert to.round_trip(docs).count() == total and to.round_trip(empty(spark)).count() == 0
+
+
+def test_shards_hold_the_ids_of_a_vocabulary(spark, tmp_path):
+    if not os.path.isdir(TOKENIZERS):
+        pytest.skip("no tokenizer files")
+    tokenizer = Tokenizer.from_file(f"{TOKENIZERS}/word_bpe_49k.json")
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    encoded = [tokenizer.encode(r[1] or "", add_special_tokens=False).ids for r in odd_rows()]
+    sf = str(tmp_path / "sf")
+    odd(spark).coalesce(1).write.parquet(f"{sf}/documents.parquet")
+    stream = [i for ids in encoded for i in [*ids, 65535]]
+    stream += [65535] * (-len(stream) % to.LENGTH)
+    seqs = [np.array(stream[i : i + to.LENGTH], "<u2") for i in range(0, len(stream), to.LENGTH)]
+    slots = to.feistel(np.arange(len(seqs)), len(seqs), 20240229).tolist()
+    want = {s: (s * (2 * to.LENGTH + 1), int((x == 65535).sum()), hashlib.sha256(x.tobytes()).hexdigest()) for s, x in zip(slots, seqs, strict=True)}
+    got = queries.op10_training_order(spark, sf).collect()
+    assert {r["slot"]: (r["byte_offset"], r["n_ends"], r["ids_sha256"]) for r in got} == want
+
+
+@pytest.mark.parametrize("width", [1, 2, 4])
+def test_ids_of_any_width_come_back(spark, tmp_path, monkeypatch, width):
+    monkeypatch.setattr(to, "SHARD_SLOTS", 4 * width)
+    rng = np.random.default_rng(2)
+    ids = [rng.integers(0, 256**width - 1, n).astype(f"<u{width}") for n in (0, 5000, 1, 30_000)]
+    docs = spark.createDataFrame([(bytearray(x.tobytes()),) for x in ids] + [(None,)], "ids binary").coalesce(1)
+    path = str(tmp_path / "w")
+    total = to.materialise(docs, path, key=3, text_col="ids", width=width)
+    rows = {r["slot"]: bytes(r["ids"]) for r in to.read_slots(spark, path, width=width).collect()}
+    stream = b"".join(rows[s] for s in to.feistel(np.arange(total), total, 3).tolist())
+    end = b"\xff" * width
+    whole = b"".join(x.tobytes() + end for x in ids) + end
+    assert stream == whole.ljust(total * to.LENGTH * width, b"\xff") and total == -(-len(whole) // (to.LENGTH * width))
+    if width > 1:
+        with pytest.raises(Exception, match="is END"):
+            to.materialise(spark.createDataFrame([(bytearray(end),)], "ids binary"), str(tmp_path / "x"), text_col="ids", width=width)
