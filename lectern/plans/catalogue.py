@@ -454,6 +454,12 @@ def conversation_notes(spark, sf_dir):
     return generate.note_groups(rows, size=3)
 
 
+def conversation_notes_whole(spark, sf_dir):
+    """As conversation_notes, but every note is a turn's whole text; wide rows are told by length and digest."""
+    rows = _table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("path"), F.col("turn").alias("idx"), F.col("text").alias("note"))
+    return generate.note_groups(rows, size=3).select("path", "group", F.length("note").alias("n_chars"), F.md5("note").alias("note_md5"))
+
+
 def map_reduce_status(spark, sf_dir):
     docs = _docs(spark, sf_dir).select("path", segments.chunks(F.col("text"), 2000).alias("chunks"), F.array(F.lit("the")).alias("glossary"))
     return generate.map_reduce(docs, generate.EchoClient()).groupBy("status", "stage").agg(F.count("*").alias("n"))
@@ -465,6 +471,7 @@ SQL |= {
     "run_status": "WITH s AS (SELECT CASE WHEN event_id % 11 = 0 THEN 'failed' WHEN event_id % 7 = 0 THEN 'partial' WHEN event_id % 3 = 0 THEN 'skipped' ELSE 'done' END AS s FROM events) SELECT count(*) AS total, count(*) FILTER (s = 'done') AS done, count(*) FILTER (s = 'partial') AS partial, count(*) FILTER (s = 'skipped') AS skipped, count(*) FILTER (s = 'failed') AS failed, CASE WHEN count(*) FILTER (s = 'failed') > 0 THEN 2 ELSE 0 END AS exit_code FROM s",
     "output_pending": "SELECT concat(source, '/', doc_id, '.script.txt') AS path FROM documents WHERE concat(source, '/', doc_id) NOT IN (SELECT concat('src', doc_id % 20, '/', doc_id) FROM labels)",
     "conversation_notes": "SELECT conv_id AS path, turn // 3 AS \"group\", string_agg(substring(text, 1, 20), E'\\n\\n====\\n\\n' ORDER BY turn, substring(text, 1, 20)) AS note FROM conversations GROUP BY ALL",
+    "conversation_notes_whole": "SELECT path, \"group\", length(note) AS n_chars, md5(note) AS note_md5 FROM (SELECT conv_id AS path, turn // 3 AS \"group\", string_agg(text, E'\\n\\n====\\n\\n' ORDER BY turn, text) AS note FROM conversations GROUP BY ALL)",
     "map_reduce_status": "SELECT 'done' AS status, 'final' AS stage, count(*) AS n FROM documents",
 }
 
@@ -475,7 +482,7 @@ _ALL = (
     *(token_counts, token_topk, stem_counts, fuzzy_suggest, one_char_suggest, affix_terms, affix_related, glossary_hits, domain_counts, keywords),
     *(sentence_scores, theme_sentences, concept_ring, biased_scores, study_sections),
     *(dict_union, dict_diff, dict_growth, override_upsert, particle_expand, rule_order, term_normalise, finalised_paths),
-    *(section_check, response_extract, run_status, output_pending, conversation_notes, map_reduce_status),
+    *(section_check, response_extract, run_status, output_pending, conversation_notes, conversation_notes_whole, map_reduce_status),
 )
 
 
