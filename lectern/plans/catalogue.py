@@ -106,6 +106,15 @@ def report_lines(spark, sf_dir):
     return search.report_markdown(hits.withColumn("path", F.col("path").cast("string")), 7).where("line <> ''").groupBy("line").agg(F.count("*").alias("n"))
 
 
+def report_lines_whole(spark, sf_dir):
+    """As report_lines, over the hits of all patterns, with the times and the number of the files."""
+    docs = _docs(spark, sf_dir)
+    times = segments.timed_entries(segments.numbered_lines(docs)).drop("text")
+    scanned = search.totals(_hits(spark, sf_dir), docs).first()["files_scanned"]
+    hits = search.with_times(_hits(spark, sf_dir), times)
+    return search.report_markdown(hits.withColumn("path", F.col("path").cast("string")), scanned).where("line <> ''").groupBy("line").agg(F.count("*").alias("n"))
+
+
 def glob_overrides(spark, sf_dir):
     globs = _values(spark, ((g, fx.glob_pattern(g)) for g in GLOBS), "glob string, glob_re string")
     return _table(spark, sf_dir, "pages").join(F.broadcast(globs), F.expr("rlike(url, glob_re)")).select("page_id", "glob")
@@ -123,6 +132,14 @@ WITH h AS (SELECT * FROM {_HITS} WHERE pattern = 'idiot'),
 l AS (SELECT unnest(['# Suspicious Transcript Candidates', '- files_scanned: 7', concat('- unique_groups: ', count(DISTINCT pattern)), concat('- total_hits: ', count(*))]) AS line FROM h
   UNION ALL SELECT unnest([concat('## ', pattern), '- kind: literal', concat('- hits: ', count(*)), concat('- files: ', count(DISTINCT path))]) FROM h GROUP BY pattern
   UNION ALL SELECT concat('- ', path, ':', line_no, ' [--:--] ', text) FROM h)
+SELECT line, count(*) AS n FROM l GROUP BY line""",
+    "report_lines_whole": f"""
+WITH r AS (SELECT path, line_no, CASE WHEN regexp_matches(text, '^([0-9]{{1,2}}:)?[0-9]{{1,2}}:[0-9]{{2}}( *화자 *[0-9]+)?$') THEN regexp_extract(text, '^(([0-9]{{1,2}}:)?[0-9]{{1,2}}:[0-9]{{2}})', 1) END AS label FROM {_LINES}),
+t AS (SELECT path, line_no, CASE WHEN label IS NULL THEN last_value(label IGNORE NULLS) OVER (PARTITION BY path ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS time FROM r),
+h AS (SELECT path, line_no, pattern, text, coalesce(time, '--:--') AS time FROM {_HITS} JOIN t USING (path, line_no)),
+l AS (SELECT unnest(['# Suspicious Transcript Candidates', concat('- files_scanned: ', (SELECT count(DISTINCT doc_id) FROM documents)), concat('- unique_groups: ', count(DISTINCT pattern)), concat('- total_hits: ', count(*))]) AS line FROM h
+  UNION ALL SELECT unnest([concat('## ', pattern), '- kind: literal', concat('- hits: ', count(*)), concat('- files: ', count(DISTINCT path))]) FROM h GROUP BY pattern
+  UNION ALL SELECT concat('- ', path, ':', line_no, ' [', time, '] ', text) FROM h)
 SELECT line, count(*) AS n FROM l GROUP BY line""",
     "glob_overrides": f"SELECT page_id, g AS \"glob\" FROM pages, (SELECT unnest({_list(GLOBS)}) AS g) WHERE regexp_matches(url, CASE g WHEN 'http://*' THEN '^http://' WHEN '*.example.com/en/*' THEN '\\.example\\.com/en/' WHEN '*/[0-4]*' THEN '/[0-4]' WHEN '*page=?&*' THEN 'page=.&' ELSE '[^x]$' END)",
 }
@@ -397,7 +414,7 @@ def particle_expand(spark, sf_dir):
 
 
 def rule_order(spark, sf_dir):
-    return dictionary.assemble_rules(_pairs(spark, PAIRS), _pairs(spark, [(0, "아주긴틀린말", "맞는말"), (1, "정제", "정재")])).where("ord < 3").select("ord", F.length("wrong").alias("size"))
+    return dictionary.assemble_rules(_pairs(spark, PAIRS), _pairs(spark, [(0, "아주긴틀린말", "맞는말"), (1, "정제", "정재")]))
 
 
 def term_normalise(spark, sf_dir):
@@ -476,7 +493,7 @@ SQL |= {
 }
 
 _ALL = (
-    *(residual_hits, residual_groups, residual_totals, regex_hits, report_lines, glob_overrides),
+    *(residual_hits, residual_groups, residual_totals, regex_hits, report_lines, report_lines_whole, glob_overrides),
     *(literal_fold, literal_counts, line_fold_usage, change_metrics, context_gate, rewrite_stages, word_boundary, digits_to_sino, compound_regex),
     *(script_lines, timestamp_ffill, aligned_lines, srt_text_lines, srt_blocks, sentences, chunk_pack),
     *(token_counts, token_topk, stem_counts, fuzzy_suggest, one_char_suggest, affix_terms, affix_related, glossary_hits, domain_counts, keywords),

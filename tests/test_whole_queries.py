@@ -11,3 +11,22 @@ def test_notes_are_whole(spark, tmp_path):
     got = {r["group"]: (r["n_chars"], r["note_md5"]) for r in catalogue.queries()["conversation_notes_whole"](spark, str(tmp_path)).collect()}
     notes = ["\n\n====\n\n".join(x for _, _, x in turns[a : a + 3]) for a in (0, 3)]
     assert got == {k: (len(n), hashlib.md5(n.encode()).hexdigest()) for k, n in enumerate(notes)}
+
+
+def test_reports_have_all_patterns_times_and_files(spark, tmp_path):
+    docs = [(1, "the idiot\n0:07\nthe password and\n0:09 화자 2\ntoken = x"), (2, "nothing here"), (3, "Licensed under it")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["line"]: r["n"] for r in catalogue.queries()["report_lines_whole"](spark, str(tmp_path)).collect()}
+    hits = {"- 1:1 [--:--] the idiot": 2, "- 1:3 [0:07] the password and": 3, "- 1:5 [0:09] token = x": 1, "- 3:1 [--:--] Licensed under it": 1}
+    assert {k: n for k, n in got.items() if "[" in k} == hits
+    assert {"- files_scanned: 3", "- unique_groups: 6", "- total_hits: 7", "## the", "## and", "## password", "## idiot", "## token = ", "## Licensed under"} <= set(got)
+
+
+def test_rule_order_has_all_rules(spark, tmp_path):
+    rows = sorted(catalogue.queries()["rule_order"](spark, str(tmp_path)).collect(), key=lambda r: r["ord"])
+    assert [r["ord"] for r in rows] == list(range(len(rows)))
+    sizes = [len(r["wrong"]) for r in rows]
+    assert sizes == sorted(sizes, reverse=True)
+    wrongs = [r["wrong"] for r in rows]
+    assert {"정제", "갑묵", "사과", "오행이", "물", "abc", "오행은", "아주긴틀린말"} <= set(wrongs) and len(set(wrongs)) == len(wrongs) > 8
+    assert {(r["base_wrong"], r["base_right"]) for r in rows} >= {(w, r) for _, w, r in catalogue.PAIRS}
