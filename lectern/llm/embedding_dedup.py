@@ -14,9 +14,11 @@ MOST_ROTATIONS, substrings get shorter instead, so buckets grow and no recall is
 The index holds every vector; the sample (SAMPLE vectors, by hash) only shapes the rotations and
 sets their number.
 
-Defined results: null, zero, empty and non-finite vectors, vectors with null components and
-vectors of another length than most link with nothing and are kept; a row without an id links
-with nothing, has no component and is not kept; repeated rows are vectors of their own; an
+Vectors of each length are searched by themselves, with rotations and tables of their own.
+
+Defined results: null, zero, empty and non-finite vectors and vectors with null components
+link with nothing and are kept, and vectors of different lengths do not link; a row without an id
+links with nothing, has no component and is not kept; repeated rows are vectors of their own; an
 empty table gives an empty result.  Labels and other columns play no part.
 """
 
@@ -236,22 +238,15 @@ def _rerank(width, bits, least):
     return tidy(rows)
 
 
-def deduplicate(table: DataFrame, least: float = 0.9, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """Per row: vec_id, n_links, component_id, kept."""
-    spark = table.sparkSession
-    rows = table.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).alias("v"))
-    vecs = cut(rows.mapInArrow(_prepare, "vec_id long, sig binary, vec binary, dims int"), "itq-vectors")
-    usual = vecs.where("dims > 0").groupBy("dims").count().orderBy(F.desc("count"), "dims").first()
-    dims = usual["dims"] if usual else 1
-    classes = vecs.where(F.col("dims") == dims).groupBy("sig").agg(F.min("vec_id").alias("class_id"), F.count("*").alias("copies"), F.first("vec").alias("vec"))
-    classes = cut(classes, "itq-classes")
-    n = classes.count()
-    part = F.pmod(F.xxhash64("sig"), F.lit(1_000_000)) < int(1e6 * min(1.0, SAMPLE / max(n, 1))) + 1
+def _links(classes: DataFrame, n: int, dims: int, least: float) -> DataFrame:
+    """(u, links, v): links of the n classes of one length, and edges that span its components."""
+    spark = classes.sparkSession
+    part = F.pmod(F.xxhash64("sig"), F.lit(1_000_000)) < int(1e6 * min(1.0, SAMPLE / n)) + 1
     sample = [bytes(r["vec"]) for r in classes.where(part).select("vec").limit(2 * SAMPLE).collect()] or [np.ones(dims).tobytes()]
     *rotations, width = plan(_unit(sample), n, least)
     model = spark.sparkContext.broadcast(rotations)
     bits = min(dims, CODE_BITS)
-    coded = cut(classes.mapInArrow(_code(model), "sig binary, class_id long, copies long, vec binary, codes binary"), "itq-codes")
+    coded = cut(classes.select("sig", "class_id", "copies", "vec").mapInArrow(_code(model), "sig binary, class_id long, copies long, vec binary, codes binary"), "itq-codes")
     index = coded.select("class_id", "codes").mapInArrow(_index(width, bits), "key long, class_id long, codes binary")
     sizes = cut(index.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"), "itq-buckets")
     dealt = hot_lookup(index, sizes, ["key"], "members", "inner").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
@@ -260,11 +255,25 @@ def deduplicate(table: DataFrame, least: float = 0.9, id_col: str = "vec_id", ve
     by = ("key", "low", "high")
     near = tiles.repartition(*by).sortWithinPartitions(*by).mapInArrow(_candidates(width, bits), "key long, low int, high int, class_id long, block int")
     full = cut(near, "itq-near").join(coded.select("class_id", "codes", "vec", "copies"), "class_id")
-    found = cut(full.repartition(*by).sortWithinPartitions(*by).mapInArrow(_rerank(width, bits, least), "u long, links long, v long"), "itq-links")
-    groups = components(found.select("u", "v"))
-    links = found.groupBy(F.col("u").alias("class_id")).agg(F.sum("links").alias("links"))
-    named = classes.select("sig", "class_id", "copies").join(links, "class_id", "left").join(groups.withColumnRenamed("node", "class_id"), "class_id", "left")
-    named = cut(named.select("sig", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "class_id").alias("component_id")), "itq-named")
+    return cut(full.repartition(*by).sortWithinPartitions(*by).mapInArrow(_rerank(width, bits, least), "u long, links long, v long"), "itq-links")
+
+
+def deduplicate(table: DataFrame, least: float = 0.9, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+    """Per row: vec_id, n_links, component_id, kept."""
+    rows = table.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).alias("v"))
+    vecs = cut(rows.mapInArrow(_prepare, "vec_id long, sig binary, vec binary, dims int"), "itq-vectors")
+    classes = vecs.where("dims > 0").groupBy("dims", "sig").agg(F.min("vec_id").alias("class_id"), F.count("*").alias("copies"), F.first("vec").alias("vec"))
+    classes = cut(classes, "itq-classes")
+    sizes = {r["dims"]: r["count"] for r in classes.groupBy("dims").count().where("count > 1").collect()}
+    alone = classes.where(~F.col("dims").isin(list(sizes)))
+    named = alone.select("sig", "copies", (F.col("copies") - 1).alias("n_links"), F.col("class_id").alias("component_id"))
+    for dims, n in sorted(sizes.items()):
+        own = classes.where(F.col("dims") == dims)
+        found = _links(own, n, dims, least)
+        groups = components(found.select("u", "v"))
+        links = found.groupBy(F.col("u").alias("class_id")).agg(F.sum("links").alias("links"))
+        both = own.select("sig", "class_id", "copies").join(links, "class_id", "left").join(groups.withColumnRenamed("node", "class_id"), "class_id", "left")
+        named = named.unionByName(cut(both.select("sig", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "class_id").alias("component_id")), "itq-named"))
     out = hot_lookup(vecs.select("vec_id", "sig"), named, ["sig"], "copies")
     component = F.coalesce("component_id", "vec_id")
     return out.select(F.col("vec_id").cast(table.schema[id_col].dataType).alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))

@@ -81,3 +81,14 @@ def test_recall_at_the_threshold_with_substrings_of_large_tables(spark, monkeypa
         monkeypatch.setattr(ed, "math", SimpleNamespace(ceil=math.ceil, sqrt=math.sqrt, log2=lambda _, n=n: math.log2(n)))
         found = sum(r["n_links"] for r in ed.deduplicate(frame(spark, rows)).collect())
         assert 0.94 * want <= found <= want
+
+
+def test_vectors_of_every_length_are_linked(spark):
+    rng = np.random.default_rng(8)
+    long, short = rng.normal(size=(40, 64)), rng.normal(size=(40, 32))
+    rows = [(i, v.tolist()) for i, v in enumerate([*long, *(long + 0.1 * rng.normal(size=long.shape))])]
+    rows += [(1000 + i, v.tolist()) for i, v in enumerate([*short, *(short + 0.1 * rng.normal(size=short.shape)), short[0]])]
+    rows += [(2000, [1.0, 2.0, 3.0]), (2001, [2.0, 4.0, 6.0]), (2002, [5.0])]
+    want = {i: x for a, b in ((0, 1000), (1000, 2000), (2000, 2002), (2002, 3000)) for i, x in brute([r for r in rows if a <= r[0] < b]).items()}
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in ed.deduplicate(frame(spark, rows)).collect()}
+    assert got == want and got[1080][0] >= 2 and got[2001] == (1, 2000)
