@@ -19,18 +19,27 @@ SHINGLE_WORDS, SIMILAR = 5, 80
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject, decided row by row; an id may be null or repeated."""
     ship(spark)
-    scored = quality.score(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return docs.join(scored.where("not rejected").select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
+    tag = F.xxhash64("lang", "text")  # the verdict depends on these two
+    scored = quality.score(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), tag=tag)
+    passed = scored.where("not rejected").select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag")).distinct()
+    return docs.join(passed, F.col("doc_id").eqNullSafe(F.col("__id")) & (tag == F.col("__tag")), "left_semi").select(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates, the document with the smallest id; one row of repeated rows."""
+    """Of each group of near-duplicates, the document with the smallest id; one row of repeated rows.
+
+    Rows without an id are grouped too, under ids from 1 << 62 up made of their texts, so a
+    document with an id is kept rather than they.  Rows with one id count as one document,
+    all of which stay or go.
+    """
     ship(spark)
-    groups = jaccard_join.group(docs, size=SHINGLE_WORDS, per=SIMILAR)
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    made = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
+    named = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), made))
+    groups = jaccard_join.group(named, size=SHINGLE_WORDS, per=SIMILAR, id_col="__id")
+    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
+    return named.join(kept, "__id", "left_semi").select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -154,7 +154,7 @@ def _scorer(model, size):
             counts = np.diff(ends).tolist()
             sums = [float(logs[a:b].sum()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
             scores = [-s / n if n else None for s, n in zip(sums, counts, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("lang"), pa.array(counts, pa.int64()), pa.array(scores, pa.float64())], ["id", "lang", "chars", "log_ppl"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("tag"), batch.column("lang"), pa.array(counts, pa.int64()), pa.array(scores, pa.float64())], ["id", "tag", "lang", "chars", "log_ppl"])
 
     return tidy(rows)
 
@@ -179,12 +179,12 @@ def _doc_grams(batches):
             if not len(g):
                 g, c = np.array([-1]), np.array([0])
             keep = pa.array([i] * len(g))
-            yield pa.RecordBatch.from_arrays([batch.column("row").take(keep), batch.column("id").take(keep), batch.column("lang").take(keep), pa.array(g), pa.array(c)], ["row", "id", "lang", "g", "c"])
+            yield pa.RecordBatch.from_arrays([batch.column("row").take(keep), batch.column("id").take(keep), batch.column("tag").take(keep), batch.column("lang").take(keep), pa.array(g), pa.array(c)], ["row", "id", "tag", "lang", "g", "c"])
 
 
 def _by_joins(rows: DataFrame, model: DataFrame, size: int, id_type: str) -> DataFrame:
     numbered = cut(rows.withColumn("row", F.monotonically_increasing_id()), "quality-rows")
-    found = cut(numbered.mapInArrow(_doc_grams, f"row long, id {id_type}, lang string, g long, c long"), "quality-grams")
+    found = cut(numbered.mapInArrow(_doc_grams, f"row long, id {id_type}, tag long, lang string, g long, c long"), "quality-grams")
     known = found.select("g").distinct().withColumn("p", F.lit(None).cast("double")).withColumn("weight", F.lit(1.0))
     for k in range(ORDER, 0, -1):
         table = lambda kind, name, k=k: model.where((F.col("level") == k) & (F.col("kind") == kind)).select(F.col("key").alias(f"key_{kind}"), F.col("value").alias(name))
@@ -192,19 +192,19 @@ def _by_joins(rows: DataFrame, model: DataFrame, size: int, id_type: str) -> Dat
         known = known.join(table("p", "seen"), "key_p", "left").join(table("w", "more"), "key_w", "left")
         known = known.select("g", F.coalesce("p", F.col("weight") * F.col("seen")).alias("p"), (F.col("weight") * F.coalesce("more", F.lit(1.0))).alias("weight"))
     known = known.select("g", F.log(F.coalesce("p", F.col("weight") / size)).alias("log"))
-    sums = found.join(known, "g").groupBy("row", "id", "lang").agg(F.sum("c").alias("chars"), (-F.sum(F.col("log") * F.col("c")) / F.nullif(F.sum("c"), F.lit(0))).alias("log_ppl"))
+    sums = found.join(known, "g").groupBy("row", "id", "tag", "lang").agg(F.sum("c").alias("chars"), (-F.sum(F.col("log") * F.col("c")) / F.nullif(F.sum("c"), F.lit(0))).alias("log_ppl"))
     return sums.drop("row")
 
 
-def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", model_rows: int = MODEL_ROWS) -> DataFrame:
-    """Per row: doc_id, lang, log_ppl, perplexity, limit (of log_ppl), rejected."""
+def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", model_rows: int = MODEL_ROWS, tag: Column | None = None) -> DataFrame:
+    """Per row: doc_id, lang, log_ppl, perplexity, limit (of log_ppl), rejected; and tag, a long of the caller's, if given."""
     kind = docs.schema[id_col].dataType.simpleString()
     good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("id")).distinct()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), (F.lit(None) if tag is None else tag).cast("long").alias("tag"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     counted = good.where(~is_held_out(F.col("id")))
     trusted = rows.select("id", "text").join(counted.hint("merge"), "id", "left_semi").select("text")  # one way at every size
     model, size = train(trusted)
-    schema = f"id {kind}, lang string, chars long, log_ppl double"
+    schema = f"id {kind}, tag long, lang string, chars long, log_ppl double"
     scored = _by_broadcast(rows, model, size, schema) if model.count() <= model_rows else _by_joins(rows, model, size, kind)
     scored = cut(scored, "quality-scores")
     marks = F.expr(f"percentile_approx(log_ppl, array(0.5, {HIGH}), 10000)")
@@ -215,4 +215,4 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     every = base.agg(marks.alias("q")).first()["q"]
     general = F.lit(float(limit(every)) if every else float("inf"))
     out = scored.withColumn("of", F.coalesce("lang", F.lit(""))).join(limits, "of", "left").withColumn("limit", F.coalesce("own", general) + SHORT_SLACK / F.sqrt(F.greatest("chars", F.lit(1))))
-    return out.select(F.col("id").alias("doc_id"), "lang", "log_ppl", F.exp("log_ppl").alias("perplexity"), "limit", F.coalesce(F.col("log_ppl") > F.col("limit"), F.lit(True)).alias("rejected"))
+    return out.select(F.col("id").alias("doc_id"), *([] if tag is None else ["tag"]), "lang", "log_ppl", F.exp("log_ppl").alias("perplexity"), "limit", F.coalesce(F.col("log_ppl") > F.col("limit"), F.lit(True)).alias("rejected"))
