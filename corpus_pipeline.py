@@ -28,7 +28,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates, the document with the smallest id; one row of repeated rows.
+    """Of each group of near-duplicates, the document with the smallest id.
 
     Rows without an id are grouped too, under ids from 1 << 62 up made of their texts, so a
     document with an id is kept rather than they.  Rows with one id count as one document,
