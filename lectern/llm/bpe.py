@@ -2,10 +2,11 @@
 
 A rolling hash cuts texts where their content says so, so passages that documents share become
 equal chunks.  A chunk that occurs in two documents or more is encoded once, in a table keyed by
-its digest; the rest is encoded where it is read.  A chunk's first and last words may be cut,
-so each is kept as text with the chunk: where chunks join, that word is put together and encoded
-anew, through further chunks if they have no white space, until white space on both sides
-fixes the pieces.  The result then agrees exactly with encoding the whole text.
+its digest; what lies between such chunks is encoded where it is read.  Then the joins are
+repaired: the last segments before a join and the first after it (a segment ends where white
+space begins) are encoded together, and more of them, until the result agrees on both sides with
+the ids that the chunks have there.  Where the chunks' ends do not settle it, the whole text is
+encoded anew.  This takes any tokenizer file; see tokens.Encoder.
 
 Which chunks are shared is told to the tasks by a Bloom filter of fixed size.  A false positive
 only moves one more chunk to the table, so the result is exact at every size.
@@ -26,12 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.common import bloom_filter, bloom_keys, cut, hot_lookup, in_bloom, mix64, slices, texts_of, tidy
-from lectern.llm.tokens import SPACES, encoder, split_words
+from lectern.llm.tokens import Part, encoder, join_parts
 
 #: A chunk has about 1 << CHUNK_BITS bytes, and at least CHUNK_LEAST.
 CHUNK_BITS, CHUNK_LEAST, WINDOW = 10, 64, 32
 _GEAR = (mix64(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
-_SPACE_SET = frozenset(SPACES)
 
 
 def boundaries(text: bytes) -> list[int]:
@@ -75,34 +75,17 @@ def shared_filter(texts: DataFrame):
     return bloom_filter(texts.mapInArrow(_digests, "h binary").groupBy("h").count().where("count > 1").select("h"))
 
 
-def encode_part(enc, text: str) -> tuple[str, bytes, str, bool]:
-    """(first word, ids of the whole words between, last word, whether there is no white space)."""
-    words = split_words(text)
-    if len(words) == 1 and text[0] not in _SPACE_SET and text[-1] not in _SPACE_SET:
-        return text, b"", "", True
-    head = words.pop(0) if words and text[0] not in _SPACE_SET else ""
-    tail = words.pop() if words and text[-1] not in _SPACE_SET else ""
-    return head, enc.ids(words), tail, False
-
-
-def join_parts(enc, parts) -> bytes:
-    """Ids of a text from its parts, with the words at each join encoded anew."""
-    out, open_word = [], ""
-    for head, ids, tail, solid in parts:
-        open_word += head
-        if not solid:
-            if open_word:
-                out.append(enc.ids([open_word]))
-            out.append(ids)
-            open_word = tail
-    if open_word:
-        out.append(enc.ids([open_word]))
-    return b"".join(out)
-
-
-_PART = "row long, idx int, ids binary, head string, tail string, solid boolean"
-_FIELDS = pa.schema([("kind", pa.int32()), ("row", pa.int64()), ("id", pa.string()), ("idx", pa.int32()), ("n", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("ids", pa.binary()), ("head", pa.string()), ("tail", pa.string()), ("solid", pa.bool_()), ("h", pa.binary()), ("text", pa.string())])
+_FIELDS = pa.schema([("kind", pa.int32()), ("row", pa.int64()), ("id", pa.string()), ("idx", pa.int32()), ("n", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("h", pa.binary()), ("text", pa.string()), ("ids", pa.binary()), ("head_n", pa.list_(pa.int32())), ("tail_n", pa.list_(pa.int32()))])
+_SQL = "kind int, row long, id string, idx int, n long, ids_sha256 string, decoded_sha256 string, h binary, text string, ids binary, head_n array<int>, tail_n array<int>"
+_PART = "text string, ids binary, head_n array<int>, tail_n array<int>"
 DONE, PART, REF = 0, 1, 2
+#: Bytes of text that are encoded at once: a word is looked up once in each.
+AT_ONCE = 4 << 20
+
+
+def _batch(rows: list[tuple], fields: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [[] for _ in fields]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)], schema=fields)
 
 
 def _first_pass(blob, bits):
@@ -111,63 +94,68 @@ def _first_pass(blob, bits):
     def rows(batches):
         enc, told = encoder(blob.value), set()
         row = TaskContext.get().partitionId() << 40
-        for batch in slices(batches, 1):
-            out = []
-            for key, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
+        for batch in slices(batches, 1, AT_ONCE):
+            names, texts = batch.column(0).to_pylist(), texts_of(batch.column(1))
+            cuts = [chunks(t) for t in texts]
+            keys = [[_digest(c) for c in some] for some in cuts]
+            shared = iter(in_bloom(bits.value, bloom_keys(pa.array([h for some in keys for h in some], pa.binary()))).tolist())
+            whole, runs, out = [], [], []
+            for name, text, some, hashes in zip(names, texts, cuts, keys, strict=True):
                 row += 1
-                cuts = chunks(text)
-                keys = [_digest(c) for c in cuts]
-                shared = in_bloom(bits.value, bloom_keys(pa.array(keys, pa.binary()))).tolist()
-                if not any(shared):
-                    n, a, b = enc.digests(split_words(text.decode()))
-                    out.append((DONE, row, key, 0, n, a, b, None, None, None, None, None, None))
+                marks = [next(shared) for _ in some]
+                if not any(marks):
+                    whole.append((row, name, text))
                     continue
                 run: list[bytes] = []
-                for idx, (chunk, h, is_shared) in enumerate([*zip(cuts, keys, shared, strict=True), (b"", b"", True)]):
-                    if run and is_shared:
-                        head, ids, tail, solid = encode_part(enc, b"".join(run).decode())
-                        out.append((PART, row, key, idx - 1, 0, None, None, ids, head, tail, solid, None, None))
-                        run = []
+                for idx, (chunk, h, is_shared) in enumerate([*zip(some, hashes, marks, strict=True), (b"", b"", True)]):
                     if not is_shared:
                         run.append(chunk)
-                    elif h:
-                        out.append((REF, row, key, idx, 0, None, None, None, None, None, None, h, None if h in told else chunk.decode()))
+                        continue
+                    if run:
+                        runs.append((row, name, idx - 1, b"".join(run)))
+                        run = []
+                    if h:
+                        out.append((REF, row, name, idx, None, None, None, h, None if h in told else chunk.decode(), None, None, None))
                         told.add(h)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _FIELDS, strict=True)] if out else [pa.array([], f.type) for f in _FIELDS], schema=_FIELDS)
+            for (r, name, _), ids in zip(whole, enc.encode([w[2] for w in whole]), strict=True):
+                out.append((DONE, r, name, 0, *enc.digests(ids), None, None, None, None, None))
+            for (r, name, idx, _), p in zip(runs, enc.parts([x[3] for x in runs]), strict=True):
+                out.append((PART, r, name, idx, None, None, None, None, *p))
+            yield _batch(out, _FIELDS)
 
     return tidy(rows)
 
 
 def _encode_chunks(blob):
+    fields = pa.schema([("h", pa.binary()), ("n_refs", pa.int64()), *list(_FIELDS)[-4:]])
+
     def rows(batches):
         enc = encoder(blob.value)
-        for batch in slices(batches, "text"):
-            parts = [encode_part(enc, t) for t in batch.column("text").to_pylist()]
-            head, ids, tail, solid = zip(*parts, strict=True) if parts else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("n_refs"), pa.array(ids, pa.binary()), pa.array(head, pa.string()), pa.array(tail, pa.string()), pa.array(solid, pa.bool_())], ["h", "n_refs", "ids", "head", "tail", "solid"])
+        for batch in slices(batches, "text", AT_ONCE):
+            parts = enc.parts(texts_of(batch.column("text")))
+            yield _batch([(h, n, *p) for h, n, p in zip(batch.column("h").to_pylist(), batch.column("n_refs").to_pylist(), parts, strict=True)], fields)
 
     return tidy(rows)
 
 
 def _stitch(blob):
     """Rows sorted by row and index; a document's rows may span batches."""
+    fields = pa.schema([("id", pa.string()), ("n", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
     def rows(batches):
         enc = encoder(blob.value)
-        names = ["id", "n", "ids_sha256", "decoded_sha256"]
-        at, key, parts = None, None, []
-        done = lambda: (key, *enc.digests_of_ids(join_parts(enc, parts)))
-        for batch in batches:
+        at, name, parts = None, None, []
+        for batch in slices(batches, "text"):
             out = []
-            for r in zip(*(batch.column(c).to_pylist() for c in ("row", "id", "head", "ids", "tail", "solid")), strict=True):
-                if r[0] != at:
+            for row, own, *part in zip(*(batch.column(c).to_pylist() for c in ("row", "id", "text", "ids", "head_n", "tail_n")), strict=True):
+                if row != at:
                     if at is not None:
-                        out.append(done())
-                    at, key, parts = r[0], r[1], []
-                parts.append(r[2:])
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.string(), pa.int64(), pa.string(), pa.string()))], names)
+                        out.append((name, *enc.digests(join_parts(enc, parts))))
+                    at, name, parts = row, own, []
+                parts.append(Part(*part))
+            yield _batch(out, fields)
         if at is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(done(), (pa.string(), pa.int64(), pa.string(), pa.string()), strict=True)], names)
+            yield _batch([(name, *enc.digests(join_parts(enc, parts)))], fields)
 
     return tidy(rows)
 
@@ -178,12 +166,11 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     blob = sc.broadcast(Path(tokenizer).read_text())
     texts = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
     bits = sc.broadcast(shared_filter(texts.select("text")))
-    schema = "kind int, row long, id string, idx int, n long, ids_sha256 string, decoded_sha256 string, ids binary, head string, tail string, solid boolean, h binary, text string"
-    first = cut(texts.mapInArrow(_first_pass(blob, bits), schema), "bpe-parts")
+    first = cut(texts.mapInArrow(_first_pass(blob, bits), _SQL), "bpe-parts")
     refs = first.where(F.col("kind") == REF)
     table = refs.groupBy("h").agg(F.min("text").alias("text"), F.count("*").alias("n_refs"))
-    table = cut(table.mapInArrow(_encode_chunks(blob), "h binary, n_refs long, ids binary, head string, tail string, solid boolean"), "bpe-chunks")
-    columns = ["row", "id", "idx", "ids", "head", "tail", "solid"]
+    table = cut(table.select("h", "n_refs", "text").mapInArrow(_encode_chunks(blob), f"h binary, n_refs long, {_PART}"), "bpe-chunks")
+    columns = ["row", "id", "idx", "text", "ids", "head_n", "tail_n"]
     found = hot_lookup(refs.select("row", "id", "idx", "h"), table, ["h"], "n_refs", "inner").select(columns)
     parts = first.where(F.col("kind") == PART).select(columns).unionByName(found)
     stitched = parts.repartition("row").sortWithinPartitions("row", "idx").mapInArrow(_stitch(blob), "id string, n long, ids_sha256 string, decoded_sha256 string")

@@ -9,12 +9,18 @@ from pyspark.sql import functions as F
 
 from lectern.llm import bpe, chat, decontaminate, embedding_dedup, jaccard_join, quality, secrets, toxicity, training_order, warc
 
-#: Folder of the public tokenizers' files.
-TOKENIZERS = "/opt/tokenizers"
+#: Name of the tokenizer's file in the package public_tokenizers.
+TOKENIZER = "word_bpe_49k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -28,7 +34,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids, width = training_order.token_ids(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+    ids, width = training_order.token_ids(_table(spark, sf_dir, "documents"), tokenizer_path())
     return training_order.round_trip(ids, width=width, text_col="ids")
 
 
@@ -53,7 +59,7 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+    return bpe.encode(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

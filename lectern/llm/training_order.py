@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm.common import cut, mix64, scratch_path, slices, texts_of, tidy
-from lectern.llm.tokens import encoder, split_words
+from lectern.llm.tokens import encoder
 
 #: Ids of a sequence, the id of one byte that ends a text and pads, and the byte after each record.
 LENGTH, END, SEPARATOR = 2048, 255, "\n"
@@ -75,8 +75,8 @@ def _ends(ids: bytes, width: int) -> int:
 def _encode(blob, width):
     def rows(batches):
         enc = encoder(blob.value)
-        for batch in slices(batches, 0):
-            ids = [enc.ids(split_words(t.decode())) for t in texts_of(batch.column(0))]
+        for batch in slices(batches, 0, 4 << 20):
+            ids = enc.encode(texts_of(batch.column(0)))
             if width == 4 and enc.typecode == "H":
                 ids = [np.frombuffer(x, "<u2").astype("<u4").tobytes() for x in ids]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["ids"])
@@ -87,7 +87,7 @@ def _encode(blob, width):
 def token_ids(docs: DataFrame, tokenizer: str, text_col: str = "text") -> tuple[DataFrame, int]:
     """(table of each text's ids, bytes of an id), encoded with a tokenizer file."""
     text = Path(tokenizer).read_text()
-    width = 2 if len(encoder(text).decimal) < 1 << 16 else 4
+    width = 2 if encoder(text).size < 1 << 16 else 4
     blob = docs.sparkSession.sparkContext.broadcast(text)
     return cut(docs.select(F.col(text_col).alias("text")).mapInArrow(_encode(blob, width), "ids binary"), "training-ids"), width
 

@@ -2,15 +2,14 @@ import random
 
 import pytest
 
-from lectern.llm.queries import TOKENIZERS
+from lectern.llm.queries import tokenizer_path
 from tests_llm_cases import words
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
 
 def test_stages_take_effect_on_a_small_corpus(spark, tmp_path):
-    if not __import__("os").path.isdir(TOKENIZERS):
-        pytest.skip("no tokenizer files")
+    pytest.importorskip("public_tokenizers")
     rng = random.Random(1)
     good = {i: (words(rng.randint(40, 120), 1000 + i) + ". ").capitalize() for i in range(300)}
     leak = words(15, 777)

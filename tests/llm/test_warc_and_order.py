@@ -1,6 +1,6 @@
 import gzip
 import hashlib
-import os
+from importlib.util import find_spec
 
 import numpy as np
 import pytest
@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 from lectern.llm import queries
 from lectern.llm import training_order as to
 from lectern.llm import warc
-from lectern.llm.queries import TOKENIZERS
+from lectern.llm.queries import tokenizer_path
 from tests_llm_cases import LONG, empty, odd, odd_rows
 
 FAKE = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Payload-Digest: x\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
@@ -81,9 +81,9 @@ def test_shards_hold_the_stream_in_slot_order(spark, tmp_path, monkeypatch):
 
 
 def test_shards_hold_the_ids_of_a_vocabulary(spark, tmp_path):
-    if not os.path.isdir(TOKENIZERS):
+    if find_spec("public_tokenizers") is None:
         pytest.skip("no tokenizer files")
-    tokenizer = Tokenizer.from_file(f"{TOKENIZERS}/word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(tokenizer_path())
     tokenizer.no_truncation()
     tokenizer.no_padding()
     encoded = [tokenizer.encode(r[1] or "", add_special_tokens=False).ids for r in odd_rows()]
