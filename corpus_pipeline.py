@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lectern.llm import bpe, decontaminate, jaccard_join, quality, secrets
 from lectern.llm.common import cut
-from lectern.llm.queries import TOKENIZERS
+from lectern.llm.queries import tokenizer_path
 from lectern.session import ship
 
 #: Near-duplicates: words of a shingle, and the similarity per hundred.
@@ -61,7 +61,7 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Number and digests of each document's token ids and decoded text."""
     ship(spark)
-    return bpe.encode(docs, f"{TOKENIZERS}/word_bpe_49k.json")
+    return bpe.encode(docs, tokenizer_path())
 
 
 STAGES = [
