@@ -21,10 +21,7 @@ SHINGLE_WORDS, SIMILAR = 5, 80
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject, decided row by row; an id may be null or repeated."""
     ship(spark)
-    tag = F.xxhash64("lang", "text")  # the verdict depends on these two
-    scored = quality.score(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), tag=tag)
-    passed = scored.where("not rejected").select(F.col("doc_id").alias("__id"), F.col("tag").alias("__tag")).distinct()
-    return docs.join(passed, F.col("doc_id").eqNullSafe(F.col("__id")) & (tag == F.col("__tag")), "left_semi").select(*docs.columns)
+    return quality.passed(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
