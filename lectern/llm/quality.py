@@ -293,6 +293,7 @@ def _scored(docs: DataFrame, labels: DataFrame, keep: list[str], id_col: str, te
     rows = docs.select(*keep, F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang"), F.col(text_col).alias("__text"), _hash(id_col).alias("__h"))
     blocks = cut(rows.mapInArrow(_blocks(bits), _BLOCK_SQL), "quality-blocks")
     wrong = blocks.where(F.col("kind") == MAYBE).select(F.col("h").alias("__h")).distinct().join(counted.select(_hash("__id").alias("__h")), "__h", "left_anti")
+    wrong = cut(wrong, "quality-wrong")  # of known size now, so the few are broadcast, and texts move only where they are many
     texts = docs.select(F.col(text_col).alias("__text"), _hash(id_col).alias("__h")).where("__h is not null").join(wrong, "__h", "left_semi").select("__text")
     tasks = blocks.where(F.col("kind") == DATA).count() // BLOCKS_A_TASK + 1
     part = F.pmod(F.xxhash64("block"), F.lit(tasks)).cast("int")
@@ -307,8 +308,8 @@ def _scored(docs: DataFrame, labels: DataFrame, keep: list[str], id_col: str, te
     data = blocks.where(F.col("kind") == DATA).drop("h")
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), f"__id {docs.schema[id_col].dataType.simpleString()}", "__lang string, __size long, __log double"])
     out = cut(answers.unionByName(data).repartition("block").sortWithinPartitions("block", "kind").mapInArrow(_score(keep), schema), "quality-scores")
-    drop_table(model)
-    drop_table(blocks)
+    for table in (model, blocks, wrong):
+        drop_table(table)
     mark = F.expr(f"percentile_approx(__log, {HIGH}, 10000)")
     base = out.where("__log is not null").select("__id", "__lang", "__log").join(good.where(is_held_out(F.col("__id"))), "__id", "left_semi")
     limits = base.groupBy(F.col("__lang").alias("__of")).agg(mark.alias("__own"), F.count("*").alias("n")).where(F.col("n") >= OWN_LIMIT).drop("n")
