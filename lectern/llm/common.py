@@ -8,7 +8,7 @@ import ctypes
 import os
 import shutil
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -54,12 +54,28 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cut_by(df: DataFrame, name: str, key: str, buckets: int) -> tuple[DataFrame, Callable[[], None]]:
+    """Like cut(), with rows in buckets of a key, so that later groups and joins on it don't move them; and what drops the table."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    table = f"lectern_{uuid.uuid4().hex}"
+    df.write.format("parquet").bucketBy(buckets, key).option("path", path).option("compression", "zstd").saveAsTable(table)
+
+    def drop() -> None:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        _delete(spark, path)
+
+    return spark.table(table), drop
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
 def drop_table(df: DataFrame) -> None:
     """Delete the files behind a table made by cut() that nothing will read again."""
-    spark = df.sparkSession
     for file in df.inputFiles()[:1]:
-        path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(df.sparkSession, file.rsplit("/", 1)[0])
 
 
 def hot_lookup(facts: DataFrame, dim: DataFrame, keys: list[str], count: str, how: str = "left") -> DataFrame:

@@ -34,8 +34,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from lectern.llm.common import bloom_filter, cut, drop_table, in_bloom, mix64, slices, texts_of, tidy
+from lectern.llm.common import bloom_filter, cut, cut_by, drop_table, in_bloom, mix64, slices, texts_of, tidy
 
 #: Bytes of an n-gram; 0 stands before the text, and byte b is symbol b + 1.
 ORDER, BITS = 5, 9
@@ -103,7 +105,9 @@ def _tally(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
 
 _BLOCK = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("bin", pa.int32()), ("keys", pa.binary()), ("values", pa.binary()), ("data", pa.binary()), ("h", pa.int64())])
 _BLOCK_SQL = "kind int, block long, bin int, keys binary, values binary, data binary, h long"
-REQUEST, ANSWER, DATA, MAYBE = 0, 1, 2, 3
+REQUEST, DATA, MAYBE = 0, 1, 2
+#: Most buckets of the table of blocks.
+MOST_BUCKETS = 20_000
 
 
 def _rows(rows: list[tuple], fields: pa.Schema) -> pa.RecordBatch:
@@ -116,7 +120,7 @@ def _blocks(bits):
 
     def block_rows(block: int, held: list[pa.RecordBatch], asked, counted) -> Iterator[pa.RecordBatch]:
         sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as out:
             for b in held:
                 out.write_batch(b)
         yield _rows([(DATA, block, -1, None, None, sink.getvalue().to_pybytes(), None)], _BLOCK)
@@ -216,7 +220,7 @@ def probabilities(counts: DataFrame) -> DataFrame:
     return below
 
 
-_ANSWER = pa.schema(list(_BLOCK)[:6])
+_ANSWER = pa.schema([("block", pa.int64()), ("bin", pa.int32()), ("logs", pa.binary())])
 
 
 @tidy
@@ -242,12 +246,12 @@ def _answer(batches):
                 known, logs = known[order], logs[order]
                 g, p = [], []
             for block, data in zip(columns[3][a:b].to_pylist(), columns[4][a:b].to_pylist(), strict=True):
-                out.append((ANSWER, block, int(bins[a]), data, _pack(logs[np.searchsorted(known, _unpack(data))]), None))
+                out.append((block, int(bins[a]), _pack(logs[np.searchsorted(known, _unpack(data))])))
         yield _rows(out, _ANSWER)
 
 
-def _score(columns: list[str]):
-    """Rows sorted by block and kind: a block's answers, then its texts."""
+def _score(columns: list[str], fields: pa.Schema):
+    """The scored rows of a block, from its own rows and from the answers to it."""
 
     def scored(batch: pa.RecordBatch, known, logs) -> pa.RecordBatch:
         texts = texts_of(batch.column("__text"))
@@ -256,25 +260,20 @@ def _score(columns: list[str]):
         sums = np.bincount(own, logs[np.searchsorted(known, distinct)][inverse], len(texts)) if len(g) else np.zeros(len(texts))
         sizes = list(map(len, texts))
         mean = [-s / n if n else None for s, n in zip(sums.tolist(), sizes, strict=True)]
-        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), batch.column("__id"), batch.column("__lang"), pa.array(sizes, pa.int64()), pa.array(mean, pa.float64())], [*columns, "__id", "__lang", "__size", "__log"])
+        found = [*(batch.column(c) for c in columns), batch.column("__id"), batch.column("__lang"), pa.array(sizes, pa.int64()), pa.array(mean, pa.float64())]
+        return pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(found, fields, strict=True)], schema=fields)
 
-    def rows(batches):
-        at, keys, logs = None, [], []
-        for batch in batches:
-            for block, kind, k, v, data in zip(*(batch.column(c).to_pylist() for c in ("block", "kind", "keys", "values", "data")), strict=True):
-                if block != at:
-                    at, keys, logs = block, [], []
-                if kind == ANSWER:
-                    keys.append(_unpack(k))
-                    logs.append(_unpack(v, np.float64))
-                    continue
-                known, values = (np.concatenate(keys), np.concatenate(logs)) if keys else (np.zeros(0, np.int64), np.zeros(0))
-                order = np.argsort(known)
-                known, values = known[order], values[order]
-                for part in pa.ipc.open_stream(data):
-                    yield scored(part, known, values)
+    def rows(block: pa.Table, answers: pa.Table) -> pa.Table:
+        told = dict(zip(answers.column("bin").to_pylist(), answers.column("logs").to_pylist(), strict=True))
+        kinds, bins, keys, data = (block.column(c).to_pylist() for c in ("kind", "bin", "keys", "data"))
+        asked = [(_unpack(k), _unpack(told[b], np.float64)) for kind, b, k in zip(kinds, bins, keys, strict=True) if kind == REQUEST]
+        known, logs = (np.concatenate(x) for x in zip(*asked, strict=True)) if asked else (np.zeros(0, np.int64), np.zeros(0))
+        order = np.argsort(known)
+        known, logs = known[order], logs[order]
+        parts = [part for kind, d in zip(kinds, data, strict=True) if kind == DATA for part in pa.ipc.open_stream(d)]
+        return pa.Table.from_batches([scored(part, known, logs) for part in parts], fields)
 
-    return tidy(rows)
+    return rows
 
 
 def is_held_out(key: Column) -> Column:
@@ -291,7 +290,8 @@ def _scored(docs: DataFrame, labels: DataFrame, keep: list[str], id_col: str, te
     counted = good.where(~is_held_out(F.col("__id")))
     bits = docs.sparkSession.sparkContext.broadcast(bloom_filter(counted.select(_hash("__id"))))
     rows = docs.select(*keep, F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang"), F.col(text_col).alias("__text"), _hash(id_col).alias("__h"))
-    blocks = cut(rows.mapInArrow(_blocks(bits), _BLOCK_SQL), "quality-blocks")
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    blocks, drop_blocks = cut_by(rows.mapInArrow(_blocks(bits), _BLOCK_SQL), "quality-blocks", "block", min(MOST_BUCKETS, size // BLOCK_BYTES + 1))
     wrong = blocks.where(F.col("kind") == MAYBE).select(F.col("h").alias("__h")).distinct().join(counted.select(_hash("__id").alias("__h")), "__h", "left_anti")
     wrong = cut(wrong, "quality-wrong")  # of known size now, so the few are broadcast, and texts move only where they are many
     texts = docs.select(F.col(text_col).alias("__text"), _hash(id_col).alias("__h")).where("__h is not null").join(wrong, "__h", "left_semi").select("__text")
@@ -304,12 +304,13 @@ def _scored(docs: DataFrame, labels: DataFrame, keep: list[str], id_col: str, te
     drop_table(counts)
     told = model.mapInArrow(_binned, "bin int, g long, log double").select("bin", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))).alias("part"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("block"), F.lit(None).cast("binary").alias("keys"), "g", "log")
     asked = requests.select("bin", part.alias("part"), F.lit(1).alias("kind"), "block", "keys", F.lit(0).cast("long").alias("g"), F.lit(0.0).alias("log"))
-    answers = told.unionByName(asked).repartition("bin", "part").sortWithinPartitions("bin", "part", "kind").mapInArrow(_answer, "kind int, block long, bin int, keys binary, values binary, data binary")
-    data = blocks.where(F.col("kind") == DATA).drop("h")
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), f"__id {docs.schema[id_col].dataType.simpleString()}", "__lang string, __size long, __log double"])
-    out = cut(answers.unionByName(data).repartition("block").sortWithinPartitions("block", "kind").mapInArrow(_score(keep), schema), "quality-scores")
-    for table in (model, blocks, wrong):
-        drop_table(table)
+    answers = told.unionByName(asked).repartition("bin", "part").sortWithinPartitions("bin", "part", "kind").mapInArrow(_answer, "block long, bin int, logs binary")
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("__id", docs.schema[id_col].dataType), T.StructField("__lang", T.StringType()), T.StructField("__size", T.LongType()), T.StructField("__log", T.DoubleType())])
+    own = blocks.where(F.col("kind").isin(REQUEST, DATA)).select("block", "kind", "bin", "keys", "data").groupBy("block")
+    out = cut(own.cogroup(answers.groupBy("block")).applyInArrow(_score(keep, to_arrow_schema(schema)), schema), "quality-scores")
+    drop_table(model)
+    drop_table(wrong)
+    drop_blocks()
     mark = F.expr(f"percentile_approx(__log, {HIGH}, 10000)")
     base = out.where("__log is not null").select("__id", "__lang", "__log").join(good.where(is_held_out(F.col("__id"))), "__id", "left_semi")
     limits = base.groupBy(F.col("__lang").alias("__of")).agg(mark.alias("__own"), F.count("*").alias("n")).where(F.col("n") >= OWN_LIMIT).drop("n")
