@@ -67,6 +67,14 @@ def cut_by(df: DataFrame, name: str, key: str, buckets: int) -> tuple[DataFrame,
     return spark.table(table), drop
 
 
+#: Most buckets of a table that cut_by() writes.
+MOST_BUCKETS = 20_000
+
+
+def partitions_of(df: DataFrame) -> int:
+    return df._jdf.queryExecution().toRdd().getNumPartitions()
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     there = spark._jvm.org.apache.hadoop.fs.Path(path)
     there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
@@ -83,6 +91,7 @@ def hot_lookup(facts: DataFrame, dim: DataFrame, keys: list[str], count: str, ho
 
     dim[count] is how many facts have the key.  Hot keys (at most HOT_SHARE of them, by the
     definition of hot) are broadcast; all other keys are shuffled, so no task gets a hot key.
+    Facts whose key is null match nothing; they are spread by a hash of the row.
     """
     total = dim.agg(F.coalesce(F.sum(count), F.lit(0)).alias("__total"))
     limit = max(1, total.first()[0] // HOT_SHARE)
@@ -91,7 +100,11 @@ def hot_lookup(facts: DataFrame, dim: DataFrame, keys: list[str], count: str, ho
     first = facts.join(hot, keys, "left")
     is_hot = F.col("__hot").isNotNull()
     done = first.where(is_hot).select(*facts.columns, *values)
-    rest = first.where(~is_hot).select(*facts.columns).join(dim.where(F.col(count) <= limit), keys, how)
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | F.col(k).isNull()
+    rest = first.where(~is_hot).select(*facts.columns, F.when(missing, F.xxhash64(*facts.columns)).otherwise(0).alias("__salt"))
+    rest = rest.join(dim.where(F.col(count) <= limit).withColumn("__salt", F.lit(0).cast("long")), [*keys, "__salt"], how)
     return done.unionByName(rest.select(*facts.columns, *values))
 
 

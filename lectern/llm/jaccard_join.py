@@ -88,7 +88,7 @@ def _scan(size):
                     held, waiting = [], 0
                 sizes.append(len(h))
                 x = np.arange(1, len(h) + 1, dtype=np.uint64) * _FACTORS[0]
-                sigs.append(b"" if not len(h) else int(np.bitwise_xor.reduce(mix64(h + x))).to_bytes(8, "little") + int(mix64(h ^ x).sum(dtype=np.uint64)).to_bytes(8, "little"))
+                sigs.append(None if not len(h) else int(np.bitwise_xor.reduce(mix64(h + x))).to_bytes(8, "little") + int(mix64(h ^ x).sum(dtype=np.uint64)).to_bytes(8, "little"))
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays([pa.array([0] * n, pa.int32()), batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary()), pa.nulls(n, pa.binary())], names)
         if held:

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from lectern.llm.common import bloom_filter, cut, cut_by, drop_table, in_bloom, mix64, slices, texts_of, tidy
+from lectern.llm.common import MOST_BUCKETS, bloom_filter, cut, cut_by, drop_table, in_bloom, mix64, partitions_of, slices, texts_of, tidy
 
 #: Bytes of an n-gram; 0 stands before the text, and byte b is symbol b + 1.
 ORDER, BITS = 5, 9
@@ -106,8 +106,6 @@ def _tally(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
 _BLOCK = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("bin", pa.int32()), ("keys", pa.binary()), ("values", pa.binary()), ("data", pa.binary()), ("h", pa.int64())])
 _BLOCK_SQL = "kind int, block long, bin int, keys binary, values binary, data binary, h long"
 REQUEST, DATA, MAYBE = 0, 1, 2
-#: Most buckets of the table of blocks.
-MOST_BUCKETS = 20_000
 
 
 def _rows(rows: list[tuple], fields: pa.Schema) -> pa.RecordBatch:
@@ -290,8 +288,7 @@ def _scored(docs: DataFrame, labels: DataFrame, keep: list[str], id_col: str, te
     counted = good.where(~is_held_out(F.col("__id")))
     bits = docs.sparkSession.sparkContext.broadcast(bloom_filter(counted.select(_hash("__id"))))
     rows = docs.select(*keep, F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang"), F.col(text_col).alias("__text"), _hash(id_col).alias("__h"))
-    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    blocks, drop_blocks = cut_by(rows.mapInArrow(_blocks(bits), _BLOCK_SQL), "quality-blocks", "block", min(MOST_BUCKETS, size // BLOCK_BYTES + 1))
+    blocks, drop_blocks = cut_by(rows.mapInArrow(_blocks(bits), _BLOCK_SQL), "quality-blocks", "block", min(MOST_BUCKETS, 2 * partitions_of(rows)))
     wrong = blocks.where(F.col("kind") == MAYBE).select(F.col("h").alias("__h")).distinct().join(counted.select(_hash("__id").alias("__h")), "__h", "left_anti")
     wrong = cut(wrong, "quality-wrong")  # of known size now, so the few are broadcast, and texts move only where they are many
     texts = docs.select(F.col(text_col).alias("__text"), _hash(id_col).alias("__h")).where("__h is not null").join(wrong, "__h", "left_semi").select("__text")

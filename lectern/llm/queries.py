@@ -34,8 +34,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids, width = training_order.token_ids(_table(spark, sf_dir, "documents"), tokenizer_path())
-    return training_order.round_trip(ids, width=width, text_col="ids")
+    return training_order.round_trip(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -61,39 +61,84 @@ def test_feistel_is_a_bijection(n):
     assert n < 17 or (to.feistel(np.arange(n), n, 1) != to.feistel(np.arange(n), n, 2)).any()
 
 
+def slow_feistel(i, total, key):
+    """The same network over Python integers."""
+    m64 = (1 << 64) - 1
+
+    def mix(x):
+        x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & m64
+        x = (x ^ (x >> 27)) * 0x94D049BB133111EB & m64
+        return x ^ (x >> 31)
+
+    half = 1
+    while 1 << 2 * half < total:
+        half += 1
+    mask = (1 << half) - 1
+    keys = [mix((r * 0x9E3779B97F4A7C15 + key) & m64) for r in range(1, 7)]
+    while True:
+        a, b = i >> half, i & mask
+        for k in keys:
+            a, b = b, a ^ (mix((b + k) & m64) & mask)
+        i = a << half | b
+        if i < total:
+            return i
+
+
+@pytest.mark.parametrize("total", [1, 2, 5, 16, 17, 300])
+def test_permutation_equals_the_slow_one(total):
+    assert to.feistel(np.arange(total), total, 7).tolist() == [slow_feistel(i, total, 7) for i in range(total)]
+
+
+def slow_records(spark, rows, ids, width, key):
+    """Records by slot, from (id, text) rows and the ids of each text."""
+    df = spark.createDataFrame([(str(i) if i is not None else None, t) for i, t in rows], "i string, t string" if all(isinstance(t, str | None) for _, t in rows) else "i string, t binary")
+    hashes = [tuple(r) for r in df.selectExpr("1", "shiftrightunsigned(xxhash64(i, t), 1)", "xxhash64(i, t)", "xxhash64(t, i, 1)").collect()]
+    order = sorted(range(len(rows)), key=lambda k: hashes[k][1:])
+    stream = b"".join(ids[k] + b"\xff" * width for k in order)
+    size = to.LENGTH * width
+    records = [stream[a : a + size].ljust(size, b"\xff") for a in range(0, len(stream), size)]
+    return {slow_feistel(i, len(records), key): r for i, r in enumerate(records)}
+
+
 def test_shards_hold_the_stream_in_slot_order(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(to, "SHARD_SLOTS", 16)
-    docs = odd(spark).coalesce(1)
-    path = str(tmp_path / "s")
-    total = to.materialise(docs, path, key=5)
-    stream = b"".join((r[1] or "").encode() + b"\xff" for r in odd_rows())
-    seqs = [stream[i : i + to.LENGTH].ljust(to.LENGTH, b"\xff") for i in range(0, len(stream), to.LENGTH)]
-    assert total == len(seqs)
-    want = dict(zip(to.feistel(np.arange(total), total, 5).tolist(), seqs, strict=True))
-    assert {r["slot"]: bytes(r["ids"]) for r in to.read_slots(spark, path).collect()} == want
-    assert sorted(r["slot"] for r in to.read_slots(spark, path, 10, 40).collect()) == list(range(10, 40))
-    files = sorted((tmp_path / "s").glob("shard=*/part-*"), key=lambda p: int(p.parent.name[6:]))
+    rows = [(r[0], r[1]) for r in odd_rows()]
+    want = slow_records(spark, rows, [(t or "").encode() for _, t in rows], 1, 5)
+    for parts, block in ((1, to.BLOCK_BYTES), (4, 5000), (7, 1)):
+        monkeypatch.setattr(to, "BLOCK_BYTES", block)
+        path = str(tmp_path / f"s{parts}")
+        assert to.materialise(odd(spark).repartition(parts), path, key=5) == len(want)
+        assert {r["slot"]: bytes(r["ids"]) for r in to.read_slots(spark, path).collect()} == want
+        assert sorted(r["slot"] for r in to.read_slots(spark, path, 10, 40).collect()) == list(range(10, 40))
+    files = sorted((tmp_path / "s1").glob("shard=*/part-*"), key=lambda p: int(p.parent.name[6:]))
     for k, f in enumerate(files):  # plain seeks find the records
         data = f.read_bytes()
         for j in range(len(data) // to.STRIDE):
             assert data[j * to.STRIDE : j * to.STRIDE + to.LENGTH] == want[k * 16 + j]
-    assert to.round_trip(docs).count() == total and to.round_trip(empty(spark)).count() == 0
+    assert to.round_trip(odd(spark)).count() == len(want) and to.round_trip(empty(spark)).count() == 0
+
+
+def test_many_texts_and_one_in_half_of_the_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(to, "TEXTS_A_TASK", 50)
+    monkeypatch.setattr(to, "BLOCK_BYTES", 4000)
+    rows = [(i, f"text {i} " * (i % 90)) for i in range(300)] + [(7, "again and again")] * 300
+    want = slow_records(spark, rows, [t.encode() for _, t in rows], 1, 20240229)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    path = str(tmp_path / "m")
+    to.materialise(df, path)
+    assert {r["slot"]: bytes(r["ids"]) for r in to.read_slots(spark, path).collect()} == want
 
 
 def test_shards_hold_the_ids_of_a_vocabulary(spark, tmp_path):
     if find_spec("public_tokenizers") is None:
         pytest.skip("no tokenizer files")
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    encoded = [tokenizer.encode(r[1] or "", add_special_tokens=False).ids for r in odd_rows()]
+    rows = [(r[0], r[1]) for r in odd_rows()]
+    ids = [np.array(tokenizer.encode(t or "", add_special_tokens=False).ids, "<u2").tobytes() for _, t in rows]
+    records = slow_records(spark, rows, ids, 2, 20240229)
     sf = str(tmp_path / "sf")
-    odd(spark).coalesce(1).write.parquet(f"{sf}/documents.parquet")
-    stream = [i for ids in encoded for i in [*ids, 65535]]
-    stream += [65535] * (-len(stream) % to.LENGTH)
-    seqs = [np.array(stream[i : i + to.LENGTH], "<u2") for i in range(0, len(stream), to.LENGTH)]
-    slots = to.feistel(np.arange(len(seqs)), len(seqs), 20240229).tolist()
-    want = {s: (s * (2 * to.LENGTH + 1), int((x == 65535).sum()), hashlib.sha256(x.tobytes()).hexdigest()) for s, x in zip(slots, seqs, strict=True)}
+    odd(spark).repartition(3).write.parquet(f"{sf}/documents.parquet")
+    want = {s: (s * (2 * to.LENGTH + 1), int((np.frombuffer(x, "<u2") == 65535).sum()), hashlib.sha256(x).hexdigest()) for s, x in records.items()}
     got = queries.op10_training_order(spark, sf).collect()
     assert {r["slot"]: (r["byte_offset"], r["n_ends"], r["ids_sha256"]) for r in got} == want
 
@@ -102,15 +147,13 @@ def test_shards_hold_the_ids_of_a_vocabulary(spark, tmp_path):
 def test_ids_of_any_width_come_back(spark, tmp_path, monkeypatch, width):
     monkeypatch.setattr(to, "SHARD_SLOTS", 4 * width)
     rng = np.random.default_rng(2)
-    ids = [rng.integers(0, 256**width - 1, n).astype(f"<u{width}") for n in (0, 5000, 1, 30_000)]
-    docs = spark.createDataFrame([(bytearray(x.tobytes()),) for x in ids] + [(None,)], "ids binary").coalesce(1)
+    ids = [rng.integers(0, 256**width - 1, n).astype(f"<u{width}").tobytes() for n in (0, 5000, 1, 30_000)]
+    rows = [(i, x) for i, x in enumerate(ids)] + [(9, None)]
+    want = slow_records(spark, rows, [*ids, b""], width, 3)
+    docs = spark.createDataFrame([(i, None if x is None else bytearray(x)) for i, x in rows], "doc_id long, ids binary").repartition(2)
     path = str(tmp_path / "w")
-    total = to.materialise(docs, path, key=3, text_col="ids", width=width)
-    rows = {r["slot"]: bytes(r["ids"]) for r in to.read_slots(spark, path, width=width).collect()}
-    stream = b"".join(rows[s] for s in to.feistel(np.arange(total), total, 3).tolist())
-    end = b"\xff" * width
-    whole = b"".join(x.tobytes() + end for x in ids) + end
-    assert stream == whole.ljust(total * to.LENGTH * width, b"\xff") and total == -(-len(whole) // (to.LENGTH * width))
+    assert to.materialise(docs, path, key=3, text_col="ids", width=width) == len(want)
+    assert {r["slot"]: bytes(r["ids"]) for r in to.read_slots(spark, path, width=width).collect()} == want
     if width > 1:
         with pytest.raises(Exception, match="is END"):
-            to.materialise(spark.createDataFrame([(bytearray(end),)], "ids binary"), str(tmp_path / "x"), text_col="ids", width=width)
+            to.materialise(spark.createDataFrame([(1, bytearray(b"\xff" * width))], "doc_id long, ids binary"), str(tmp_path / "x"), text_col="ids", width=width)
