@@ -283,11 +283,12 @@ def _hash(key: str) -> Column:
 
 
 def _scored(docs: DataFrame, labels: DataFrame, keep: list[str], id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """The columns in keep, __id, __lang, __size (bytes) and __log (log perplexity a byte) of each row, and __limit."""
+    """The columns in keep (as __0, __1, ...), __id, __lang, __size (bytes) and __log (log perplexity a byte) of each row, and __limit."""
+    kept = [f"__{i}" for i in range(len(keep))]
     good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
     counted = good.where(~is_held_out(F.col("__id")))
     bits = docs.sparkSession.sparkContext.broadcast(bloom_filter(counted.select(_hash("__id"))))
-    rows = docs.select(*keep, F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang"), F.col(text_col).alias("__text"), _hash(id_col).alias("__h"))
+    rows = docs.select(*(F.col(f"`{c}`").alias(k) for c, k in zip(keep, kept, strict=True)), F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang"), F.col(text_col).alias("__text"), _hash(id_col).alias("__h"))
     blocks, drop_blocks = cut_by(rows.mapInArrow(_blocks(bits), _BLOCK_SQL), "quality-blocks", "block", min(MOST_BUCKETS, 2 * partitions_of(rows)))
     wrong = blocks.where(F.col("kind") == MAYBE).select(F.col("h").alias("__h")).distinct().join(counted.select(_hash("__id").alias("__h")), "__h", "left_anti")
     wrong = cut(wrong, "quality-wrong")  # of known size now, so the few are broadcast, and texts move only where they are many
@@ -302,9 +303,9 @@ def _scored(docs: DataFrame, labels: DataFrame, keep: list[str], id_col: str, te
     told = model.mapInArrow(_binned, "bin int, g long, log double").select("bin", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))).alias("part"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("block"), F.lit(None).cast("binary").alias("keys"), "g", "log")
     asked = requests.select("bin", part.alias("part"), F.lit(1).alias("kind"), "block", "keys", F.lit(0).cast("long").alias("g"), F.lit(0.0).alias("log"))
     answers = told.unionByName(asked).repartition("bin", "part").sortWithinPartitions("bin", "part", "kind").mapInArrow(_answer, "block long, bin int, logs binary")
-    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("__id", docs.schema[id_col].dataType), T.StructField("__lang", T.StringType()), T.StructField("__size", T.LongType()), T.StructField("__log", T.DoubleType())])
+    schema = T.StructType([*(T.StructField(k, docs.schema[c].dataType) for c, k in zip(keep, kept, strict=True)), T.StructField("__id", docs.schema[id_col].dataType), T.StructField("__lang", T.StringType()), T.StructField("__size", T.LongType()), T.StructField("__log", T.DoubleType())])
     own = blocks.where(F.col("kind").isin(REQUEST, DATA)).select("block", "kind", "bin", "keys", "data").groupBy("block")
-    out = cut(own.cogroup(answers.groupBy("block")).applyInArrow(_score(keep, to_arrow_schema(schema)), schema), "quality-scores")
+    out = cut(own.cogroup(answers.groupBy("block")).applyInArrow(_score(kept, to_arrow_schema(schema)), schema), "quality-scores")
     drop_table(model)
     drop_table(wrong)
     drop_blocks()
@@ -331,4 +332,4 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def passed(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of docs that are not rejected, each judged by itself; all columns as they were."""
-    return _scored(docs, labels, docs.columns, id_col, text_col, lang_col).where("__log <= __limit").select(*docs.columns)
+    return _scored(docs, labels, docs.columns, id_col, text_col, lang_col).where("__log <= __limit").select(*(F.col(f"__{i}").alias(c) for i, c in enumerate(docs.columns)))
