@@ -1,5 +1,9 @@
 """A training-data pipeline: quality, near-duplicates, decontamination, secrets, tokens.
 
+Defined results: every stage judges rows, also those without an id; null and empty texts are
+rejected by the quality stage; repeated rows of one id are one document from the second stage on;
+extra columns, whatever their names, are kept up to the last stage; an empty table gives an empty result.
+
 Each stage takes (spark, docs, sf_dir) and returns a table that is written as Parquet and reread
 as the next stage's docs.  All stages but the last return the columns of documents.
 """
@@ -25,18 +29,20 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates, the document with the smallest id.
+    """Of each group of near-duplicates, one row: that with the smallest id.
 
     Rows without an id are grouped too, under ids from 1 << 62 up made of their texts, so a
-    document with an id is kept rather than they.  Rows with one id count as one document,
-    all of which stay or go.
+    document with an id is kept rather than they.  Rows with one id count as one document, of
+    which the row with the least text stays.
     """
     ship(spark)
     made = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
-    named = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), made))
-    groups = jaccard_join.group(named, size=SHINGLE_WORDS, per=SIMILAR, id_col="__id")
+    named = docs.select(F.coalesce(F.col("doc_id").cast("long"), made).alias("__id"), F.struct(*docs.columns).alias("__row"), F.coalesce("text", F.lit("")).alias("__text"))
+    rows = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), made))
+    groups = jaccard_join.group(rows, size=SHINGLE_WORDS, per=SIMILAR, id_col="__id")
     kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    return named.join(kept, "__id", "left_semi").select(*docs.columns)
+    one = named.groupBy("__id").agg(F.min_by("__row", "__text").alias("__row"))
+    return one.join(kept, "__id", "left_semi").select("__row.*")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
