@@ -122,6 +122,7 @@ def _first_pass(blob, bits):
             for (r, name, idx, _), p in zip(runs, enc.parts([x[3] for x in runs]), strict=True):
                 out.append((PART, r, name, idx, None, None, None, None, *p))
             yield _batch(out, _FIELDS)
+        enc.forget()
 
     return tidy(rows)
 
@@ -134,6 +135,7 @@ def _encode_chunks(blob):
         for batch in slices(batches, "text", AT_ONCE):
             parts = enc.parts(texts_of(batch.column("text")))
             yield _batch([(h, n, *p) for h, n, p in zip(batch.column("h").to_pylist(), batch.column("n_refs").to_pylist(), parts, strict=True)], fields)
+        enc.forget()
 
     return tidy(rows)
 
@@ -156,6 +158,7 @@ def _stitch(blob):
             yield _batch(out, fields)
         if at is not None:
             yield _batch([(name, *enc.digests(join_parts(enc, parts)))], fields)
+        enc.forget()
 
     return tidy(rows)
 

@@ -44,7 +44,7 @@ ORDER, BITS = 5, 9
 #: Discounts where the counts of counts give none.
 FALLBACK = (0.5, 1.0, 1.5)
 #: Bytes of text in a block, of a slice of it that is worked on at once, and of a piece of a long text.
-BLOCK_BYTES, SLICE, PIECE = 16 << 20, 2 << 20, 1 << 20
+BLOCK_BYTES, SLICE, PIECE = 16 << 20, 1 << 20, 1 << 20
 #: Bins of n-grams, and blocks whose requests to a bin go to one task.
 BINS, BLOCKS_A_TASK = 256, 2_048
 #: Rejected: log perplexity over this quantile of trusted documents of the language.

@@ -14,6 +14,7 @@ import os
 import re
 from array import array
 from collections.abc import Sequence
+from itertools import pairwise
 from typing import NamedTuple
 
 import numpy as np
@@ -24,7 +25,7 @@ import pyarrow.compute as pc
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_NORMALIZERS = ("NFC", "Lowercase", "Replace")
 
-#: Letters that every normalizer above keeps or puts in lower case as Python does, and that it never joins with others.
+#: Letters that every normalizer above keeps or puts in lower case, and never joins with others.
 _PLAIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: What the letters beyond ASCII become byte by byte: printable bytes stay, the others get characters from U+0100 on.
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -32,8 +33,8 @@ _BYTE = {b: chr(b) for b in _SHOWN} | {b: chr(256 + i) for i, b in enumerate(b f
 _BYTES = {c: "".join(_BYTE[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
 #: Signs that are a piece of their own beside letters; the apostrophe may begin a piece with letters.
 SIGNS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~<>|"
-#: Words, and runs of letters or signs, that are remembered in each of two generations.
-WORDS, RUNS = 250_000, 200_000
+#: Runs of letters or signs that are remembered in each of two generations, and the longest of them.
+RUNS, LONGEST = 200_000, 100
 #: Segments that a part keeps at either end, and segments on each side of a join that are encoded first.
 EDGE, FIRST_TRY = 4, 2
 _SYNC = re.compile(r"[\S\x1c-\x1f](?=[^\S\x1c-\x1f])")  # \x1c to \x1f are white space to Python, but not to tokenizers
@@ -57,11 +58,8 @@ class Part(NamedTuple):
 class _Memo:
     """Ids of words, in two generations: words not seen for a whole generation are forgotten."""
 
-    #: The longest word that is remembered.
-    LONGEST = 100
-
-    def __init__(self, make, limit: int):
-        self.make, self.limit = make, limit
+    def __init__(self, make):
+        self.make = make
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -72,7 +70,7 @@ class _Memo:
         missing = [i for i, x in enumerate(out) if x is None]
         if not missing:
             return out
-        if len(young) + len(missing) > self.limit:
+        if len(young) + len(missing) > RUNS:
             self.old, self.young = young, {}
             young, old = self.young, young
         new = []
@@ -83,7 +81,7 @@ class _Memo:
                 out[i] = young[words[i]] = x
         for i, x in zip(new, self.make([words[i] for i in new]), strict=True):
             out[i] = x
-            if len(words[i]) <= self.LONGEST:
+            if len(words[i]) <= LONGEST:
                 young[words[i]] = x
         return out
 
@@ -118,14 +116,12 @@ class Encoder:
         self.decimal = np.array([f"{i} ".encode() for i in range(self.size)])
         self.tokens = None if spec.get("decoder") else [self.tokenizer.id_to_token(i) or "" for i in range(self.size)]
         self.by_words = _drops_white_space(spec)
-        self._words = _Memo(self._new_words, WORDS)
         if self.by_words:
             added = [t["content"] for t in spec.get("added_tokens", [])]
-            signs = "".join(c for c in SIGNS if not any(c in t for t in added))
-            self._affixed = None if any(t.isalpha() for t in added) else re.compile(f"([{re.escape(signs)}]*)([{_PLAIN}]+)([{re.escape(signs)}]*)")
+            self._signs = "" if any(t.isalpha() for t in added) else "".join(c for c in SIGNS if not any(c in t for t in added))
             self._model = self.tokenizer.model
             self._model._resize_cache(0)  # RUNS takes its place
-            self._runs = _Memo(self._new_runs, RUNS)
+            self._runs = _Memo(self._new_runs)
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -138,16 +134,29 @@ class Encoder:
         tokenize = self._model.tokenize
         return [array(self.typecode, [t.id for t in tokenize(r if r.isascii() else r.translate(_BYTES))]).tobytes() for r in runs]
 
-    def _new_words(self, words: list[str]) -> list[bytes]:
-        """Ids of words: a word of plain letters between signs is three runs at most, others are encoded whole."""
-        if self._affixed is None:
-            return [self._pack(e.ids) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        found = [m.groups() if (m := self._affixed.fullmatch(w)) else None for w in words]
-        found = [(a, b.lower(), c) if m else None for m in found for a, b, c in (m or ("", "", ""),)]
-        runs = list({r for m in found if m for r in m if r})
-        ids = dict(zip(runs, self._runs.of(runs), strict=True), **{"": b""})
-        rest = iter(self.tokenizer.encode_batch_fast([w for w, m in zip(words, found, strict=True) if m is None], add_special_tokens=False))
-        return [ids[m[0]] + ids[m[1]] + ids[m[2]] if m else self._pack(next(rest).ids) for m in found]
+    def _words(self, words: pa.StringArray) -> list[bytes]:
+        """Ids of distinct words: plain letters between signs are three runs at most, other words are encoded whole."""
+        left = pc.utf8_ltrim(words, self._signs)
+        core = pc.utf8_rtrim(left, self._signs)
+        size, of_left, of_core = (pc.binary_length(x).to_numpy() for x in (words, left, core))  # signs have one byte each
+        texts, before, after = _list(words), (size - of_left).tolist(), (of_left - of_core).tolist()
+        heads = [w[:n] if n else "" for w, n in zip(texts, before, strict=True)]
+        tails = [w[len(w) - n :] if n else "" for w, n in zip(texts, after, strict=True)]
+        lower = pc.utf8_lower(core)
+        same = pc.binary_length(lower).to_numpy() == of_core  # other letters that become plain ones are longer before
+        lower = lower.dictionary_encode()
+        plain = pc.match_substring_regex(lower.dictionary, f"^[{_PLAIN}]*$") if self._signs else pa.array([False] * len(lower.dictionary))
+        runs, signs = _list(lower.dictionary.filter(plain)), list({*heads, *tails})
+        ids = dict(zip([*runs, *signs], [*self._runs.of(runs), *self._runs.of(signs)], strict=True))
+        of = [ids[x] if p else None for x, p in zip(_list(lower.dictionary), _list(plain), strict=True)]
+        cores = [of[i] if k else None for i, k in zip(_list(lower.indices), same.tolist(), strict=True)]
+        rest = iter(self.tokenizer.encode_batch_fast([w for w, x in zip(texts, cores, strict=True) if x is None], add_special_tokens=False))
+        return [ids[a] + x + ids[b] if x is not None else self._pack(next(rest).ids) for a, x, b in zip(heads, cores, tails, strict=True)]
+
+    def forget(self) -> None:
+        """Give back what is remembered; for the end of a task."""
+        if self.by_words:
+            self._runs = _Memo(self._new_runs)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text (UTF-8), two or four bytes an id."""
@@ -157,10 +166,11 @@ class Encoder:
             return [self._pack(e.ids) for e in self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
         words = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string()))
         coded = words.flatten().dictionary_encode()
-        ids = self._words.of(coded.dictionary.to_pylist())
-        at, ends = coded.indices.to_numpy().tolist(), words.offsets.to_numpy().tolist()
-        start = ends[0]
-        return [b"".join([ids[i] for i in at[a - start : b - start]]) for a, b in zip(ends, ends[1:], strict=False)]
+        ids = self._words(coded.dictionary)
+        each = np.empty(len(ids), object)
+        each[:] = ids
+        each, ends = each[coded.indices.to_numpy()].tolist(), words.offsets.to_numpy()
+        return [b"".join(each[a:b]) for a, b in pairwise((ends - ends[0]).tolist())]
 
     def parts(self, texts: list[bytes]) -> list[Part]:
         """The parts that runs of texts become."""
@@ -198,6 +208,10 @@ class Encoder:
         return len(numbers), hashlib.sha256(decimal).hexdigest(), hashlib.sha256(text.encode()).hexdigest()
 
 
+def _list(column: pa.Array) -> list:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 def _edges(text: str) -> tuple[list[int], list[int]] | None:
     """Ends of the first EDGE segments and starts of the last; None where there are fewer than twice EDGE and one.
 

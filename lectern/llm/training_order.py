@@ -43,7 +43,7 @@ STRIDE = LENGTH + len(SEPARATOR)
 SHARD_SLOTS = 1 << 14
 ROUNDS = 6
 #: Bytes of ids in a block, texts whose places are summed up by one task, and most tasks that write shards.
-BLOCK_BYTES, TEXTS_A_TASK, MOST_TASKS = 16 << 20, 1_000_000, 20_000
+BLOCK_BYTES, TEXTS_A_TASK, MOST_TASKS = 8 << 20, 1_000_000, 20_000
 
 
 def feistel(index: np.ndarray, total: int, key: int) -> np.ndarray:
@@ -114,6 +114,8 @@ def _blocks(blob, width):
                 block, size, held = block + 1, 0, {}
         if held:
             yield from block_rows(block, held)
+        if enc:
+            enc.forget()
 
     return tidy(rows)
 

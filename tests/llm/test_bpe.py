@@ -93,10 +93,11 @@ def test_words_of_every_kind(toks, encs):
 
 
 def test_memory_of_words_is_bounded(toks, monkeypatch):
-    monkeypatch.setattr(tokens, "WORDS", 20)
     monkeypatch.setattr(tokens, "RUNS", 20)
     enc = tokens.Encoder(open(WORD).read())
     for i in range(30):
         text = words(30, i) + ", " + words(5, 3) + " " + "q" * 300
         assert enc.digests(enc.encode([text.encode()])[0]) == want(toks[WORD], text)
-        assert len(enc._words.young) <= 60 and all(len(w) <= 100 for w in enc._words.young)
+        assert len(enc._runs.young) <= 60 and all(len(w) <= 100 for w in enc._runs.young)
+    enc.forget()
+    assert not enc._runs.young
