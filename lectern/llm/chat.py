@@ -11,8 +11,9 @@ Status: call, result or message; orphan (a result without a call), unanswered (a
 result), duplicate (a further row with a call's identifier), cycle (calls that follow each
 other), invalid (arguments that break the schema or are not JSON).
 
-Defined results: nulls in text read as empty text; rows without an identifier are messages of
-their own and come first; ties between rows with one identifier go by their JSON; an empty
+Defined results: nulls in text read as empty text; rows without an identifier, or of no kind or
+another one, are messages of their own and come first; arguments that are nested too deeply to be read, or
+hold half a surrogate pair, are invalid and kept as a string; ties between rows with one identifier go by their JSON; an empty
 table gives an empty result.  Other columns play no part.
 """
 
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import cut, drop_table
+from lectern.llm.common import cut, drop_table, hot_lookup
 
 _TYPES = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list, "null": type(None)}
 
@@ -73,9 +74,11 @@ def _serialise(schemas: dict[str, dict]):
                 if kind == "call":
                     try:
                         value = json.loads(arguments or "", parse_constant=lambda c: float("nan"))
-                        canonical(value)
+                        canonical(value).encode()
                         wrong = [f"unknown tool {name}"] if name not in schemas else violations(value, schemas[name])
-                    except ValueError:
+                    except RecursionError:
+                        value, wrong = arguments, ["arguments are nested too deeply"]
+                    except ValueError:  # also half a surrogate pair, which no UTF-8 text can hold
                         value, wrong = arguments, ["arguments are not JSON"]
                     message = {"role": "assistant", "tool_call": {"arguments": value, "id": call, "name": name}}
                 elif kind == "result":
@@ -93,7 +96,7 @@ def _depths(calls: DataFrame) -> DataFrame:
     """(call_id, depth) of calls (call_id, after); depth is null on a cycle and on what follows it."""
     known = calls.select(F.col("call_id").alias("after"), F.lit(True).alias("there"))
     start = calls.join(known, "after", "left").select("call_id", F.when(F.col("there"), F.col("after")).alias("jump"))
-    now = cut(start.withColumn("depth", F.when(F.col("jump").isNull(), 0).otherwise(1)), "chat-depths")
+    now = cut(start.withColumn("depth", F.col("jump").isNotNull().cast("long")), "chat-depths")
     rounds = max(1, calls.count()).bit_length() + 1
     for _ in range(rounds):
         ahead = now.select(F.col("call_id").alias("jump"), F.col("jump").alias("next"), F.col("depth").alias("more"))
@@ -113,14 +116,20 @@ def link(messages: DataFrame, schemas: dict[str, dict], keep: list[str]) -> Data
     rows of one chain of calls: 0 for messages, then each call before its result.
     """
     fields = [*keep, "kind", "role", "call_id", "after", "name", "arguments", "content"]
-    rows = messages.select(*fields).withColumn("kind", F.when(F.col("call_id").isNull(), "message").otherwise(F.col("kind")))
+    linked = F.col("call_id").isNotNull() & F.col("kind").isin("call", "result")
+    rows = messages.select(*fields).withColumn("kind", F.when(linked, F.col("kind")).otherwise("message"))
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     rows = cut(rows.mapInArrow(_serialise(schemas), f"{types}, json string, errors string"), "chat-rows")
     calls = rows.where("kind = 'call'").groupBy("call_id").agg(F.min(F.struct("json", "after")).alias("first"), F.count("*").alias("times"))
     calls = cut(calls.select("call_id", F.col("first.after").alias("after"), F.col("first.json").alias("first_json"), "times"), "chat-calls")
     answered = rows.where("kind = 'result'").select("call_id").distinct().withColumn("answered", F.lit(True))
-    known = calls.join(_depths(calls.select("call_id", "after")), "call_id").join(answered, "call_id", "left").drop("after")
-    out = rows.join(known, "call_id", "left")
+    depths = _depths(calls.select("call_id", "after"))
+    known = calls.join(depths, "call_id").join(answered, "call_id", "left").drop("after")
+    uses = rows.where("call_id is not null").groupBy("call_id").agg(F.count("*").alias("uses"))  # also of those that no call has
+    known = cut(uses.join(known, "call_id", "left"), "chat-known")
+    out = cut(hot_lookup(rows, known, ["call_id"], "uses"), "chat-linked")
+    for table in (rows, calls, depths, known):
+        drop_table(table)
     status = (
         F.when(F.col("kind") == "message", "message")
         .when((F.col("kind") == "result") & F.col("times").isNull(), "orphan")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import ctypes
+import functools
 import os
 import shutil
 import uuid
@@ -113,17 +114,31 @@ def texts_of(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def tidy(rows):
-    """rows for mapInArrow that gives memory back to the system at the task's end.
+@functools.cache
+def _libc():
+    """The C library, told to map large arrays by themselves, so that they go back to the system when freed."""
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has these
+        lib = ctypes.CDLL(None)
+        lib.mallopt(-3, 1 << 20)
+        lib.malloc_trim(0)
+        return lib
+    return None
 
-    Workers live on for other stages; what they keep would count against those.
-    """
+
+def give_back() -> None:
+    """Give unused memory back to the system.  Workers live on for other stages; what they keep would count against those."""
+    pa.default_memory_pool().release_unused()
+    if lib := _libc():
+        lib.malloc_trim(0)
+
+
+def tidy(rows):
+    """rows for mapInArrow that gives memory back at the task's end."""
 
     def run(batches):
+        _libc()
         yield from rows(batches)
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):  # only glibc has it
-            ctypes.CDLL(None).malloc_trim(0)
+        give_back()
 
     return run
 

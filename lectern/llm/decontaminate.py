@@ -20,12 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import slices, texts_of
+from lectern.llm.common import cut, drop_table, slices, texts_of
 
 #: Words in a window.
 WINDOW = 10
 #: Windows in one table; more windows are searched by further tables, each broadcast by itself.
 WINDOWS_PER_TABLE = 200_000
+#: Tables that workers hold at once.
+TABLES_AT_ONCE = 4
 #: Bytes of each lane of the search.
 LANE = 2048
 #: Windows shorter than this use blocks of three bytes, others of eight.
@@ -136,8 +138,8 @@ class Matcher:
         return out
 
 
-def _tables(benchmark: DataFrame, id_col: str, text_col: str, size: int) -> list:
-    """Broadcast matchers, each over at most about WINDOWS_PER_TABLE (window, item) pairs."""
+def _tables(benchmark: DataFrame, id_col: str, text_col: str, size: int) -> Iterator[list]:
+    """Broadcast matchers, each over about WINDOWS_PER_TABLE (window, item) pairs, at most TABLES_AT_ONCE together."""
     spark = benchmark.sparkSession
 
     def cut_up(batches):
@@ -146,15 +148,39 @@ def _tables(benchmark: DataFrame, id_col: str, text_col: str, size: int) -> list
             yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.string())], ["w", "item"])
 
     pairs = benchmark.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("t")).where("item is not null").mapInArrow(cut_up, "w binary, item string").distinct()
+    pairs = cut(pairs.withColumn("part", F.pmod(F.xxhash64("w"), F.lit(1 << 20))).sortWithinPartitions("part"), "benchmark-windows")
     shards = pairs.count() // WINDOWS_PER_TABLE + 1
-    out = []
+    some = []
     for k in range(shards):
         items = defaultdict(list)
-        for w, item in pairs.where(F.pmod(F.xxhash64("w"), F.lit(shards)) == k).toLocalIterator():
+        low, high = ((1 << 20) * i // shards for i in (k, k + 1))
+        for w, item in pairs.where(F.col("part").between(low, high - 1)).select("w", "item").toLocalIterator():
             items[bytes(w)].append(item)
         if items:
-            out.append(spark.sparkContext.broadcast(Matcher(dict(items))))
-    return out
+            some.append(spark.sparkContext.broadcast(Matcher(dict(items))))
+        if len(some) == TABLES_AT_ONCE:
+            yield some
+            some = []
+    if some:
+        yield some
+    drop_table(pairs)
+
+
+def _through(rows: DataFrame, groups: Iterator[list], step) -> tuple[DataFrame, bool]:
+    """rows after a step for each matcher, and whether there was one.
+
+    Between groups of matchers the rows are written and the group is taken from all workers.
+    """
+    last: list = []
+    for some in groups:
+        if last:
+            rows = cut(rows, "overlaps")
+            for matcher in last:
+                matcher.unpersist()
+        for matcher in some:
+            rows = step(rows, matcher)
+        last = some
+    return rows, bool(last)
 
 
 def _searcher(matcher):
@@ -177,15 +203,13 @@ def _count_words(batches):
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = WINDOW) -> DataFrame:
     """Per row of docs: id, n_words, hits (indices of hit words), items (ids, sorted as strings).
 
-    The text passes once through each table of windows, in one stage and without a shuffle.
+    The text passes once through each table of windows, without a shuffle; TABLES_AT_ONCE tables share a stage.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, text string, n_words long, hits array<int>, items array<string>"
     out = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.lit(0).cast("long").alias("n_words"), F.array().cast("array<int>").alias("hits"), F.array().cast("array<string>").alias("items"))
-    tables = _tables(benchmark, item_id, item_text, size)
-    for matcher in tables:
-        out = out.mapInArrow(_searcher(matcher), schema)
-    if not tables:
+    out, any_window = _through(out, _tables(benchmark, item_id, item_text, size), lambda rows, matcher: rows.mapInArrow(_searcher(matcher), schema))
+    if not any_window:
         out = out.mapInArrow(_count_words, schema)
     return out.drop("text")
 
@@ -214,7 +238,4 @@ def clean_rows(docs: DataFrame, benchmark: DataFrame, **columns) -> DataFrame:
 
         return rows
 
-    for matcher in tables:
-        docs = docs.mapInArrow(keep(matcher), docs.schema)
-    return docs
-
+    return _through(docs, tables, lambda rows, matcher: rows.mapInArrow(keep(matcher), docs.schema))[0]

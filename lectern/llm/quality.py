@@ -37,14 +37,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from lectern.llm.common import MOST_BUCKETS, bloom_filter, cut, cut_by, drop_table, in_bloom, mix64, partitions_of, slices, texts_of, tidy
+from lectern.llm.common import MOST_BUCKETS, bloom_filter, cut, cut_by, drop_table, give_back, in_bloom, mix64, partitions_of, slices, texts_of, tidy
 
 #: Bytes of an n-gram; 0 stands before the text, and byte b is symbol b + 1.
 ORDER, BITS = 5, 9
 #: Discounts where the counts of counts give none.
 FALLBACK = (0.5, 1.0, 1.5)
 #: Bytes of text in a block, of a slice of it that is worked on at once, and of a piece of a long text.
-BLOCK_BYTES, SLICE, PIECE = 16 << 20, 1 << 20, 1 << 20
+BLOCK_BYTES, SLICE, PIECE = 8 << 20, 1 << 20, 1 << 20
 #: Bins of n-grams, and blocks whose requests to a bin go to one task.
 BINS, BLOCKS_A_TASK = 256, 2_048
 #: Rejected: log perplexity over this quantile of trusted documents of the language.
@@ -262,6 +262,7 @@ def _score(columns: list[str], fields: pa.Schema):
         return pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(found, fields, strict=True)], schema=fields)
 
     def rows(block: pa.Table, answers: pa.Table) -> pa.Table:
+        give_back()
         told = dict(zip(answers.column("bin").to_pylist(), answers.column("logs").to_pylist(), strict=True))
         kinds, bins, keys, data = (block.column(c).to_pylist() for c in ("kind", "bin", "keys", "data"))
         asked = [(_unpack(k), _unpack(told[b], np.float64)) for kind, b, k in zip(kinds, bins, keys, strict=True) if kind == REQUEST]

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from lectern.llm.common import MOST_BUCKETS, cut, cut_by, drop_table, mix64, partitions_of, scratch_path, slices, texts_of, tidy
+from lectern.llm.common import MOST_BUCKETS, cut, cut_by, drop_table, give_back, mix64, partitions_of, scratch_path, slices, texts_of, tidy
 from lectern.llm.tokens import encoder
 
 #: Ids of a sequence, the id of one byte that ends a text and pads, and the byte after each record.
@@ -126,6 +126,7 @@ def _pieces(total, key, width):
     fields = pa.schema([("slot", pa.int64()), ("at", pa.int32()), ("n", pa.int32()), ("data", pa.binary())])
 
     def rows(block: pa.Table, starts: pa.Table) -> pa.Table:
+        give_back()
         texts = sorted(zip(*(starts.column(c).to_pylist() for c in ("h", "h2", "n", "copies", "start")), strict=True))
         lengths = np.array([t[2] for t in texts], np.int64) * width
         data = pa.Codec("zstd").decompress(block.column("data")[0].as_py(), int(lengths.sum()), asbytes=True)

@@ -1,8 +1,9 @@
 """WARC archives: writing with revisit records, and reading back by boundary-chain verification.
 
 Writing: pages with equal payloads of DEDUP_BYTES or more keep one response, that with the
-smallest id; the others become revisit records that name it.  Archives are gzip files written by
-Spark's text writer; the blank lines that end a record are its line separator.
+smallest id; the others become revisit records that name it.  Archives are gzip files of at most
+ARCHIVE_BYTES unpacked, written by Spark's text writer; the blank lines that end a record are its
+line separator.
 
 Reading: a task finds every version line in an archive, also those inside payloads, and takes
 each as a candidate record whose header says where its successor begins.  Pointer jumping from
@@ -11,8 +12,8 @@ rest are magic inside payloads.  A chain must end at the file's end, and payload
 agree, or reading fails.
 
 Defined results: a null html is an empty payload; small payloads are never revisits; repeated
-rows of one id with one payload are a response each, as no smaller id has it; a row without an
-id is a response of its own; an empty table gives an empty result.  Other columns play no part.
+rows of one id with one payload are a response each, as no smaller id has it, and have one record id; a
+row without an id is a response of its own, whose record id is made of its payload and address; an empty table gives an empty result.  Other columns play no part.
 """
 
 from __future__ import annotations
@@ -23,10 +24,11 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.common import cut, hot_lookup, scratch_path
+from lectern.llm.common import cut, hot_lookup, scratch_path, tidy
 
 # Fixed values of the format.
 MAGIC, END = b"WARC/1.1\r\n", "\r\n\r\n"
@@ -35,7 +37,7 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 
 #: Payloads of fewer bytes are never revisits.
 DEDUP_BYTES = 100
-#: About so many bytes of payload go to one archive.
+#: Most bytes of an archive, unpacked; a larger record has one to itself.
 ARCHIVE_BYTES = 32 << 20
 
 
@@ -49,10 +51,24 @@ def plan(pages: DataFrame, id_col: str = "page_id", text_col: str = "html", uri_
     rows = rows.withColumn("payload_bytes", F.octet_length("html").cast("long")).withColumn("payload_digest", F.sha2(F.col("html").cast("binary"), 256))
     large = rows.where((F.col("payload_bytes") >= DEDUP_BYTES) & F.col("page_id").isNotNull())
     groups = large.groupBy("payload_digest").agg(F.min("page_id").alias("first"), F.max("page_id").alias("last"), F.count("*").alias("copies")).where("first < last")
-    groups = cut(groups.select("payload_digest", "first", "copies"), "warc-groups")
-    out = hot_lookup(rows, groups, ["payload_digest"], "copies")
-    refers = F.when((F.col("payload_bytes") >= DEDUP_BYTES) & (F.col("first") < F.col("page_id")), F.col("first"))
-    return out.withColumn("refers_to", refers).drop("first", "copies")
+    groups = cut(groups.select(F.col("payload_digest").alias("key"), "first", "copies"), "warc-groups")
+    key = F.when((F.col("payload_bytes") >= DEDUP_BYTES) & F.col("page_id").isNotNull(), F.col("payload_digest"))
+    out = hot_lookup(rows.withColumn("key", key), groups, ["key"], "copies")  # small payloads have no key, and are spread
+    return out.withColumn("refers_to", F.when(F.col("first") < F.col("page_id"), F.col("first"))).drop("key", "first", "copies")
+
+
+@tidy
+def _deal(batches):
+    """Rows with the number of the task's archive that they go to: a new one where ARCHIVE_BYTES would be passed."""
+    archive, size = 0, 0
+    for batch in batches:
+        numbers = []
+        for n in pc.binary_length(batch.column("value")).to_pylist():
+            if size and size + n + len(END) > ARCHIVE_BYTES:
+                archive, size = archive + 1, 0
+            size += n + len(END)
+            numbers.append(archive)
+        yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), batch.column("value")], ["archive", "value"])
 
 
 def _uuid(name) -> F.Column:
@@ -67,10 +83,11 @@ def write(planned: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z") ->
     uri = F.regexp_replace("url", r"[\r\n]", "")
     header = lambda k, v: F.concat(F.lit(f"{k}: "), v, nl)
     page = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
+    name = F.when(F.col("page_id").isNotNull(), F.concat(F.lit("page:"), page)).otherwise(F.concat(F.lit("payload:"), F.col("payload_digest"), F.lit(" "), F.col("url")))
     record = F.concat(
         F.lit(MAGIC.decode()),
         header("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
-        header("WARC-Record-ID", _uuid(F.concat(F.lit("page:"), page))),
+        header("WARC-Record-ID", _uuid(name)),
         header("WARC-Date", F.lit(date)),
         header("WARC-Target-URI", uri),
         header("WARC-Payload-Digest", F.concat(F.lit("sha256:"), "payload_digest")),
@@ -82,7 +99,8 @@ def write(planned: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z") ->
         nl,
         F.when(revisit, "").otherwise(F.col("html")),
     )
-    planned.select(record.alias("value")).write.option("lineSep", END).option("compression", "gzip").text(path)
+    dealt = planned.select(record.alias("value")).mapInArrow(_deal, "archive int, value string")
+    dealt.write.partitionBy("archive").option("lineSep", END).option("compression", "gzip").text(path)
 
 
 def candidates(data: bytes) -> list[tuple[int, int, bytes]]:

@@ -47,6 +47,34 @@ def test_long_chains_and_hot_identifiers(spark):
     assert {r["call_id"]: r["position"] for r in got.where("status in ('call', 'unanswered')").collect()} == {f"k{i}": 2 * i + 1 for i in range(40)}
 
 
+def test_nested_and_broken_arguments_and_rows_of_no_kind(spark):
+    deep = "[" * 100_000 + "]" * 100_000
+    long = json.dumps({"prompt": "é" * 300_000, "turn": 1}, ensure_ascii=False)
+    rows = [
+        (1, 1, "call", "a", "d1", None, "respond", deep, None, "x", 1),
+        (1, 2, "call", "a", "d2", None, "respond", '{"a":' * 5000 + "1" + "}" * 5000, None, "x", 1),
+        (1, 3, "call", "a", "s1", None, "respond", '{"prompt": "\\ud800", "turn": 1}', None, "x", 1),
+        (1, 4, "call", "a", "s2", None, "respond", '{"\\udfff": 1}', None, "x", 1),
+        (1, 5, None, "user", "k1", None, None, None, "no kind", "x", 1),
+        (1, 6, "other", "user", "k2", None, None, None, None, "x", 1),
+        (1, 7, "call", "a", "l1", None, "respond", long, None, "x", 1),
+        (1, 8, "result", "tool", "l1", None, None, None, "", "x", 1),
+        (1, 9, "call", "a", "n1", None, None, None, None, "x", 1),
+    ]
+    got = {r["turn"]: r for r in chat.link(spark.createDataFrame(rows, FIELDS), {"respond": chat.RESPOND}, ["turn"]).collect()}
+    assert [got[i]["status"] for i in range(1, 10)] == ["invalid"] * 4 + ["message"] * 2 + ["call", "result", "invalid"]
+    assert all(json.loads(got[i]["json"])["tool_call"]["arguments"] == rows[i - 1][7] for i in (1, 3, 4))
+    assert got[1]["errors"] == "arguments are nested too deeply" and got[3]["errors"] == "arguments are not JSON"
+    assert json.loads(got[7]["json"])["tool_call"]["arguments"] == json.loads(long)
+
+
+def test_half_of_the_rows_without_a_call_or_an_identifier(spark):
+    rows = [(1, i, "result", "t", "nowhere", None, None, None, f"r{i}", "x", 1) for i in range(300)]
+    rows += [(1, i, "result", "t", None, None, None, None, f"r{i}", "x", 1) for i in range(300, 500)]
+    got = chat.link(spark.createDataFrame(rows, FIELDS), {}, ["turn"]).collect()
+    assert sorted((r["turn"], r["status"]) for r in got) == [(i, "orphan" if i < 300 else "message") for i in range(500)]
+
+
 def test_turns(spark):
     rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 2, "user", None), (2, 0, "assistant", "x"), (None, 0, "user", "y"), (3, None, "user", "z"), (4, 0, "system", "s"), (1, 0, "user", "a")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")

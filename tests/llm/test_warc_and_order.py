@@ -49,7 +49,7 @@ def test_chains():
 def test_a_changed_payload_is_found(spark, tmp_path):
     pages = spark.createDataFrame([(1, "u", "x" * 200)], "page_id long, url string, html string")
     warc.write(warc.plan(pages), str(tmp_path / "w"))
-    file = next(p for p in (tmp_path / "w").glob("*.gz") if gzip.decompress(p.read_bytes()))
+    file = next(p for p in (tmp_path / "w").rglob("*.gz") if gzip.decompress(p.read_bytes()))
     with pytest.raises(ValueError, match="digest"):
         list(warc._records(gzip.decompress(file.read_bytes()).replace(b"xxx", b"xyx")))
 
@@ -61,6 +61,24 @@ def test_feistel_is_a_bijection(n):
     assert n < 17 or (to.feistel(np.arange(n), n, 1) != to.feistel(np.arange(n), n, 2)).any()
 
 
+def test_archives_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 4000)
+    rows = [(i, f"http://x/{i}", "p" * (i * 37 % 1500)) for i in range(200)] + [(900, "http://long", "z" * 9000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    path = str(tmp_path / "w")
+    warc.write(warc.plan(pages), path)
+    files = [gzip.decompress(f.read_bytes()) for f in (tmp_path / "w").glob("archive=*/part-*.gz")]
+    assert len(files) > 10 and all(len(f) <= 4000 or f.count(warc.MAGIC) == 1 for f in files)
+    got = {r["page_id"]: r for r in warc.read(spark, path).collect()}
+    assert {i: r["payload_bytes"] for i, r in got.items()} == {i: len(h) for i, _, h in rows}
+
+
+def test_half_of_the_pages_are_empty(spark):
+    rows = [(i, None, None if i % 2 else f"page {i}" * 40) for i in range(400)] + [(None, None, None)] * 50
+    got = warc.round_trip(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).collect()
+    assert len(got) == 450 and all(r["record_type"] == "response" for r in got)
+
+
 def slow_feistel(i, total, key):
     """The same network over Python integers."""
     m64 = (1 << 64) - 1
