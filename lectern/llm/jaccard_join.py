@@ -11,7 +11,8 @@ verified on whole sets.
 Only groups are wanted, so first each document is verified against one leader: of the
 documents that come first at one of its shingles, the one that does so most often.  That
 merges groups of near copies along a linear number of pairs.  Then all candidates between
-different groups are verified.  No pair within a group is needed, and no link between groups is
+different groups are verified; they meet by shingle and band of sizes.  Shingles that many documents list
+are aggregated before they move, and what comes of them is broadcast, so no task gets one's list.  No pair within a group is needed, and no link between groups is
 lost.
 
 Defined results: null texts and texts without words have an empty set and link with nothing;
@@ -21,6 +22,7 @@ keeping its own result; an empty table gives an empty result.  Other columns pla
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from lectern.llm.common import ASCII_LOWER, WordHashes, bloom_filter, bloom_keys, components, cut, hot_lookup, in_bloom, mix64, slices, texts_of, tidy
+from lectern.llm.common import ASCII_LOWER, WordHashes, bloom_filter, bloom_keys, components, cut, drop_table, hot_lookup, in_bloom, mix64, slices, texts_of, tidy
 
 #: Counters of the sketch, and the blocks in which tasks hand them on.
 SKETCH, SKETCH_BLOCKS = 1 << 21, 64
@@ -38,6 +40,8 @@ SKETCH, SKETCH_BLOCKS = 1 << 21, 64
 MOST_MATCHES = 8
 #: Most ids that are broadcast to filter sets (about 16 MB).
 MOST_IDS = 1_000_000
+#: A task reports tokens that it lists so often; the most of them that are treated as hot, and the fewest documents of one.
+OFTEN, MOST_HOT, LEAST_HOT = 32, 100_000, 1_000
 #: Cost of verifying a candidate, in postings.
 VERIFY_COST = 8.0
 
@@ -150,8 +154,16 @@ def _maybe(batches, some):
 
 
 def _postings(size, levels, some, noise, per, of):
+    """Rows of the prefixes (kind 0), and tokens that a task lists often (kind 1, n is how often)."""
+
+    def often(tokens: list[np.ndarray]) -> pa.RecordBatch:
+        token, n = np.unique(np.concatenate(tokens) if tokens else np.zeros(0, np.int64), return_counts=True)
+        token, n = token[n >= OFTEN], n[n >= OFTEN]
+        none = [pa.nulls(len(token), t) for t in (pa.int64(), pa.int8(), pa.int32())]
+        return pa.RecordBatch.from_arrays([pa.array(np.ones(len(token), np.int8)), pa.array(token), none[0], pa.array(n.astype(np.int32)), *none[1:]], ["kind", "token", "id", "n", "want", "at"])
+
     def rows(batches):
-        memo = WordHashes()
+        memo, seen, waiting = WordHashes(), [], 0
         for batch in _maybe(batches, some):
             ids, tokens, sizes, wants, places = [], [], [], [], []
             for key, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
@@ -159,17 +171,35 @@ def _postings(size, levels, some, noise, per, of):
                 if not len(h):
                     continue
                 first, want = prefix(h, levels.value, noise, per, of)
-                tokens.append(first)
+                tokens.append(first.view(np.int64))
                 ids.append(np.full(len(first), key, np.int64))
                 sizes.append(np.full(len(first), len(h), np.int32))
                 wants.append(np.full(len(first), want, np.int8))
                 places.append(np.arange(len(first), dtype=np.int32))
-            cat = lambda xs, t: pa.array(np.concatenate(xs) if xs else np.zeros(0, t))
-            yield pa.RecordBatch.from_arrays([cat([t.view(np.int64) for t in tokens], np.int64), cat(ids, np.int64), cat(sizes, np.int32), cat(wants, np.int8), cat(places, np.int32)], ["token", "id", "n", "want", "at"])
+            cat = lambda xs, t: np.concatenate(xs) if xs else np.zeros(0, t)
+            token = cat(tokens, np.int64)
+            seen.append(token)
+            waiting += len(token)
+            if waiting > 2_000_000:
+                yield often(seen)
+                seen, waiting = [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(token), np.int8)), pa.array(token), pa.array(cat(ids, np.int64)), pa.array(cat(sizes, np.int32)), pa.array(cat(wants, np.int8)), pa.array(cat(places, np.int32))], ["kind", "token", "id", "n", "want", "at"])
+        yield often(seen)
 
     return tidy(rows)
 
 
+def _over_token(rows: DataFrame, hot: DataFrame, columns: dict) -> DataFrame:
+    """rows with aggregates over each token: one task for each token, but hot ones are aggregated before they move."""
+    first = rows.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), "token", "left")
+    cold = first.where("__hot is null").drop("__hot")
+    for name, value in columns.items():
+        cold = cold.withColumn(name, value.over(W.partitionBy("token")))
+    some = first.where("__hot").drop("__hot")
+    sums = some.groupBy("token").agg(*(value.alias(name) for name, value in columns.items()))
+    return cold.unionByName(some.join(F.broadcast(sums), "token"))  # at most MOST_HOT rows
+
+
 def _sets(size, some):
     def rows(batches):
         memo = WordHashes()
@@ -208,10 +238,12 @@ def group(docs: DataFrame, size: int = 4, per: int = 85, of: int = 100, id_col:
     noise = float(2.0 ** (np.median(levels) / 4.0) - 1.0) * 1.5
     sc = docs.sparkSession.sparkContext
     told, some = sc.broadcast(levels), sc.broadcast(bloom_filter(classes.select("class_id")))
-    postings = texts.mapInArrow(_postings(size, told, some, noise, per, of), "token long, id long, n int, want byte, at int")
-    listed = W.partitionBy("token")
-    heads = F.min(F.struct("at", "id", "n", "want")).over(listed)
-    shared = postings.withColumn("low", F.min("id").over(listed)).withColumn("high", F.max("id").over(listed)).withColumn("head", heads).where("low < high")
+    postings = cut(texts.mapInArrow(_postings(size, told, some, noise, per, of), "kind byte, token long, id long, n int, want byte, at int"), "jaccard-postings")
+    often = postings.where("kind = 1").groupBy("token").agg(F.sum("n").alias("n"))
+    limit = max(LEAST_HOT, postings.count() // MOST_HOT)  # so there are at most MOST_HOT of them
+    hot = cut(often.where(F.col("n") >= limit).select("token"), "jaccard-hot")
+    listed = postings.where("kind = 0").drop("kind")
+    shared = _over_token(listed, hot, {"low": F.min("id"), "high": F.max("id"), "head": F.min(F.struct("at", "id", "n", "want"))}).where("low < high")
     shared = cut(shared.drop("low", "high"), "jaccard-shared")
     wanted = sc.broadcast(bloom_filter(shared.select("id").distinct()))
     sets = cut(texts.mapInArrow(_sets(size, wanted), "id long, set array<long>"), "jaccard-sets")
@@ -227,16 +259,20 @@ def group(docs: DataFrame, size: int = 4, per: int = 85, of: int = 100, id_col:
     links = cut(_linked(cut(star, "jaccard-star"), sets, per, of), "jaccard-links")
     groups = cut(components(links).toDF("id", "g"), "jaccard-groups")
     left = shared.join(groups, "id", "left").select("token", "id", "n", "want", "at", F.coalesce("g", "id").alias("g"))
-    mixed = F.min("g").over(listed) < F.max("g").over(listed)
-    left = cut(left.withColumn("mixed", mixed).where("mixed").drop("mixed"), "jaccard-open")
-    other = left.select("token", *(F.col(c).alias(f"{c}2") for c in ("id", "n", "want", "at", "g")))
-    pairs = left.join(other, "token").where("g <> g2 and (n < n2 or n = n2 and id < id2)").withColumn("w", F.least("want", "want2")).where(may_link("n", "at", "n2", "at2", "w"))
+    left = _over_token(left, hot, {"least": F.min("g"), "most": F.max("g")}).where("least < most").drop("least", "most")
+    band = F.floor(F.log(F.col("n").cast("double")) / (1.000001 * math.log(of / per))).cast("int")  # sizes of linked sets lie in one band or the next
+    left = cut(left.withColumn("band", band), "jaccard-open")
+    other = left.select("token", "band", *(F.col(c).alias(f"{c}2") for c in ("id", "n", "want", "at", "g")))
+    near = left.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + 1)))
+    pairs = near.join(other, ["token", "band"]).where("g <> g2 and (n < n2 or n = n2 and id < id2)").withColumn("w", F.least("want", "want2")).where(may_link("n", "at", "n2", "at2", "w"))
     ready = pairs.groupBy(F.col("id").alias("u"), F.col("id2").alias("v")).agg(F.count("*").alias("c"), F.first("w").alias("w")).where("c >= w")
     ready = cut(ready.select("u", "v"), "jaccard-pairs")
     if not ready.isEmpty():
         more = cut(_linked(ready, sets, per, of), "jaccard-links")
         groups = cut(components(links.union(more)).toDF("id", "g"), "jaccard-groups")
     groups = groups.toDF("node", "component")
+    for table in (postings, hot, shared, left, sets):
+        drop_table(table)
     named = classes.join(groups.withColumnRenamed("node", "class_id"), "class_id", "left").select("sig", "class_id", F.coalesce("component", "class_id").alias("component_id"), "copies")
     out = hot_lookup(rows, named, ["sig"], "copies")
     return out.select(F.col("id").cast(docs.schema[id_col].dataType).alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"), F.coalesce("class_id", "id").alias("class_id"))

@@ -50,6 +50,19 @@ def test_near_copies_and_shared_passages(spark):
     assert got(jj.group(df, size=5, per=80)) == brute(rows, 5, 80)
 
 
+def test_hot_shingles_and_one_group_of_half_of_the_rows(spark, monkeypatch):
+    for name, value in (("OFTEN", 2), ("LEAST_HOT", 4)):
+        monkeypatch.setattr(jj, name, value)
+    rng = random.Random(9)
+    passage = words(30, 8)
+    rows = [(i, f"{passage} {words(1 + i % 9, i + 300)}") for i in range(45)]
+    rows += [(500 + i, words(60, 70)) for i in range(8)] + [(600 + i, words(25, 700 + i)) for i in range(20)]
+    rows += [(700 + i, " ".join(rng.sample(passage.split(), 30))) for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert got(jj.group(df)) == brute(rows)
+    assert got(jj.group(df, size=2, per=80)) == brute(rows, 2, 80)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 40), min_size=1, max_size=40, unique=True), st.lists(st.integers(0, 40), min_size=1, max_size=40, unique=True), st.integers(0, 9))
 def test_linked_sets_share_what_their_prefixes_ask_for(a, b, seed):
