@@ -25,6 +25,9 @@ _OWN: set[str] = set()
 #: A key counts as hot when it has over 1/HOT_SHARE of all rows, so at most HOT_SHARE keys are hot.
 HOT_SHARE = 64
 
+#: Bytes of a row group of scratch tables: a writer and a reader hold one for each column.
+ROW_GROUP = 32 << 20
+
 MASK64 = (1 << 64) - 1
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 ASCII_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -51,7 +54,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: survives lost executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -59,7 +62,7 @@ def cut_by(df: DataFrame, name: str, key: str, buckets: int) -> tuple[DataFrame,
     """Like cut(), with rows in buckets of a key, so that later groups and joins on it don't move them; and what drops the table."""
     spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
     table = f"lectern_{uuid.uuid4().hex}"
-    df.write.format("parquet").bucketBy(buckets, key).option("path", path).option("compression", "zstd").saveAsTable(table)
+    df.write.format("parquet").bucketBy(buckets, key).option("path", path).option("compression", "zstd").option("parquet.block.size", ROW_GROUP).saveAsTable(table)
 
     def drop() -> None:
         spark.sql(f"DROP TABLE IF EXISTS {table}")

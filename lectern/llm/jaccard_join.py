@@ -11,8 +11,8 @@ verified on whole sets.
 Only groups are wanted, so first each document is verified against one leader: of the
 documents that come first at one of its shingles, the one that does so most often.  That
 merges groups of near copies along a linear number of pairs.  Then all candidates between
-different groups are verified; they meet by shingle and band of sizes.  Shingles that many documents list
-are aggregated before they move, and what comes of them is broadcast, so no task gets one's list.  No pair within a group is needed, and no link between groups is
+different groups are verified.  Shingles that many documents list are aggregated before they move,
+what comes of them is broadcast, and candidates meet there by band of sizes, too.  No pair within a group is needed, and no link between groups is
 lost.
 
 Defined results: null texts and texts without words have an empty set and link with nothing;
@@ -261,9 +261,10 @@ def group(docs: DataFrame, size: int = 4, per: int = 85, of: int = 100, id_col:
     left = shared.join(groups, "id", "left").select("token", "id", "n", "want", "at", F.coalesce("g", "id").alias("g"))
     left = _over_token(left, hot, {"least": F.min("g"), "most": F.max("g")}).where("least < most").drop("least", "most")
     band = F.floor(F.log(F.col("n").cast("double")) / (1.000001 * math.log(of / per))).cast("int")  # sizes of linked sets lie in one band or the next
-    left = cut(left.withColumn("band", band), "jaccard-open")
+    left = left.join(F.broadcast(hot.withColumn("hot", F.lit(True))), "token", "left")  # only hot shingles need bands
+    left = cut(left.withColumn("band", F.when(F.col("hot"), band).otherwise(0)), "jaccard-open")
     other = left.select("token", "band", *(F.col(c).alias(f"{c}2") for c in ("id", "n", "want", "at", "g")))
-    near = left.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + 1)))
+    near = left.withColumn("band", F.explode(F.when(F.col("hot"), F.array("band", F.col("band") + 1)).otherwise(F.array("band"))))
     pairs = near.join(other, ["token", "band"]).where("g <> g2 and (n < n2 or n = n2 and id < id2)").withColumn("w", F.least("want", "want2")).where(may_link("n", "at", "n2", "at2", "w"))
     ready = pairs.groupBy(F.col("id").alias("u"), F.col("id2").alias("v")).agg(F.count("*").alias("c"), F.first("w").alias("w")).where("c >= w")
     ready = cut(ready.select("u", "v"), "jaccard-pairs")

@@ -313,6 +313,7 @@ def _scored(docs: DataFrame, labels: DataFrame, keep: list[str], id_col: str, te
     mark = F.expr(f"percentile_approx(__log, {HIGH}, 10000)")
     base = out.where("__log is not null").select("__id", "__lang", "__log").join(good.where(is_held_out(F.col("__id"))), "__id", "left_semi")
     limits = base.groupBy(F.col("__lang").alias("__of")).agg(mark.alias("__own"), F.count("*").alias("n")).where(F.col("n") >= OWN_LIMIT).drop("n")
+    limits = cut(limits, "quality-limits")  # of known size now, so that few languages are broadcast, and texts do not move by language
     every = base.agg(mark.alias("q")).first()["q"]
     general = F.lit(float("inf") if every is None else every)
     out = out.join(limits, F.col("__lang").eqNullSafe(F.col("__of")), "left")
