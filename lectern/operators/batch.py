@@ -37,8 +37,8 @@ def first_files(docs: DataFrame, most: int) -> DataFrame:
 
 
 def correct(docs: DataFrame, rules: Rules, overrides: list[tuple[str, str, str]] = (), raw_col: str | None = None) -> DataFrame:
-    """(path, text, corrected, stats, script): one distributed pass over all documents."""
-    done = rw.rewrite(docs, rules, overrides, raw_col=raw_col)
+    """(path, text, corrected, stats, status, message, script): one distributed pass; a failed document does not stop others."""
+    done = rw.rewrite(docs, rules, overrides, raw_col=raw_col, keep_going=True)
     return done.withColumn("script", segments.script_text(F.col("corrected")))
 
 

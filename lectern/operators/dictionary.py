@@ -27,10 +27,10 @@ def first_by(rows: DataFrame, keys: list[str], order: str = "seq") -> DataFrame:
 
 
 def union_first(first: DataFrame, second: DataFrame, keys: list[str]) -> DataFrame:
-    """Ordered union of two tables without repeated keys; seq is what the order was."""
+    """Ordered union of two tables without repeated keys; seq counts the rows from 0, those of the first table before."""
     both = first.withColumn("__side", F.lit(0)).unionByName(second.withColumn("__side", F.lit(1)))
     kept = both.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy("__side", "seq"))).where("__n = 1")
-    return kept.withColumn("seq", F.struct("__side", "seq")).drop("__side", "__n")
+    return renumber(kept, ["__side", "seq"]).drop("__side", "__n")
 
 
 def renumber(rows: DataFrame, order: list) -> DataFrame:

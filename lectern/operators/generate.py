@@ -106,6 +106,10 @@ class QuotaError(RuntimeError):
     """The provider's quota is used up."""
 
 
+def is_quota(error: Exception) -> bool:
+    return isinstance(error, QuotaError) or any(q in str(error).lower() for q in QUOTA)
+
+
 def with_retries(call: Callable[[], str], tries: int = 5, sleep: Callable[[float], None] = time.sleep) -> str:
     """Call until it works; waits 1.8 to the attempt, at most 20 seconds."""
     for attempt in range(1, tries + 1):
@@ -113,8 +117,8 @@ def with_retries(call: Callable[[], str], tries: int = 5, sleep: Callable[[float
             return call()
         except QuotaError:
             raise
-        except Exception:
-            if attempt == tries:
+        except Exception as e:
+            if attempt == tries or is_quota(e):
                 raise
             sleep(min(20.0, 1.8**attempt))
     return ""
@@ -134,41 +138,45 @@ def token_boost(base: int, attempt: int) -> int:
     return min(MOST_TOKENS, base * 2 ** (attempt + 1))
 
 
-def map_reduce(chunked: DataFrame, client, system: str = "", merge_limit: int = 40_000, complete: Callable[[str], bool] = bool, repairs: int = 3, base_tokens: int = 5_000) -> DataFrame:
+def map_reduce(chunked: DataFrame, client, system: str = "", merge_limit: int = 40_000, complete: Callable[[str], bool] = bool, repairs: int = 3, base_tokens: int = 5_000, tries: int = 5, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
     """(path, status, stage, text) of documents (path, chunks array<string>, glossary array<string>).
 
     Each chunk becomes a note, notes merge in groups of GROUP while they are too long, and the
     last call makes the result, repaired with more tokens while it is incomplete.  A used-up
-    quota leaves a partial result, any other error a failed row; neither stops other documents.
+    quota leaves a partial result, any other error a failed row after `tries` calls; neither stops
+    other documents.
     """
 
+    def ask(*request):
+        return with_retries(lambda: client.call(*request), tries, sleep)
+
     def one(path, parts, terms):
         stage, notes, text = "init", [], ""
         try:
             for i, part in enumerate(parts, 1):
                 stage = f"chunk {i}/{len(parts)}"
-                notes.append(client.call(system, f"[FILE] {path}\n[CHUNK] {i}/{len(parts)}\n[GLOSSARY] {', '.join(terms)}\n{part}"))
+                notes.append(ask(system, f"[FILE] {path}\n[CHUNK] {i}/{len(parts)}\n[GLOSSARY] {', '.join(terms)}\n{part}"))
             merged = notes
             while len(merged) > 1 and sum(map(len, merged)) > merge_limit:
                 groups = [merged[i : i + GROUP] for i in range(0, len(merged), GROUP)]
                 out = []
                 for i, g in enumerate(groups, 1):
                     stage = f"merge {i}/{len(groups)}"
-                    out.append(client.call(system, f"[MERGE] {i}/{len(groups)}\n" + "\n\n====\n\n".join(g)))
+                    out.append(ask(system, f"[MERGE] {i}/{len(groups)}\n" + "\n\n====\n\n".join(g)))
                 merged = out
             body = "\n\n====\n\n".join(merged)
             stage = "final"
-            text = client.call(system, f"[FINAL] {path}\n{body}")
+            text = ask(system, f"[FINAL] {path}\n{body}")
             for attempt in range(repairs):
                 if complete(text):
                     break
                 stage = f"repair {attempt + 1}/{repairs}"
-                text = client.call(system, f"[REPAIR] {path}\n{text}\n{body}", token_boost(base_tokens, attempt))
+                text = ask(system, f"[REPAIR] {path}\n{text}\n{body}", token_boost(base_tokens, attempt))
             if not complete(text):
                 return path, "failed", stage, "output is incomplete after repairs"
             return path, "done", stage, text
         except Exception as e:
-            if isinstance(e, QuotaError) or any(q in str(e).lower() for q in QUOTA):
+            if is_quota(e):
                 return path, "partial", stage, text or "\n\n".join(notes)
             return path, "failed", stage, str(e)
 

@@ -253,28 +253,41 @@ def rewrite_text(text: str, rules: Rules, overrides: Iterable[tuple[str, str]] =
     return t.text, t.stats
 
 
-def rewrite(docs: DataFrame, rules: Rules, overrides: list[tuple[str, str, str]] = (), path_col: str = "path", text_col: str = "text", raw_col: str | None = None) -> DataFrame:
+def rewrite(docs: DataFrame, rules: Rules, overrides: list[tuple[str, str, str]] = (), path_col: str = "path", text_col: str = "text", raw_col: str | None = None, keep_going: bool = False) -> DataFrame:
     """(path, text, corrected, stats) of documents; overrides are (regular expression of paths, wrong, right).
 
     Rules travel by broadcast; each text is rewritten whole, as matches and contexts cross lines.
+    With keep_going there are status (done or failed) and message, too: a text whose rewriting
+    fails stays as it is, and does not stop others.
     """
     told = docs.sparkSession.sparkContext.broadcast((rules, [(re.compile(p), w, r) for p, w, r in overrides]))
     fields = ("stage", "ord", "wrong", "right", "applied", "skipped")
+    names = ["path", "text", "corrected", "stats", *(["status", "message"] if keep_going else [])]
 
     def rows(batches):
         given, extra = told.value
         for batch in batches:
-            texts, stats = [], []
+            texts, stats, wrong = [], [], []
             for path, text, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 own = [(w, r) for p, w, r in extra if p.match(path or "")]
-                new, counted = rewrite_text(text or "", given, own, bool(raw))
+                try:
+                    new, counted = rewrite_text(text or "", given, own, bool(raw))
+                    wrong.append(None)
+                except Exception as e:
+                    if not keep_going:
+                        raise
+                    new, counted = text or "", []
+                    wrong.append(f"{type(e).__name__}: {e}")
                 texts.append(new)
                 stats.append([dict(zip(fields, s, strict=True)) for s in counted])
             kind = pa.list_(pa.struct([("stage", pa.string()), ("ord", pa.int64()), ("wrong", pa.string()), ("right", pa.string()), ("applied", pa.int64()), ("skipped", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(stats, kind)], ["path", "text", "corrected", "stats"])
+            columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(stats, kind)]
+            if keep_going:
+                columns += [pa.array(["failed" if w else "done" for w in wrong], pa.string()), pa.array(wrong, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     raw = F.col(raw_col) if raw_col else F.lit(False)
-    return docs.select(F.col(path_col).cast("string").alias("path"), F.col(text_col).alias("text"), raw.alias("raw")).mapInArrow(rows, f"path string, text string, corrected string, stats {STATS}")
+    return docs.select(F.col(path_col).cast("string").alias("path"), F.col(text_col).alias("text"), raw.alias("raw")).mapInArrow(rows, f"path string, text string, corrected string, stats {STATS}" + ", status string, message string" * keep_going)
 
 
 def audit(rewritten: DataFrame) -> DataFrame:

@@ -98,7 +98,14 @@ def regex_hits(lines: DataFrame, patterns: list[str]) -> DataFrame:
 def override_hits(lines: DataFrame, overrides: DataFrame) -> DataFrame:
     """Hits of overrides (glob_re, wrong) in the lines of files that their path pattern names."""
     paths = lines.select("path").distinct()
-    named = paths.join(F.broadcast(overrides.select("glob_re", "wrong")), F.expr("rlike(replace(path, '.script.txt', '.txt'), glob_re)")).select("path", F.col("wrong").alias("pattern")).distinct()
+    given = overrides.select("glob_re", F.col("wrong").alias("pattern")).distinct()
+    parts = given.count() // MOST_PATTERNS + 1
+    named = None
+    for k in range(parts):
+        some = F.broadcast(given.where(F.pmod(F.xxhash64("glob_re", "pattern"), F.lit(parts)) == k))  # about MOST_PATTERNS rows
+        found = paths.join(some, F.expr("rlike(replace(path, '.script.txt', '.txt'), glob_re)")).select("path", "pattern")
+        named = found if named is None else named.unionByName(found)
+    named = named.distinct()
     rows = lines.join(named, "path").where(F.contains("text", F.col("pattern")))
     return rows.select("path", "line_no", "text", "pattern", F.lit("literal").alias("match_kind"))
 

@@ -101,13 +101,8 @@ def regex_hits(spark, sf_dir):
     return search.group_hits(search.regex_hits(segments.numbered_lines(_docs(spark, sf_dir)), ["[0-9]{4}", "^The ", "ing\\.$"]))
 
 
-def report_lines(spark, sf_dir):
-    hits = search.with_times(_hits(spark, sf_dir).where("pattern = 'idiot'"), _values(spark, [], "path long, line_no int, timestamp string"))
-    return search.report_markdown(hits.withColumn("path", F.col("path").cast("string")), 7).where("line <> ''").groupBy("line").agg(F.count("*").alias("n"))
-
-
 def report_lines_whole(spark, sf_dir):
-    """As report_lines, over the hits of all patterns, with the times and the number of the files."""
+    """The lines of the report of all hits, with their times and the number of files."""
     docs = _docs(spark, sf_dir)
     times = segments.timed_entries(segments.numbered_lines(docs)).drop("text")
     scanned = search.totals(_hits(spark, sf_dir), docs).first()["files_scanned"]
@@ -116,8 +111,9 @@ def report_lines_whole(spark, sf_dir):
 
 
 def glob_overrides(spark, sf_dir):
-    globs = _values(spark, ((g, fx.glob_pattern(g)) for g in GLOBS), "glob string, glob_re string")
-    return _table(spark, sf_dir, "pages").join(F.broadcast(globs), F.expr("rlike(url, glob_re)")).select("page_id", "glob")
+    globs = _values(spark, ((g, fx.glob_pattern(g)) for g in GLOBS), "wrong string, glob_re string")
+    lines = _table(spark, sf_dir, "pages").select(F.col("url").alias("path"), F.col("page_id").alias("line_no"), F.lit("\n".join(GLOBS)).alias("text"))
+    return search.override_hits(lines, globs).select(F.col("line_no").alias("page_id"), F.col("pattern").alias("glob"))
 
 
 _HITS = f"(SELECT path, line_no, pattern, text FROM {_LINES} l, (SELECT unnest({_list(PATTERNS)}) AS pattern) p WHERE contains(text, pattern))"
@@ -127,12 +123,6 @@ SQL: dict[str, str] = {
     "residual_groups": f"SELECT 'literal' AS match_kind, pattern, count(*) AS n_hits, count(DISTINCT path) AS n_files FROM {_HITS} GROUP BY pattern",
     "residual_totals": f"SELECT (SELECT count(DISTINCT doc_id) FROM documents) AS files_scanned, count(*) AS total_hits, count(DISTINCT pattern) AS unique_groups FROM {_HITS}",
     "regex_hits": f"SELECT 'regex' AS match_kind, p AS pattern, count(*) AS n_hits, count(DISTINCT path) AS n_files FROM {_LINES}, (SELECT unnest(['[0-9]{{4}}', '^The ', 'ing\\.$']) AS p) WHERE regexp_matches(text, p) GROUP BY p",
-    "report_lines": f"""
-WITH h AS (SELECT * FROM {_HITS} WHERE pattern = 'idiot'),
-l AS (SELECT unnest(['# Suspicious Transcript Candidates', '- files_scanned: 7', concat('- unique_groups: ', count(DISTINCT pattern)), concat('- total_hits: ', count(*))]) AS line FROM h
-  UNION ALL SELECT unnest([concat('## ', pattern), '- kind: literal', concat('- hits: ', count(*)), concat('- files: ', count(DISTINCT path))]) FROM h GROUP BY pattern
-  UNION ALL SELECT concat('- ', path, ':', line_no, ' [--:--] ', text) FROM h)
-SELECT line, count(*) AS n FROM l GROUP BY line""",
     "report_lines_whole": f"""
 WITH r AS (SELECT path, line_no, CASE WHEN regexp_matches(text, '^([0-9]{{1,2}}:)?[0-9]{{1,2}}:[0-9]{{2}}( *화자 *[0-9]+)?$') THEN regexp_extract(text, '^(([0-9]{{1,2}}:)?[0-9]{{1,2}}:[0-9]{{2}})', 1) END AS label FROM {_LINES}),
 t AS (SELECT path, line_no, CASE WHEN label IS NULL THEN last_value(label IGNORE NULLS) OVER (PARTITION BY path ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS time FROM r),
@@ -186,8 +176,8 @@ def digits_to_sino(spark, sf_dir):
 
 
 def compound_regex(spark, sf_dir):
-    found = F.regexp_extract_all("text", F.lit("(t)h(e)"), F.lit(0))
-    return _docs(spark, sf_dir).select("path", F.size(found).cast("long").alias("n"), F.md5(F.regexp_replace("text", "(t)h(e)", "$1-$2")).alias("text_md5"))
+    done = rewrite.rewrite(_docs(spark, sf_dir), rewrite.Rules(compounds=(("(t)h(e)", r"\1-\2"),)))
+    return done.select(F.col("path").cast("long"), F.aggregate("stats", F.lit(0).cast("long"), lambda n, s: n + s["applied"]).alias("n"), F.md5("corrected").alias("text_md5"))
 
 
 _GATE_SQL = """
@@ -466,11 +456,6 @@ def output_pending(spark, sf_dir):
     return generate.pending(sources, done)
 
 
-def conversation_notes(spark, sf_dir):
-    rows = _table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("path"), F.col("turn").alias("idx"), F.substring("text", 1, 20).alias("note"))
-    return generate.note_groups(rows, size=3)
-
-
 def conversation_notes_whole(spark, sf_dir):
     """As conversation_notes, but every note is a turn's whole text; wide rows are told by length and digest."""
     rows = _table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("path"), F.col("turn").alias("idx"), F.col("text").alias("note"))
@@ -487,19 +472,18 @@ SQL |= {
     "response_extract": "SELECT * FROM " + _sql_values(((1, "바로", ""), (2, "가\n\n다", ""), (3, "골라", ""), (4, "", "a\n\nb\n\nc"), (5, "", "")), "id, openai, gemini"),
     "run_status": "WITH s AS (SELECT CASE WHEN event_id % 11 = 0 THEN 'failed' WHEN event_id % 7 = 0 THEN 'partial' WHEN event_id % 3 = 0 THEN 'skipped' ELSE 'done' END AS s FROM events) SELECT count(*) AS total, count(*) FILTER (s = 'done') AS done, count(*) FILTER (s = 'partial') AS partial, count(*) FILTER (s = 'skipped') AS skipped, count(*) FILTER (s = 'failed') AS failed, CASE WHEN count(*) FILTER (s = 'failed') > 0 THEN 2 ELSE 0 END AS exit_code FROM s",
     "output_pending": "SELECT concat(source, '/', doc_id, '.script.txt') AS path FROM documents WHERE concat(source, '/', doc_id) NOT IN (SELECT concat('src', doc_id % 20, '/', doc_id) FROM labels)",
-    "conversation_notes": "SELECT conv_id AS path, turn // 3 AS \"group\", string_agg(substring(text, 1, 20), E'\\n\\n====\\n\\n' ORDER BY turn, substring(text, 1, 20)) AS note FROM conversations GROUP BY ALL",
     "conversation_notes_whole": "SELECT path, \"group\", length(note) AS n_chars, md5(note) AS note_md5 FROM (SELECT conv_id AS path, turn // 3 AS \"group\", string_agg(text, E'\\n\\n====\\n\\n' ORDER BY turn, text) AS note FROM conversations GROUP BY ALL)",
     "map_reduce_status": "SELECT 'done' AS status, 'final' AS stage, count(*) AS n FROM documents",
 }
 
 _ALL = (
-    *(residual_hits, residual_groups, residual_totals, regex_hits, report_lines, report_lines_whole, glob_overrides),
+    *(residual_hits, residual_groups, residual_totals, regex_hits, report_lines_whole, glob_overrides),
     *(literal_fold, literal_counts, line_fold_usage, change_metrics, context_gate, rewrite_stages, word_boundary, digits_to_sino, compound_regex),
     *(script_lines, timestamp_ffill, aligned_lines, srt_text_lines, srt_blocks, sentences, chunk_pack),
     *(token_counts, token_topk, stem_counts, fuzzy_suggest, one_char_suggest, affix_terms, affix_related, glossary_hits, domain_counts, keywords),
     *(sentence_scores, theme_sentences, concept_ring, biased_scores, study_sections),
     *(dict_union, dict_diff, dict_growth, override_upsert, particle_expand, rule_order, term_normalise, finalised_paths),
-    *(section_check, response_extract, run_status, output_pending, conversation_notes, conversation_notes_whole, map_reduce_status),
+    *(section_check, response_extract, run_status, output_pending, conversation_notes_whole, map_reduce_status),
 )
 
 

@@ -106,6 +106,14 @@ def stopwords(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(strip(F.split_part("value", F.lit("#"), F.lit(1))).alias("word")).where("word <> ''").distinct()
 
 
+def all_stopwords(spark: SparkSession, paths: list[str], fixed: Iterable[str] = ()) -> DataFrame:
+    """(word): those of all files that exist, and fixed ones; each once."""
+    out = spark.createDataFrame([(w,) for w in fixed], "word string")
+    for path in paths:
+        out = out.unionByName(stopwords(spark, path))
+    return out.distinct()
+
+
 def file_overrides(spark: SparkSession, path: str) -> DataFrame:
     """(seq, path, wrong, right, note, glob_re) of JSON lines; bad JSON raises an error with its line."""
     rows = _lines(spark, path, "")

@@ -92,3 +92,22 @@ def test_gated_replace_equals_python(spark, text, window):
     want = parts[0] + "".join(("X" if o else "ab") + p for o, p in zip(ok, parts[1:], strict=True))
     row = spark.createDataFrame([(text,)], "t string").select(rw.gated_replace(F.col("t"), "ab", "X", ("가",), window=window).alias("f")).first()["f"]
     assert (row["text"], row["applied"], row["skipped"]) == (want, sum(ok), len(ok) - sum(ok))
+
+
+def test_a_failing_document_does_not_stop_others(spark):
+    from lectern.operators import batch
+    from lectern.operators.rewrite import Rules
+
+    docs = spark.createDataFrame([("a", "the"), ("b", None)], "path string, text string")
+    bad = {r["path"]: r for r in batch.correct(docs, Rules(compounds=(("(t", "x"),))).collect()}
+    assert all(r["status"] == "failed" and r["message"] and r["corrected"] == (r["text"] or "") for r in bad.values())
+    good = {r["path"]: r for r in batch.correct(docs, Rules(compounds=(("(t)h", r"\1"),))).collect()}
+    assert good["a"]["corrected"] == "te" and good["a"]["status"] == "done" and good["a"]["message"] is None
+
+
+def test_unions_can_follow_each_other(spark):
+    from lectern.operators.dictionary import union_first
+
+    table = lambda *words: spark.createDataFrame([(i, w) for i, w in enumerate(words)], "seq long, term string")
+    got = union_first(union_first(table("a", "b"), table("b", "c"), ["term"]), table("d", "a"), ["term"])
+    assert [r["term"] for r in got.orderBy("seq").collect()] == ["a", "b", "c", "d"]

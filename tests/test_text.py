@@ -145,7 +145,7 @@ class Breaks:
 
 def test_map_reduce_states(spark):
     docs = spark.createDataFrame([("ok", ["abc", "def"], []), ("quota", ["QQQ"], []), ("bad", ["BBB"], [])], "path string, chunks array<string>, glossary array<string>")
-    by = lambda client: {r["path"]: r["status"] for r in generate.map_reduce(docs, client).collect()}
+    by = lambda client: {r["path"]: r["status"] for r in generate.map_reduce(docs, client, sleep=lambda s: None).collect()}
     assert by(Breaks("QQQ", "HTTP 429")) == {"ok": "done", "quota": "partial", "bad": "done"}
     assert by(Breaks("BBB", "boom"))["bad"] == "failed"
     assert {r["status"] for r in generate.map_reduce(docs, generate.EchoClient(), complete=lambda t: False).collect()} == {"failed"}
@@ -170,3 +170,22 @@ def test_headers(spark):
     rows = spark.createDataFrame([("a/강의.script.txt", "본문 \n"), ("b.txt", "# 제목")], "path string, text string")
     got = [r[0] for r in rows.select(generate.with_header(F.col("text"), F.col("path"), "summary")).collect()]
     assert got == ["# 강의 AI Summary\n\n본문\n", "# 제목\n"]
+
+
+class Flaky:
+    """Fails twice for each request, then answers."""
+
+    def __init__(self):
+        self.seen = {}
+
+    def call(self, system, user, most_tokens=None):
+        self.seen[user] = self.seen.get(user, 0) + 1
+        if self.seen[user] < 3:
+            raise ValueError("try again")
+        return "ok " * 3
+
+
+def test_calls_are_tried_again(spark):
+    docs = spark.createDataFrame([("p", ["a", "b"], ["t"])], "path string, chunks array<string>, glossary array<string>")
+    assert generate.map_reduce(docs, Flaky(), sleep=lambda s: None).first()["status"] == "done"
+    assert generate.map_reduce(docs, Flaky(), tries=2, sleep=lambda s: None).first()["status"] == "failed"
