@@ -264,7 +264,7 @@ def group(docs: DataFrame, size: int = 4, per: int = 85, of: int = 100, id_col:
     left = left.join(F.broadcast(hot.withColumn("hot", F.lit(True))), "token", "left")  # only hot shingles need bands
     left = cut(left.withColumn("band", F.when(F.col("hot"), band).otherwise(0)), "jaccard-open")
     other = left.select("token", "band", *(F.col(c).alias(f"{c}2") for c in ("id", "n", "want", "at", "g")))
-    near = left.withColumn("band", F.explode(F.when(F.col("hot"), F.array("band", F.col("band") + 1)).otherwise(F.array("band"))))
+    near = left.withColumn("band", F.explode(F.when(F.col("hot"), F.array("band", F.col("band") + 1)).otherwise(F.array("band")))).drop("hot")
     pairs = near.join(other, ["token", "band"]).where("g <> g2 and (n < n2 or n = n2 and id < id2)").withColumn("w", F.least("want", "want2")).where(may_link("n", "at", "n2", "at2", "w"))
     ready = pairs.groupBy(F.col("id").alias("u"), F.col("id2").alias("v")).agg(F.count("*").alias("c"), F.first("w").alias("w")).where("c >= w")
     ready = cut(ready.select("u", "v"), "jaccard-pairs")
@@ -275,5 +275,6 @@ def group(docs: DataFrame, size: int = 4, per: int = 85, of: int = 100, id_col:
     for table in (postings, hot, shared, left, sets):
         drop_table(table)
     named = classes.join(groups.withColumnRenamed("node", "class_id"), "class_id", "left").select("sig", "class_id", F.coalesce("component", "class_id").alias("component_id"), "copies")
+    named = named.where("copies > 1 or component_id <> class_id")  # all others are named by themselves
     out = hot_lookup(rows, named, ["sig"], "copies")
     return out.select(F.col("id").cast(docs.schema[id_col].dataType).alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"), F.coalesce("class_id", "id").alias("class_id"))
