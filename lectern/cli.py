@@ -62,7 +62,12 @@ def run_correct(spark: SparkSession, a: argparse.Namespace) -> None:
     done = spark.read.parquet(f"{a.output}/corrected")
     files.write_texts(done.select(F.regexp_replace("path", r"\.txt$", ".script.txt").alias("path"), F.col("script").alias("text")), f"{a.output}/script")
     batch.report(done, terms).write.mode("overwrite").parquet(f"{a.output}/report")
-    files.append_audit(rewrite.audit(done), f"{a.output}/audit", a.revision, datetime.now())
+    now = datetime.now()
+    files.append_audit(rewrite.audit(done), f"{a.output}/audit", a.revision, now)
+    files.append_report(spark.read.parquet(f"{a.output}/report"), f"{a.output}/reports", a.revision, now)
+    if a.text_files:
+        named = lambda kind, text: done.where("status = 'done'").select(F.regexp_replace("path", r"\.txt$", f".{kind}.txt").alias("path"), F.col(text).alias("text"))
+        files.write_files(named("corrected", "corrected").unionByName(named("script", "script")), f"{a.output}/files").count()
 
 
 def run_candidates(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -89,6 +94,8 @@ def run_review(spark: SparkSession, a: argparse.Namespace) -> None:
     marks = dictionary.parse_markers(segments.numbered_lines(rows))
     old = files.file_overrides(spark, f"{a.dict_dir}/file_overrides.jsonl").drop("glob_re")
     files.write_overrides(dictionary.upsert_overrides(old, marks, a.note), f"{a.output}/file_overrides")
+    if a.clean_markers:
+        files.write_files(batch.changed(dictionary.clean_texts(scripts)).select("path", F.col("corrected").alias("text")), f"{a.output}/scripts").count()
 
 
 def run_refine(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -111,6 +118,8 @@ def run_summary(spark: SparkSession, a: argparse.Namespace) -> None:
     terms = [r["term"] for r in files.terms(spark, f"{a.dict_dir}/terms.csv", least=2).collect()]
     folder = files.run_folder(a.agent_name, a.run_timestamp or datetime.now().strftime("%Y%m%d-%H%M%S"))
     summary.sections(docs, terms, a.max_theme_bullets).write.mode("overwrite").parquet(f"{a.output}/{folder}")
+    if a.text_files:
+        files.write_summaries(summary.study_texts(spark.read.parquet(f"{a.output}/{folder}")), f"{a.output}/{folder}-files").count()
 
 
 def parser() -> argparse.ArgumentParser:
@@ -125,11 +134,14 @@ def parser() -> argparse.ArgumentParser:
             c.add_argument("--rules")
             c.add_argument("--revision", default="working-tree")
             c.add_argument("--allow-finalised", action="store_true")
+        if name in ("correct", "summary"):
+            c.add_argument("--text-files", action="store_true", help="also write a file for each text")
         if name == "candidates":
             c.add_argument("--corrected")
             c.add_argument("--regex", action="append", default=[])
         if name == "review":
             c.add_argument("--note", default="Imported from script review marker")
+            c.add_argument("--clean-markers", action="store_true", help="write the scripts that have markers without them")
         if name == "refine":
             c.add_argument("--no-srt", action="store_true")
             c.add_argument("--dry-run", action="store_true")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions.particles import expand_pairs
-from lectern.functions.text import has_hangul, is_auto_pair, strip
+from lectern.functions.text import has_hangul, is_auto_pair, lines, strip
 
 # Grammatical tails in the order in which one is peeled, and endings that reject a term.
 TAILS = (
@@ -67,19 +67,27 @@ def assemble_rules(pairs: DataFrame, manual: DataFrame) -> DataFrame:
     return kept.select(rank.cast("long").alias("ord"), "wrong", "right", "base_wrong", "base_right")
 
 
-def parse_markers(lines: DataFrame) -> DataFrame:
+def parse_markers(rows: DataFrame) -> DataFrame:
     """Lines (path, line_no, text) that hold override markers: (path, line_no, wrong, right).
 
     A marker without two different sides raises an error when the result is read.
     """
-    got = lines.where(F.col("text").rlike(MARKER)).select("path", "line_no", strip(F.regexp_extract("text", MARKER, 1)).alias("wrong"), strip(F.regexp_extract("text", MARKER, 2)).alias("right"), "text")
+    got = rows.where(F.col("text").rlike(MARKER)).select("path", "line_no", strip(F.regexp_extract("text", MARKER, 1)).alias("wrong"), strip(F.regexp_extract("text", MARKER, 2)).alias("right"), "text")
     bad = (F.col("wrong") == "") | (F.col("right") == "") | (F.col("wrong") == F.col("right"))
     checked = F.when(bad, F.raise_error(F.concat(F.lit("invalid override marker: "), F.col("text"))).cast("string")).otherwise(F.col("wrong"))
     return got.select("path", "line_no", checked.alias("wrong"), "right")
 
 
-def without_markers(lines: DataFrame) -> DataFrame:
-    return lines.where(~F.col("text").rlike(MARKER))
+def without_markers(rows: DataFrame) -> DataFrame:
+    return rows.where(~F.col("text").rlike(MARKER))
+
+
+def clean_texts(docs: DataFrame) -> DataFrame:
+    """(path, text, corrected): texts without the lines that hold markers; a text without markers stays as it is."""
+    all_lines = lines(F.col("text"))
+    kept = F.filter(all_lines, lambda x: ~x.rlike(MARKER))
+    joined = F.when(F.size(kept) > 0, F.concat(F.array_join(kept, "\n"), F.lit("\n"))).otherwise("")
+    return docs.select("path", "text", F.when(F.size(kept) < F.size(all_lines), joined).otherwise(F.col("text")).alias("corrected"))
 
 
 def upsert_overrides(existing: DataFrame, markers: DataFrame, note: str) -> DataFrame:

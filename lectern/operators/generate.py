@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.text import display_stem, lines, mirror, strip
+from lectern.operators.prompts import Prompts, partial
 from lectern.operators.search import MOST_PATTERNS, with_terms
 
 # Sections, their number and keywords by style; signals of an exhausted quota.
@@ -138,7 +139,12 @@ def token_boost(base: int, attempt: int) -> int:
     return min(MOST_TOKENS, base * 2 ** (attempt + 1))
 
 
-def map_reduce(chunked: DataFrame, client, system: str = "", merge_limit: int = 40_000, complete: Callable[[str], bool] = bool, repairs: int = 3, base_tokens: int = 5_000, tries: int = 5, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+def prompts_of(style: str = "summary", topic: str = "general", guidance: str | None = None) -> Prompts:
+    """Requests for a style with its sections."""
+    return Prompts(style, topic, SECTIONS[style], guidance)
+
+
+def map_reduce(chunked: DataFrame, client, prompts: Prompts | None = None, merge_limit: int = 40_000, complete: Callable[[str], bool] = bool, repairs: int = 3, base_tokens: int = 5_000, tries: int = 5, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
     """(path, status, stage, text) of documents (path, chunks array<string>, glossary array<string>).
 
     Each chunk becomes a note, notes merge in groups of GROUP while they are too long, and the
@@ -146,43 +152,44 @@ def map_reduce(chunked: DataFrame, client, system: str = "", merge_limit: int =
     quota leaves a partial result, any other error a failed row after `tries` calls; neither stops
     other documents.
     """
+    given = prompts or prompts_of()
+    system = given.system()
 
     def ask(*request):
-        return with_retries(lambda: client.call(*request), tries, sleep)
+        return with_retries(lambda: client.call(system, *request), tries, sleep)
 
     def one(path, parts, terms):
-        stage, notes, text = "init", [], ""
+        stage, notes, merged, text = "init", [], [], ""
         try:
             for i, part in enumerate(parts, 1):
                 stage = f"chunk {i}/{len(parts)}"
-                notes.append(ask(system, f"[FILE] {path}\n[CHUNK] {i}/{len(parts)}\n[GLOSSARY] {', '.join(terms)}\n{part}"))
-            merged = notes
-            while len(merged) > 1 and sum(map(len, merged)) > merge_limit:
-                groups = [merged[i : i + GROUP] for i in range(0, len(merged), GROUP)]
-                out = []
+                notes.append(ask(given.chunk(path, i, len(parts), part, terms)))
+            body = notes
+            while len(body) > 1 and sum(map(len, body)) > merge_limit:
+                groups = [body[i : i + GROUP] for i in range(0, len(body), GROUP)]
+                merged = []
                 for i, g in enumerate(groups, 1):
                     stage = f"merge {i}/{len(groups)}"
-                    out.append(ask(system, f"[MERGE] {i}/{len(groups)}\n" + "\n\n====\n\n".join(g)))
-                merged = out
-            body = "\n\n====\n\n".join(merged)
+                    merged.append(ask(given.merge(path, i, len(groups), g, terms)))
+                body = merged
             stage = "final"
-            text = ask(system, f"[FINAL] {path}\n{body}")
+            text = ask(given.final(path, body, terms))
             for attempt in range(repairs):
                 if complete(text):
                     break
                 stage = f"repair {attempt + 1}/{repairs}"
-                text = ask(system, f"[REPAIR] {path}\n{text}\n{body}", token_boost(base_tokens, attempt))
+                text = ask(given.repair(path, body, terms, text), token_boost(base_tokens, attempt))
             if not complete(text):
                 return path, "failed", stage, "output is incomplete after repairs"
             return path, "done", stage, text
         except Exception as e:
             if is_quota(e):
-                return path, "partial", stage, text or "\n\n".join(notes)
+                return path, "partial", stage, partial(stage, str(e), text, merged, notes)
             return path, "failed", stage, str(e)
 
     def rows(batches):
         for batch in batches:
-            done = [one(p, c or [], g or []) for p, c, g in zip(*(col.to_pylist() for col in batch.columns), strict=True)]
+            done = [one(p or "", c or [], g or []) for p, c, g in zip(*(col.to_pylist() for col in batch.columns), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], pa.string()) for i in range(4)], ["path", "status", "stage", "text"])
 
     return chunked.select(F.col("path").cast("string"), "chunks", "glossary").mapInArrow(rows, "path string, status string, stage string, text string")

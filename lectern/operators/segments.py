@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.functions.text import is_srt_text, is_timestamp_line, lines, sentences, srt_time, strip, timestamp_of
+from lectern.functions.text import is_srt_text, is_timestamp_line, lines, sentences, squeeze, srt_time, strip, timestamp_of
 
 
 def numbered_lines(docs: DataFrame, path_col: str = "path", text_col: str = "text", blank: bool = False) -> DataFrame:
@@ -61,6 +61,19 @@ def srt(segments: DataFrame) -> DataFrame:
     return rows.select("path", idx.alias("idx"), block.alias("block"))
 
 
+def srt_files(segments: DataFrame) -> DataFrame:
+    """(path, text): the subtitle file of each path of (path, start, end, text)."""
+    rows = srt(segments).groupBy("path").agg(F.transform(F.sort_array(F.collect_list(F.struct("idx", "block"))), lambda x: x["block"]).alias("b"))
+    return rows.select("path", F.array_join("b", "\n").alias("text"))
+
+
+def txt_files(segments: DataFrame) -> DataFrame:
+    """(path, text): the texts of each path's segments in order of time, one a line, without empty ones."""
+    rows = segments.select("path", "start", "end", squeeze(F.coalesce("text", F.lit(""))).alias("text")).groupBy("path")
+    rows = rows.agg(F.transform(F.sort_array(F.collect_list(F.struct("start", "end", "text"))), lambda x: x["text"]).alias("t"))
+    return rows.select("path", F.concat(F.array_join(F.filter("t", lambda x: x != ""), "\n"), F.lit("\n")).alias("text"))
+
+
 def _pieces(text: Column, most: int) -> Column:
     """What is packed: (piece, cost of its separator), paragraphs whole if they fit, else sentences, else cuts."""
     cuts = lambda s: F.transform(F.sequence(F.lit(0), F.floor((F.length(s) - 1) / most).cast("int")), lambda i: F.substring(s, i * most + 1, F.lit(most)))

@@ -19,6 +19,19 @@ STOPWORDS = (
     *("한다", "된다", "합니다", "하는", "에서", "으로", "까지", "에게", "하기", "하면", "때", "것", "수", "좀", "더", "등", "관련", "통해", "기준", "상태"),
     *("부분들", "부분이", "것들", "하죠", "하는거", "같은", "이런식", "여기", "저기", "이번", "저번", "이제", "먼저", "다시", "사실"),
 )
+# Words of themes of a text without keywords, headings and sentences of a study text.
+NO_THEMES = (("핵심", "개념"), ("구조", "관계"), ("응용", "실전"))
+NO_SENTENCE = "핵심 개념 중심으로 내용이 전개됩니다."
+HEADINGS = ("## 🔖 핵심 주제별로 나눠서 정리해줘", "## 📑 시험문제를 만들어줘", "## 📗 꼭 공부해야 할 내용을 알려줘", "### 핵심 키워드 정의", "### 단계별 이해 흐름")
+QUESTION = "- 예상 문제(%s): `%s`과(와) `%s`의 관계를 설명하시오."
+ANSWER = "- 정답 및 해설: `%s`은(는) 강의의 핵심 축이며, `%s`과(와)의 상호작용을 통해 실제 해석 기준이 정리됩니다."
+DEFINITION = "- **%s**: 강의 흐름에서 반복적으로 등장하며 개념 연결의 기준이 되는 핵심 용어."
+FLOW = (
+    "1. 기본 개념 정의: 용어의 뜻과 범위를 먼저 확정한다.",
+    "2. 관계 정리: 개념 간 연결(원인-결과, 대비, 포함)을 구조화한다.",
+    "3. 적용 연습: 사례 문장에 개념을 대입해 해석 기준을 점검한다.",
+    "4. 오개념 교정: 유사 개념을 구분하고 혼동 포인트를 정리한다.",
+)
 KEYWORDS, THEME_SIZE, THEMES, CONCEPTS = 16, 4, 3, 5
 
 
@@ -90,19 +103,44 @@ def concepts(docs: DataFrame, keys: DataFrame, size: int = CONCEPTS, path_col: s
 
 
 def sections(docs: DataFrame, terms: list[str], bullets: int = 4, path_col: str = "path", text_col: str = "text") -> DataFrame:
-    """(path, part, n, line): the lines of a summary in order: themes, questions, definitions."""
-    keys = keywords(docs, terms, path_col=path_col, text_col=text_col).cache()
-    groups = themes(keys)
-    label = F.concat_ws(", ", F.slice("words", 1, 2))
-    heads = groups.select("path", F.lit(1).alias("part"), (F.col("theme") * 100).alias("n"), F.concat(F.lit("### 주제 "), (F.col("theme") + 1).cast("string"), F.lit(". "), label).alias("line"))
+    """(path, part, n, line): the lines of a summary in order: title, themes, questions, definitions, flow.
+
+    A text without keywords has the themes NO_THEMES; a theme without a sentence has NO_SENTENCE.
+    """
+    paths = docs.select(F.col(path_col).alias("path"))
+    keys = keywords(docs, terms, path_col=path_col, text_col=text_col)
+    bare = paths.join(keys.select("path").distinct(), "path", "left_anti")
+    instead = F.posexplode(F.array(*(F.array(*map(F.lit, words_)) for words_ in NO_THEMES)))
+    groups = themes(keys).unionByName(bare.select("path", instead.alias("theme", "words")))
+    place = lambda part, n, line: (F.lit(part).alias("part"), n.cast("int").alias("n"), line.alias("line"))
+    head = F.concat(F.lit("### 주제 "), (F.col("theme") + 1).cast("string"), F.lit(". "), F.concat_ws(", ", F.slice("words", 1, 2)))
+    heads = groups.select("path", *place(1, F.col("theme") * 100, head))
     said = theme_sentences(scored_sentences(docs, keys, path_col, text_col), groups, bullets)
-    said = said.select("path", F.lit(1).alias("part"), (F.col("theme") * 100 + F.col("n")).alias("n"), F.concat(F.lit("- "), "sentence").alias("line"))
+    silent = groups.join(said.select("path", "theme").distinct(), ["path", "theme"], "left_anti")
+    told = said.select("path", *place(1, F.col("theme") * 100 + F.col("n"), F.concat(F.lit("- "), "sentence")))
+    untold = silent.select("path", *place(1, F.col("theme") * 100 + 1, F.lit(f"- {NO_SENTENCE}")))
+    ends = groups.select("path", *place(1, F.col("theme") * 100 + 99, F.lit("")))
     ring = concepts(docs, keys, path_col=path_col)
     kind = F.when(F.col("n") % 2 == 1, "객관식").otherwise("단답형")
-    asked = ring.select("path", F.lit(2).alias("part"), "n", F.concat(F.lit("- 예상 문제("), kind, F.lit("): `"), "concept", F.lit("`과(와) `"), "peer", F.lit("`의 관계를 설명하시오.")).alias("line"))
+    three = F.array(F.concat(F.col("n").cast("string"), F.lit(". 개념: "), "concept"), F.format_string(QUESTION, kind, "concept", "peer"), F.format_string(ANSWER, "concept", "peer"))
+    asked = ring.select("path", "n", F.posexplode(three).alias("i", "line")).select("path", *place(2, F.col("n") * 10 + F.col("i"), F.col("line")))
     both = ring.select("path", F.col("concept").alias("term"), "n").unionByName(keys.where("rank <= 5").select("path", F.col("keyword").alias("term"), (F.col("rank") + 100).alias("n")))
-    defined = both.groupBy("path", "term").agg(F.min("n").alias("n")).select("path", F.lit(3).alias("part"), "n", F.concat(F.lit("- **"), "term", F.lit("**: 강의 흐름에서 반복적으로 등장하며 개념 연결의 기준이 되는 핵심 용어.")).alias("line"))
-    return heads.unionByName(said).unionByName(asked).unionByName(defined)
+    defined = both.groupBy("path", "term").agg(F.min("n").alias("n")).select("path", *place(3, F.col("n"), F.format_string(DEFINITION, "term")))
+    stem = F.regexp_replace(F.regexp_extract("path", r"([^/]+)$", 1), r"\.[^./]+$", "")
+    one = lambda part, n, line: F.struct(F.lit(part).alias("part"), F.lit(n).alias("n"), line.alias("line"))
+    fixed = [(2, 0, HEADINGS[1]), (2, 1, ""), (2, 1000, ""), (3, -3, HEADINGS[2]), (3, -2, ""), (3, -1, HEADINGS[3]), (3, 1000, ""), (4, 0, HEADINGS[4]), *((4, i, line) for i, line in enumerate(FLOW, 1))]
+    first = [one(0, 0, F.concat(F.lit("# "), stem, F.lit(" 요약"))), *(one(0, i, F.lit(line)) for i, line in enumerate(("", HEADINGS[0], ""), 1))]
+    frame = paths.select("path", F.inline(F.array(*first, *(one(p, n, F.lit(line)) for p, n, line in fixed))))
+    out = frame
+    for rows in (heads, told, untold, ends, asked, defined):
+        out = out.unionByName(rows)
+    return out
+
+
+def study_texts(lines_: DataFrame) -> DataFrame:
+    """(path, text): the whole text of each document of sections()."""
+    rows = lines_.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("part", "n", "line"))).alias("x"))
+    return rows.select("path", F.concat(F.array_join(F.transform("x", lambda x: x["line"]), "\n"), F.lit("\n")).alias("text"))
 
 
 def biased_scores(docs: DataFrame, terms: list[str], bias: int = 1000, path_col: str = "path", text_col: str = "text") -> DataFrame:

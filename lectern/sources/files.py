@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import re
+import uuid
+from collections.abc import Iterable
 from datetime import datetime
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.functions.text import glob_pattern, lines, strip
+from lectern.functions.text import glob_pattern, lines, mirror, strip
 from lectern.operators.dictionary import clean_pairs, clean_terms
 
 STAMP = re.compile(r"\d{8}-\d{6}")
@@ -71,18 +74,20 @@ def clean_cell(c: Column) -> Column:
 
 
 def csv_table(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
-    """(seq, *names) of a CSV file with a header in any case or order; empty where the file is missing."""
-    schema = "seq long, " + ", ".join(f"{n} string" for n in names)
-    rows = _lines(spark, path, schema)
-    if rows is None:
-        return spark.createDataFrame([], schema)
+    """(seq, *names) of a CSV file with a header in any case or order; empty where the file is missing or empty."""
+    none = spark.createDataFrame([], "seq long, " + ", ".join(f"{n} string" for n in names))
+    try:
+        rows = spark.read.csv(path, quote='"', escape='"', multiLine=True)  # so a cell may hold doubled quotes and newlines
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return none
+    rows = rows.withColumn("seq", F.monotonically_increasing_id())  # a file that may hold newlines in cells is read by one task
     head = rows.where("seq = 0").first()
     if head is None:
-        return spark.createDataFrame([], schema)
-    columns = [re.sub(r"""^["'\s\ufeff]+|["'\s\ufeff]+$""", "", c).lower() for c in head["value"].split(",")]
-    kind = ", ".join(f"c{i} string" for i in range(len(columns)))
-    cells = rows.where("seq > 0 and trim(value) <> ''").select("seq", F.from_csv("value", kind).alias("r"))
-    return cells.select("seq", *((clean_cell(F.coalesce(F.col(f"r.c{columns.index(n)}"), F.lit(""))) if n in columns else F.lit("")).alias(n) for n in names))
+        return none
+    columns = [re.sub(r"""^["'\s\ufeff]+|["'\s\ufeff]+$""", "", head[c] or "").lower() for c in rows.columns if c != "seq"]
+    return rows.where("seq > 0").select("seq", *((clean_cell(F.coalesce(F.col(rows.columns[columns.index(n)]), F.lit(""))) if n in columns else F.lit("")).alias(n) for n in names))
 
 
 def replace_pairs(spark: SparkSession, path: str, dedupe: bool = False) -> DataFrame:
@@ -153,6 +158,53 @@ def write_texts(rows: DataFrame, path: str) -> None:
     rows.select("path", "text").write.mode("overwrite").parquet(path)
 
 
+def write_files(rows: DataFrame, root: str, mark: bool = False) -> DataFrame:
+    """(path, bytes) of (path, text), each text written as the UTF-8 file root/path, by the tasks that hold them.
+
+    root is a folder that all executors share, by any address that pyarrow's file systems know.
+    A file is written under a name of its own and then moved, so a task that runs again, or twice
+    at once, leaves whole files only.  mark adds a byte-order mark; a null text gives an empty file.
+    Nothing is written before the result is read, as with count().  Paths must stay below root.
+    """
+
+    def write(batches):
+        fs, base = pafs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (pafs.LocalFileSystem(), root)
+        for batch in batches:
+            sizes = []
+            for path, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if path.startswith("/") or ".." in path.split("/"):
+                    raise ValueError(f"the path leaves its folder: {path}")
+                data = (text or "").encode("utf-8-sig" if mark else "utf-8")
+                to = f"{base.rstrip('/')}/{path}"
+                part = f"{to}.{uuid.uuid4().hex}.part"
+                fs.create_dir(to.rsplit("/", 1)[0], recursive=True)
+                with fs.open_output_stream(part) as out:
+                    out.write(data)
+                fs.move(part, to)
+                sizes.append(len(data))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64())], ["path", "bytes"])
+
+    return rows.where("path is not null").select(F.col("path").cast("string"), F.col("text").cast("string")).mapInArrow(write, "path string, bytes long")
+
+
+def write_summaries(rows: DataFrame, root: str, formats: tuple[str, ...] = ("md", "txt")) -> DataFrame:
+    """(path, bytes) of summaries (path, text), written with a mark as root/<format>/<path>.<format>."""
+    each = F.array(*(F.concat(F.lit(f"{f}/"), mirror(F.col("path"), f".{f}")) for f in formats))
+    return write_files(rows.select(F.explode(each).alias("path"), "text"), root, mark=True)
+
+
+def append_report(report: DataFrame, path: str, revision: str, stamp: datetime) -> None:
+    """A run's report (path, n, line) as text below path, in a folder of its own; earlier runs stay as they are.
+
+    The run begins with its revision and time; the blocks of documents follow by path, parted by
+    blank lines.  A run written again takes the place of the same run.
+    """
+    body = report.groupBy("path").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("n", "line"))), lambda x: x["line"]), "\n").alias("value"))
+    head = report.sparkSession.createDataFrame([(f"[{revision} - {stamp.strftime('%Y-%m-%d %H:%M:%S')}]\n",)], "value string").select(F.lit(0).alias("side"), F.lit("").alias("path"), "value")
+    whole = head.unionByName(body.select(F.lit(1).alias("side"), "path", F.concat("value", F.lit("\n")).alias("value")))
+    whole.orderBy("side", "path").select("value").write.mode("overwrite").text(f"{path}/{stamp.strftime('%Y%m%d-%H%M%S')}")
+
+
 def append_audit(rows: DataFrame, path: str, revision: str, stamp: datetime) -> None:
     """A run's audit rows, with the revision and time of the run, added to those of earlier runs."""
     rows.withColumn("revision", F.lit(revision)).withColumn("run_at", F.lit(stamp.strftime("%Y-%m-%d %H:%M:%S"))).write.mode("append").parquet(path)

@@ -1,5 +1,7 @@
 """Readers and writers on small files, and the stream."""
 
+from datetime import datetime
+
 import pytest
 
 from lectern.functions.text import glob_pattern
@@ -58,6 +60,41 @@ def test_text_files_and_csv_writer(spark, tmp_path):
     assert part.read_text(encoding="utf-8") == '﻿wrong,right\na,b\n"q""x",y\n'
 
 
+def test_cells_with_quotes_and_newlines_come_back(spark, tmp_path):
+    given = [('a"b', "c,d"), ("두\n줄", 'x""'), ("e", "f")]
+    rows = spark.createDataFrame([(i, w, r) for i, (w, r) in enumerate(given)], "seq long, wrong string, right string")
+    files.write_csv(rows, str(tmp_path / "out"), ["wrong", "right"])
+    part = str(next((tmp_path / "out").glob("part-*")))
+    assert [(r["wrong"], r["right"]) for r in files.replace_pairs(spark, part).orderBy("seq").collect()] == given
+    (tmp_path / "q.csv").write_text('right, "wrong"\n"y, z",x\n\n r , w \nonly\n', encoding="utf-8")
+    assert [(r["wrong"], r["right"]) for r in files.replace_pairs(spark, str(tmp_path / "q.csv")).orderBy("seq").collect()] == [("x", "y, z"), ("w", "r")]
+    (tmp_path / "none.csv").write_text("", encoding="utf-8")
+    assert files.replace_pairs(spark, str(tmp_path / "none.csv")).count() == 0
+
+
+def test_a_file_for_each_text(spark, tmp_path):
+    rows = spark.createDataFrame([("강의/a.corrected.txt", "가\n"), ("b.txt", None), (None, "x")], "path string, text string")
+    out = tmp_path / "files"
+    assert {r["path"]: r["bytes"] for r in files.write_files(rows, str(out)).collect()} == {"강의/a.corrected.txt": 4, "b.txt": 0}
+    assert (out / "강의" / "a.corrected.txt").read_text(encoding="utf-8") == "가\n" and (out / "b.txt").read_bytes() == b""
+    files.write_files(rows, f"file://{out}", mark=True).count()
+    assert (out / "강의" / "a.corrected.txt").read_bytes() == "\ufeff가\n".encode() and not list(out.rglob("*.part"))
+    with pytest.raises(Exception, match="leaves its folder"):
+        files.write_files(spark.createDataFrame([("../x", "y")], "path string, text string"), str(out)).count()
+    files.write_summaries(spark.createDataFrame([("k/c.script.txt", "# c")], "path string, text string"), str(out)).count()
+    assert (out / "md" / "k" / "c.script.md").read_text(encoding="utf-8-sig") == (out / "txt" / "k" / "c.script.txt").read_text(encoding="utf-8-sig") == "# c"
+
+
+def test_reports_of_runs(spark, tmp_path):
+    rows = spark.createDataFrame([("b", 0, "source: b"), ("a", 1, "x: 1"), ("a", 0, "source: a")], "path string, n int, line string")
+    for day, revision in ((1, "r1"), (2, "r2"), (2, "r2")):
+        files.append_report(rows, str(tmp_path), revision, datetime(2024, 1, day))
+    runs = sorted(tmp_path.iterdir())
+    assert [p.name for p in runs] == ["20240101-000000", "20240102-000000"]
+    whole = "".join(p.read_text(encoding="utf-8") for p in sorted(runs[1].glob("part-*")))
+    assert whole == "[r2 - 2024-01-02 00:00:00]\n\nsource: a\nx: 1\n\nsource: b\n\n"
+
+
 def test_run_folder():
     assert files.run_folder("me", "20240101-000000") == "me__20240101-000000"
     assert files.run_folder("me__20240101-000000", "x") == "me__20240101-000000"

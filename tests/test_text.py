@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lectern.functions import text as fx
-from lectern.operators import dictionary, generate, mining, search, segments
+from lectern.operators import dictionary, generate, mining, search, segments, summary
 
 
 def one(spark, value, column, kind="string"):
@@ -189,3 +189,33 @@ def test_calls_are_tried_again(spark):
     docs = spark.createDataFrame([("p", ["a", "b"], ["t"])], "path string, chunks array<string>, glossary array<string>")
     assert generate.map_reduce(docs, Flaky(), sleep=lambda s: None).first()["status"] == "done"
     assert generate.map_reduce(docs, Flaky(), tries=2, sleep=lambda s: None).first()["status"] == "failed"
+
+
+def test_prompts_and_partial_results(spark):
+    p = generate.prompts_of("merged", guidance="별자리")
+    assert "별자리" in p.system() and p.system() != generate.prompts_of("summary").system()
+    final = p.final("f", ["n1", "n2"], ["용어"])
+    assert all(title in final for title in generate.SECTIONS["merged"]) and "n1\n\n====\n\nn2" in final and "용어" in final
+    assert "[BROKEN]\nold" in p.repair("f", ["n"], [], "old") and "2/3" in p.chunk("f", 2, 3, "text", [])
+    docs = spark.createDataFrame([("q", ["one", "QQQ"], [])], "path string, chunks array<string>, glossary array<string>")
+    got = generate.map_reduce(docs, Breaks("QQQ", "HTTP 429\nmore"), sleep=lambda s: None).first()
+    assert got["status"] == "partial" and "`chunk 2/2`" in got["text"] and "`HTTP 429`" in got["text"] and "### 구간 노트 1" in got["text"]
+
+
+def test_study_texts(spark):
+    docs = spark.createDataFrame([("a/오행 기초.txt", "오행은 나무와 불과 흙과 쇠와 물입니다. 음양은 오행의 바탕이 되는 생각입니다."), ("b.txt", "")], "path string, text string")
+    got = {r["path"]: r["text"].split("\n") for r in summary.study_texts(summary.sections(docs, ["오행", "음양"])).collect()}
+    a, b = got["a/오행 기초.txt"], got["b.txt"]
+    assert a[:5] == ["# 오행 기초 요약", "", summary.HEADINGS[0], "", "### 주제 1. 오행, 음양"] and a[5].startswith("- ") and a[-2:] == [summary.FLOW[-1], ""]
+    assert [x for x in a if x.startswith("## ")] == list(summary.HEADINGS[:3]) and sum(x.startswith("- 정답 및 해설") for x in a) == 5
+    assert b[4:7] == ["### 주제 1. 핵심, 개념", f"- {summary.NO_SENTENCE}", ""] and sum(x.startswith("### 주제") for x in b) == 3
+    at = a.index("1. 개념: " + a[a.index(summary.HEADINGS[1]) + 2].removeprefix("1. 개념: "))
+    assert a[at + 1].startswith("- 예상 문제(객관식)") and a[at + 2].startswith("- 정답 및 해설")
+
+
+def test_markers_are_taken_out_and_files_of_segments(spark):
+    docs = spark.createDataFrame([("a", "x\n @@ override: p => q\ny"), ("b", "x\ny"), ("c", "@@ override: p => q")], "path string, text string")
+    assert [r["corrected"] for r in dictionary.clean_texts(docs).orderBy("path").collect()] == ["x\ny\n", "x\ny", ""]
+    rows = spark.createDataFrame([("v", 2.0, 3.0, " 둘  째 "), ("v", 0.0, 1.0, "첫째"), ("v", 3.0, 4.0, " "), ("w", 0.0, 1.0, "")], "path string, start double, end double, text string")
+    assert {r["path"]: r["text"] for r in segments.txt_files(rows).collect()} == {"v": "첫째\n둘 째\n", "w": "\n"}
+    assert segments.srt_files(rows).first()["text"] == "1\n00:00:00,000 --> 00:00:01,000\n첫째\n\n2\n00:00:02,000 --> 00:00:03,000\n둘 째\n"
