@@ -11,7 +11,8 @@ verified on whole sets.
 Only groups are wanted, so first each document is verified against one leader: of the
 documents that come first at one of its shingles, the one that does so most often.  That
 merges groups of near copies along a linear number of pairs.  Then all candidates between
-different groups are verified.  Shingles that many documents list are aggregated before they move,
+different groups are verified.  Whole sets are made and moved only for pairs that bitmaps of their
+sets, a bit and a half to three for a shingle, leave possible.  Shingles that many documents list are aggregated before they move,
 what comes of them is broadcast, and candidates meet there by band of sizes, too.  No pair within a group is needed, and no link between groups is
 lost.
 
@@ -38,8 +39,6 @@ from lectern.llm.common import ASCII_LOWER, WordHashes, bloom_filter, bloom_keys
 SKETCH, SKETCH_BLOCKS = 1 << 21, 64
 #: Longest multiple match that a document may ask for.
 MOST_MATCHES = 8
-#: Most ids that are broadcast to filter sets (about 16 MB).
-MOST_IDS = 1_000_000
 #: A task reports tokens that it lists so often; the most of them that are treated as hot, and the fewest documents of one.
 OFTEN, MOST_HOT, LEAST_HOT = 32, 100_000, 1_000
 #: Cost of verifying a candidate, in postings.
@@ -145,6 +144,42 @@ def prefix(h: np.ndarray, levels: np.ndarray, noise: float, per: int, of: int) -
     return h[first[: n - overlap + matches]], matches
 
 
+def bitmap(h: np.ndarray) -> bytes:
+    """A bit for each value that the low bits of a hash take; over 1.5 bits a hash, 64 at least."""
+    size = 1 << max(6, (3 * len(h) // 2).bit_length())
+    bits = np.zeros(size, np.uint8)
+    bits[(h & np.uint64(size - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def most_common(n: int, a: bytes, m: int, b: bytes) -> int:
+    """At least as many hashes as sets of n and m with these bitmaps can share.
+
+    A bit that only one bitmap has stands for a hash that only its set has; the longer bitmap is
+    folded to the length of the shorter.
+    """
+    x, y = int.from_bytes(a, "little"), int.from_bytes(b, "little")
+    i, j = len(a) * 8, len(b) * 8
+    while i > j:
+        i //= 2
+        x = x >> i | x & (1 << i) - 1
+    while j > i:
+        j //= 2
+        y = y >> j | y & (1 << j) - 1
+    return min(n - (x & ~y).bit_count(), m - (y & ~x).bit_count())
+
+
+def _possible(per, of):
+    """Of rows (u, v, n, a, m, b) the pairs (u, v) whose bitmaps allow a link."""
+
+    def rows(batches):
+        for batch in batches:
+            keep = [of * (c := most_common(n, a, m, b)) >= per * (n + m - c) for n, a, m, b in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True)]
+            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    return tidy(rows)
+
+
 def _maybe(batches, some):
     """The rows whose id may be wanted."""
     for batch in batches:
@@ -154,22 +189,24 @@ def _maybe(batches, some):
 
 
 def _postings(size, levels, some, noise, per, of):
-    """Rows of the prefixes (kind 0), and tokens that a task lists often (kind 1, n is how often)."""
+    """Rows of the prefixes (kind 0), tokens that a task lists often (kind 1, n is how often), and bitmaps of sets (kind 2)."""
+    names = ["kind", "token", "id", "n", "want", "at", "bits"]
 
     def often(tokens: list[np.ndarray]) -> pa.RecordBatch:
         token, n = np.unique(np.concatenate(tokens) if tokens else np.zeros(0, np.int64), return_counts=True)
         token, n = token[n >= OFTEN], n[n >= OFTEN]
-        none = [pa.nulls(len(token), t) for t in (pa.int64(), pa.int8(), pa.int32())]
-        return pa.RecordBatch.from_arrays([pa.array(np.ones(len(token), np.int8)), pa.array(token), none[0], pa.array(n.astype(np.int32)), *none[1:]], ["kind", "token", "id", "n", "want", "at"])
+        none = [pa.nulls(len(token), t) for t in (pa.int64(), pa.int8(), pa.int32(), pa.binary())]
+        return pa.RecordBatch.from_arrays([pa.array(np.ones(len(token), np.int8)), pa.array(token), none[0], pa.array(n.astype(np.int32)), *none[1:]], names)
 
     def rows(batches):
         memo, seen, waiting = WordHashes(), [], 0
         for batch in _maybe(batches, some):
-            ids, tokens, sizes, wants, places = [], [], [], [], []
+            ids, tokens, sizes, wants, places, maps = [], [], [], [], [], []
             for key, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
                 h = shingle_hashes(word_list(text), size, memo)
                 if not len(h):
                     continue
+                maps.append((key, len(h), bitmap(h)))
                 first, want = prefix(h, levels.value, noise, per, of)
                 tokens.append(first.view(np.int64))
                 ids.append(np.full(len(first), key, np.int64))
@@ -183,7 +220,10 @@ def _postings(size, levels, some, noise, per, of):
             if waiting > 2_000_000:
                 yield often(seen)
                 seen, waiting = [], 0
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(token), np.int8)), pa.array(token), pa.array(cat(ids, np.int64)), pa.array(cat(sizes, np.int32)), pa.array(cat(wants, np.int8)), pa.array(cat(places, np.int32))], ["kind", "token", "id", "n", "want", "at"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(token), np.int8)), pa.array(token), pa.array(cat(ids, np.int64)), pa.array(cat(sizes, np.int32)), pa.array(cat(wants, np.int8)), pa.array(cat(places, np.int32)), pa.nulls(len(token), pa.binary())], names)
+            m = len(maps)
+            of_maps = [pa.array([x[i] for x in maps], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(m, 2, np.int8)), pa.nulls(m, pa.int64()), of_maps[0], of_maps[1], pa.nulls(m, pa.int8()), pa.nulls(m, pa.int32()), of_maps[2]], names)
         yield often(seen)
 
     return tidy(rows)
@@ -212,17 +252,19 @@ def _sets(size, some):
     return tidy(rows)
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, per: int, of: int) -> DataFrame:
-    """The pairs (u, v) whose whole sets link.
-
-    While the documents of the pairs are few, a broadcast of their ids keeps other sets from moving.
-    """
-    ids = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct()
-    if ids.count() <= MOST_IDS:
-        sets = sets.join(F.broadcast(ids), "id", "left_semi")
-    both = pairs.join(sets.select(F.col("id").alias("v"), F.col("set").alias("b")), "v").join(sets.select(F.col("id").alias("u"), F.col("set").alias("a")), "u")
+def _linked(pairs: DataFrame, maps: DataFrame, texts: DataFrame, size: int, per: int, of: int) -> DataFrame:
+    """The pairs (u, v) whose whole sets link, as a table.  Sets are made for pairs that the bitmaps (id, n, bits) leave."""
+    sides = pairs.join(maps.select(F.col("id").alias("v"), F.col("n").alias("m"), F.col("bits").alias("b")), "v").join(maps.select(F.col("id").alias("u"), "n", F.col("bits").alias("a")), "u")
+    left = cut(sides.select("u", "v", "n", "a", "m", "b").mapInArrow(_possible(per, of), "u long, v long").distinct(), "jaccard-possible")
+    wanted = texts.sparkSession.sparkContext.broadcast(bloom_filter(left.select("u").union(left.select("v")).distinct()))
+    sets = cut(texts.mapInArrow(_sets(size, wanted), "id long, set array<long>"), "jaccard-sets")
+    both = left.join(sets.select(F.col("id").alias("v"), F.col("set").alias("b")), "v").join(sets.select(F.col("id").alias("u"), F.col("set").alias("a")), "u")
     common = F.size(F.array_intersect("a", "b"))
-    return both.select("u", "v", common.alias("c"), (F.size("a") + F.size("b") - common).alias("d")).where(F.col("c") * of >= F.col("d") * per).select("u", "v")
+    links = both.select("u", "v", common.alias("c"), (F.size("a") + F.size("b") - common).alias("d")).where(F.col("c") * of >= F.col("d") * per).select("u", "v")
+    links = cut(links, "jaccard-links")
+    drop_table(sets)
+    drop_table(left)
+    return links
 
 
 def group(docs: DataFrame, size: int = 4, per: int = 85, of: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -238,15 +280,13 @@ def group(docs: DataFrame, size: int = 4, per: int = 85, of: int = 100, id_col:
     noise = float(2.0 ** (np.median(levels) / 4.0) - 1.0) * 1.5
     sc = docs.sparkSession.sparkContext
     told, some = sc.broadcast(levels), sc.broadcast(bloom_filter(classes.select("class_id")))
-    postings = cut(texts.mapInArrow(_postings(size, told, some, noise, per, of), "kind byte, token long, id long, n int, want byte, at int"), "jaccard-postings")
+    postings = cut(texts.mapInArrow(_postings(size, told, some, noise, per, of), "kind byte, token long, id long, n int, want byte, at int, bits binary"), "jaccard-postings")
     often = postings.where("kind = 1").groupBy("token").agg(F.sum("n").alias("n"))
-    limit = max(LEAST_HOT, postings.count() // MOST_HOT)  # so there are at most MOST_HOT of them
+    limit = max(LEAST_HOT, postings.where("kind = 0").count() // MOST_HOT)  # so there are at most MOST_HOT of them
     hot = cut(often.where(F.col("n") >= limit).select("token"), "jaccard-hot")
-    listed = postings.where("kind = 0").drop("kind")
+    listed, maps = postings.where("kind = 0").drop("kind", "bits"), postings.where("kind = 2").select("id", "n", "bits")
     shared = _over_token(listed, hot, {"low": F.min("id"), "high": F.max("id"), "head": F.min(F.struct("at", "id", "n", "want"))}).where("low < high")
     shared = cut(shared.drop("low", "high"), "jaccard-shared")
-    wanted = sc.broadcast(bloom_filter(shared.select("id").distinct()))
-    sets = cut(texts.mapInArrow(_sets(size, wanted), "id long, set array<long>"), "jaccard-sets")
 
     def may_link(n1, at1, n2, at2, want):
         """Whether a common shingle at these places can be among the first `want` of a linked pair."""
@@ -256,7 +296,7 @@ def group(docs: DataFrame, size: int = 4, per: int = 85, of: int = 100, id_col:
     told_of = shared.where(F.col("id") != F.col("head.id")).select("id", "n", "at", F.col("head.id").alias("u"), F.col("head.n").alias("n1"), F.col("head.at").alias("at1"), F.least("want", F.col("head.want")).alias("w"))
     votes = told_of.where(may_link("n1", "at1", "n", "at", "w")).groupBy("id", "u").count()
     star = votes.groupBy("id").agg(F.max(F.struct("count", "u")).alias("best")).select(F.col("best.u").alias("u"), F.col("id").alias("v"))
-    links = cut(_linked(cut(star, "jaccard-star"), sets, per, of), "jaccard-links")
+    links = _linked(cut(star, "jaccard-star"), maps, texts, size, per, of)
     groups = cut(components(links).toDF("id", "g"), "jaccard-groups")
     left = shared.join(groups, "id", "left").select("token", "id", "n", "want", "at", F.coalesce("g", "id").alias("g"))
     left = _over_token(left, hot, {"least": F.min("g"), "most": F.max("g")}).where("least < most").drop("least", "most")
@@ -269,10 +309,10 @@ def group(docs: DataFrame, size: int = 4, per: int = 85, of: int = 100, id_col:
     ready = pairs.groupBy(F.col("id").alias("u"), F.col("id2").alias("v")).agg(F.count("*").alias("c"), F.first("w").alias("w")).where("c >= w")
     ready = cut(ready.select("u", "v"), "jaccard-pairs")
     if not ready.isEmpty():
-        more = cut(_linked(ready, sets, per, of), "jaccard-links")
+        more = _linked(ready, maps, texts, size, per, of)
         groups = cut(components(links.union(more)).toDF("id", "g"), "jaccard-groups")
     groups = groups.toDF("node", "component")
-    for table in (postings, hot, shared, left, sets):
+    for table in (postings, hot, shared, left):
         drop_table(table)
     named = classes.join(groups.withColumnRenamed("node", "class_id"), "class_id", "left").select("sig", "class_id", F.coalesce("component", "class_id").alias("component_id"), "copies")
     named = named.where("copies > 1 or component_id <> class_id")  # all others are named by themselves

@@ -16,11 +16,11 @@ def brute(rows, size=4, per=85, of=100):
         w = [x for x in re.split(r"[\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")) if x]
         sets.append({tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set())
     label = [r[0] for r in rows]
+    named = [(i, a) for i, a in enumerate(sets) if a and label[i] is not None]
+    links = [(i, j) for i, a in named for j, b in named if of * len(a & b) >= per * len(a | b)]  # once, not once a round
     for _ in rows:
-        for i, a in enumerate(sets):
-            for j, b in enumerate(sets):
-                if a and b and label[i] is not None and label[j] is not None and of * len(a & b) >= per * len(a | b):
-                    label[i] = label[j] = min(label[i], label[j])
+        for i, j in links:
+            label[i] = label[j] = min(label[i], label[j])
     return sorted(((r[0], len(s), x) for r, s, x in zip(rows, sets, label, strict=True)), key=str)
 
 
@@ -78,6 +78,15 @@ def test_linked_sets_share_what_their_prefixes_ask_for(a, b, seed):
         assert len(inside) >= least
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.sets(st.integers(0, 400), min_size=1, max_size=300), st.sets(st.integers(0, 400), min_size=1, max_size=300))
+def test_bitmaps_never_hide_what_sets_share(a, b):
+    spread = lambda xs: np.array(sorted(xs), np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(7)
+    bound = jj.most_common(len(a), jj.bitmap(spread(a)), len(b), jj.bitmap(spread(b)))
+    assert len(a & b) <= bound <= min(len(a), len(b))
+    assert jj.most_common(len(a), jj.bitmap(spread(a)), len(a), jj.bitmap(spread(a))) == len(a)
+
+
 def test_hashes_do_not_depend_on_the_memo():
     memo = WordHashes()
     memo.LIMIT = 3
