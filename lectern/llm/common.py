@@ -58,11 +58,11 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def cut_by(df: DataFrame, name: str, key: str, buckets: int) -> tuple[DataFrame, Callable[[], None]]:
-    """Like cut(), with rows in buckets of a key, so that later groups and joins on it don't move them; and what drops the table."""
+def cut_by(df: DataFrame, name: str, key: str | tuple[str, ...], buckets: int) -> tuple[DataFrame, Callable[[], None]]:
+    """Like cut(), with rows in buckets of a key, or of several columns, so that later groups and joins on it don't move them; and what drops the table."""
     spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
     table = f"lectern_{uuid.uuid4().hex}"
-    df.write.format("parquet").bucketBy(buckets, key).option("path", path).option("compression", "zstd").option("parquet.block.size", ROW_GROUP).saveAsTable(table)
+    df.write.format("parquet").bucketBy(buckets, *([key] if isinstance(key, str) else key)).option("path", path).option("compression", "zstd").option("parquet.block.size", ROW_GROUP).saveAsTable(table)
 
     def drop() -> None:
         spark.sql(f"DROP TABLE IF EXISTS {table}")

@@ -7,18 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import bpe, chat, decontaminate, embedding_dedup, jaccard_join, quality, secrets, toxicity, training_order, warc
+from lectern.llm import alignment, bpe, chat, decontaminate, embedding_dedup, jaccard_join, mixing, quality, secrets, toxicity, training_order, warc, whitening
 
 #: Name of the tokenizer's file in the package public_tokenizers.
 TOKENIZER = "word_bpe_49k.json"
+#: Names of the files that are aligned.
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +73,18 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(docs, model))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_table(spark, sf_dir, "documents"), *map(tokenizer_path, ALIGNED))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 _WORDS = "list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"
 
 OP9_SQL = f"""
@@ -142,9 +156,38 @@ FROM m
 """
 
 
+OP11_SQL = """
+WITH d AS (
+  SELECT doc_id, source, md5(concat(coalesce(CAST(doc_id AS VARCHAR), ''), ':', coalesce(text, ''))) AS key,
+    CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size
+  FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight
+  FROM d GROUP BY source),
+o AS (
+  SELECT *, 2 * source_size AS cap, CAST(sum(source_size) OVER () AS BIGINT) AS total, CAST(sum(weight) OVER () AS BIGINT) AS weights,
+    coalesce(sum(2 * source_size) OVER before, 0) AS filled, coalesce(sum(weight) OVER before, 0) AS taken
+  FROM s WINDOW before AS (ORDER BY 2 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+share AS (
+  SELECT CAST(150 * total - 100 * filled AS BIGINT) AS spare, CAST(weights - taken AS BIGINT) AS units
+  FROM o WHERE (150 * total - 100 * filled) * weight <= cap * 100 * (weights - taken) ORDER BY taken LIMIT 1),
+t AS (
+  SELECT source, source_size, coalesce((SELECT least(CAST(cap AS DOUBLE), CAST(weight * spare AS DOUBLE) / CAST(100 * units AS DOUBLE)) FROM share), CAST(cap AS DOUBLE)) AS target
+  FROM s JOIN (SELECT source AS name, cap FROM o) ON source IS NOT DISTINCT FROM name),
+p AS (
+  SELECT d.*, t.source_size, t.target, CAST(floor(t.target) AS BIGINT) AS budget,
+    coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN least(budget // source_size, 2) ELSE 0 END AS epochs FROM p)
+SELECT doc_id, size, source_size, target,
+  CAST(epochs * size + least(greatest(budget - epochs * source_size - before, 0), size) AS BIGINT) AS taken
+FROM e
+"""
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_toxicity": op1_toxicity, "op2_jaccard_join": op2_jaccard_join, "op3_chat": op3_chat, "op4_bpe": op4_bpe, "op5_embedding_dedup": op5_embedding_dedup, "op6_secrets": op6_secrets, "op7_quality": op7_quality, "op8_warc": op8_warc, "op9_decontamination": op9_decontamination, "op10_training_order": op10_training_order}
+    return {"op1_toxicity": op1_toxicity, "op2_jaccard_join": op2_jaccard_join, "op3_chat": op3_chat, "op4_bpe": op4_bpe, "op5_embedding_dedup": op5_embedding_dedup, "op6_secrets": op6_secrets, "op7_quality": op7_quality, "op8_warc": op8_warc, "op9_decontamination": op9_decontamination, "op10_training_order": op10_training_order, "op11_mixing": op11_mixing, "op12_alignment": op12_alignment, "op13_whitening": op13_whitening}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_jaccard_join": OP2_SQL, "op3_chat": OP3_SQL, "op8_warc": OP8_SQL, "op9_decontamination": OP9_SQL}
+    return {"op2_jaccard_join": OP2_SQL, "op3_chat": OP3_SQL, "op8_warc": OP8_SQL, "op9_decontamination": OP9_SQL, "op11_mixing": OP11_SQL}
