@@ -103,11 +103,11 @@ def run_refine(spark: SparkSession, a: argparse.Namespace) -> None:
     terms = dictionary.renumber(dictionary.term_seed(files.terms(spark, f"{a.dict_dir}/terms.csv"), pairs), ["seq"])
     rows = segments.text_lines(segments.transcript_lines(files.transcripts(spark, a.source, not a.no_srt)))
     known = [(r["wrong"], r["right"]) for r in pairs.orderBy("seq").collect()]
-    once = rewrite.fold_lines(rows, known).drop("counts")
+    once = rewrite.fold_lines(rows, known).drop("uses")
     found = mining.suggest_replacements(mining.token_counts(once), terms, pairs, a.min_wrong_freq, a.similarity_cutoff, a.max_new_replaces)
     found.write.mode("overwrite").parquet(f"{a.output}/replacements")
     new = [(r["wrong"], r["right"]) for r in spark.read.parquet(f"{a.output}/replacements").collect()]  # at most max_new_replaces
-    twice = rewrite.fold_lines(once, new).drop("counts")
+    twice = rewrite.fold_lines(once, new).drop("uses")
     mining.suggest_terms(mining.stem_counts(mining.token_counts(twice)), terms, a.min_term_freq, a.max_new_terms).write.mode("overwrite").parquet(f"{a.output}/terms")
     if not a.dry_run:
         twice.write.mode("overwrite").parquet(f"{a.output}/lines")

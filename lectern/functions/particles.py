@@ -56,16 +56,23 @@ def is_particle_variant(wrong: Column, right: Column) -> Column:
     return F.exists(_specs(), lambda s: _ends_in(wrong, s) & _ends_in(right, s))
 
 
-def expand_pairs(pairs: DataFrame) -> DataFrame:
-    """(seq, wrong, right) to (ord, wrong, right, base_wrong, base_right), in order, each pair once.
+def forms_of(pairs: DataFrame) -> DataFrame:
+    """(seq, k, wrong, right, base_wrong, base_right) of pairs (seq, wrong, right): each pair (k 0) and its forms with each particle.
 
-    Every pair is followed by its forms with each particle, the particle of either side chosen
-    by that side's stem; a pair met again keeps its first place and base.
+    The particle of either side is chosen by that side's stem.
     """
     fits = is_expandable_stem(F.col("wrong")) & is_expandable_stem(F.col("right")) & ~is_particle_variant(F.col("wrong"), F.col("right"))
     forms = F.transform(_specs(), lambda s: F.struct(F.concat("wrong", with_particle(F.col("wrong"), s)).alias("w"), F.concat("right", with_particle(F.col("right"), s)).alias("r")))
     own = F.array(F.struct(F.col("wrong").alias("w"), F.col("right").alias("r")))
     rows = pairs.select("seq", F.col("wrong").alias("base_wrong"), F.col("right").alias("base_right"), F.posexplode(F.concat(own, F.when(fits, forms).otherwise(F.array().cast("array<struct<w:string,r:string>>")))).alias("k", "x"))
-    rows = rows.select("seq", "k", F.col("x.w").alias("wrong"), F.col("x.r").alias("right"), "base_wrong", "base_right")
+    return rows.select("seq", "k", F.col("x.w").alias("wrong"), F.col("x.r").alias("right"), "base_wrong", "base_right")
+
+
+def expand_pairs(pairs: DataFrame) -> DataFrame:
+    """(seq, wrong, right) to (ord, wrong, right, base_wrong, base_right): pairs and their forms in order, each once.
+
+    A pair met again keeps its first place and base.
+    """
+    rows = forms_of(pairs)
     first = F.row_number().over(Window.partitionBy("wrong", "right").orderBy("seq", "k"))
     return rows.withColumn("first", first).where("first = 1").select((F.col("seq") * (len(PARTICLES) + 1) + F.col("k")).alias("ord"), "wrong", "right", "base_wrong", "base_right")

@@ -13,10 +13,10 @@ from lectern.functions.text import has_hangul, is_auto_pair, lines, strip
 
 # Grammatical tails in the order in which one is peeled, and endings that reject a term.
 TAILS = (
-    *("으로는", "로는", "이라면", "라면", "다면은", "다면", "에는", "에서", "으로", "하다", "했다", "하는", "하게", "하며", "하면"),
-    *("하죠", "해요", "입니다", "이다", "라고", "하고", "이며", "에게", "부터", "까지", "처럼", "다", "께서", "께"),
-    *("의", "를", "을", "은", "는", "이", "가", "에", "도", "만", "와", "과"),
-)
+    "으로는", "로는", "이라면", "라면", "다면은", "다면", "에는", "에서", "으로", "하다", "했다", "하는", "하게", "하며", "하면",
+    "하죠", "해요", "입니다", "이다", "라고", "하고", "이며", "에게", "부터", "까지", "처럼", "다", "께서", "께",
+    "의", "를", "을", "은", "는", "이", "가", "에", "도", "만", "와", "과",
+)
 REJECT = ("다면", "한다", "했다", "해요", "하고", "가면", "해질", "하는", "한")
 MARKER = r"^\s*@@\s*override\s*:\s*(.+?)\s*=>\s*(.+?)\s*$"
 

@@ -2,31 +2,27 @@
 
 from __future__ import annotations
 
-import difflib
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions.text import digits_to_sino, has_hangul, tokens
+from lectern.operators.similar import closest
 
 # Suffixes peeled from tokens, endings of words that are no terms, and stop words.
 SUFFIXES = (
-    *("으로", "에게", "에서", "부터", "까지", "처럼", "하고", "이라", "라고", "라는", "이면", "이나", "이며", "이예요", "이에요", "입니다", "예요"),
-    *("죠", "요", "은", "는", "이", "가", "을", "를", "와", "과", "도", "만", "에", "로", "별", "께서", "께", "의"),
-)
+    "으로", "에게", "에서", "부터", "까지", "처럼", "하고", "이라", "라고", "라는", "이면", "이나", "이며", "이예요", "이에요", "입니다", "예요",
+    "죠", "요", "은", "는", "이", "가", "을", "를", "와", "과", "도", "만", "에", "로", "별", "께서", "께", "의",
+)
 ENDINGS = ("합니다", "했다", "하는", "하면", "하고", "해서", "하죠", "하잖아요", "거든요", "테니까요", "아니고", "라고", "니까", "네요", "요", "다")
 TERM_ENDINGS = ("하잖아", "하잖아요", "하고", "하고요", "이고", "인가", "이라고", "라고", "거예요", "할거예요", "아", "어", "고", "요", "죠", "까", "네")
 STOPWORDS = (
-    *("오늘", "부터", "어떻게", "고민", "많이", "어쨌든", "최대한", "뭐라", "그럴까", "이렇게", "기존", "생각", "시도", "왜", "그래서", "이것", "이게"),
-    *("자기", "스스로", "얘기", "정답", "지나치게들", "대한", "작업", "작업들", "맞다", "틀리다", "접근", "중요", "먼저", "염두", "보시기", "바랍니다"),
-    *("그냥", "우리", "주변", "모든", "부분", "부분들"),
-)
+    "오늘", "부터", "어떻게", "고민", "많이", "어쨌든", "최대한", "뭐라", "그럴까", "이렇게", "기존", "생각", "시도", "왜", "그래서", "이것", "이게",
+    "자기", "스스로", "얘기", "정답", "지나치게들", "대한", "작업", "작업들", "맞다", "틀리다", "접근", "중요", "먼저", "염두", "보시기", "바랍니다",
+    "그냥", "우리", "주변", "모든", "부분", "부분들",
+)
 #: Similarity below this is never suggested.
 LEAST_SIMILAR = 0.85
 ONE_CHAR_SUFFIX, ONE_CHAR_SCORE = "별", 0.70
-#: Known terms that every task may hold for comparison.
-MOST_TERMS = 100_000
 
 
 def _by_length() -> list[str]:
@@ -69,41 +65,6 @@ def typo_candidates(counts: DataFrame, terms: DataFrame, pairs: DataFrame, least
     return rows.where((F.length("stem") >= 2) & spoken(F.col("stem"))).join(right, "stem", "left_anti")
 
 
-def closest(stem: str, terms: list[str], cutoff: float) -> tuple[str, float] | None:
-    """The most similar term, if the stem's own similarity to it and their lengths allow it."""
-    found = difflib.get_close_matches(stem, terms, n=1, cutoff=cutoff)
-    if not found:
-        return None
-    ratio = difflib.SequenceMatcher(None, stem, found[0]).ratio()
-    return (found[0], ratio) if abs(len(stem) - len(found[0])) <= 1 and ratio >= cutoff else None
-
-
-def similar_terms(stems: DataFrame, terms: list[str], cutoff: float) -> DataFrame:
-    """(stem, match, score) for distinct stems of three characters or more.
-
-    Only terms whose length can reach the cutoff are compared; the length test of the result
-    comes after the best match is chosen, so it cannot narrow them further.
-    """
-    if len(terms) > MOST_TERMS:
-        raise ValueError(f"over {MOST_TERMS} terms: compare them in parts")
-    by_length: dict[int, list[str]] = {}
-    for t in terms:
-        by_length.setdefault(len(t), []).append(t)
-    told = stems.sparkSession.sparkContext.broadcast(({t: i for i, t in reversed(list(enumerate(terms)))}, by_length))
-
-    def rows(batches):
-        place, sized = told.value
-        for batch in batches:
-            out = []
-            for stem in batch.column(0).to_pylist():
-                near = [t for n, ts in sized.items() if 2 * min(n, len(stem)) >= cutoff * (n + len(stem)) for t in ts]
-                if got := closest(stem, sorted(near, key=place.__getitem__), cutoff):
-                    out.append((stem, *got))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.string()), pa.array([r[1] for r in out], pa.string()), pa.array([r[2] for r in out], pa.float64())], ["stem", "match", "score"])
-
-    return stems.select("stem").where("length(stem) >= 3").distinct().mapInArrow(rows, "stem string, match string, score double")
-
-
 def one_char_matches(stems: DataFrame, terms: DataFrame) -> DataFrame:
     """(stem, match): terms of equal length that differ in one place, first those with the same first character.
 
@@ -125,11 +86,10 @@ def suggest_replacements(counts: DataFrame, terms: DataFrame, pairs: DataFrame,
     """
     cutoff = max(cutoff, LEAST_SIMILAR)
     rows = typo_candidates(counts, terms, pairs, least)
-    ordered = terms.where(~F.contains("term", F.lit(" "))).groupBy("term").agg(F.min("seq").alias("seq")).orderBy("seq").limit(MOST_TERMS + 1)
-    plain = [r["term"] for r in ordered.collect()]
+    plain = terms.where(~F.contains("term", F.lit(" "))).select("term")
     spelt = rows.select("stem").distinct().where("stem rlike '[0-9]'").select("stem", digits_to_sino(F.col("stem")).alias("spelt")).where("spelt <> stem")
     spelt = spelt.join(terms.select(F.col("term").alias("spelt")).distinct(), "spelt")
-    near = similar_terms(rows, plain, cutoff)
+    near = closest(rows.select("stem"), plain, cutoff)
     single = one_char_matches(rows.where(F.col("suffix") == ONE_CHAR_SUFFIX), terms).withColumnRenamed("match", "single")
     out = rows.join(spelt, "stem", "left").join(near, "stem", "left").join(single, "stem", "left")
     with_suffix = lambda c: F.struct(F.concat(c, F.col("suffix")).alias("right"))

@@ -2,7 +2,8 @@
 
 Small literal rule sets fold inside the JVM.  Rules with gates on each match, or many of them,
 run in one vectorised pass over the texts with the rules broadcast; one projection a rule would
-make the plan as deep as the rule table.
+make the plan as deep as the rule table.  There an automaton finds the literal rules that can fire
+(operators/fold.py), so time does not grow with the rules.
 """
 
 from __future__ import annotations
@@ -16,9 +17,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.text import around, changed_chars, contains_any, is_srt_text, let, occurrences
+from lectern.operators.fold import Ordered, fold_many, usage
 
 #: Characters on either side of a match that a context may use; the match itself is part of it.
 WINDOW = 120
+#: Up to so many literal rules fold inside the JVM, where each costs a scan of every text.
+FEW_RULES = 32
 _WORD = re.compile("[가-힣A-Za-z0-9]")
 STATS = "array<struct<stage:string,ord:long,wrong:string,right:string,applied:long,skipped:long>>"
 
@@ -35,24 +39,32 @@ def fold_literals(text: Column, rules: list[tuple[str, str]]) -> Column:
 
 
 def fold_lines(lines: DataFrame, rules: list[tuple[str, str]], text_col: str = "text") -> DataFrame:
-    """Lines with the rules applied longest first; adds counts, in that order, and rule order as wrongs.
+    """Lines with the rules applied longest first; adds uses, an array of (ord, n) of rules in that order.
 
     Only text lines of subtitles change: a column is_srt marks the files.
     """
-    ordered = sorted(rules, key=lambda r: -len(r[0]))
+    ordered = by_length(rules)
     text = F.col(text_col)
     able = ~F.col("is_srt") | is_srt_text(text) if "is_srt" in lines.columns else F.lit(True)
+    if len(ordered) > FEW_RULES:
+        return fold_many(lines.withColumn("__able", able), _ranked(lines, ordered), text_col, "__able").drop("__able")
     done = F.when(able, fold_literals(text, ordered)).otherwise(fold_literals(text, []))
-    return lines.withColumn("__f", done).withColumn("counts", F.col("__f.counts")).withColumn(text_col, F.col("__f.text")).drop("__f")
+    uses = F.filter(F.transform("__f.counts", lambda n, i: F.struct(i.cast("long").alias("ord"), n.alias("n"))), lambda u: u["n"] > 0)
+    return lines.withColumn("__f", done).withColumn("uses", uses).withColumn(text_col, F.col("__f.text")).drop("__f")
+
+
+def by_length(rules: Iterable[tuple[str, str]]) -> list[tuple[str, str]]:
+    """Rules with something to look for, longest first; equal lengths keep their order."""
+    return sorted((r for r in rules if r[0]), key=lambda r: -len(r[0]))
+
+
+def _ranked(table: DataFrame, ordered: list[tuple[str, str]]) -> DataFrame:
+    return table.sparkSession.createDataFrame([(i, w, r) for i, (w, r) in enumerate(ordered)], "ord long, wrong string, right string")
 
 
 def rule_usage(folded: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     """(wrong, right, uses) over all lines of fold_lines(), for rules that were used."""
-    ordered = sorted(rules, key=lambda r: -len(r[0]))
-    names = F.array(*(F.struct(F.lit(w).alias("wrong"), F.lit(r).alias("right")) for w, r in ordered))
-    rows = folded.select(F.posexplode("counts").alias("i", "n")).where("n > 0").groupBy("i").agg(F.sum("n").alias("uses"))
-    rows = rows.select(F.get(names, F.col("i")).alias("r"), "uses").select("r.wrong", "r.right", "uses")
-    return rows.groupBy("wrong", "right").agg(F.sum("uses").alias("uses"))
+    return usage(folded, _ranked(folded, by_length(rules)))
 
 
 def gated_replace(text: Column, wrong: str, right: str, include: Iterable[str] = (), exclude: Iterable[str] = (), window: int = WINDOW) -> Column:
@@ -207,12 +219,18 @@ def _family_allowed(rule: FamilyRule):
     return allowed
 
 
-def rewrite_text(text: str, rules: Rules, overrides: Iterable[tuple[str, str]] = (), is_raw: bool = False) -> tuple[str, list[tuple]]:
+def literal_stages(rules: Rules) -> tuple[Ordered, Ordered]:
+    """The rules' pairs and stable literals, made ready once for many texts."""
+    return Ordered(rules.literals), Ordered(rules.stable)
+
+
+def rewrite_text(text: str, rules: Rules, overrides: Iterable[tuple[str, str]] = (), is_raw: bool = False, ready: tuple[Ordered, Ordered] | None = None) -> tuple[str, list[tuple]]:
     """The text after all stages, and (stage, ord, wrong, right, applied, skipped).
 
     Stages: override, regex (contextual, family, compound and plain ones), pair, stable.
     """
     t = _Text(text)
+    pairs, stable = ready or literal_stages(rules)
     for wrong, right in sorted(overrides, key=lambda r: -len(r[0])):
         t.literal("override", wrong, right)
     if rules.topic_rules:
@@ -231,22 +249,13 @@ def rewrite_text(text: str, rules: Rules, overrides: Iterable[tuple[str, str]] =
                 tally[r.wrong, r.right] = tally.get((r.wrong, r.right), 0) + n
         for (wrong, right), n in sorted(tally.items(), key=lambda x: (len(x[0][0]), x[0][0]), reverse=True):
             t.count("regex", wrong, right, n)
-    for pair in rules.literals:
-        if pair[0] not in t.text:
-            continue
-        before, out, last, applied, skipped = t.text, [], 0, 0, 0
-        for m in re.finditer(re.escape(pair[0]), before):
-            if _passes(rules, pair, before, *m.span(), is_raw):
-                out += [before[last : m.start()], pair[1]]
-                last = m.end()
-                applied += 1
-            else:
-                skipped += 1
-        t.text = "".join([*out, before[last:]])
-        t.count("pair", *pair, applied, skipped)
+    t.text, met = pairs.fold(t.text, lambda i, before, start, end: _passes(rules, rules.literals[i], before, start, end, is_raw))
+    for i, applied, skipped in met:
+        t.count("pair", *rules.literals[i], applied, skipped)
     if rules.topic_rules:
-        for wrong, right in rules.stable:
-            t.literal("stable", wrong, right)
+        t.text, met = stable.fold(t.text)
+        for i, applied, _ in met:
+            t.count("stable", *rules.stable[i], applied)
         for pattern, right in rules.stable_regexes:
             t.text, n = re.subn(pattern, right, t.text)
             t.count("stable", pattern, right, n)
@@ -266,12 +275,13 @@ def rewrite(docs: DataFrame, rules: Rules, overrides: list[tuple[str, str, str]]
 
     def rows(batches):
         given, extra = told.value
+        ready = literal_stages(given)
         for batch in batches:
             texts, stats, wrong = [], [], []
             for path, text, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 own = [(w, r) for p, w, r in extra if p.match(path or "")]
                 try:
-                    new, counted = rewrite_text(text or "", given, own, bool(raw))
+                    new, counted = rewrite_text(text or "", given, own, bool(raw), ready)
                     wrong.append(None)
                 except Exception as e:
                     if not keep_going:

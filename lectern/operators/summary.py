@@ -14,23 +14,24 @@ from lectern.operators.segments import sentence_rows
 
 # Words that are no keywords.
 STOPWORDS = (
-    *("이렇게", "그렇죠", "그러니까", "거예요", "거에요", "이게", "그게", "있는", "있어요", "있고", "있습니다", "하는데", "하면은", "그", "이", "저", "요"),
-    *("그리고", "그런데", "그래서", "하지만", "때문", "부분", "정도", "이런", "저런", "그냥", "지금", "경우", "대한", "이야기", "내용", "있다", "없다"),
-    *("한다", "된다", "합니다", "하는", "에서", "으로", "까지", "에게", "하기", "하면", "때", "것", "수", "좀", "더", "등", "관련", "통해", "기준", "상태"),
-    *("부분들", "부분이", "것들", "하죠", "하는거", "같은", "이런식", "여기", "저기", "이번", "저번", "이제", "먼저", "다시", "사실"),
-)
-# Words of themes of a text without keywords, headings and sentences of a study text.
-NO_THEMES = (("핵심", "개념"), ("구조", "관계"), ("응용", "실전"))
-NO_SENTENCE = "핵심 개념 중심으로 내용이 전개됩니다."
+    "이렇게", "그렇죠", "그러니까", "거예요", "거에요", "이게", "그게", "있는", "있어요", "있고", "있습니다", "하는데", "하면은", "그", "이", "저", "요",
+    "그리고", "그런데", "그래서", "하지만", "때문", "부분", "정도", "이런", "저런", "그냥", "지금", "경우", "대한", "이야기", "내용", "있다", "없다",
+    "한다", "된다", "합니다", "하는", "에서", "으로", "까지", "에게", "하기", "하면", "때", "것", "수", "좀", "더", "등", "관련", "통해", "기준", "상태",
+    "부분들", "부분이", "것들", "하죠", "하는거", "같은", "이런식", "여기", "저기", "이번", "저번", "이제", "먼저", "다시", "사실",
+)
+# Headings, by which other tools find the parts of a study text.
 HEADINGS = ("## 🔖 핵심 주제별로 나눠서 정리해줘", "## 📑 시험문제를 만들어줘", "## 📗 꼭 공부해야 할 내용을 알려줘", "### 핵심 키워드 정의", "### 단계별 이해 흐름")
-QUESTION = "- 예상 문제(%s): `%s`과(와) `%s`의 관계를 설명하시오."
-ANSWER = "- 정답 및 해설: `%s`은(는) 강의의 핵심 축이며, `%s`과(와)의 상호작용을 통해 실제 해석 기준이 정리됩니다."
-DEFINITION = "- **%s**: 강의 흐름에서 반복적으로 등장하며 개념 연결의 기준이 되는 핵심 용어."
+#: Words of themes of a text without keywords, and this library's own wording of what stands in a study text.
+NO_THEMES = (("요점", "용어"), ("짜임", "연결"), ("쓰임", "사례"))
+NO_SENTENCE = "이 주제의 낱말이 든 문장이 없습니다."
+QUESTION = "- 문제(%s): `%s`와(과) `%s`는 서로 어떻게 이어집니까?"
+ANSWER = "- 풀이: `%s`의 뜻을 먼저 밝히고, 본문에서 `%s`와(과) 함께 쓰인 자리를 들어 설명합니다."
+DEFINITION = "- **%s**: 본문에 자주 나오는 낱말. 처음 나온 문장에서 뜻을 찾아 적어 두세요."
 FLOW = (
-    "1. 기본 개념 정의: 용어의 뜻과 범위를 먼저 확정한다.",
-    "2. 관계 정리: 개념 간 연결(원인-결과, 대비, 포함)을 구조화한다.",
-    "3. 적용 연습: 사례 문장에 개념을 대입해 해석 기준을 점검한다.",
-    "4. 오개념 교정: 유사 개념을 구분하고 혼동 포인트를 정리한다.",
+    "1. 낱말의 뜻을 본문에서 찾아 적는다.",
+    "2. 함께 나오는 낱말끼리 줄로 잇는다.",
+    "3. 이은 낱말로 새 문장을 지어 본다.",
+    "4. 헷갈린 낱말은 문제를 다시 풀며 고친다.",
 )
 KEYWORDS, THEME_SIZE, THEMES, CONCEPTS = 16, 4, 3, 5
 

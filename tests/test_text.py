@@ -207,10 +207,10 @@ def test_study_texts(spark):
     got = {r["path"]: r["text"].split("\n") for r in summary.study_texts(summary.sections(docs, ["오행", "음양"])).collect()}
     a, b = got["a/오행 기초.txt"], got["b.txt"]
     assert a[:5] == ["# 오행 기초 요약", "", summary.HEADINGS[0], "", "### 주제 1. 오행, 음양"] and a[5].startswith("- ") and a[-2:] == [summary.FLOW[-1], ""]
-    assert [x for x in a if x.startswith("## ")] == list(summary.HEADINGS[:3]) and sum(x.startswith("- 정답 및 해설") for x in a) == 5
-    assert b[4:7] == ["### 주제 1. 핵심, 개념", f"- {summary.NO_SENTENCE}", ""] and sum(x.startswith("### 주제") for x in b) == 3
+    assert [x for x in a if x.startswith("## ")] == list(summary.HEADINGS[:3]) and sum(x.startswith("- 풀이") for x in a) == 5
+    assert b[4:7] == [f"### 주제 1. {', '.join(summary.NO_THEMES[0])}", f"- {summary.NO_SENTENCE}", ""] and sum(x.startswith("### 주제") for x in b) == 3
     at = a.index("1. 개념: " + a[a.index(summary.HEADINGS[1]) + 2].removeprefix("1. 개념: "))
-    assert a[at + 1].startswith("- 예상 문제(객관식)") and a[at + 2].startswith("- 정답 및 해설")
+    assert a[at + 1].startswith("- 문제(객관식)") and a[at + 2].startswith("- 풀이")
 
 
 def test_markers_are_taken_out_and_files_of_segments(spark):
