@@ -13,13 +13,17 @@ other), invalid (arguments that break the schema or are not JSON).
 
 Defined results: nulls in text read as empty text; rows without an identifier, or of no kind or
 another one, are messages of their own and come first; arguments that are nested too deeply to be read, or
-hold half a surrogate pair, are invalid and kept as a string; ties between rows with one identifier go by their JSON; an empty
+hold half a surrogate pair or a number beyond doubles, are invalid and kept as a string; whole numbers may have any length; ties between rows with one identifier go by their JSON; an empty
 table gives an empty result.  Other columns play no part.
 """
 
 from __future__ import annotations
 
+import contextlib
 import json
+import math
+import sys
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,6 +38,24 @@ def canonical(value) -> str:
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
 
 
+@contextlib.contextmanager
+def _any_digits() -> Iterator[None]:
+    """Whole numbers may have as many digits as there are."""
+    most = sys.get_int_max_str_digits()
+    sys.set_int_max_str_digits(0)
+    try:
+        yield
+    finally:
+        sys.set_int_max_str_digits(most)
+
+
+def _double(digits: str) -> float:
+    value = float(digits)
+    if math.isinf(value):
+        raise OverflowError(digits)
+    return value
+
+
 def violations(value, schema: dict, at: str = "$") -> list[str]:
     """What breaks a schema: type, enum, required, properties, additionalProperties, items and bounds."""
     kinds = schema.get("type", [])
@@ -73,11 +95,14 @@ def _serialise(schemas: dict[str, dict]):
                 wrong = []
                 if kind == "call":
                     try:
-                        value = json.loads(arguments or "", parse_constant=lambda c: float("nan"))
-                        canonical(value).encode()
+                        with _any_digits():
+                            value = json.loads(arguments or "", parse_constant=lambda c: float("nan"), parse_float=_double)
+                            canonical(value).encode()
                         wrong = [f"unknown tool {name}"] if name not in schemas else violations(value, schemas[name])
                     except RecursionError:
                         value, wrong = arguments, ["arguments are nested too deeply"]
+                    except OverflowError:
+                        value, wrong = arguments, ["a number is beyond doubles"]
                     except ValueError:  # also half a surrogate pair, which no UTF-8 text can hold
                         value, wrong = arguments, ["arguments are not JSON"]
                     message = {"role": "assistant", "tool_call": {"arguments": value, "id": call, "name": name}}
@@ -85,7 +110,8 @@ def _serialise(schemas: dict[str, dict]):
                     message = {"content": content or "", "role": "tool", "tool_call_id": call}
                 else:
                     message = {"content": content or "", "role": role}
-                out.append(canonical(message))
+                with _any_digits():
+                    out.append(canonical(message))
                 errors.append("; ".join(wrong) or None)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string()), pa.array(errors, pa.string())], [*batch.schema.names, "json", "errors"])
 
@@ -108,16 +134,21 @@ def _depths(calls: DataFrame) -> DataFrame:
     return now.select("call_id", F.when(F.col("jump").isNull(), F.col("depth")).alias("depth"))
 
 
+#: Columns of the result besides those kept.
+RESULT = ("call_id", "status", "position", "errors", "json")
+
+
 def link(messages: DataFrame, schemas: dict[str, dict], keep: list[str]) -> DataFrame:
     """Per row of messages: the columns in keep, call_id, status, position, errors, json.
 
     messages has keep, kind (call, result or message), role, call_id, after (the identifier of
     the call that a call follows), name, arguments (JSON) and content.  position orders the
-    rows of one chain of calls: 0 for messages, then each call before its result.
+    rows of one chain of calls: 0 for messages, then each call before its result.  A column in keep
+    with a name of RESULT comes back with kept_ before its name.
     """
-    fields = [*keep, "kind", "role", "call_id", "after", "name", "arguments", "content"]
+    kept = F.struct(F.lit(None).cast("int").alias("none"), *(F.col(c).alias(f"keep{i}") for i, c in enumerate(keep))).alias("__keep")
     linked = F.col("call_id").isNotNull() & F.col("kind").isin("call", "result")
-    rows = messages.select(*fields).withColumn("kind", F.when(linked, F.col("kind")).otherwise("message"))
+    rows = messages.select(kept, "kind", "role", "call_id", "after", "name", "arguments", "content").withColumn("kind", F.when(linked, F.col("kind")).otherwise("message"))
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     rows = cut(rows.mapInArrow(_serialise(schemas), f"{types}, json string, errors string"), "chat-rows")
     calls = rows.where("kind = 'call'").groupBy("call_id").agg(F.min(F.struct("json", "after")).alias("first"), F.count("*").alias("times"))
@@ -140,7 +171,8 @@ def link(messages: DataFrame, schemas: dict[str, dict], keep: list[str]) -> Data
         .otherwise(F.col("kind"))
     )
     position = F.when(F.col("kind") == "message", 0).otherwise(F.col("depth") * 2 + F.when(F.col("kind") == "call", 1).otherwise(2))
-    return out.select(*keep, "call_id", status.alias("status"), position.cast("long").alias("position"), "errors", "json")
+    named = (F.col(f"__keep.keep{i}").alias(f"kept_{c}" if c in RESULT else c) for i, c in enumerate(keep))
+    return out.select(*named, "call_id", status.alias("status"), position.cast("long").alias("position"), "errors", "json")
 
 
 #: Schema of the tool that a conversation's user turns are taken to call.

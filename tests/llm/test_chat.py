@@ -88,3 +88,30 @@ def test_turns(spark):
 )
 def test_violations(value, schema, bad):
     assert len(chat.violations(value, schema)) == bad
+
+
+def test_numbers_of_any_size(spark):
+    digits = "-" + "7" * 6000
+    rows = [
+        (1, 1, "call", "a", "b1", None, "count", '{"n": %s}' % digits, None, "x", 1),
+        (1, 2, "call", "a", "b2", None, "count", '{"n": 1e999}', None, "x", 1),
+        (1, 3, "call", "a", "b3", None, "count", '{"n": NaN}', None, "x", 1),
+        (1, 4, "call", "a", "b4", None, "count", '{"n": 1.50e2}', None, "x", 1),
+    ]
+    schema = {"type": "object", "properties": {"n": {"type": "number", "maximum": 200}}}
+    got = {r["turn"]: r for r in chat.link(spark.createDataFrame(rows, FIELDS), {"count": schema}, ["turn"]).collect()}
+    assert got[1]["json"] == '{"role":"assistant","tool_call":{"arguments":{"n":%s},"id":"b1","name":"count"}}' % digits and got[1]["errors"] is None
+    assert [got[i]["errors"] for i in (2, 3, 4)] == ["a number is beyond doubles", "arguments are not JSON", None]
+    assert '"n":150.0' in got[4]["json"] and json.loads(got[2]["json"])["tool_call"]["arguments"] == rows[1][7]
+
+
+def test_kept_columns_with_the_names_of_others(spark):
+    names = ["json", "errors", "times", "answered", "depth", "first_json", "uses", "status", "kind", "call_id", "__none", "__keep"]
+    more = [c for c in names if c not in ("json", "depth", "kind", "call_id")]
+    rows = [(1, 1, "call", "a", "k", None, "respond", '{"prompt":"p","turn":1}', None, "own json", 5, *range(len(more))), (1, 2, "result", "t", "k", None, None, None, "r", None, 6, *range(len(more)))]
+    df = spark.createDataFrame(rows, FIELDS + "".join(f", `{c}` int" for c in more))
+    out = chat.link(df, {"respond": chat.RESPOND}, names)
+    assert out.columns == [f"kept_{c}" if c in chat.RESULT else c for c in names] + list(chat.RESULT)
+    got = {r["kind"]: r for r in out.collect()}
+    assert got["call"]["kept_json"] == "own json" and got["call"]["status"] == "call" and got["call"]["depth"] == 5 and got["result"]["uses"] == more.index("uses")
+    assert chat.link(df, {"respond": chat.RESPOND}, []).columns == list(chat.RESULT)
