@@ -10,7 +10,7 @@ The models are fitted on a bounded sample of labelled rows (SAMPLE); every text
 
 Defined results: null and empty texts have no words and are scored by the intercepts; rows whose
 labels are null in a category of the chain do not train; repeated labels of a document count as
-one row with the largest values; without both values of a category in the sample its
+one row with the largest values; equal texts of one id train once, and of an id with very many texts a share; without both values of a category in the sample its
 probability is their share and nothing is marked; repeated rows each get a row; an empty table
 gives an empty result.  Other columns play no part.
 """
@@ -151,17 +151,22 @@ def _word_sets(batches):
 
 def train(docs: DataFrame, labels: DataFrame, names: list[str], id_col: str = "doc_id", text_col: str = "text") -> Chain:
     """labels: id_col and a 0/1 column for each name."""
-    known = labels.select(F.col(id_col).alias("__id"), *(F.col(c).cast("int").alias(c) for c in names)).dropna().groupBy("__id").agg(*(F.max(c).alias(c) for c in names))
+    own = [f"__label{j}" for j in range(len(names))]
+    known = labels.select(F.col(id_col).alias("__id"), *(F.col(c).cast("int").alias(o) for c, o in zip(names, own, strict=True))).dropna().groupBy("__id").agg(*(F.max(o).alias(o) for o in own))
     n = max(1, known.count())
     order = F.xxhash64(F.col("__id").cast("string"))
     sample = known.where(F.pmod(order, F.lit(1_000_000)) < int(1e6 * min(1.0, SAMPLE / n)) + 1)
-    rows = docs.select(F.col(text_col).alias("t"), F.col(id_col).alias("__id")).join(F.broadcast(sample), "__id")  # about SAMPLE rows, by the filter above
-    rows = rows.select("t", *names, order.alias("order")).mapInArrow(_word_sets, "words array<binary>, " + ", ".join(f"{c} int" for c in names) + ", order long")
+    rows = docs.select(F.col(text_col).alias("__text"), F.col(id_col).alias("__id")).join(F.broadcast(sample), "__id")  # about SAMPLE ids, by the filter above
+    rows = rows.select("__text", *own, order.alias("__order"), F.xxhash64("__text").alias("__row")).dropDuplicates(["__order", "__row"])
+    texts_n = rows.select("__order", "__row").count()  # many texts may share an id
+    if texts_n > 2 * SAMPLE:
+        rows = rows.where(F.pmod(F.xxhash64("__order", "__row"), F.lit(1_000_000)) < int(1e6 * SAMPLE / texts_n))
+    rows = rows.select("__text", *own, "__order", "__row").mapInArrow(_word_sets, "words array<binary>, " + ", ".join(f"{o} int" for o in own) + ", __order long, __row long")
     number: dict[bytes, int] = {}
     got = []
     for r in rows.toLocalIterator():
-        got.append((r["order"], np.array([number.setdefault(bytes(w), len(number)) for w in r["words"]], np.int32), [r[c] for c in names]))
-    got.sort(key=lambda g: (g[0], g[2]))
+        got.append((r["__order"], np.array([number.setdefault(bytes(w), len(number)) for w in r["words"]], np.int32), [r[o] for o in own], r["__row"]))
+    got.sort(key=lambda g: (g[0], g[2], g[3]))
     seen = np.bincount(np.concatenate([g[1] for g in got]) if got else np.zeros(0, np.int32), minlength=len(number))
     known = [w if n >= LEAST_DOCS else None for w, n in zip(number, seen.tolist(), strict=True)]  # rarer words cannot be chosen
     del number
