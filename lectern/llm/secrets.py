@@ -5,6 +5,7 @@ ordinary identifiers, are trained from labelled samples.  A token that no base s
 added where the log-likelihood ratio of the two models is high, in all and per character.
 
 Defined results: null reads as empty text, which has no spans; repeated rows each get a row;
+repeated rows are one sample;
 ties in start go by kind, in the order of KINDS; an empty table gives an empty result and
 models that rest on generated samples alone.  Other columns of the input play no part.
 """
@@ -90,9 +91,9 @@ def labelled_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """(label, x): 1 for random strings, 0 for ordinary identifiers; bounded by SAMPLE_DOCS and GENERATED."""
     spark = docs.sparkSession
     rows = max(1, docs.count())
-    part = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1_000_000)) < max(1, int(1e6 * min(1.0, SAMPLE_DOCS / rows)))
+    row = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    some = docs.where(part).select(text.alias("t"))
+    some = docs.select(row.alias("h"), text.alias("t")).where(F.pmod("h", F.lit(1_000_000)) < max(1, int(1e6 * min(1.0, SAMPLE_DOCS / rows)))).dropDuplicates(["h"])
     values = some.select(F.explode(F.regexp_extract_all("t", F.lit(ASSIGN), F.lit(2))).alias("x")).where(F.length("x") >= ASSIGN_VALUE)
     ids = spark.range(GENERATED).select(F.sha2(F.col("id").cast("string"), 256).alias("h"))
     made = [
