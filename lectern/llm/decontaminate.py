@@ -6,7 +6,8 @@ substring hit is a hit on whole words.  Block shift tables skip positions where
 end, a suffix and prefix block select the windows to test, and a direct comparison confirms.
 
 Defined results: null and empty texts have no words and no hits; an item without words has no
-window; repeated rows each get a row; an empty benchmark marks nothing; an empty table gives an
+window; windows of an item without an id hit like others, but it is not among the items found; rows with
+one item id are one item; repeated rows each get a row; an empty benchmark marks nothing; an empty table gives an
 empty result.  Other columns of the input play no part.
 """
 
@@ -134,7 +135,7 @@ class Matcher:
                 k = int(np.searchsorted(first, start, "right")) - 1
                 at = int(spaces[start] - spaces[first[k]])
                 out[k][1].update(range(at, at + p.count(b" ") - 1))
-                out[k][2].update(self.items[p])
+                out[k][2].update(i for i in self.items[p] if i is not None)
         return out
 
 
@@ -147,7 +148,7 @@ def _tables(benchmark: DataFrame, id_col: str, text_col: str, size: int) -> Iter
             pairs = [(w, i) for t, i in zip(texts_of(batch.column(1)), batch.column(0).to_pylist(), strict=True) for w in set(windows_of(words_of(t), size))]
             yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.string())], ["w", "item"])
 
-    pairs = benchmark.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("t")).where("item is not null").mapInArrow(cut_up, "w binary, item string").distinct()
+    pairs = benchmark.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("t")).mapInArrow(cut_up, "w binary, item string").distinct()
     pairs = cut(pairs.withColumn("part", F.pmod(F.xxhash64("w"), F.lit(1 << 20))).sortWithinPartitions("part"), "benchmark-windows")
     shards = pairs.count() // WINDOWS_PER_TABLE + 1
     some = []

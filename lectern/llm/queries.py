@@ -99,7 +99,7 @@ dwins AS (
   FROM docs, sizes, LATERAL (SELECT unnest(generate_series(1, len(w) - n + 1)) AS i) WHERE len(w) >= n),
 hits AS (SELECT d.doc_id, d.i, d.n, w.item_id FROM dwins d JOIN wins w ON d.s = w.s AND d.n = w.n),
 words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM hits) GROUP BY 1),
-found AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY 1)
+found AS (SELECT doc_id, count(item_id) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY 1)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs d LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)

@@ -16,17 +16,17 @@ def split(t):
 
 
 def brute(rows, items, size=10):
-    wins = {i: {tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))} for i, t in items if (w := split(t)) and i is not None}
+    wins = {(k, i): {tuple(w[j : j + size]) for j in range(max(1, len(w) - size + 1))} for k, (i, t) in enumerate(items) if (w := split(t))}
     out = []
     for key, text in rows:
         w = split(text)
         hit, found = set(), set()
-        for i, ws in wins.items():
+        for (_, i), ws in wins.items():
             for x in ws:
                 for k in range(len(w) - len(x) + 1):
                     if tuple(w[k : k + len(x)]) == x:
                         hit.update(range(k, k + len(x)))
-                        found.add(str(i))
+                        found.update([str(i)] * (i is not None))
         ids = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
         out.append((key, len(w), len(hit), len(found), ids, bool(hit)))
     return sorted(out, key=str)
