@@ -108,7 +108,7 @@ def _blocks(blob, width):
             for k, ids in zip(hashes, ids_of(enc, texts_of(batch.column("text"))), strict=True):
                 old = held.get(k)
                 held[k] = (old[0], old[1] + 1) if old else (ids + end, 1)
-                size += 0 if old else len(ids) + width
+                size += len(ids) + width  # copies count, so those of one text go to several blocks
             if size >= BLOCK_BYTES:
                 yield from block_rows(block, held)
                 block, size, held = block + 1, 0, {}

@@ -175,3 +175,16 @@ def test_ids_of_any_width_come_back(spark, tmp_path, monkeypatch, width):
     if width > 1:
         with pytest.raises(Exception, match="is END"):
             to.materialise(spark.createDataFrame([(1, bytearray(b"\xff" * width))], "doc_id long, ids binary"), str(tmp_path / "x"), text_col="ids", width=width)
+
+
+def test_copies_of_one_text_go_to_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(to, "BLOCK_BYTES", 4000)
+    monkeypatch.setattr(to, "slices", lambda batches, column, most: (b.slice(k, 10) for b in batches for k in range(0, b.num_rows, 10)))
+    rows = [(1, "copy " * 20)] * 300 + [(i, words(20, i)) for i in range(2, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    some = docs.selectExpr("xxhash64(doc_id) AS h", "xxhash64(doc_id, text) AS h2", "text").mapInArrow(to._blocks(None, 1), to._BLOCK_SQL).where("kind = 0").collect()
+    each = {}
+    for r in some:
+        each[r["block"]] = each.get(r["block"], 0) + r["n"] * r["copies"]
+    assert max(each.values()) <= 4000 + 10 * 200 and sum(r["copies"] for r in some) == len(rows)
+    assert sorted((r["slot"], r["ids_sha256"]) for r in to.round_trip(docs).collect()) == sorted((r["slot"], r["ids_sha256"]) for r in to.round_trip(docs.repartition(3)).collect())
