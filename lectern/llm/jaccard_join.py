@@ -39,8 +39,8 @@ from lectern.llm.common import ASCII_LOWER, WordHashes, bloom_filter, bloom_keys
 SKETCH, SKETCH_BLOCKS = 1 << 21, 64
 #: Longest multiple match that a document may ask for.
 MOST_MATCHES = 8
-#: A task reports tokens that it lists so often; the most of them that are treated as hot, and the fewest documents of one.
-OFTEN, MOST_HOT, LEAST_HOT = 32, 100_000, 1_000
+#: The most tokens that are treated as hot, and the fewest documents of one.
+MOST_HOT, LEAST_HOT = 100_000, 1_000
 #: Cost of verifying a candidate, in postings.
 VERIFY_COST = 8.0
 
@@ -188,13 +188,18 @@ def _maybe(batches, some):
         yield from slices([batch.filter(pa.array(in_bloom(some.value, bloom_keys(batch.column(0)))))], 1)
 
 
-def _postings(size, levels, some, noise, per, of):
-    """Rows of the prefixes (kind 0), tokens that a task lists often (kind 1, n is how often), and bitmaps of sets (kind 2)."""
+def _postings(size, levels, some, noise, per, of, limit):
+    """Rows of the prefixes (kind 0), tokens that may be listed limit times in all (kind 1, n is how often here), and bitmaps of sets (kind 2).
+
+    The sketch never counts a token too seldom, so those that it saw fewer times need no count.
+    """
+    least = np.floor(4 * np.log2(1.0 + limit))
     names = ["kind", "token", "id", "n", "want", "at", "bits"]
 
     def often(tokens: list[np.ndarray]) -> pa.RecordBatch:
         token, n = np.unique(np.concatenate(tokens) if tokens else np.zeros(0, np.int64), return_counts=True)
-        token, n = token[n >= OFTEN], n[n >= OFTEN]
+        many = levels.value[_bucket(token.view(np.uint64))] >= least
+        token, n = token[many], n[many]
         none = [pa.nulls(len(token), t) for t in (pa.int64(), pa.int8(), pa.int32(), pa.binary())]
         return pa.RecordBatch.from_arrays([pa.array(np.ones(len(token), np.int8)), pa.array(token), none[0], pa.array(n.astype(np.int32)), *none[1:]], names)
 
@@ -280,9 +285,9 @@ def group(docs: DataFrame, size: int = 4, per: int = 85, of: int = 100, id_col:
     noise = float(2.0 ** (np.median(levels) / 4.0) - 1.0) * 1.5
     sc = docs.sparkSession.sparkContext
     told, some = sc.broadcast(levels), sc.broadcast(bloom_filter(classes.select("class_id")))
-    postings = cut(texts.mapInArrow(_postings(size, told, some, noise, per, of), "kind byte, token long, id long, n int, want byte, at int, bits binary"), "jaccard-postings")
+    limit = max(LEAST_HOT, (rows.agg(F.sum("n")).first()[0] or 0) // MOST_HOT)  # so there are at most MOST_HOT hot tokens
+    postings = cut(texts.mapInArrow(_postings(size, told, some, noise, per, of, limit), "kind byte, token long, id long, n int, want byte, at int, bits binary"), "jaccard-postings")
     often = postings.where("kind = 1").groupBy("token").agg(F.sum("n").alias("n"))
-    limit = max(LEAST_HOT, postings.where("kind = 0").count() // MOST_HOT)  # so there are at most MOST_HOT of them
     hot = cut(often.where(F.col("n") >= limit).select("token"), "jaccard-hot")
     listed, maps = postings.where("kind = 0").drop("kind", "bits"), postings.where("kind = 2").select("id", "n", "bits")
     shared = _over_token(listed, hot, {"low": F.min("id"), "high": F.max("id"), "head": F.min(F.struct("at", "id", "n", "want"))}).where("low < high")
