@@ -308,7 +308,7 @@ def _encode(blobs, stripes, key_type):
     def block_rows(block, shard, docs, links, n_b) -> Iterator[pa.RecordBatch]:
         n = len(docs)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([DOC] * n, pa.int32()), pa.array([-1] * n, pa.int32()), pa.array([block] * n, pa.int64()), pa.array([block] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
+            [pa.array([DOC] * n, pa.int32()), pa.array([-1] * n, pa.int32()), pa.array([block + i for i in range(n)], pa.int64()), pa.array([block] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
              pa.array([d[0] for d in docs], key_arrow), pa.array([d[1] for d in docs], pa.list_(pa.int64())), pa.array([d[2] for d in docs], pa.string())],
             schema=fields,
         )
