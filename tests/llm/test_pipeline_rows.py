@@ -25,7 +25,7 @@ def test_rows_without_an_id_and_with_one_id_are_judged_by_themselves(spark, tmp_
     junk = " ".join(rng.choice("!@#$%^&*") * 9 for _ in range(200))
     other = words(80, 5000) + ". "
     rows = [*good.items(), (None, other), (None, other + "tail"), (None, good[7] + "tail"), (None, junk), (260, junk)]  # 260 has no label
-    rows += [(11, good[11])] * 3
+    rows += [(11, good[11])] * 3 + [(12, third := words(90, 6000) + ".")]  # another text of document 12
     sf = str(tmp_path / "sf")
     write(spark, sf, [(i, t, "en", "src", len(t)) for i, t in rows])
     docs = spark.read.parquet(f"{sf}/documents.parquet")
@@ -38,7 +38,7 @@ def test_rows_without_an_id_and_with_one_id_are_judged_by_themselves(spark, tmp_
     left = corpus_pipeline.near_duplicate_stage(spark, docs, sf)
     assert left.columns == docs.columns
     left = [(r["doc_id"], r["text"]) for r in left.collect()]
-    assert sorted(x for x in left if x[0] is not None) == sorted(good.items())
+    assert sorted(x for x in left if x[0] is not None) == sorted([*good.items(), (12, third)])
     assert len(bare := [t for i, t in left if i is None]) == 1 and bare[0] in (other, other + "tail")
 
 
