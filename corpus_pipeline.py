@@ -1,7 +1,7 @@
 """A training-data pipeline: quality, near-duplicates, decontamination, secrets, tokens.
 
 Defined results: every stage judges rows, also those without an id; null and empty texts are
-rejected by the quality stage; repeated rows of one id are one document from the second stage on;
+rejected by the quality stage; rows with one id and one text are one document from the second stage on;
 extra columns, whatever their names, are kept up to the last stage; an empty table gives an empty result.
 
 Each stage takes (spark, docs, sf_dir) and returns a table that is written as Parquet and reread
@@ -29,20 +29,24 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates, one row: that with the smallest id.
+    """Of each group of near-duplicates, one row: that with the smallest id, a null id last.
 
-    Rows without an id are grouped too, under ids from 1 << 62 up made of their texts, so a
-    document with an id is kept rather than they.  Rows with one id count as one document, of
-    which the row with the least text stays.
+    A document is an id with a text, so texts under one id that are no near-duplicates all stay, as do
+    texts without an id.  Of rows with one id and one text, that with the smallest hash of the row stays.
     """
     ship(spark)
-    made = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
-    named = docs.select(F.coalesce(F.col("doc_id").cast("long"), made).alias("__id"), F.struct(*docs.columns).alias("__row"), F.coalesce("text", F.lit("")).alias("__text"))
-    rows = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), made))
-    groups = jaccard_join.group(rows, size=SHINGLE_WORDS, per=SIMILAR, id_col="__id")
-    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    one = named.groupBy("__id").agg(F.min_by("__row", "__text").alias("__row"))
-    return one.join(kept, "__id", "left_semi").select("__row.*")
+    own = F.xxhash64(F.col("doc_id").cast("string"), "text").alias("__own")
+    rows = docs.select(own, F.xxhash64(*docs.columns, F.lit(1)).alias("__hash"), F.struct(*docs.columns).alias("__row"))
+    groups = jaccard_join.group(rows.select("__own", F.col("__row.text").alias("text")), size=SHINGLE_WORDS, per=SIMILAR, id_col="__own")
+    narrow = rows.select("__own", "__hash", F.col("__row.doc_id").alias("id")).groupBy("__own").agg(F.min("__hash").alias("__hash"), F.min("id").alias("id"))
+    named = narrow.join(groups.select(F.col("doc_id").alias("__own"), "component_id").distinct(), "__own")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "__own", "__hash")).alias("first")
+    kept = cut(named.groupBy("component_id").agg(first).select("first.__own", "first.__hash"), "pipeline-kept")
+    some = rows.join(kept, ["__own", "__hash"], "left_semi")
+    repeated = cut(rows.groupBy("__own", "__hash").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "pipeline-repeated")
+    alone = some.join(repeated, ["__own", "__hash"], "left_anti")
+    one = some.join(repeated, ["__own", "__hash"], "left_semi").dropDuplicates(["__own", "__hash"])
+    return alone.unionByName(one).select("__row.*")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
