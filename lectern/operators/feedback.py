@@ -14,6 +14,7 @@ each manual pair comes back.
 
 from __future__ import annotations
 
+import math
 from dataclasses import replace
 from typing import NamedTuple
 
@@ -24,7 +25,8 @@ from pyspark.sql import functions as F
 from lectern.functions.particles import expand_pairs, forms_of
 from lectern.functions.text import is_auto_pair
 from lectern.operators.dictionary import first_by
-from lectern.operators.rewrite import STATS, Rules, literal_stages, rewrite_text
+from lectern.operators.fold import Ordered
+from lectern.operators.rewrite import STATS, Rules, rewrite_text
 
 Pair = tuple[str, str]
 
@@ -48,13 +50,47 @@ def lessons(pairs: DataFrame, manual: DataFrame) -> Lessons:
     return Lessons(known, extra, forms)
 
 
-def rules_at(given: Rules, table: Lessons, taught: list[Pair]) -> Rules:
-    """The rules of a file after these pairs were taught, in that order."""
-    bases: dict[Pair, Pair] = {}
-    rows = [*((w, r, (bw, br)) for w, r, bw, br in table.known), *((w, r, p) for p in taught for w, r in table.forms[p]), *((w, r, (w, r)) for w, r in table.manual)]
-    for w, r, base in rows:
-        bases.setdefault((w, r), base)
-    return replace(given, literals=tuple(sorted(bases, key=lambda p: -len(p[0]))), bases=bases)
+class _InTime:
+    """All rules that a guess makes, in order, of which a file has those of its place.
+
+    A taught pair's forms hold after the file that taught it.  A manual rule that is also such a form holds
+    at its own place in the order up to then, and at that of the form afterwards.
+    """
+
+    def __init__(self, table: Lessons, first: dict[Pair, tuple[int, int]]):
+        rows: list[tuple[Pair, Pair, float, float]] = []  # rule, its base, after which place it holds, up to which
+        known: dict[Pair, float] = {}
+        for w, r, bw, br in table.known:
+            known[w, r] = -math.inf
+            rows.append(((w, r), (bw, br), -math.inf, math.inf))
+        for p, (place, _) in sorted(first.items(), key=lambda x: x[1]):
+            for form in table.forms[p]:
+                if form not in known:
+                    known[form] = place
+                    rows.append((form, p, place, math.inf))
+        seen = set()
+        for pair in table.manual:
+            if pair not in seen and known.get(pair, math.inf) > -math.inf:
+                rows.append((pair, pair, -math.inf, known.get(pair, math.inf)))
+            seen.add(pair)
+        rows.sort(key=lambda x: -len(x[0][0]))
+        self.rows = rows
+        self.ordered = Ordered(x[0] for x in rows)
+        self.entries: dict[Pair, list[int]] = {}
+        for i, x in enumerate(rows):
+            self.entries.setdefault(x[0], []).append(i)
+        self.place = 0
+
+    def holds(self, i: int) -> bool:
+        _, _, after, until = self.rows[i]
+        return after < self.place <= until
+
+    def fold(self, text: str, gate=None):
+        return self.ordered.fold(text, gate, self.holds)
+
+    def get(self, pair: Pair, default=None):
+        """The base of a rule at this place."""
+        return next((self.rows[i][1] for i in self.entries.get(pair, ()) if self.holds(i)), default)
 
 
 def _walk(told, given, keep: bool):
@@ -63,24 +99,19 @@ def _walk(told, given, keep: bool):
 
     def rows(batches):
         table, first = told.value
-        order = sorted(first.items(), key=lambda x: x[1])
-        ready: dict[int, tuple] = {}
+        now = _InTime(table, first)
+        own = replace(given, literals=tuple(x[0] for x in now.rows), bases=now)
+        ready = now, Ordered(given.stable)
         best: dict[Pair, tuple[int, int]] = {}
         for batch in batches:
             texts, stats = [], []
             for place, text in zip(batch.column("place").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                n = sum(at[0] < place for _, at in order)  # how many pairs the files before have taught
-                if n not in ready:
-                    if len(ready) > 64:
-                        ready.clear()
-                    own = rules_at(given, table, [p for p, _ in order[:n]])
-                    ready[n] = own, literal_stages(own)
-                own, stages = ready[n]
-                new, counted = rewrite_text(text or "", own, ready=stages)
+                now.place = place
+                new, counted = rewrite_text(text or "", own, ready=ready)
                 texts.append(new)
                 stats.append([dict(zip(fields, s, strict=True)) for s in counted])
                 for stage, k, wrong, right, applied, _ in counted:
-                    base = own.bases.get((wrong, right)) if stage == "pair" and applied else None
+                    base = now.get((wrong, right)) if stage == "pair" and applied else None
                     if base in table.forms and (place, k) < best.get(base, (place + 1, 0)):
                         best[base] = place, k
             if keep:

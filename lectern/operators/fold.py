@@ -90,11 +90,11 @@ class Ordered:
             some.update(own)
         return some
 
-    def fold(self, text: str, gate: Gate | None = None) -> tuple[str, list[tuple[int, int, int]]]:
+    def fold(self, text: str, gate: Gate | None = None, holds: Callable[[int], bool] | None = None) -> tuple[str, list[tuple[int, int, int]]]:
         """The text after all rules, and (rule, applied, skipped) of those that met it, in order.
 
         gate(rule, text, start, end) may hold a match back; every match of a rule sees the text as it was
-        before the rule.
+        before the rule.  Rules for which holds(rule) is not true are as if they were not there.
         """
         if not text or not self.longest:
             return text, []
@@ -103,6 +103,8 @@ class Ordered:
         stats = []
         while waiting:
             i = heapq.heappop(waiting)
+            if holds and not holds(i):
+                continue
             wrong, right = self.rules[i]
             at = text.find(wrong)
             if at < 0:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lectern.operators.align import greedy
+from lectern.operators.running import running
+
 #: Up to so many patterns are compared with every line; an automaton holds up to MOST_PATTERNS at once.
 FEW_PATTERNS, MOST_PATTERNS = 64, 200_000
 
@@ -122,31 +124,24 @@ def totals(hits: DataFrame, files: DataFrame) -> DataFrame:
     return scanned.crossJoin(hits.agg(F.count("*").alias("total_hits"), F.countDistinct("match_kind", "pattern").alias("unique_groups")))
 
 
-def _walk(script: pd.DataFrame, corrected: pd.DataFrame) -> pd.DataFrame:
-    """Each script line takes the next corrected entry with its text; after a line without one, none is left."""
-    path = script["path"].iloc[0] if len(script) else None
-    times, rest = [], iter(corrected.sort_values("line_no")[["text", "timestamp"]].itertuples(index=False))
-    script = script.sort_values("line_no")
-    for text in script["text"]:
-        times.append(next((e.timestamp for e in rest if e.text == text), ""))
-    return pd.DataFrame({"path": path, "line_no": script["line_no"], "timestamp": times})
-
-
 def align(script: DataFrame, corrected: DataFrame) -> DataFrame:
     """(path, line_no, timestamp) of script lines (path, line_no, text), by a greedy merge in order.
 
     corrected has (path, line_no, timestamp, text).  Files whose lines agree one by one join on
-    their ranks; only the others are merged, a file at a time.
+    their ranks; only the others are merged.
     """
-    by = Window.partitionBy("path").orderBy("line_no")
-    s = script.withColumn("rank", F.row_number().over(by))
-    c = corrected.withColumn("rank", F.row_number().over(by)).select("path", "rank", F.col("text").alias("said"), "timestamp")
+    s = running(script.select("path", "line_no", "text"), ["path"], "line_no", F.lit(1), "rank")
+    c = running(corrected.select("path", "line_no", "text", "timestamp"), ["path"], "line_no", F.lit(1), "rank")
+    c = c.select("path", "rank", F.col("text").alias("said"), "timestamp")
     joined = s.join(c, ["path", "rank"], "left")
     odd = joined.where("said IS NULL OR said <> text").select("path").distinct()
-    quick = joined.join(odd, "path", "left_anti").select("path", "line_no", "timestamp")
-    slow = script.join(odd, "path", "left_semi").groupBy("path").cogroup(corrected.join(odd, "path", "left_semi").groupBy("path"))
-    merged = slow.applyInPandas(_walk, "path string, line_no int, timestamp string").where("line_no IS NOT NULL")
-    return quick.select("path", F.col("line_no").cast("int").alias("line_no"), "timestamp").unionByName(merged)
+    quick = joined.join(odd, "path", "left_anti").select("path", F.col("line_no").cast("int").alias("line_no"), "timestamp")
+    paths = [F.col("path").alias("of")]
+    return quick.unionByName(greedy(_of(script, odd.select(*paths)), _of(corrected, odd.select(*paths))))
+
+
+def _of(rows: DataFrame, paths: DataFrame) -> DataFrame:
+    return rows.join(paths, F.col("path") == F.col("of"), "left_semi")
 
 
 def with_times(hits: DataFrame, times: DataFrame) -> DataFrame:

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions import text as fx
-from lectern.functions.particles import PARTICLES, expand_pairs
-from lectern.operators import dictionary, generate, mining, rewrite, search, segments, summary
+from lectern.operators import generate, mining, rewrite, search, segments, summary
+from lectern.plans import derived
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,32 +19,8 @@ PATTERNS = ("the", "and", "password", "idiot", "Licensed under", "token = ", "ci
 FOLD = (("thth", "th"), ("and", "und"), ("und", "&"), ("er er", "er"), ("ciónn", "n"), ("the ", "The "))
 GATE = ("the", "THE", ("ing",), ("tion",))
 TERMS = ("the", "and", "tion", "ción", "ung", "eaux", "password", "idiot")
-DIGITS = ("제3장", "12월 25일", "2024년", "0007", "10000원", "100", "1", "없음", "305호 20번")
-STYLE_TEXTS = (
-    ("full", "## 핵심 주제별 정리\n내용\n## 핵심 개념 맵\n내용\n## 시험 포인트\n내용\n## 실전 주의사항\n" + "끝까지 쓴 내용입니다. " * 30),
-    ("cut", "## 핵심 주제별 정리\n내용\n## 핵심 개념 맵\n내용\n## 시험 포인트\n내용\n" + "내용 " * 100 + "\n## 실전 주의사항"),
-    ("short", "## 핵심 주제별 정리\n## 핵심 개념 맵\n## 시험 포인트\n## 실전 주의사항\n끝"),
-    ("blank", "  \n"),
-    ("plain", "제목 없는 글 " * 60),
-)
-PAIRS = ((0, "정제", "정재"), (1, "갑묵", "갑목"), (2, "사과", "사주"), (3, "오행이", "오행을"), (4, "정제", "정재"), (5, "물", "불"), (6, "abc", "abd"), (7, "오행은", "음양은"))
-OLD_PAIRS = ((0, "갑묵", "갑목"), (1, "새말", "헌말"))
-MARKS = (
-    ("a.txt", 0, "@@ override: 틀린 => 맞는"), ("a.txt", 1, "보통 줄"), ("a.txt", 2, "  @@override:다른=>바른  "), ("b.txt", 0, "@@ override: 틀린 => 새로운"), ("a.txt", 3, "@@ override: 틀린 => 다시"),
-)
-OVERRIDES = ((0, "a.txt", "틀린", "맞는", "n"), (1, "b.txt", "그대로", "둔다", ""))
-TIMED = (
-    ("x", 1, "소개"), ("x", 2, "00:05"), ("x", 3, "첫 줄"), ("x", 4, ""), ("x", 5, "둘째 줄"), ("x", 6, "1:02:03 화자 2"), ("x", 7, "셋째 줄"), ("y", 1, "12:34"), ("y", 2, "혼자"),
-)
-TRANSCRIPT = "00:01\n\n\n안녕하세요\n  둘째  \n\n\n00:05 화자 1\n\n\n끝\n\n"
 MINED = "정재 정재는 정제 정제는 3합 3합이 비겹별 육합 육합을 식신격 편재성 편제성 편재성과"
-MINE_TERMS = ("정재", "삼합", "비겁", "육합", "식신", "편재성")
-PAYLOADS = (
-    (1, '{"output_text": "  바로 "}'), (2, '{"output":[{"content":[{"type":"output_text","text":"가"},{"type":"x","text":"나"},{"type":"text","text":" 다 "}]}]}'),
-    (3, '{"choices":[{"message":{"content":" 골라 "}}]}'), (4, '{"candidates":[{"content":{"parts":[{"text":"a"},{"text":" "},{"text":"b"}]}},{"content":{"parts":[{"text":"c"}]}}]}'), (5, "{}"),
-)
 GLOBS = ("http://*", "*.example.com/en/*", "*/[0-4]*", "*page=?&*", "*[!x]")
-SEGMENTS = ((0.0, 1.5, " 안녕 "), (1.5, 2.0, "  "), (2.0, 3.0005, "둘째   줄"), (3661.25, 3662.0015, "끝"))
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -171,10 +147,6 @@ def word_boundary(spark, sf_dir):
     return _docs(spark, sf_dir).select("path", F.regexp_count("text", F.lit(fx.whole_word("the"))).cast("long").alias("n"))
 
 
-def digits_to_sino(spark, sf_dir):
-    return _values(spark, ((d,) for d in DIGITS), "t string").select("t", fx.digits_to_sino(F.col("t")).alias("spoken"))
-
-
 def compound_regex(spark, sf_dir):
     done = rewrite.rewrite(_docs(spark, sf_dir), rewrite.Rules(compounds=(("(t)h(e)", r"\1-\2"),)))
     return done.select(F.col("path").cast("long"), F.aggregate("stats", F.lit(0).cast("long"), lambda n, s: n + s["applied"]).alias("n"), F.md5("corrected").alias("text_md5"))
@@ -211,38 +183,12 @@ SQL |= {
     "change_metrics": f"WITH c AS (SELECT doc_id AS path, text AS a, {_CHANGED} AS b FROM documents), l AS (SELECT path, string_split(a, '') AS x, string_split(b, '') AS y FROM c) SELECT path, CAST(len(list_filter(generate_series(1, least(len(x), len(y))), lambda i: x[i] <> y[i])) + abs(len(x) - len(y)) AS BIGINT) AS changed_chars FROM l",
     "context_gate": _GATE_SQL,
     "word_boundary": "SELECT doc_id AS path, CAST(len(list_filter(string_split_regex(text, '[^가-힣A-Za-z0-9]'), lambda w: w = 'the')) AS BIGINT) AS n FROM documents",
-    "digits_to_sino": "SELECT * FROM " + _sql_values((("제3장", "제삼장"), ("12월 25일", "십이월 이십오일"), ("2024년", "이천이십사년"), ("0007", "칠"), ("10000원", "10000원"), ("100", "백"), ("1", "일"), ("없음", "없음"), ("305호 20번", "삼백오호 이십번")), "t, spoken"),
     "compound_regex": "SELECT doc_id AS path, CAST(len(regexp_extract_all(text, 'the')) AS BIGINT) AS n, md5(replace(text, 'the', 't-e')) AS text_md5 FROM documents",
 }
 
 # Segments --------------------------------------------------------------------------------------
 
 
-def script_lines(spark, sf_dir):
-    return _values(spark, [("t", TRANSCRIPT), ("empty", ""), ("times", "00:01\n00:02\n")], "path string, text string").select("path", segments.script_text(F.col("text")).alias("script"))
-
-
-def timestamp_ffill(spark, sf_dir):
-    return segments.timed_entries(_values(spark, TIMED, "path string, line_no int, text string"))
-
-
-def aligned_lines(spark, sf_dir):
-    script = _values(spark, [("x", 1, "첫 줄"), ("x", 2, "둘째 줄"), ("x", 3, "셋째 줄"), ("y", 1, "혼자"), ("z", 1, "가"), ("z", 2, "없음"), ("z", 4, "나")], "path string, line_no int, text string")
-    timed = segments.timed_entries(_values(spark, [r for r in TIMED if r[2] != "소개"], "path string, line_no int, text string"))
-    other = _values(spark, [("z", 1, "0:01", "가"), ("z", 2, "0:02", "나")], "path string, line_no int, timestamp string, text string")
-    return search.align(script, timed.unionByName(other))
-
-
-def srt_text_lines(spark, sf_dir):
-    rows = _values(spark, [("a.srt", "1\n00:00:01,000 --> 00:00:02,000\n말 하나\n\n2\n00:00:03,000 --> 00:00:04,500\n말 둘\n"), ("b.txt", "1\n줄\n"), ("c.txt", "")], "path string, text string")
-    return segments.text_lines(segments.transcript_lines(rows))
-
-
-def srt_blocks(spark, sf_dir):
-    rows = _values(spark, (("v", *s) for s in SEGMENTS), "path string, start double, end double, text string")
-    return segments.srt(rows)
-
-
 def sentences(spark, sf_dir):
     return segments.sentence_rows(_docs(spark, sf_dir)).select("path", "pos", F.md5("sentence").alias("sentence_md5"))
 
@@ -254,12 +200,6 @@ def chunk_pack(spark, sf_dir):
 
 
 SQL |= {
-    "script_lines": "SELECT * FROM " + _sql_values((("t", "안녕하세요\n둘째\n\n끝\n"), ("empty", ""), ("times", "")), "path, script"),
-    "timestamp_ffill": f"""WITH r AS (SELECT *, CASE WHEN regexp_matches(text, '^([0-9]{{1,2}}:)?[0-9]{{1,2}}:[0-9]{{2}}( *화자 *[0-9]+)?$') THEN regexp_extract(text, '^(([0-9]{{1,2}}:)?[0-9]{{1,2}}:[0-9]{{2}})', 1) END AS label FROM {_sql_values(TIMED, 'path, line_no, text')})
-SELECT path, line_no, timestamp, text FROM (SELECT *, coalesce(last_value(label IGNORE NULLS) OVER (PARTITION BY path ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), '') AS timestamp FROM r) WHERE label IS NULL AND text <> ''""",
-    "aligned_lines": "SELECT * FROM " + _sql_values((("x", 1, "00:05"), ("x", 2, "00:05"), ("x", 3, "1:02:03"), ("y", 1, "12:34"), ("z", 1, "0:01"), ("z", 2, ""), ("z", 4, "")), "path, line_no, timestamp"),
-    "srt_text_lines": "SELECT * FROM " + _sql_values((("a.srt", 3, "말 하나", True), ("a.srt", 7, "말 둘", True), ("b.txt", 1, "1", False), ("b.txt", 2, "줄", False), ("c.txt", 1, "", False)), "path, line_no, text, is_srt"),
-    "srt_blocks": "SELECT * FROM " + _sql_values((("v", 1, "1\n00:00:00,000 --> 00:00:01,500\n안녕\n"), ("v", 2, "2\n00:00:02,000 --> 00:00:03,000\n둘째 줄\n"), ("v", 3, "3\n01:01:01,250 --> 01:01:02,002\n끝\n")), "path, idx, block"),
     "sentences": f"SELECT path, pos, md5(sentence) AS sentence_md5 FROM {_SENT_ROWS}",
 }
 
@@ -279,25 +219,6 @@ def stem_counts(spark, sf_dir):
     return mining.stem_counts(mining.token_counts(lines)).select("token", "count")
 
 
-def _mined(spark):
-    lines = _values(spark, [("a", 1, MINED)], "path string, line_no int, text string")
-    return mining.token_counts(lines), _values(spark, enumerate(MINE_TERMS), "seq long, term string"), _values(spark, [], "seq long, wrong string, right string")
-
-
-def fuzzy_suggest(spark, sf_dir):
-    return mining.suggest_replacements(*_mined(spark)).select("wrong", "right", "count", "reason", F.round("score", 6).alias("score"))
-
-
-def one_char_suggest(spark, sf_dir):
-    stems = _values(spark, [("비겹",), ("육함",), ("정제",), ("없다",)], "stem string")
-    return mining.one_char_matches(stems, _values(spark, enumerate(MINE_TERMS), "seq long, term string"))
-
-
-def affix_terms(spark, sf_dir):
-    counts, terms, _ = _mined(spark)
-    return mining.suggest_terms(mining.stem_counts(counts), terms, least=1)
-
-
 def affix_related(spark, sf_dir):
     stems = mining.token_counts(segments.numbered_lines(_docs(spark, sf_dir))).select("token")
     return mining.related_to_terms(stems, _values(spark, enumerate(TERMS), "seq long, term string"))
@@ -327,21 +248,6 @@ def theme_sentences(spark, sf_dir):
     return picked.select("path", "theme", "n", F.md5("sentence").alias("sentence_md5"))
 
 
-def concept_ring(spark, sf_dir):
-    docs = _values(spark, [("강의/오행 기초-2.script.txt", "오행 오행 음양 음양 음양 관계 생극"), ("x.txt", "")], "path string, text string")
-    return summary.concepts(docs, summary.keywords(docs, ["오행"]))
-
-
-def biased_scores(spark, sf_dir):
-    docs = _values(spark, [("a", "오행 오행이 음양 word 그리고"), ("b", "")], "path string, text string")
-    return summary.biased_scores(docs, ["오행", "없음"])
-
-
-def study_sections(spark, sf_dir):
-    docs = _values(spark, [("강의/오행 기초.txt", "오행은 나무와 불과 흙과 쇠와 물입니다. 음양은 오행의 바탕이 되는 생각입니다.\n나무는 불을 낳고 불은 흙을 낳습니다.")], "path string, text string")
-    return summary.sections(docs, ["오행", "음양"]).select("path", "part", "n", "line")
-
-
 _KEYS = f"""
 WITH dom AS (SELECT doc_id AS path, t AS keyword, (length(text) - length(replace(text, t, ''))) // length(t) AS count FROM documents, (SELECT unnest({_list(TERMS[3:])}) AS t) WHERE contains(text, t)),
 w AS (SELECT doc_id AS path, unnest(list_concat(regexp_extract_all(text, '[가-힣]{{2,}}'), regexp_extract_all(lower(text), '[a-z]{{2,}}'))) AS keyword FROM documents),
@@ -357,7 +263,6 @@ SQL |= {
     "token_counts": f"SELECT token, count(*) AS count FROM (SELECT unnest({_TOKENS}) AS token FROM documents) GROUP BY token",
     "token_topk": f"SELECT path, token, count, row_number() OVER (PARTITION BY path ORDER BY count DESC, token) AS rank FROM (SELECT doc_id AS path, token, count(*) AS count FROM (SELECT doc_id, unnest({_TOKENS}) AS token FROM documents) GROUP BY ALL) QUALIFY rank <= 5",
     "stem_counts": f"SELECT stem AS token, count(*) AS count FROM (SELECT regexp_replace(token, '^(.{{2,}}?)({_SUFFIX})$', '\\1') AS stem FROM (SELECT unnest({_TOKENS}) AS token FROM (SELECT text FROM documents UNION ALL SELECT {_q(MINED)}))) WHERE length(stem) >= 2 GROUP BY stem",
-    "one_char_suggest": "SELECT * FROM " + _sql_values((("비겹", "비겁"), ("육함", "육합"), ("정제", "정재")), "stem, match"),
     "affix_related": f"SELECT DISTINCT token FROM (SELECT DISTINCT unnest({_TOKENS}) AS token FROM documents), (SELECT unnest({_list(t for t in TERMS if ' ' not in t)}) AS term) WHERE starts_with(token, term) OR suffix(token, term) OR (length(token) >= 2 AND (starts_with(term, token) OR suffix(term, token)))",
     "glossary_hits": f"SELECT doc_id AS path, i AS rank, h[i] AS term FROM (SELECT doc_id, list_filter({_list(TERMS)}, lambda t: contains(text, t))[1:3] AS h FROM documents), LATERAL (SELECT unnest(generate_series(1, len(h))) AS i)",
     "domain_counts": f"SELECT doc_id AS path, t AS term, (length(text) - length(replace(text, t, ''))) // length(t) AS count FROM documents, (SELECT unnest({_list(TERMS)}) AS t) WHERE contains(text, t)",
@@ -369,82 +274,11 @@ o AS (SELECT path, sentence, min(rank) AS rank FROM r GROUP BY ALL),
 h AS (SELECT o.path, theme, sentence, rank, len(list_filter(words, lambda w: contains(sentence, w))) > 0 AS hit FROM o JOIN th USING (path)),
 a AS (SELECT *, max(hit) OVER (PARTITION BY path, theme) AS any_hit FROM h WHERE hit OR length(sentence) >= 20)
 SELECT path, theme, row_number() OVER (PARTITION BY path, theme ORDER BY rank) AS n, md5(sentence) AS sentence_md5 FROM a WHERE hit OR NOT any_hit QUALIFY n <= 2""",
-    "concept_ring": "SELECT * FROM " + _sql_values((("강의/오행 기초-2.script.txt", 1, "오행", "기초"), ("강의/오행 기초-2.script.txt", 2, "기초", "음양"), ("강의/오행 기초-2.script.txt", 3, "음양", "관계"), ("강의/오행 기초-2.script.txt", 4, "관계", "생극"), ("강의/오행 기초-2.script.txt", 5, "생극", "오행"), *(("x.txt", i, f"핵심개념{i}", f"핵심개념{i % 5 + 1}") for i in range(1, 6))), "path, n, concept, peer"),
-    "biased_scores": "SELECT * FROM " + _sql_values((("a", "오행", 1003), ("a", "오행이", 1), ("a", "음양", 1)), "path, keyword, score"),
-}
-
-# Dictionaries ----------------------------------------------------------------------------------
-
-
-def _pairs(spark, rows):
-    return _values(spark, rows, "seq long, wrong string, right string")
-
-
-def dict_union(spark, sf_dir):
-    return dictionary.union_first(_pairs(spark, PAIRS), _pairs(spark, OLD_PAIRS), ["wrong", "right"]).select("wrong", "right")
-
-
-def dict_diff(spark, sf_dir):
-    return dictionary.difference(_pairs(spark, PAIRS), _pairs(spark, OLD_PAIRS), ["wrong", "right"])
-
-
-def dict_growth(spark, sf_dir):
-    applied = _values(spark, [(0, "갑묵", "갑목"), (1, "새 단 어", "긴말"), (2, "나쁜말", "좋은말"), (3, "나쁜말", "좋은말"), (4, "a.b", "ab")], "ord long, base_wrong string, base_right string")
-    return dictionary.grow_pairs(_pairs(spark, OLD_PAIRS), applied)
-
-
-def override_upsert(spark, sf_dir):
-    lines = _values(spark, MARKS, "path string, line_no int, text string")
-    existing = _values(spark, OVERRIDES, "seq long, path string, wrong string, right string, note string")
-    return dictionary.upsert_overrides(existing, dictionary.parse_markers(lines), "새").select("path", "wrong", "right", "note", "action")
-
-
-def particle_expand(spark, sf_dir):
-    return expand_pairs(_pairs(spark, PAIRS)).select("wrong", "right", "base_wrong", "base_right")
-
-
-def rule_order(spark, sf_dir):
-    return dictionary.assemble_rules(_pairs(spark, PAIRS), _pairs(spark, [(0, "아주긴틀린말", "맞는말"), (1, "정제", "정재")]))
-
-
-def term_normalise(spark, sf_dir):
-    rows = _values(spark, ((t,) for t in ("오행은", "음양", "하다", "사주한다", "두 말", "abc", "그는", "금이", "정재격이다")), "t string")
-    return rows.select("t", dictionary.normalise_term(F.col("t"), F.array(F.lit("음양"))).alias("term"))
-
-
-def finalised_paths(spark, sf_dir):
-    rows = _values(spark, ((f"a/{fx.FINAL_FOLDERS[0]}/b.txt",), (f"a/x{fx.FINAL_FOLDERS[0]}/b.txt",), ("b.txt",)), "path string")
-    return rows.select("path", fx.is_finalised(F.col("path")).alias("final"))
-
-
-_SPECS = "(SELECT * FROM " + _sql_values(((i + 1, *p) for i, p in enumerate(PARTICLES)), "k, closed, open, rieul") + ")"
-_FORM = "CASE WHEN NOT regexp_matches(right({0}, 1), '[가-힣]') THEN open WHEN (unicode(right({0}, 1)) - 44032) % 28 = 8 THEN rieul WHEN (unicode(right({0}, 1)) - 44032) % 28 > 0 THEN closed ELSE open END"
-SQL |= {
-    "dict_union": f"SELECT DISTINCT wrong, \"right\" FROM (SELECT * FROM {_sql_values(PAIRS + OLD_PAIRS, 'seq, wrong, \"right\"')})",
-    "dict_diff": f"SELECT * FROM {_sql_values(PAIRS, 'seq, wrong, \"right\"')} WHERE (wrong, \"right\") NOT IN (SELECT (wrong, \"right\") FROM {_sql_values(OLD_PAIRS, 'seq, wrong, \"right\"')})",
-    "dict_growth": "SELECT 2 AS seq, '나쁜말' AS wrong, '좋은말' AS \"right\"",
-    "override_upsert": "SELECT * FROM " + _sql_values((("a.txt", "틀린", "다시", "새", "updated"), ("b.txt", "그대로", "둔다", "", "kept"), ("a.txt", "다른", "바른", "새", "added"), ("b.txt", "틀린", "새로운", "새", "added")), "path, wrong, \"right\", note, action"),
-    "particle_expand": f"""
-WITH p AS (SELECT * FROM {_sql_values(PAIRS, 'seq, w, r')}),
-x AS (SELECT seq, 0 AS k, w AS wrong, r AS "right", w AS bw, r AS br FROM p
-  UNION ALL SELECT seq, k, concat(w, {_FORM.format('w')}), concat(r, {_FORM.format('r')}), w, r FROM p, {_SPECS} WHERE regexp_full_match(w, '[가-힣]{{2,}}') AND regexp_full_match(r, '[가-힣]{{2,}}') AND w <> '오행은')
-SELECT wrong, "right", arg_min(bw, seq * 100 + k) AS base_wrong, arg_min(br, seq * 100 + k) AS base_right FROM x GROUP BY ALL""",
-    "term_normalise": "SELECT * FROM " + _sql_values((("오행은", "오행"), ("음양", ""), ("하다", "하다"), ("사주한다", ""), ("두 말", ""), ("abc", ""), ("그는", "그는"), ("금이", "금이"), ("정재격이다", "정재격")), "t, term"),
-    "finalised_paths": "SELECT * FROM " + _sql_values(((f"a/{fx.FINAL_FOLDERS[0]}/b.txt", True), (f"a/x{fx.FINAL_FOLDERS[0]}/b.txt", False), ("b.txt", False)), "path, final"),
 }
 
 # Generation ------------------------------------------------------------------------------------
 
 
-def section_check(spark, sf_dir):
-    return _values(spark, STYLE_TEXTS, "name string, text string").select("name", generate.is_incomplete(F.col("text"), "summary").alias("incomplete"))
-
-
-def response_extract(spark, sf_dir):
-    rows = _values(spark, PAYLOADS, "id int, body string")
-    return rows.select("id", generate.openai_text(F.col("body")).alias("openai"), generate.gemini_text(F.col("body")).alias("gemini"))
-
-
 def run_status(spark, sf_dir):
     kinds = F.when(F.col("event_id") % 11 == 0, "failed").when(F.col("event_id") % 7 == 0, "partial").when(F.col("event_id") % 3 == 0, "skipped").otherwise("done")
     return generate.run_totals(_table(spark, sf_dir, "events").select(kinds.alias("status")))
@@ -468,8 +302,6 @@ def map_reduce_status(spark, sf_dir):
 
 
 SQL |= {
-    "section_check": "SELECT * FROM " + _sql_values((("full", False), ("cut", True), ("short", True), ("blank", True), ("plain", True)), "name, incomplete"),
-    "response_extract": "SELECT * FROM " + _sql_values(((1, "바로", ""), (2, "가\n\n다", ""), (3, "골라", ""), (4, "", "a\n\nb\n\nc"), (5, "", "")), "id, openai, gemini"),
     "run_status": "WITH s AS (SELECT CASE WHEN event_id % 11 = 0 THEN 'failed' WHEN event_id % 7 = 0 THEN 'partial' WHEN event_id % 3 = 0 THEN 'skipped' ELSE 'done' END AS s FROM events) SELECT count(*) AS total, count(*) FILTER (s = 'done') AS done, count(*) FILTER (s = 'partial') AS partial, count(*) FILTER (s = 'skipped') AS skipped, count(*) FILTER (s = 'failed') AS failed, CASE WHEN count(*) FILTER (s = 'failed') > 0 THEN 2 ELSE 0 END AS exit_code FROM s",
     "output_pending": "SELECT concat(source, '/', doc_id, '.script.txt') AS path FROM documents WHERE concat(source, '/', doc_id) NOT IN (SELECT concat('src', doc_id % 20, '/', doc_id) FROM labels)",
     "conversation_notes_whole": "SELECT path, \"group\", length(note) AS n_chars, md5(note) AS note_md5 FROM (SELECT conv_id AS path, turn // 3 AS \"group\", string_agg(text, E'\\n\\n====\\n\\n' ORDER BY turn, text) AS note FROM conversations GROUP BY ALL)",
@@ -478,12 +310,10 @@ SQL |= {
 
 _ALL = (
     *(residual_hits, residual_groups, residual_totals, regex_hits, report_lines_whole, glob_overrides),
-    *(literal_fold, literal_counts, line_fold_usage, change_metrics, context_gate, rewrite_stages, word_boundary, digits_to_sino, compound_regex),
-    *(script_lines, timestamp_ffill, aligned_lines, srt_text_lines, srt_blocks, sentences, chunk_pack),
-    *(token_counts, token_topk, stem_counts, fuzzy_suggest, one_char_suggest, affix_terms, affix_related, glossary_hits, domain_counts, keywords),
-    *(sentence_scores, theme_sentences, concept_ring, biased_scores, study_sections),
-    *(dict_union, dict_diff, dict_growth, override_upsert, particle_expand, rule_order, term_normalise, finalised_paths),
-    *(section_check, response_extract, run_status, output_pending, conversation_notes_whole, map_reduce_status),
+    *(literal_fold, literal_counts, line_fold_usage, change_metrics, context_gate, rewrite_stages, word_boundary, compound_regex),
+    *(sentences, chunk_pack, token_counts, token_topk, stem_counts, affix_related, glossary_hits, domain_counts, keywords),
+    *(sentence_scores, theme_sentences, run_status, output_pending, conversation_notes_whole, map_reduce_status),
+    *derived.ALL,
 )
 
 
@@ -492,4 +322,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
+    return SQL | derived.SQL

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import re
+import shutil
+import tempfile
 import uuid
 from collections.abc import Iterable
 from datetime import datetime
@@ -206,8 +209,34 @@ def append_report(report: DataFrame, path: str, revision: str, stamp: datetime)
 
 
 def append_audit(rows: DataFrame, path: str, revision: str, stamp: datetime) -> None:
-    """A run's audit rows, with the revision and time of the run, added to those of earlier runs."""
-    rows.withColumn("revision", F.lit(revision)).withColumn("run_at", F.lit(stamp.strftime("%Y-%m-%d %H:%M:%S"))).write.mode("append").parquet(path)
+    """A run's audit rows, with the revision and time of the run, beside those of earlier runs.
+
+    Each run has a folder of its own below path, which a run written again replaces; it counts once it is whole.
+    """
+    whole = rows.withColumn("revision", F.lit(revision)).withColumn("run_at", F.lit(stamp.strftime("%Y-%m-%d %H:%M:%S")))
+    whole.write.mode("overwrite").parquet(f"{path}/run={stamp.strftime('%Y%m%d-%H%M%S')}")
+
+
+def read_audit(spark: SparkSession, path: str) -> DataFrame:
+    """Audit rows of all runs that were written whole, with the run's stamp as run."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    there = [s.getPath().toString() for s in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/run=*")) or []]
+    done = [p for p in there if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{p}/_SUCCESS"))]
+    if not done:
+        raise FileNotFoundError(f"no whole run below {path}")
+    return spark.read.option("basePath", path).schema("path string, stage string, ord long, wrong string, right string, applied long, skipped long, revision string, run_at string, run string").parquet(*done)
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the one that the cluster shares (spark.checkpoint.dir); a local session may do without that."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder")
+        root = tempfile.mkdtemp(prefix="lectern-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def run_folder(agent: str, stamp: str) -> str:
