@@ -126,10 +126,10 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(f"{WORD}+"), F.lit(0))
 
 
-def sentences(text: Column, ends: str = ".!?") -> Column:
-    """Parts of a line after sentence ends, stripped, none empty."""
+def sentences(text: Column, ends: str = ".!?", least: int = 1) -> Column:
+    """Parts of a line after sentence ends, stripped, of `least` characters or more."""
     parts = F.split(text, rf"(?<=[{re.escape(ends)}]){SPACE}+", -1)
-    return F.filter(F.transform(parts, strip), lambda s: s != "")
+    return F.filter(F.transform(parts, strip), lambda s: F.length(s) >= least)
 
 
 def digits_to_sino(text: Column) -> Column:

@@ -47,9 +47,9 @@ def script_text(text: Column) -> Column:
     return F.when(joined == "", "").otherwise(F.concat(joined, F.lit("\n")))
 
 
-def sentence_rows(docs: DataFrame, path_col: str = "path", text_col: str = "text", ends: str = ".!?。！？") -> DataFrame:
-    """(path, pos, sentence): sentences of stripped lines, numbered from 0."""
-    each = F.flatten(F.transform(F.filter(F.transform(lines(F.col(text_col)), strip), lambda x: x != ""), lambda x: sentences(x, ends)))
+def sentence_rows(docs: DataFrame, path_col: str = "path", text_col: str = "text", ends: str = ".!?。！？", least: int = 1) -> DataFrame:
+    """(path, pos, sentence): sentences of stripped lines, of `least` characters or more, numbered from 0."""
+    each = F.flatten(F.transform(F.filter(F.transform(lines(F.col(text_col)), strip), lambda x: x != ""), lambda x: sentences(x, ends, least)))
     return docs.select(F.col(path_col).alias("path"), F.posexplode(each).alias("pos", "sentence"))
 
 

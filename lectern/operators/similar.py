@@ -5,8 +5,8 @@ cutoff c needs M >= c (a + b) / 2.  Between two blocks at least one character is
 are at most a + b - 2 M + 1 blocks, and a block of n characters holds n - q + 1 grams of q characters:
 strings that reach the cutoff share at least M - (q - 1)(a + b - 2 M + 1) grams.  With all grams in one
 order, rare ones first, two strings that must share t of them share one of the first n - t + 1 of either.
-So stems and terms meet in an equi-join on a few rare grams each, lengths that cannot reach the
-cutoff apart, and only pairs that are left are compared exactly.
+So stems and terms meet in an equi-join on a few rare grams each; pairs whose lengths or whose numbers of
+shared grams cannot reach the cutoff are left out there, and only the others are compared exactly.
 """
 
 from __future__ import annotations
@@ -65,11 +65,11 @@ def _place(gram: tuple[str, int]) -> int:
     return xxhash.xxh64_intdigest(f"{gram[0]}\0{gram[1]}")
 
 
-def prefix(text: str, cutoff: float, q: int, counts: np.ndarray) -> list[int]:
-    """Hashes of the grams of which a partner has at least one in its own prefix."""
-    own = sorted((int(counts[h % SKETCH]), h) for h in {_place(g) for g in grams(text, q)})
+def ranked(text: str, cutoff: float, q: int, counts: np.ndarray) -> tuple[list[int], int]:
+    """Hashes of a text's grams, rare ones first, and how many of them a partner has at least one of in its own first ones."""
+    own = [h for _, h in sorted((int(counts[h % SKETCH]), h) for h in {_place(g) for g in grams(text, q)})]
     least = min((shared(len(text), b, cutoff, q) for b in partners(len(text), cutoff)), default=1)
-    return [h for _, h in own[: max(0, len(own) - max(1, least) + 1)]]
+    return own, max(0, len(own) - max(1, least) + 1)
 
 
 def _counted(q):
@@ -88,11 +88,10 @@ def _counted(q):
 def _prefixes(told, cutoff, q):
     def rows(batches):
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            some = [prefix(t, cutoff, q, told.value) for t in texts]
-            at = pa.array([i for i, x in enumerate(some) for _ in x], pa.int64())
-            keys = pa.array(np.array([h for x in some for h in x], np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), keys], ["text", "gram"])
+            own = [ranked(t, cutoff, q, told.value) for t in batch.column(0).to_pylist()]
+            own = [(np.array(h, np.uint64).view(np.int64), n) for h, n in own]
+            all_, first = (pa.array(x, pa.list_(pa.int64())) for x in ([h for h, _ in own], [h[:n] for h, n in own]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), all_, first], ["text", "grams", "first"])
 
     return rows
 
@@ -124,11 +123,14 @@ def pairs(stems: DataFrame, terms: DataFrame, cutoff: float, least: int = 3) ->
     for r in left.unionByName(right).mapInArrow(_counted(q), "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect():  # at most SKETCH rows
         counts[r["place"]] = r["n"]
     told = stems.sparkSession.sparkContext.broadcast(counts)
-    first = lambda rows: rows.mapInArrow(_prefixes(told, cutoff, q), "text string, gram long")
-    both = first(left).withColumnRenamed("text", "stem").join(first(right).withColumnRenamed("text", "term"), "gram")
+    made = lambda rows, name: rows.mapInArrow(_prefixes(told, cutoff, q), "text string, grams array<long>, first array<long>").select(F.col("text").alias(name), F.col("grams").alias(f"{name}_grams"), F.col("first").alias(f"{name}_first"), F.explode("first").alias("gram"))
+    both = made(left, "stem").join(made(right, "term"), "gram")
     a, b = F.length("stem"), F.length("term")
-    near = both.where(2 * F.least(a, b) >= cutoff * (a + b) - 1e-9).select("stem", "term").distinct()
-    return near.mapInArrow(_compared(cutoff), "stem string, term string, score double, back double")
+    need = F.ceil(cutoff * (a + b) / 2 - 1e-9)
+    able = 2 * F.least(a, b) >= cutoff * (a + b) - 1e-9
+    once = F.col("gram") == F.array_min(F.array_intersect("stem_first", "term_first"))  # a pair meets at each gram that it shares
+    enough = F.size(F.array_intersect("stem_grams", "term_grams")) >= need - (q - 1) * (a + b - 2 * need + 1)
+    return both.where(able & once & enough).select("stem", "term").mapInArrow(_compared(cutoff), "stem string, term string, score double, back double")
 
 
 def closest(stems: DataFrame, terms: DataFrame, cutoff: float) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import text as fx
 from lectern.operators import generate, mining, rewrite, search, segments, summary
-from lectern.plans import derived
+from lectern.plans import derived, gates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -314,6 +314,7 @@ _ALL = (
     *(sentences, chunk_pack, token_counts, token_topk, stem_counts, affix_related, glossary_hits, domain_counts, keywords),
     *(sentence_scores, theme_sentences, run_status, output_pending, conversation_notes_whole, map_reduce_status),
     *derived.ALL,
+    *gates.ALL,
 )
 
 
@@ -322,4 +323,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return SQL | derived.SQL
+    return SQL | derived.SQL | gates.SQL

@@ -244,9 +244,9 @@ def fuzzy_suggest(spark, sf_dir):
 
 
 def similar_words(spark, sf_dir):
-    """Every word of the documents and the word of the conversations that is most similar to it."""
+    """Every word of the documents and the word of the benchmark that is most similar to it."""
     stems = words(spark, sf_dir, "documents").select("term")
-    return similar.closest(stems, words(spark, sf_dir, "conversations").select("term"), 0.85)
+    return similar.closest(stems, words(spark, sf_dir, "benchmark").select("term"), 0.85)
 
 
 def one_char_suggest(spark, sf_dir):
