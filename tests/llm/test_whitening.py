@@ -45,7 +45,7 @@ def compare(got, rows):
             if len(some) == 1 and abs(some[0][1]) > 1e-6:
                 sign = sign or math.copysign(1, have[0][1] * some[0][1])
                 assert have[0][1] == pytest.approx(sign * some[0][1], abs=1e-8)
-        assert {r["explained"] for r in got if r["component"] == c + 1} == {pytest.approx(values[c] / trace, rel=1e-9)}
+        assert list({r["explained"] for r in got if r["component"] == c + 1}) == [pytest.approx(values[c] / trace, rel=1e-9)]
     assert len({r["identity_error"] for r in got}) == 1 and got[0]["identity_error"] < 1e-9
 
 
