@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions.particles import expand_pairs
-from lectern.functions.text import has_hangul, is_auto_pair, lines, strip
+from lectern.functions.text import has_hangul, is_auto_pair, let, lines, strip
 
 # Grammatical tails in the order in which one is peeled, and endings that reject a term.
 TAILS = (
@@ -108,14 +108,18 @@ def upsert_overrides(existing: DataFrame, markers: DataFrame, note: str) -> Data
 
 def normalise_term(term: Column, stopwords: Column) -> Column:
     """A term fit for a dictionary, with one tail peeled, or the empty string."""
-    c = strip(term)
-    peeled = F.when(F.lit(False), c)
-    for tail in TAILS:
-        peeled = peeled.when(c.endswith(tail) & (F.length(c) - len(tail) >= 2), F.substring(c, F.lit(1), F.length(c) - len(tail)))
-    peeled = peeled.otherwise(c)
-    rejected = F.array_contains(stopwords, c) | F.contains(c, F.lit(" ")) | ~has_hangul(c)
-    fits = ~peeled.rlike(f"({'|'.join(REJECT)})$") & ~F.array_contains(stopwords, peeled) & F.length(peeled).between(2, 20) & has_hangul(peeled)
-    return F.when(~rejected & fits, peeled).otherwise("")
+    def peeled(c: Column) -> Column:
+        out = F.when(F.lit(False), c)
+        for tail in TAILS:
+            out = out.when(c.endswith(tail) & (F.length(c) - len(tail) >= 2), F.substring(c, F.lit(1), F.length(c) - len(tail)))
+        return out.otherwise(c)
+
+    def fit(c: Column) -> Column:
+        rejected = F.array_contains(stopwords, c) | F.contains(c, F.lit(" ")) | ~has_hangul(c)
+        fits = lambda p: ~p.rlike(f"({'|'.join(REJECT)})$") & ~F.array_contains(stopwords, p) & F.length(p).between(2, 20) & has_hangul(p)
+        return F.when(rejected, "").otherwise(let(peeled(c), lambda p: F.when(fits(p), p).otherwise("")))
+
+    return let(strip(term), fit)
 
 
 def grow_pairs(existing: DataFrame, applied: DataFrame) -> DataFrame:
