@@ -196,7 +196,18 @@ SELECT path, CAST(len(list_filter(generate_series(1, least(len(a), len(b))), lam
 _SENTENCE = f"list_filter(flatten(list_transform(string_split(text, E'\\n'), lambda x: list_transform(string_split(regexp_replace(trim(x, {_WS}), '([.!?])\\s+', E'\\\\1\\u0001', 'g'), E'\\u0001'), lambda s: trim(s, {_WS})))), lambda s: s <> '')"
 _SUFFIXES = "|".join(mining._by_length())
 
+_OVER = "CASE WHEN doc_id % 10 = 7 THEN replace(text, 'of', 'OF') ELSE text END"
+_PERCENT = "regexp_replace({0}, '([0-9]+)%', '\\1 %', 'g')"
+_STAGES = _gated(f"replace({_PERCENT.format(_OVER)}, 'thth', 'th')", "and", "contains(near, 'ing')", "'und'") + f""",
+f AS (SELECT p.path, coalesce(applied, 0) AS a, coalesce(held, 0) AS h, concat(g[1], coalesce(tail, '')) AS t FROM p LEFT JOIN r ON r.path = p.path),
+d AS (SELECT doc_id AS path, CASE WHEN doc_id % 10 = 7 THEN {_count('text', 'of')} ELSE 0 END AS n_of, {_OVER} AS o FROM documents),
+n AS (SELECT path, n_of, len(regexp_extract_all(o, '[0-9]+%')) AS n_pc, {_count(_PERCENT.format('o'), 'thth')} AS n_th, a, h, {_count('t', 'und')} AS n_und, {_count("replace(t, 'und', '&')", '  ')} AS n_sp FROM d JOIN f USING (path)),
+u AS (SELECT 'override' AS stage, 'of' AS wrong, 'OF' AS "right", n_of AS n, 0 AS s FROM n UNION ALL SELECT 'regex', 'n%', 'n %', n_pc, 0 FROM n UNION ALL SELECT 'pair', 'thth', 'th', n_th, 0 FROM n
+  UNION ALL SELECT 'pair', 'and', 'und', a, h FROM n UNION ALL SELECT 'pair', 'und', '&', n_und, 0 FROM n UNION ALL SELECT 'stable', '  ', ' ', n_sp, 0 FROM n)
+SELECT stage, wrong, "right", CAST(sum(n) AS BIGINT) AS applied, CAST(sum(s) AS BIGINT) AS skipped FROM u GROUP BY ALL HAVING sum(n) + sum(s) > 0"""
+
 SQL: dict[str, str] = {
+    "rewrite_stages": _STAGES,
     "contextual_rules": _gated("text", "[a-z]ion", f"{_any(NEAR)} AND NOT contains(near, 'idiot')", "concat(left(m, 1), 'ION')") + _PLAIN,
     "family_rules": _gated("text", "the[a-z]*", _FAMILY, "concat('THE', substring(m, 4))") + _PLAIN,
     "plain_regexes": """WITH a AS (SELECT doc_id AS path, CAST(len(regexp_extract_all(text, '[a-z]+ing')) AS BIGINT) AS n1, regexp_replace(text, '([a-z]+)ing', '\\1ING', 'g') AS t FROM documents),

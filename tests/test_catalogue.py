@@ -9,7 +9,7 @@ from lectern.plans import catalogue
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-ROWS_ONLY = {"rewrite_stages", "chunk_pack", "fuzzy_suggest", "study_sections", "fold_thousands_usage", "feedback_order", "feedback_lessons", "similar_words", "concept_lists"}  # most have slow versions in test_whole_queries.py
+ROWS_ONLY = {"chunk_pack", "fuzzy_suggest", "study_sections", "fold_thousands_usage", "feedback_order", "feedback_lessons", "similar_words", "concept_lists"}  # most have slow versions in test_whole_queries.py
 
 
 def _cell(v):
