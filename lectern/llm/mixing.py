@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import cut, hot_lookup
+from lectern.llm.common import cut, drop_table, hot_lookup
 
 #: Words.
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -89,10 +89,12 @@ def rows_of(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> Dat
 def targets(rows: DataFrame, weights: Sequence[int] = WEIGHTS, share: int = SHARE, most: int = MOST) -> DataFrame:
     """(none, source, source_size, rows, start, target) of each source: its size and rows, where it begins in the order of all, and its target."""
     sources = cut(rows.groupBy("none", "source").agg(F.sum(F.col("size") * F.col("copies")).alias("source_size"), F.count("*").alias("rows")), "mixing-sources")
-    placed = running(sources, ["none", "source"], {"rank": F.lit(1), "start": F.col("source_size")}, "mixing-ranks")
+    ranked = running(sources, ["none", "source"], {"rank": F.lit(1), "start": F.col("source_size")}, "mixing-ranks")
     turn = F.array(*(F.lit(int(w)).cast("long") for w in weights))
-    placed = placed.withColumn("weight", F.get(turn, (F.col("rank") % len(weights)).cast("int"))).withColumn("cap", F.col("source_size") * most)
+    placed = ranked.withColumn("weight", F.get(turn, (F.col("rank") % len(weights)).cast("int"))).withColumn("cap", F.col("source_size") * most)
     placed = cut(placed, "mixing-weights")
+    for table in (sources, ranked):
+        drop_table(table)
     total, all_weights = placed.agg(F.sum("source_size"), F.sum("weight")).first()
     total, all_weights = total or 0, all_weights or 1
     # from the sources that are filled first on: what the others share by weight, if all before are full
@@ -101,6 +103,7 @@ def targets(rows: DataFrame, weights: Sequence[int] = WEIGHTS, share: int = SHAR
     wide = "decimal(38,0)"
     fits = left.cast(wide) * F.col("weight").cast("decimal(10,0)") <= F.col("cap").cast("decimal(18,0)") * (100 * units).cast("decimal(18,0)")
     found = filled.where(fits).agg(F.min(F.struct(F.col("taken"), left.alias("left"), units.alias("units"))).alias("at")).first()["at"]
+    drop_table(filled)
     cap = F.col("cap").cast("double")
     target = F.least(cap, (F.col("weight") * F.lit(found["left"])).cast("double") / F.lit(100 * found["units"]).cast("double")) if found else cap
     return placed.select("none", "source", "source_size", "rows", "start", target.alias("target"))
@@ -112,8 +115,11 @@ def plan(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: int = SHARE,
     Each copy is taken epochs times whole, and of all copies together `left` words more, one copy after the other.
     """
     rows = cut(rows_of(docs, id_col, text_col, source_col), "mixing-rows")
-    of = cut(targets(rows, weights, share, most), "mixing-targets")
+    told = targets(rows, weights, share, most)
+    of = cut(told, "mixing-targets")
     placed = running(rows, ["none", "source", "key", "id"], {"before": F.col("size") * F.col("copies")}, "mixing-places")
+    for table in (told, rows):
+        drop_table(table)
     both = hot_lookup(placed, of, ["none", "source"], "rows", "inner")
     budget = F.floor("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
