@@ -34,8 +34,8 @@ from lectern.llm.common import cut, drop_table, tidy
 SCALE, SHIFT = 64, 1_000_000
 #: Components that each row gets at most.
 COMPONENTS = 16
-#: Dimensions of a piece of a vector; a pair of pieces is one group of the aggregation.
-TILE = 64
+#: Dimensions of a piece of a vector; a pair of pieces is one group of the aggregation.  Few expressions are compiled as one, many are not.
+TILE = 8
 #: Largest size of an entry, so that its whole number and sums of dimensions fit 64 bits.
 FARTHEST = 2.0**50
 #: Share of the largest eigenvalue, for each dimension, below which another is rounding.
