@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 from lectern.operators.generate import GROUP, is_quota, prompts_of, token_boost, with_retries
 from lectern.operators.prompts import Prompts, partial
 
-#: Calls that one task makes, one after the other, and the most tasks of a level.
+#: Calls that one task makes at least, one after the other, and the most tasks of a level.
 CALLS_A_TASK, MOST_TASKS = 64, 10_000
+#: Tasks of a level for each core: more end no sooner, and each costs a start, a file, and its reading by every later level.
+TASKS_A_CORE = 8
 #: What stands between the notes of a group.
 GAP = "\n\n====\n\n"
 _CALLS = "path string, idx int, of int, text string, failed string, quota boolean, whole boolean"
@@ -41,9 +43,13 @@ def _level(path: str, rows: Callable[[], DataFrame], spark: SparkSession) -> Dat
     return spark.read.parquet(path)
 
 
-def _dealt(rows: DataFrame) -> DataFrame:
+def tasks_for(calls: int, cores: int) -> int:
+    return min(MOST_TASKS, TASKS_A_CORE * max(1, cores), calls // CALLS_A_TASK + 1)
+
+
+def _dealt(rows: DataFrame, calls: int) -> DataFrame:
     """Rows over as many tasks as their calls are worth, however few bytes they have."""
-    return rows.repartition(min(MOST_TASKS, rows.count() // CALLS_A_TASK + 1), "path", "idx")
+    return rows.repartition(tasks_for(calls, rows.sparkSession.sparkContext.defaultParallelism), "path", "idx")
 
 
 def _asked(rows: DataFrame, request: Callable[..., tuple], client, system: str, tries: int, sleep, complete=None) -> DataFrame:
@@ -90,18 +96,20 @@ def generate(docs: DataFrame, client, folder: str, prompts: Prompts | None = Non
     names = _level(f"{folder}/documents", lambda: docs.select(F.col("path").cast("string").alias("path"), F.coalesce("chunks", empty).alias("chunks"), F.coalesce("glossary", empty).alias("terms")), spark)
     terms = names.select("path", "terms")
 
+    count = names.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.size("chunks")), F.lit(0)).alias("chunks")).first()
     chunks = names.select("path", "terms", F.size("chunks").alias("of"), F.posexplode("chunks").alias("idx", "part")).withColumn("parts", F.array("part"))
-    notes = _level(f"{folder}/level=0", lambda: ask(_dealt(chunks), lambda path, idx, of, parts, terms: (given.chunk(path, idx + 1, of, parts[0], terms),)), spark)
+    notes = _level(f"{folder}/level=0", lambda: ask(_dealt(chunks, count["chunks"]), lambda path, idx, of, parts, terms: (given.chunk(path, idx + 1, of, parts[0], terms),)), spark)
     levels, bad = [notes], [_failures(notes, 0, "chunk")]
     body = notes
     while True:
         k = len(levels)
         fine = body.join(_stopped(bad), "path", "left_anti")
         sizes = fine.groupBy("path").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
-        long = sizes.where((F.col("n") > 1) & (F.col("chars") > merge_limit)).select("path")
-        if long.isEmpty():
+        long = sizes.where((F.col("n") > 1) & (F.col("chars") > merge_limit))
+        calls = long.agg(F.sum(F.ceil(F.col("n") / group))).first()[0]
+        if not calls:
             break
-        rows = lambda fine=fine, long=long: _dealt(grouped(fine.join(long, "path", "left_semi"), group).join(terms, "path"))
+        rows = lambda fine=fine, long=long, calls=calls: _dealt(grouped(fine.join(long, "path", "left_semi"), group).join(terms, "path"), calls)
         merged = _level(f"{folder}/level={k}", lambda rows=rows: ask(rows(), lambda path, idx, of, parts, terms: (given.merge(path, idx + 1, of, parts, terms),)), spark)
         levels.append(merged)
         bad.append(_failures(merged, k, "merge"))
@@ -109,16 +117,17 @@ def generate(docs: DataFrame, client, folder: str, prompts: Prompts | None = Non
     fine = body.join(_stopped(bad), "path", "left_anti")
     bodies = names.select("path", "terms").join(_stopped(bad), "path", "left_anti").join(fine.groupBy("path").agg(_ordered("idx", "text").alias("parts")), "path", "left")
     bodies = bodies.select("path", F.lit(0).alias("idx"), F.lit(1).alias("of"), F.coalesce("parts", empty).alias("parts"), "terms")
-    final = _level(f"{folder}/final", lambda: ask(_dealt(bodies), lambda path, idx, of, parts, terms: (given.final(path, parts, terms),), complete), spark)
+    final = _level(f"{folder}/final", lambda: ask(_dealt(bodies, count["docs"]), lambda path, idx, of, parts, terms: (given.final(path, parts, terms),), complete), spark)
     last, made = final, [(final, "final")]
     for attempt in range(repairs):
         stage = f"repair {attempt + 1}/{repairs}"
         broken = last.where("NOT whole").select("path", F.col("text").alias("old"))
-        if broken.isEmpty():
+        calls = broken.count()
+        if not calls:
             break
         rows = bodies.join(broken, "path").withColumn("parts", F.concat(F.array("old"), "parts"))
         boost = token_boost(base_tokens, attempt)
-        again = _level(f"{folder}/{stage.split('/')[0].replace(' ', '-')}", lambda rows=rows, boost=boost: ask(_dealt(rows), lambda path, idx, of, parts, terms: (given.repair(path, parts[1:], terms, parts[0]), boost), complete), spark)
+        again = _level(f"{folder}/{stage.split('/')[0].replace(' ', '-')}", lambda rows=rows, boost=boost, calls=calls: ask(_dealt(rows, calls), lambda path, idx, of, parts, terms: (given.repair(path, parts[1:], terms, parts[0]), boost), complete), spark)
         made.append((again, stage))
         last = last.join(again.select("path"), "path", "left_anti").unionByName(again)
     stages = made[0][0].select("path", F.lit("final").alias("stage"), "text", "failed", "quota", "whole", F.lit(0).alias("n"))

@@ -85,3 +85,11 @@ def test_a_long_document_is_dealt_over_tasks(spark, tmp_path):
     tree.generate(df, Asks(), f"{tmp_path}/run", prompts=Plain(), merge_limit=500).collect()
     files = spark.read.parquet(f"{tmp_path}/run/level=0").inputFiles()
     assert len(files) > 1
+
+
+def test_tasks_of_a_level_do_not_grow_beyond_the_cores(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.createDataFrame([(f"p{k}", [f"c{i}" for i in range(tree.CALLS_A_TASK)], []) for k in range(20 * cores)], SCHEMA)
+    tree.generate(df, Asks(), f"{tmp_path}/run", prompts=Plain(), merge_limit=10**6).collect()
+    files = spark.read.parquet(f"{tmp_path}/run/level=0").inputFiles()
+    assert cores < len(files) <= tree.TASKS_A_CORE * cores
