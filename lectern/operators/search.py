@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.operators.align import greedy
-from lectern.operators.running import running
 
 #: Up to so many patterns are compared with every line; an automaton holds up to MOST_PATTERNS at once.
 FEW_PATTERNS, MOST_PATTERNS = 64, 200_000
@@ -127,21 +126,9 @@ def totals(hits: DataFrame, files: DataFrame) -> DataFrame:
 def align(script: DataFrame, corrected: DataFrame) -> DataFrame:
     """(path, line_no, timestamp) of script lines (path, line_no, text), by a greedy merge in order.
 
-    corrected has (path, line_no, timestamp, text).  Files whose lines agree one by one join on
-    their ranks; only the others are merged.
+    corrected has (path, line_no, timestamp, text).  Either table is computed once.
     """
-    s = running(script.select("path", "line_no", "text"), ["path"], "line_no", F.lit(1), "rank")
-    c = running(corrected.select("path", "line_no", "text", "timestamp"), ["path"], "line_no", F.lit(1), "rank")
-    c = c.select("path", "rank", F.col("text").alias("said"), "timestamp")
-    joined = s.join(c, ["path", "rank"], "left")
-    odd = joined.where("said IS NULL OR said <> text").select("path").distinct()
-    quick = joined.join(odd, "path", "left_anti").select("path", F.col("line_no").cast("int").alias("line_no"), "timestamp")
-    paths = [F.col("path").alias("of")]
-    return quick.unionByName(greedy(_of(script, odd.select(*paths)), _of(corrected, odd.select(*paths))))
-
-
-def _of(rows: DataFrame, paths: DataFrame) -> DataFrame:
-    return rows.join(paths, F.col("path") == F.col("of"), "left_semi")
+    return greedy(script, corrected)
 
 
 def with_times(hits: DataFrame, times: DataFrame) -> DataFrame:

@@ -64,3 +64,19 @@ def test_running_sums_and_maxima(spark, monkeypatch, inclusive):
 def test_budgets(spark):
     df = spark.createDataFrame([(1, 4), (2, None), (3, 5), (4, 2), (5, 0)], "id long, n long").repartition(3)
     assert sorted((r["id"], r["spent"]) for r in running.within_budget(df, 10, F.col("n"), "id").collect()) == [(1, 0), (2, 4), (3, 4)]
+
+
+def test_files_of_few_entries_take_no_rounds(spark, monkeypatch):
+    """Repeated texts of which each waits for the one before: as many rounds as lines, before."""
+
+    def rounds(*_):
+        raise AssertionError("a short file by rounds")
+
+    monkeypatch.setattr(align, "_raised", rounds)
+    texts = [t for i in range(40) for t in ("ab" if i % 3 else "bba")]
+    entries = [(i, f"t{i}", t) for i, t in enumerate(texts)]
+    script = [(i, t) for i, t in enumerate(texts) if i % 7 != 3]
+    rows = spark.createDataFrame([(p, *s) for p in (1, 2) for s in script], "path long, line_no int, text string").repartition(3)
+    timed = spark.createDataFrame([(p, *e) for p in (1, 2) for e in entries], "path long, line_no int, timestamp string, text string").repartition(2)
+    want = sorted((p, *x) for p in (1, 2) for x in walk(script, entries))
+    assert sorted(tuple(r) for r in align.greedy(rows, timed).collect()) == want
