@@ -103,3 +103,20 @@ def test_work_goes_with_the_rules_that_fire(n):
     own._due = lambda *a: scans.append(a[1:]) or due(*a)
     assert own.fold("a needle in hay " * 20)[0] == "a rope in hay " * 20
     assert len(scans) <= 1 + 20
+
+
+def test_parts_that_come_again_are_looked_up():
+    own = fold.Ordered([("needle", "thread"), ("thread", "rope")])
+    scans = []
+    due = own._due
+    own._due = lambda *a: scans.append(a) or due(*a)
+    assert own.fold("needle, " * 1000) == ("rope, " * 1000, [(0, 1000, 0), (1, 1000, 0)])
+    assert len(scans) <= 4
+
+
+def test_a_worker_makes_the_rules_of_a_run_ready_once():
+    class Told:
+        value = fold.Packed(["ab", ""]), fold.Packed(["c", ""]), [7, 9]
+
+    first = fold._ready("run", Told)
+    assert fold._ready("run", Told) is first and first[0].fold("xab") == ("xc", [(0, 1, 0)]) and list(Told.value[0]) == ["ab", ""]
