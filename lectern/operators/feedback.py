@@ -2,11 +2,11 @@
 
 A manual pair that is applied in a file enters the dictionary, and from the following file on its
 forms with particles are rules too.  So a file's rules depend on the files before it, but only through
-the first file in which each manual pair was applied.  All files are rewritten at once with a guess of
-these first files, which gives a new guess, until it stays.  The first guess is right up to the first
-file that teaches anything, and each round makes it right at least up to the next, so the guess that
-stays is what a walk from file to file finds.  Of a round that changed a guess from some file on, only
-the files after that one are rewritten again.
+the first file in which each manual pair was applied.  Files are dealt in ranges of their order, and each
+range is walked from file to file, with a guess of what the ranges before it taught.  That gives a new guess, until it
+stays.  The first range is right at once, and each round makes at least one more right, so the guess that
+stays is what a walk over all files finds.  Most of what there is to learn is learnt early, so few rounds change
+a guess, and of a round that did, only the ranges after the first such place are walked again.
 
 Tables that grow with the dictionary alone travel by broadcast; of the texts only the first place of
 each manual pair comes back.
@@ -14,7 +14,6 @@ each manual pair comes back.
 
 from __future__ import annotations
 
-import math
 from dataclasses import replace
 from typing import NamedTuple
 
@@ -27,6 +26,7 @@ from lectern.functions.text import is_auto_pair
 from lectern.operators.dictionary import first_by
 from lectern.operators.fold import Ordered
 from lectern.operators.rewrite import STATS, Rules, rewrite_text
+from lectern.sources.files import work_folder
 
 Pair = tuple[str, str]
 
@@ -50,75 +50,119 @@ def lessons(pairs: DataFrame, manual: DataFrame) -> Lessons:
     return Lessons(known, extra, forms)
 
 
+Lesson = tuple[int, int, Pair]  # the place of the file, the place in its statistics, the pair
+
+
 class _InTime:
-    """All rules that a guess makes, in order, of which a file has those of its place.
+    """All rules that there may ever be, of which those hold that the lessons up to a place leave.
 
     A taught pair's forms hold after the file that taught it.  A manual rule that is also such a form holds
-    at its own place in the order up to then, and at that of the form afterwards.
+    at its own place in the order up to then, and at that of the form afterwards.  Longer rules come first;
+    of one length those of the dictionary, then taught ones as they were taught, then manual ones.
     """
 
-    def __init__(self, table: Lessons, first: dict[Pair, tuple[int, int]]):
-        rows: list[tuple[Pair, Pair, float, float]] = []  # rule, its base, after which place it holds, up to which
-        known: dict[Pair, float] = {}
-        for w, r, bw, br in table.known:
-            known[w, r] = -math.inf
-            rows.append(((w, r), (bw, br), -math.inf, math.inf))
-        for p, (place, _) in sorted(first.items(), key=lambda x: x[1]):
-            for form in table.forms[p]:
-                if form not in known:
-                    known[form] = place
-                    rows.append((form, p, place, math.inf))
-        seen = set()
-        for pair in table.manual:
-            if pair not in seen and known.get(pair, math.inf) > -math.inf:
-                rows.append((pair, pair, -math.inf, known.get(pair, math.inf)))
-            seen.add(pair)
-        rows.sort(key=lambda x: -len(x[0][0]))
-        self.rows = rows
-        self.ordered = Ordered(x[0] for x in rows)
-        self.entries: dict[Pair, list[int]] = {}
-        for i, x in enumerate(rows):
-            self.entries.setdefault(x[0], []).append(i)
-        self.place = 0
-
-    def holds(self, i: int) -> bool:
-        _, _, after, until = self.rows[i]
-        return after < self.place <= until
+    def __init__(self, table: Lessons):
+        self.table = table
+        rules: dict[Pair, Pair] = {(w, r): (bw, br) for w, r, bw, br in table.known}
+        self.fixed = set(rules)
+        self.order = {i: (-len(x[0]), 0, i, 0) for i, x in enumerate(rules)}
+        self.literals = list(rules)
+        self.forms: dict[Pair, int] = {}
+        for form in dict.fromkeys(f for forms in table.forms.values() for f in forms):
+            if form not in self.fixed:
+                self.forms[form] = len(self.literals)
+                self.literals.append(form)
+        self.by_hand: dict[Pair, int] = {}
+        for k, pair in enumerate(dict.fromkeys(table.manual)):
+            if pair not in self.fixed:
+                i = self.by_hand[pair] = len(self.literals)
+                self.literals.append(pair)
+                self.order[i] = (-len(pair[0]), 2, k, 0)
+                rules[pair] = pair
+        self.bases = rules
+        self.ordered = Ordered(self.literals)
+        self.taught: dict[Pair, Pair] = {}
+        self.count = 0
+        self.aside: list[tuple[Pair, tuple]] = []
+
+    def forget(self) -> None:
+        for form in self.taught:
+            self.order.pop(self.forms[form])
+            self.bases.pop(form, None)
+        for pair, place in self.aside:
+            self.order[self.by_hand[pair]] = place
+            self.bases[pair] = pair
+        self.taught, self.count, self.aside = {}, 0, []
+
+    def teach(self, pair: Pair) -> None:
+        for k, form in enumerate(self.table.forms[pair]):
+            if form in self.fixed or form in self.taught:
+                continue
+            self.taught[form] = self.bases[form] = pair
+            self.order[self.forms[form]] = (-len(form[0]), 1, self.count, k)
+            if form in self.by_hand:
+                self.aside.append((form, self.order.pop(self.by_hand[form])))
+        self.count += 1
 
     def fold(self, text: str, gate=None):
-        return self.ordered.fold(text, gate, self.holds)
+        return self.ordered.fold(text, gate, self.order)
 
     def get(self, pair: Pair, default=None):
-        """The base of a rule at this place."""
-        return next((self.rows[i][1] for i in self.entries.get(pair, ()) if self.holds(i)), default)
+        """The base of a rule that holds now."""
+        return self.bases.get(pair, default)
 
 
 def _walk(told, given, keep: bool):
-    """Rewritten texts (keep), or the first place of each pair that they teach."""
+    """Rewritten texts (keep), or the first place in each range of each pair that was applied, and where ranges begin."""
     fields = ("stage", "ord", "wrong", "right", "applied", "skipped")
 
     def rows(batches):
-        table, first = told.value
-        now = _InTime(table, first)
-        own = replace(given, literals=tuple(x[0] for x in now.rows), bases=now)
+        table, guess = told.value
+        now = _InTime(table)
+        own = replace(given, literals=tuple(now.literals), bases=now)
         ready = now, Ordered(given.stable)
         best: dict[Pair, tuple[int, int]] = {}
+        starts: list[int] = []
+        last, at, learnt = None, 0, set()
         for batch in batches:
             texts, stats = [], []
-            for place, text in zip(batch.column("place").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                now.place = place
+            for number, place, text in zip(*(batch.column(c).to_pylist() for c in ("number", "place", "text")), strict=True):
+                if last is None or number != last + 1:
+                    starts.append(place)
+                    now.forget()
+                    at, learnt = 0, set()
+                    if not keep:
+                        for lesson in guess:
+                            if lesson[0] < place:
+                                now.teach(lesson[2])
+                                learnt.add(lesson[2])
+                if keep:
+                    while at < len(guess) and guess[at][0] < place:
+                        now.teach(guess[at][2])
+                        at += 1
+                last = number
                 new, counted = rewrite_text(text or "", own, ready=ready)
-                texts.append(new)
-                stats.append([dict(zip(fields, s, strict=True)) for s in counted])
+                if keep:
+                    texts.append(new)
+                    stats.append([dict(zip(fields, s, strict=True)) for s in counted])
+                    continue
+                fresh = []
                 for stage, k, wrong, right, applied, _ in counted:
                     base = now.get((wrong, right)) if stage == "pair" and applied else None
-                    if base in table.forms and (place, k) < best.get(base, (place + 1, 0)):
+                    if base not in table.forms:
+                        continue
+                    if (place, k) < best.get(base, (place + 1, 0)):
                         best[base] = place, k
+                    if base not in learnt:
+                        learnt.add(base)
+                        fresh.append(base)
+                for base in fresh:
+                    now.teach(base)
             if keep:
                 kind = pa.list_(pa.struct([("stage", pa.string()), ("ord", pa.int64()), ("wrong", pa.string()), ("right", pa.string()), ("applied", pa.int64()), ("skipped", pa.int64())]))
                 yield pa.RecordBatch.from_arrays([batch.column("place"), batch.column("path"), batch.column("text"), pa.array(texts, pa.string()), pa.array(stats, kind)], ["place", "path", "text", "corrected", "stats"])
         if not keep:
-            out = [(*p, *at) for p, at in best.items()]
+            out = [*((*p, *x) for p, x in best.items()), *((None, None, place, 0) for place in starts)]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64()))], ["wrong", "right", "place", "k"])
 
     return rows
@@ -133,22 +177,31 @@ def sequential(docs: DataFrame, rules: Rules, pairs: DataFrame, manual: DataFram
     """
     spark = docs.sparkSession
     table = lessons(pairs, manual)
-    rows = docs.select(F.col(order_col).cast("long").alias("place"), F.col(path_col).cast("string").alias("path"), F.col(text_col).alias("text"))
+    # numbers of files that follow each other, by which a task sees where a range of its own begins
+    folder = f"{work_folder(spark, 'feedback')}/ranges"
+    own = docs.select(F.col(order_col).cast("long").alias("place"), F.col(path_col).cast("string").alias("path"), F.col(text_col).alias("text"))
+    own.repartitionByRange("place").sortWithinPartitions("place").withColumn("number", F.monotonically_increasing_id()).write.parquet(folder)
+    rows = spark.read.parquet(folder)
     first: dict[Pair, tuple[int, int]] = {}
     since = None
+    in_order = lambda found: sorted((*at, p) for p, at in found.items())
     while True:
-        told = spark.sparkContext.broadcast((table, first))
-        some = rows if since is None else rows.where(F.col("place") > since)
-        found = some.mapInArrow(_walk(told, rules, False), "wrong string, right string, place long, k long").groupBy("wrong", "right").agg(F.min(F.struct("place", "k")).alias("at"))
-        now = {p: at for p, at in first.items() if since is not None and at[0] <= since}
-        for r in found.collect():  # as many as manual pairs
-            now.setdefault((r["wrong"], r["right"]), (r["at"]["place"], r["at"]["k"]))
+        told = spark.sparkContext.broadcast((table, in_order(first)))
+        some = rows if since is None else rows.where(F.col("place") >= since)
+        found = some.mapInArrow(_walk(told, rules, False), "wrong string, right string, place long, k long").groupBy("wrong", "right", F.when(F.col("wrong").isNull(), F.col("place")).alias("start")).agg(F.min(F.struct("place", "k")).alias("at"))
+        now = {p: at for p, at in first.items() if since is not None and at[0] < since}
+        starts = []
+        for r in found.collect():  # as many as manual pairs and ranges
+            if r["wrong"] is None:
+                starts.append(r["start"])
+            else:
+                now.setdefault((r["wrong"], r["right"]), (r["at"]["place"], r["at"]["k"]))
         changed = [at[0] for p in first.keys() | now.keys() if first.get(p) != now.get(p) for at in (first.get(p), now.get(p)) if at]
         told.unpersist()
-        if not changed:
+        first = now
+        since = min((s for s in starts if changed and s > min(changed)), default=None)  # the range of the first change is right, as are those before
+        if since is None:
             break
-        first, since = now, min(changed)
-    told = spark.sparkContext.broadcast((table, first))
+    told = spark.sparkContext.broadcast((table, in_order(first)))
     done = rows.mapInArrow(_walk(told, rules, True), f"place long, path string, text string, corrected string, stats {STATS}")
-    taught = sorted((at, p) for p, at in first.items())
-    return done, spark.createDataFrame([(i, *p, at[0]) for i, (at, p) in enumerate(taught)], "seq long, wrong string, right string, place long")
+    return done, spark.createDataFrame([(i, *p, place) for i, (place, _, p) in enumerate(in_order(first))], "seq long, wrong string, right string, place long")

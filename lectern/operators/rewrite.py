@@ -24,6 +24,7 @@ WINDOW = 120
 #: Up to so many literal rules fold inside the JVM, where each costs a scan of every text.
 FEW_RULES = 32
 _WORD = re.compile("[가-힣A-Za-z0-9]")
+_SHORT = re.compile("[가-힣]{1,4}")
 STATS = "array<struct<stage:string,ord:long,wrong:string,right:string,applied:long,skipped:long>>"
 
 
@@ -155,17 +156,17 @@ def _passes(rules: Rules, pair, text: str, start: int, end: int, is_raw: bool) -
     """The gates of a literal match, in order of priority."""
     if pair in rules.forced:
         return True
-    if rules.topic_rules and rules.bases.get(pair, pair) in rules.raw_priority:
+    if rules.topic_rules and rules.raw_priority and rules.bases.get(pair, pair) in rules.raw_priority:
         if is_raw:
             return True
         if not _near(text, start, end, rules.domain_keywords):
             return False
-    if _near(text, start, end, rules.pair_exclude.get(pair, ())):
+    if (words := rules.pair_exclude.get(pair)) and _near(text, start, end, words):
         return False
     if (words := rules.pair_include.get(pair)) and not _near(text, start, end, words):
         return False
-    if re.fullmatch("[가-힣]{1,4}", pair[0]):
-        return not _touches_word(text, start, end) and _near(text, start, end, rules.domain_keywords)
+    if len(pair[0]) <= 4 and _SHORT.fullmatch(pair[0]):
+        return bool(rules.domain_keywords) and not _touches_word(text, start, end) and _near(text, start, end, rules.domain_keywords)
     return True
 
 

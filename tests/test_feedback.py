@@ -81,3 +81,18 @@ def test_without_lessons(spark):
     done, taught = feedback.sequential(df, Rules(), none, none)
     assert taught.count() == 0 and done.first()["corrected"] == "ab"
     assert feedback.sequential(df.limit(0), Rules(), none, none)[0].count() == 0
+
+
+def test_a_chain_of_lessons_takes_as_many_rounds_as_ranges(spark, monkeypatch):
+    """What each file teaches makes the input of what the next one teaches: a round for each file, before."""
+    n = 12
+    names = [f"하파{chr(0xAC00 + 28 * (i + 50))}타카" for i in range(n + 1)]
+    manual = [(names[i] + "는", names[i + 1]) for i in range(n)]
+    docs = [(0, manual[0][0]), *((i, manual[i - 1][0] + "은") for i in range(1, n))]
+    two = lambda rows: spark.createDataFrame([(i, w, r) for i, (w, r) in enumerate(rows)], "seq long, wrong string, right string")
+    walks, once = [], feedback._walk
+    monkeypatch.setattr(feedback, "_walk", lambda *a: walks.append(a) or once(*a))
+    df = spark.createDataFrame([(i, f"p{i}", t) for i, t in docs], "doc_id long, path string, text string").repartition(3)
+    _, taught = feedback.sequential(df, Rules(), spark.createDataFrame([], "seq long, wrong string, right string"), two(manual))
+    assert [tuple(r)[1:] for r in taught.orderBy("seq").collect()] == walk(docs, Rules(), [], manual)[1] == [(*p, i) for i, p in enumerate(manual)]
+    assert len(walks) <= 4 + 2
