@@ -127,7 +127,10 @@ def suggest_terms(stems: DataFrame, terms: DataFrame, least: int = 2, most: int
 
 
 def top_tokens(docs: DataFrame, k: int, key: str = "path", text_col: str = "text") -> DataFrame:
-    """(key, token, count, rank) of each document's k commonest tokens; ties go by the token."""
-    rows = docs.select(key, F.explode(tokens(F.col(text_col))).alias("token")).groupBy(key, "token").agg(F.count("*").alias("count"))
+    """(key, token, count, rank) of each document's k commonest tokens; ties go by the token.
+
+    Texts are dealt by key once, so neither their tokens nor the counts move again.
+    """
+    rows = docs.select(key, text_col).repartition(key).select(key, F.explode(tokens(F.col(text_col))).alias("token")).groupBy(key, "token").agg(F.count("*").alias("count"))
     rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("count"), "token"))
     return rows.withColumn("rank", rank).where(F.col("rank") <= k)
