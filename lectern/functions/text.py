@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 # White space and line ends as in Python, line formats, folders of finished work, numerals.
 SPACE = r"[\x09-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 WORD = "[가-힣A-Za-z0-9]"
 TIMESTAMP = rf"^{SPACE}*((?:[0-9]{{1,2}}:)?[0-9]{{1,2}}:[0-9]{{2}})(?:{SPACE}*화자{SPACE}*[0-9]+)?{SPACE}*$"
@@ -23,8 +24,8 @@ def let(value: Column, body) -> Column:
 
 
 def strip(c) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+$", "")
+    """Text without white space at either end; only its ends are looked at, where a pattern would be tried at every place."""
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def lines(text: Column) -> Column:

@@ -47,10 +47,18 @@ def script_text(text: Column) -> Column:
     return F.when(joined == "", "").otherwise(F.concat(joined, F.lit("\n")))
 
 
-def sentence_rows(docs: DataFrame, path_col: str = "path", text_col: str = "text", ends: str = ".!?。！？", least: int = 1) -> DataFrame:
-    """(path, pos, sentence): sentences of stripped lines, of `least` characters or more, numbered from 0."""
-    each = F.flatten(F.transform(F.filter(F.transform(lines(F.col(text_col)), strip), lambda x: x != ""), lambda x: sentences(x, ends, least)))
-    return docs.select(F.col(path_col).alias("path"), F.posexplode(each).alias("pos", "sentence"))
+#: Signs that end a sentence.
+ENDS = ".!?。！？"
+
+
+def sentence_list(text: Column, ends: str = ENDS, least: int = 1) -> Column:
+    """Sentences of stripped lines, of `least` characters or more, in their order."""
+    return F.flatten(F.transform(F.filter(F.transform(lines(text), strip), lambda x: x != ""), lambda x: sentences(x, ends, least)))
+
+
+def sentence_rows(docs: DataFrame, path_col: str = "path", text_col: str = "text", ends: str = ENDS, least: int = 1) -> DataFrame:
+    """(path, pos, sentence): the sentences of each text, numbered from 0."""
+    return docs.select(F.col(path_col).alias("path"), F.posexplode(sentence_list(F.col(text_col), ends, least)).alias("pos", "sentence"))
 
 
 def srt(segments: DataFrame) -> DataFrame:

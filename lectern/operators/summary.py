@@ -8,9 +8,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.functions.text import occurrences, title_tokens
+from lectern.functions.text import let, occurrences, title_tokens
 from lectern.operators.search import with_terms
-from lectern.operators.segments import sentence_rows
+from lectern.operators.segments import sentence_list
+from lectern.sources.files import work_folder
 
 # Words that are no keywords.
 STOPWORDS = (
@@ -33,6 +34,8 @@ FLOW = (
     "3. 이은 낱말로 새 문장을 지어 본다.",
     "4. 헷갈린 낱말은 문제를 다시 풀며 고친다.",
 )
+#: Tokens that are scored, and those of them that are English.
+SPOKEN, ENGLISH = "[가-힣A-Za-z]{2,}", "^[A-Za-z]+$"
 KEYWORDS, THEME_SIZE, THEMES, CONCEPTS = 16, 4, 3, 5
 
 
@@ -48,10 +51,42 @@ def term_counts(docs: DataFrame, terms: list[str], path_col: str = "path", text_
     return rows.select("path", F.explode(counted).alias("x")).select("path", "x.*")
 
 
+def _apart(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Documents whose path has one row, and those whose path has more, if any; only the paths are read for that."""
+    again = docs.groupBy("path").agg(F.count("*").alias("n")).where("n > 1").select(F.col("path").alias("again"))
+    if again.isEmpty():
+        return docs, None
+    same = F.col("path").eqNullSafe(F.col("again"))
+    return docs.join(again, same, "left_anti"), docs.join(again, same, "left_semi")
+
+
+def _counted(said: Column) -> Column:
+    """(keyword, count) of the different words of an array, by one sort and the places where a word begins."""
+    starts = lambda w: F.array_compact(F.transform(w, lambda x, i: F.when((i == 0) | (x != F.get(w, i - 1)), i)))
+    one = lambda w, at: lambda s, k: F.struct(F.get(w, s).alias("keyword"), (F.coalesce(F.get(at, k + 1), F.size(w)) - s).cast("long").alias("count"))
+    return let(F.sort_array(said), lambda w: let(starts(w), lambda at: F.transform(at, one(w, at))))
+
+
 def keywords(docs: DataFrame, terms: list[str], limit: int = KEYWORDS, path_col: str = "path", text_col: str = "text") -> DataFrame:
-    """(path, rank, keyword, is_domain, count): domain terms first, then frequent words."""
-    domain = term_counts(docs, terms, path_col, text_col).select("path", F.col("term").alias("keyword"), "count", F.lit(True).alias("is_domain"))
-    free = docs.select(F.col(path_col).alias("path"), F.explode(words(F.col(text_col))).alias("keyword")).where(~F.col("keyword").isin(*STOPWORDS))
+    """(path, rank, keyword, is_domain, count): domain terms first, then frequent words.
+
+    The words of a document are counted within its row, so none of them move.  Only of paths with
+    several rows they are counted together as rows.
+    """
+    own, shared = _apart(docs.select(F.col(path_col).alias("path"), F.col(text_col).alias("text")))
+    rows = with_terms(own, sorted(set(terms)))
+    place = lambda other, n, word: F.struct(F.lit(other).alias("other"), (-n).alias("less"), word.alias("keyword"))
+    domain = F.transform("found", lambda t: place(0, occurrences(F.col("text"), t), t))
+    free = F.filter(_counted(words(F.col("text"))), lambda x: ~x["keyword"].isin(*STOPWORDS) & ~F.array_contains("found", x["keyword"]))
+    best = F.slice(F.sort_array(F.concat(domain, F.transform(free, lambda x: place(1, x["count"], x["keyword"])))), 1, limit)
+    out = rows.select("path", F.posexplode(best).alias("at", "x")).select("path", (F.col("at") + 1).alias("rank"), "x.keyword", (F.col("x.other") == 0).alias("is_domain"), (-F.col("x.less")).alias("count"))
+    return out if shared is None else out.unionByName(_keyword_rows(shared, terms, limit))
+
+
+def _keyword_rows(docs: DataFrame, terms: list[str], limit: int) -> DataFrame:
+    """The same of documents whose path has several rows."""
+    domain = term_counts(docs, terms).select("path", F.col("term").alias("keyword"), "count", F.lit(True).alias("is_domain"))
+    free = docs.select("path", F.explode(words(F.col("text"))).alias("keyword")).where(~F.col("keyword").isin(*STOPWORDS))
     free = free.groupBy("path", "keyword").agg(F.count("*").alias("count")).join(domain.select("path", "keyword"), ["path", "keyword"], "left_anti")
     both = domain.unionByName(free.withColumn("is_domain", F.lit(False)))
     rank = F.row_number().over(Window.partitionBy("path").orderBy(F.desc("is_domain"), F.desc("count"), "keyword"))
@@ -59,13 +94,16 @@ def keywords(docs: DataFrame, terms: list[str], limit: int = KEYWORDS, path_col:
 
 
 def scored_sentences(docs: DataFrame, keys: DataFrame, path_col: str = "path", text_col: str = "text") -> DataFrame:
-    """(path, pos, sentence, score, rank): words that are keywords, and one for a medium length."""
+    """(path, pos, sentence, score, rank): words that are keywords, and one for a medium length.
+
+    Texts meet their keywords before they are cut, and sentences are ranked where their text is.
+    """
     own = keys.groupBy("path").agg(F.collect_set("keyword").alias("keys"))  # as many as KEYWORDS
-    rows = sentence_rows(docs, path_col, text_col).join(own, "path", "left")
-    hits = F.size(F.filter(words(F.col("sentence")), lambda w: F.array_contains(F.coalesce("keys", F.array().cast("array<string>")), w)))
-    score = hits + F.length("sentence").between(20, 220).cast("int")
+    rows = docs.select(F.col(path_col).alias("path"), F.col(text_col).alias("text")).join(own, "path", "left").withColumn("keys", F.coalesce("keys", F.array().cast("array<string>")))
+    hits = lambda s: F.size(F.filter(words(s), lambda w: F.array_contains("keys", w)))
+    each = F.transform(sentence_list(F.col("text")), lambda s: F.struct(s.alias("sentence"), (hits(s) + F.length(s).between(20, 220).cast("int")).alias("score")))
     ranked = F.row_number().over(Window.partitionBy("path").orderBy(F.desc("score"), "pos"))
-    return rows.select("path", "pos", "sentence", score.alias("score")).withColumn("rank", ranked)
+    return rows.select("path", F.posexplode(each).alias("pos", "x")).select("path", "pos", "x.sentence", "x.score").withColumn("rank", ranked)
 
 
 def themes(keys: DataFrame) -> DataFrame:
@@ -75,27 +113,32 @@ def themes(keys: DataFrame) -> DataFrame:
     return rows.agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "keyword"))), lambda x: x["keyword"]).alias("words"))
 
 
+def _by_theme(scored: DataFrame, groups: DataFrame, limit: int) -> DataFrame:
+    """(path, theme, said): the best different sentences of every theme in order, which may be none."""
+    once = scored.groupBy("path").agg(F.array_distinct(F.transform(F.sort_array(F.collect_list(F.struct("rank", "sentence"))), lambda x: x["sentence"])).alias("every"))
+    themes_ = groups.groupBy("path").agg(F.collect_list(F.struct("theme", "words")).alias("themes"))
+    rows = themes_.join(once, "path", "left").withColumn("every", F.coalesce("every", F.array().cast("array<string>")))
+    having = lambda ws: F.filter("every", lambda s: F.exists(ws, lambda w: F.contains(s, w)))
+    best = lambda own: F.slice(F.when(F.size(own) > 0, own).otherwise(F.filter("every", lambda s: F.length(s) >= 20)), 1, limit)
+    picked = F.transform("themes", lambda t: F.struct(t["theme"].alias("theme"), let(having(t["words"]), best).alias("said")))
+    return rows.select("path", F.inline(picked))
+
+
 def theme_sentences(scored: DataFrame, groups: DataFrame, limit: int = 4) -> DataFrame:
     """(path, theme, n, sentence): the best different sentences with a word of the theme.
 
     A theme that no sentence has takes the best sentences of 20 characters or more.
     """
-    once = scored.groupBy("path", "sentence").agg(F.min("rank").alias("rank"))
-    rows = once.join(groups, "path").withColumn("hit", F.exists("words", lambda w: F.contains(F.col("sentence"), w)))
-    rows = rows.where(F.col("hit") | (F.length("sentence") >= 20))
-    any_hit = F.max("hit").over(Window.partitionBy("path", "theme"))
-    rows = rows.withColumn("any", any_hit).where(F.col("hit") | ~F.col("any"))
-    n = F.row_number().over(Window.partitionBy("path", "theme").orderBy("rank"))
-    return rows.withColumn("n", n).where(F.col("n") <= limit).select("path", "theme", "n", "sentence")
+    rows = _by_theme(scored, groups, limit).select("path", "theme", F.posexplode("said").alias("at", "sentence"))
+    return rows.select("path", "theme", (F.col("at") + 1).alias("n"), "sentence")
 
 
 def concepts(docs: DataFrame, keys: DataFrame, size: int = CONCEPTS, path_col: str = "path") -> DataFrame:
     """(path, n, concept, peer): title words, domain keywords, all keywords; padded, peers in a ring."""
     stem = F.regexp_replace(F.regexp_extract(F.col(path_col), r"([^/]+)$", 1), r"\.[^./]+$", "")
     title = docs.select(F.col(path_col).alias("path"), F.posexplode(title_tokens(stem)).alias("at", "concept")).withColumn("tier", F.lit(0))
-    own = keys.where("is_domain").select("path", F.col("rank").alias("at"), F.col("keyword").alias("concept"), F.lit(1).alias("tier"))
-    every = keys.select("path", F.col("rank").alias("at"), F.col("keyword").alias("concept"), F.lit(2).alias("tier"))
-    once = title.unionByName(own).unionByName(every).groupBy("path", "concept").agg(F.min(F.struct("tier", "at")).alias("place"))
+    every = keys.select("path", F.col("rank").alias("at"), F.col("keyword").alias("concept"), F.when(F.col("is_domain"), 1).otherwise(2).alias("tier"))
+    once = title.unionByName(every).groupBy("path", "concept").agg(F.min(F.struct("tier", "at")).alias("place"))
     n = F.row_number().over(Window.partitionBy("path").orderBy("place"))
     kept = once.withColumn("n", n).where(F.col("n") <= size).groupBy("path").agg(F.transform(F.sort_array(F.collect_list(F.struct("n", "concept"))), lambda x: x["concept"]).alias("found"))
     every_path = docs.select(F.col(path_col).alias("path")).join(kept, "path", "left").withColumn("found", F.coalesce("found", F.array().cast("array<string>")))
@@ -107,19 +150,21 @@ def sections(docs: DataFrame, terms: list[str], bullets: int = 4, path_col: str
     """(path, part, n, line): the lines of a summary in order: title, themes, questions, definitions, flow.
 
     A text without keywords has the themes NO_THEMES; a theme without a sentence has NO_SENTENCE.
+    Keywords are written to a table, which all parts read, so texts are read for them once.
     """
     paths = docs.select(F.col(path_col).alias("path"))
-    keys = keywords(docs, terms, path_col=path_col, text_col=text_col)
+    table = work_folder(docs.sparkSession, "keywords")
+    keywords(docs, terms, path_col=path_col, text_col=text_col).write.parquet(table)
+    keys = docs.sparkSession.read.parquet(table)
     bare = paths.join(keys.select("path").distinct(), "path", "left_anti")
     instead = F.posexplode(F.array(*(F.array(*map(F.lit, words_)) for words_ in NO_THEMES)))
     groups = themes(keys).unionByName(bare.select("path", instead.alias("theme", "words")))
     place = lambda part, n, line: (F.lit(part).alias("part"), n.cast("int").alias("n"), line.alias("line"))
     head = F.concat(F.lit("### 주제 "), (F.col("theme") + 1).cast("string"), F.lit(". "), F.concat_ws(", ", F.slice("words", 1, 2)))
     heads = groups.select("path", *place(1, F.col("theme") * 100, head))
-    said = theme_sentences(scored_sentences(docs, keys, path_col, text_col), groups, bullets)
-    silent = groups.join(said.select("path", "theme").distinct(), ["path", "theme"], "left_anti")
-    told = said.select("path", *place(1, F.col("theme") * 100 + F.col("n"), F.concat(F.lit("- "), "sentence")))
-    untold = silent.select("path", *place(1, F.col("theme") * 100 + 1, F.lit(f"- {NO_SENTENCE}")))
+    said = _by_theme(scored_sentences(docs, keys, path_col, text_col), groups, bullets)
+    told = F.posexplode(F.when(F.size("said") > 0, F.col("said")).otherwise(F.array(F.lit(NO_SENTENCE)))).alias("at", "sentence")
+    told = said.select("path", "theme", told).select("path", *place(1, F.col("theme") * 100 + F.col("at") + 1, F.concat(F.lit("- "), "sentence")))
     ends = groups.select("path", *place(1, F.col("theme") * 100 + 99, F.lit("")))
     ring = concepts(docs, keys, path_col=path_col)
     kind = F.when(F.col("n") % 2 == 1, "객관식").otherwise("단답형")
@@ -133,7 +178,7 @@ def sections(docs: DataFrame, terms: list[str], bullets: int = 4, path_col: str
     first = [one(0, 0, F.concat(F.lit("# "), stem, F.lit(" 요약"))), *(one(0, i, F.lit(line)) for i, line in enumerate(("", HEADINGS[0], ""), 1))]
     frame = paths.select("path", F.inline(F.array(*first, *(one(p, n, F.lit(line)) for p, n, line in fixed))))
     out = frame
-    for rows in (heads, told, untold, ends, asked, defined):
+    for rows in (heads, told, ends, asked, defined):
         out = out.unionByName(rows)
     return out
 
@@ -145,10 +190,27 @@ def study_texts(lines_: DataFrame) -> DataFrame:
 
 
 def biased_scores(docs: DataFrame, terms: list[str], bias: int = 1000, path_col: str = "path", text_col: str = "text") -> DataFrame:
-    """(path, keyword, score): occurrences of domain terms plus a bias, and one for each token that is not English."""
-    domain = term_counts(docs, terms, path_col, text_col).select("path", F.col("term").alias("keyword"), (F.col("count") + bias).alias("score"))
-    said = F.regexp_extract_all(F.col(text_col), F.lit("[가-힣A-Za-z]{2,}"), F.lit(0))
-    free = docs.select(F.col(path_col).alias("path"), F.explode(said).alias("keyword")).where(~F.col("keyword").isin(*STOPWORDS) & ~F.col("keyword").rlike("^[A-Za-z]+$"))
+    """(path, keyword, score): occurrences of domain terms plus a bias, and one for each token that is not English.
+
+    As in keywords(), a document is counted within its row.
+    """
+    own, shared = _apart(docs.select(F.col(path_col).alias("path"), F.col(text_col).alias("text")))
+    rows = with_terms(own, sorted(set(terms)))
+    entry = lambda word, n: F.struct(word.alias("keyword"), n.cast("long").alias("score"))
+    domain = F.transform("found", lambda t: entry(t, occurrences(F.col("text"), t) + bias))
+    free = F.filter(_counted(F.regexp_extract_all("text", F.lit(SPOKEN), F.lit(0))), lambda x: ~x["keyword"].isin(*STOPWORDS) & ~x["keyword"].rlike(ENGLISH))
+    same = lambda e, i, x: F.coalesce(F.get(e, i)["keyword"] == x["keyword"], F.lit(False))
+    total = lambda e, i, x: entry(x["keyword"], x["score"] + F.when(same(e, i + 1, x), F.get(e, i + 1)["score"]).otherwise(0))
+    # A keyword has two entries at most, side by side.
+    summed = let(F.sort_array(F.concat(domain, F.transform(free, lambda x: entry(x["keyword"], x["count"])))), lambda e: F.array_compact(F.transform(e, lambda x, i: F.when(~same(e, i - 1, x), total(e, i, x)))))
+    out = rows.select("path", F.inline(summed))
+    return out if shared is None else out.unionByName(_biased_rows(shared, terms, bias))
+
+
+def _biased_rows(docs: DataFrame, terms: list[str], bias: int) -> DataFrame:
+    """The same of documents whose path has several rows."""
+    domain = term_counts(docs, terms).select("path", F.col("term").alias("keyword"), (F.col("count") + bias).alias("score"))
+    free = docs.select("path", F.explode(F.regexp_extract_all("text", F.lit(SPOKEN), F.lit(0))).alias("keyword")).where(~F.col("keyword").isin(*STOPWORDS) & ~F.col("keyword").rlike(ENGLISH))
     return domain.unionByName(free.withColumn("score", F.lit(1).cast("long"))).groupBy("path", "keyword").agg(F.sum("score").alias("score"))
 
 
