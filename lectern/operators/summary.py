@@ -67,6 +67,15 @@ def _counted(said: Column) -> Column:
     return let(F.sort_array(said), lambda w: let(starts(w), lambda at: F.transform(at, one(w, at))))
 
 
+def _keyed(docs: DataFrame, terms: list[str], limit: int) -> DataFrame:
+    """(path, text, best) of documents whose path has one row: an array of their keywords (other, less, keyword) in order."""
+    place = lambda other, n, word: F.struct(F.lit(other).alias("other"), (-n).alias("less"), word.alias("keyword"))
+    domain = F.transform("found", lambda t: place(0, occurrences(F.col("text"), t), t))
+    free = F.filter(_counted(words(F.col("text"))), lambda x: ~x["keyword"].isin(*STOPWORDS) & ~F.array_contains("found", x["keyword"]))
+    best = F.slice(F.sort_array(F.concat(domain, F.transform(free, lambda x: place(1, x["count"], x["keyword"])))), 1, limit)
+    return with_terms(docs, sorted(set(terms))).select("path", "text", F.coalesce(best, F.array().cast("array<struct<other:int,less:bigint,keyword:string>>")).alias("best"))
+
+
 def keywords(docs: DataFrame, terms: list[str], limit: int = KEYWORDS, path_col: str = "path", text_col: str = "text") -> DataFrame:
     """(path, rank, keyword, is_domain, count): domain terms first, then frequent words.
 
@@ -74,15 +83,15 @@ def keywords(docs: DataFrame, terms: list[str], limit: int = KEYWORDS, path_col:
     several rows they are counted together as rows.
     """
     own, shared = _apart(docs.select(F.col(path_col).alias("path"), F.col(text_col).alias("text")))
-    rows = with_terms(own, sorted(set(terms)))
-    place = lambda other, n, word: F.struct(F.lit(other).alias("other"), (-n).alias("less"), word.alias("keyword"))
-    domain = F.transform("found", lambda t: place(0, occurrences(F.col("text"), t), t))
-    free = F.filter(_counted(words(F.col("text"))), lambda x: ~x["keyword"].isin(*STOPWORDS) & ~F.array_contains("found", x["keyword"]))
-    best = F.slice(F.sort_array(F.concat(domain, F.transform(free, lambda x: place(1, x["count"], x["keyword"])))), 1, limit)
-    out = rows.select("path", F.posexplode(best).alias("at", "x")).select("path", (F.col("at") + 1).alias("rank"), "x.keyword", (F.col("x.other") == 0).alias("is_domain"), (-F.col("x.less")).alias("count"))
+    out = _ranked(_keyed(own, terms, limit))
     return out if shared is None else out.unionByName(_keyword_rows(shared, terms, limit))
 
 
+def _ranked(rows: DataFrame) -> DataFrame:
+    out = rows.select("path", F.posexplode("best").alias("at", "x"))
+    return out.select("path", (F.col("at") + 1).alias("rank"), "x.keyword", (F.col("x.other") == 0).alias("is_domain"), (-F.col("x.less")).alias("count"))
+
+
 def _keyword_rows(docs: DataFrame, terms: list[str], limit: int) -> DataFrame:
     """The same of documents whose path has several rows."""
     domain = term_counts(docs, terms).select("path", F.col("term").alias("keyword"), "count", F.lit(True).alias("is_domain"))
@@ -93,6 +102,10 @@ def _keyword_rows(docs: DataFrame, terms: list[str], limit: int) -> DataFrame:
     return both.withColumn("rank", rank).where(F.col("rank") <= limit).select("path", "rank", "keyword", "is_domain", "count")
 
 
+def _score(sentence: Column, keys: Column) -> Column:
+    return F.size(F.filter(words(sentence), lambda w: F.array_contains(keys, w))) + F.length(sentence).between(20, 220).cast("int")
+
+
 def scored_sentences(docs: DataFrame, keys: DataFrame, path_col: str = "path", text_col: str = "text") -> DataFrame:
     """(path, pos, sentence, score, rank): words that are keywords, and one for a medium length.
 
@@ -100,8 +113,7 @@ def scored_sentences(docs: DataFrame, keys: DataFrame, path_col: str = "path", t
     """
     own = keys.groupBy("path").agg(F.collect_set("keyword").alias("keys"))  # as many as KEYWORDS
     rows = docs.select(F.col(path_col).alias("path"), F.col(text_col).alias("text")).join(own, "path", "left").withColumn("keys", F.coalesce("keys", F.array().cast("array<string>")))
-    hits = lambda s: F.size(F.filter(words(s), lambda w: F.array_contains("keys", w)))
-    each = F.transform(sentence_list(F.col("text")), lambda s: F.struct(s.alias("sentence"), (hits(s) + F.length(s).between(20, 220).cast("int")).alias("score")))
+    each = F.transform(sentence_list(F.col("text")), lambda s: F.struct(s.alias("sentence"), _score(s, F.col("keys")).alias("score")))
     ranked = F.row_number().over(Window.partitionBy("path").orderBy(F.desc("score"), "pos"))
     return rows.select("path", F.posexplode(each).alias("pos", "x")).select("path", "pos", "x.sentence", "x.score").withColumn("rank", ranked)
 
@@ -118,10 +130,14 @@ def _by_theme(scored: DataFrame, groups: DataFrame, limit: int) -> DataFrame:
     once = scored.groupBy("path").agg(F.array_distinct(F.transform(F.sort_array(F.collect_list(F.struct("rank", "sentence"))), lambda x: x["sentence"])).alias("every"))
     themes_ = groups.groupBy("path").agg(F.collect_list(F.struct("theme", "words")).alias("themes"))
     rows = themes_.join(once, "path", "left").withColumn("every", F.coalesce("every", F.array().cast("array<string>")))
-    having = lambda ws: F.filter("every", lambda s: F.exists(ws, lambda w: F.contains(s, w)))
-    best = lambda own: F.slice(F.when(F.size(own) > 0, own).otherwise(F.filter("every", lambda s: F.length(s) >= 20)), 1, limit)
-    picked = F.transform("themes", lambda t: F.struct(t["theme"].alias("theme"), let(having(t["words"]), best).alias("said")))
-    return rows.select("path", F.inline(picked))
+    return rows.select("path", F.inline(_picked(F.col("themes"), F.col("every"), limit))).select("path", "theme", "said")
+
+
+def _picked(themes_: Column, every: Column, limit: int) -> Column:
+    """Themes (theme, words), each with the best of a document's sentences, which are in order."""
+    having = lambda ws: F.filter(every, lambda s: F.exists(ws, lambda w: F.contains(s, w)))
+    best = lambda own: F.slice(F.when(F.size(own) > 0, own).otherwise(F.filter(every, lambda s: F.length(s) >= 20)), 1, limit)
+    return F.transform(themes_, lambda t: F.struct(t["theme"].alias("theme"), t["words"].alias("words"), let(having(t["words"]), best).alias("said")))
 
 
 def theme_sentences(scored: DataFrame, groups: DataFrame, limit: int = 4) -> DataFrame:
@@ -146,25 +162,52 @@ def concepts(docs: DataFrame, keys: DataFrame, size: int = CONCEPTS, path_col: s
     return every_path.withColumn("all", full).select("path", F.posexplode("all").alias("i", "concept"), "all").select("path", (F.col("i") + 1).alias("n"), "concept", F.get("all", (F.col("i") + 1) % size).alias("peer"))
 
 
+def _no_themes() -> Column:
+    return F.array(*(F.struct(F.lit(i).alias("theme"), F.array(*map(F.lit, ws)).alias("words")) for i, ws in enumerate(NO_THEMES)))
+
+
+def _outlined(docs: DataFrame, terms: list[str], bullets: int) -> DataFrame:
+    """(path, best, themes) of documents whose path has one row: keywords, and themes with their sentences, all made within the row."""
+    rows = _keyed(docs, terms, KEYWORDS).withColumn("own", F.transform("best", lambda x: x["keyword"]))
+    ordered = F.transform(sentence_list(F.col("text")), lambda s, i: F.struct((-_score(s, F.col("own"))).alias("less"), i.alias("pos"), s.alias("sentence")))
+    every = F.array_distinct(F.transform(F.sort_array(ordered), lambda x: x["sentence"]))
+    rows = rows.select("path", "best", "own", F.coalesce(every, F.array().cast("array<string>")).alias("every"))
+    cut = F.transform(F.array(*map(F.lit, range(THEMES))), lambda t: F.struct(t.alias("theme"), F.slice("own", t * THEME_SIZE + 1, THEME_SIZE).alias("words")))
+    groups = F.when(F.size("own") > 0, F.filter(cut, lambda t: F.size(t["words"]) > 0)).otherwise(_no_themes())
+    return rows.select("path", "best", _picked(groups, F.col("every"), bullets).alias("themes"))
+
+
+def _outlined_rows(docs: DataFrame, terms: list[str], bullets: int) -> DataFrame:
+    """The same of documents whose path has several rows."""
+    keys = _keyword_rows(docs, terms, KEYWORDS)
+    bare = docs.select("path").distinct().join(keys.select("path").distinct(), "path", "left_anti")
+    groups = themes(keys).unionByName(bare.select("path", F.inline(_no_themes())))
+    said = groups.join(_by_theme(scored_sentences(docs, keys), groups, bullets), ["path", "theme"])
+    said = said.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("theme", "words", "said"))).alias("themes"))
+    best = keys.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("rank", "keyword", "is_domain", "count"))).alias("x"))
+    best = best.select("path", F.transform("x", lambda x: F.struct(F.when(x["is_domain"], 0).otherwise(1).alias("other"), (-x["count"]).alias("less"), x["keyword"].alias("keyword"))).alias("best"))
+    return said.join(best, "path", "left").select("path", F.coalesce("best", F.array().cast("array<struct<other:int,less:bigint,keyword:string>>")).alias("best"), "themes")
+
+
 def sections(docs: DataFrame, terms: list[str], bullets: int = 4, path_col: str = "path", text_col: str = "text") -> DataFrame:
     """(path, part, n, line): the lines of a summary in order: title, themes, questions, definitions, flow.
 
     A text without keywords has the themes NO_THEMES; a theme without a sentence has NO_SENTENCE.
-    Keywords are written to a table, which all parts read, so texts are read for them once.
+    Texts are read once, for a table of keywords, themes and their sentences, of which all lines are made.
     """
     paths = docs.select(F.col(path_col).alias("path"))
-    table = work_folder(docs.sparkSession, "keywords")
-    keywords(docs, terms, path_col=path_col, text_col=text_col).write.parquet(table)
-    keys = docs.sparkSession.read.parquet(table)
-    bare = paths.join(keys.select("path").distinct(), "path", "left_anti")
-    instead = F.posexplode(F.array(*(F.array(*map(F.lit, words_)) for words_ in NO_THEMES)))
-    groups = themes(keys).unionByName(bare.select("path", instead.alias("theme", "words")))
+    own, shared = _apart(docs.select(F.col(path_col).alias("path"), F.col(text_col).alias("text")))
+    table = work_folder(docs.sparkSession, "outlines")
+    _outlined(own, terms, bullets).write.parquet(table)
+    if shared is not None:
+        _outlined_rows(shared, terms, bullets).write.mode("append").parquet(table)
+    outlines = docs.sparkSession.read.parquet(table)
+    keys, groups = _ranked(outlines), outlines.select("path", F.inline("themes"))
     place = lambda part, n, line: (F.lit(part).alias("part"), n.cast("int").alias("n"), line.alias("line"))
     head = F.concat(F.lit("### 주제 "), (F.col("theme") + 1).cast("string"), F.lit(". "), F.concat_ws(", ", F.slice("words", 1, 2)))
     heads = groups.select("path", *place(1, F.col("theme") * 100, head))
-    said = _by_theme(scored_sentences(docs, keys, path_col, text_col), groups, bullets)
     told = F.posexplode(F.when(F.size("said") > 0, F.col("said")).otherwise(F.array(F.lit(NO_SENTENCE)))).alias("at", "sentence")
-    told = said.select("path", "theme", told).select("path", *place(1, F.col("theme") * 100 + F.col("at") + 1, F.concat(F.lit("- "), "sentence")))
+    told = groups.select("path", "theme", told).select("path", *place(1, F.col("theme") * 100 + F.col("at") + 1, F.concat(F.lit("- "), "sentence")))
     ends = groups.select("path", *place(1, F.col("theme") * 100 + 99, F.lit("")))
     ring = concepts(docs, keys, path_col=path_col)
     kind = F.when(F.col("n") % 2 == 1, "객관식").otherwise("단답형")

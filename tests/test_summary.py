@@ -49,3 +49,19 @@ def test_words_of_documents_do_not_move(spark):
     named = docs.withColumn("path", F.col("path").cast("string"))
     for df in (scored, themed, summary.concepts(named, summary.keywords(named, TERMS))):
         assert not any(re.search(r", (keyword|sentence)#", x) for x in moved(df)), moved(df)
+
+
+def test_sections_read_texts_once(spark):
+    docs = spark.createDataFrame([(f"{k}.txt", t) for k, t in TEXTS.items()], "path string, text string")
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    got = summary.sections(docs.mapInArrow(counted, "path string, text string"), TERMS).collect()
+    assert seen.value <= 6 * len(TEXTS)  # for equal paths, for the table, and for the paths of the lines
+    twice = spark.createDataFrame([(f"{k}.txt", t) for k, t in [*TEXTS.items(), (1, TEXTS[1])]], "path string, text string")
+    themes = lambda d: {r["line"] for r in summary.sections(d, ["pass"]).where("part = 1 and path = '1.txt'").collect()}
+    assert len(got) and themes(twice) == themes(docs)
