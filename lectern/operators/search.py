@@ -7,9 +7,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.operators.align import greedy
+from lectern.sources.files import work_folder
 
 #: Up to so many patterns are compared with every line; an automaton holds up to MOST_PATTERNS at once.
 FEW_PATTERNS, MOST_PATTERNS = 64, 200_000
+#: Groups of hits that every task of a report holds at most, and the share of hits from which one of more groups is held.
+FEW_GROUPS, HOT_SHARE = 10_000, 64
 
 
 def literal_patterns(pairs: DataFrame, manual: DataFrame) -> DataFrame:
@@ -136,21 +139,38 @@ def with_times(hits: DataFrame, times: DataFrame) -> DataFrame:
     return hits.join(times, ["path", "line_no"], "left").withColumn("timestamp", F.coalesce("timestamp", F.lit("")))
 
 
+def _with_groups(hits: DataFrame, groups: DataFrame, count: int, total: int) -> DataFrame:
+    """Hits with their group's n and files; no group's hits are dealt to one task.
+
+    Up to FEW_GROUPS groups are held by every task; of more, those that have a share of hits of over 1/64.
+    """
+    by = ["match_kind", "pattern"]
+    if count <= FEW_GROUPS:
+        return hits.join(F.broadcast(groups), by)
+    large = F.col("n") * HOT_SHARE > total  # fewer than HOT_SHARE groups
+    rest = hits.join(F.broadcast(groups.where(large).select(*by)), by, "left_anti").join(groups.where(~large), by)
+    return hits.join(F.broadcast(groups.where(large)), by).unionByName(rest)
+
+
 def report_markdown(hits: DataFrame, files_scanned: int) -> DataFrame:
     """(ord, line): the lines of a report in order; hits have (match_kind, pattern, path, line_no, timestamp, text).
 
-    Lines are sorted by their place, so no group of hits is gathered in one row.
+    Lines are sorted by their place, so no group of hits is gathered in one row.  Hits are found
+    once, for a table that all lines are made of.
     """
-    groups = hits.groupBy("match_kind", "pattern").agg(F.count("*").alias("n"), F.countDistinct("path").alias("files"))
-    key = F.struct((-F.col("files")).alias("a"), (-F.col("n")).alias("b"), F.col("match_kind").alias("c"), F.col("pattern").alias("d"))
-    total = hits.agg(F.count("*").alias("n")).first()["n"]
-    count = groups.count()
     spark = hits.sparkSession
+    table = work_folder(spark, "report")
+    hits.select("match_kind", "pattern", "path", "line_no", "timestamp", "text").write.parquet(f"{table}/hits")
+    hits = spark.read.parquet(f"{table}/hits")
+    hits.groupBy("match_kind", "pattern").agg(F.count("*").alias("n"), F.countDistinct("path").alias("files")).write.parquet(f"{table}/groups")
+    groups = spark.read.parquet(f"{table}/groups")
+    key = F.struct((-F.col("files")).alias("a"), (-F.col("n")).alias("b"), F.col("match_kind").alias("c"), F.col("pattern").alias("d"))
+    count, total = groups.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     head = ["# Suspicious Transcript Candidates", "", f"- files_scanned: {files_scanned}", f"- unique_groups: {count}", f"- total_hits: {total}", "", *([] if count else ["No suspicious candidates found."])]
     first = spark.createDataFrame(list(enumerate(head)), "i int, line string").select(F.lit(None).cast("struct<a:bigint,b:bigint,c:string,d:string>").alias("g"), F.lit("").alias("path"), "i", "line")
     top = F.array(F.concat(F.lit("## "), "pattern"), F.lit(""), F.concat(F.lit("- kind: "), "match_kind"), F.concat(F.lit("- hits: "), F.col("n").cast("string")), F.concat(F.lit("- files: "), F.col("files").cast("string")), F.lit(""))
     titles = groups.select(key.alias("g"), F.lit("").alias("path"), F.posexplode(top).alias("i", "line")).withColumn("i", F.col("i") - 10)
     shown = F.concat(F.lit("- "), "path", F.lit(":"), F.col("line_no").cast("string"), F.lit(" ["), F.when(F.col("timestamp") == "", "--:--").otherwise(F.col("timestamp")), F.lit("] "), "text")
-    rows = hits.join(groups, ["match_kind", "pattern"]).select(key.alias("g"), "path", F.col("line_no").cast("int").alias("i"), shown.alias("line"))
+    rows = _with_groups(hits, groups, count, total).select(key.alias("g"), "path", F.col("line_no").cast("int").alias("i"), shown.alias("line"))
     gaps = groups.select(key.alias("g"), F.lit("\U0010ffff").alias("path"), F.lit(0).alias("i"), F.lit("").alias("line"))
     return first.unionByName(titles).unionByName(rows).unionByName(gaps).orderBy(F.asc_nulls_first("g"), "path", "i").select("line")
