@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.text import digits_to_sino, has_hangul, tokens
 from lectern.operators.similar import closest
+from lectern.sources.files import work_folder
 
 # Suffixes peeled from tokens, endings of words that are no terms, and stop words.
 SUFFIXES = (
@@ -45,9 +46,12 @@ def token_counts(lines: DataFrame) -> DataFrame:
 
 
 def stem_counts(counts: DataFrame) -> DataFrame:
-    """(token, count, first) of the stems of two characters or more."""
-    rows = counts.select(stem_of(F.col("token")).alias("token"), "count", "first").where("length(token) >= 2")
-    return rows.groupBy("token").agg(F.sum("count").alias("count"), F.min("first").alias("first"))
+    """(token, count, first) of the stems of two characters or more.
+
+    The length is tested as a maximum, since a test of the stem itself would be moved to every token of the texts.
+    """
+    rows = counts.select(stem_of(F.col("token")).alias("token"), "count", "first").groupBy("token")
+    return rows.agg(F.sum("count").alias("count"), F.min("first").alias("first"), F.max(F.length("token")).alias("size")).where("size >= 2").drop("size")
 
 
 def _ends(token: Column, endings) -> Column:
@@ -82,10 +86,13 @@ def suggest_replacements(counts: DataFrame, terms: DataFrame, pairs: DataFrame,
     """(wrong, right, count, reason, score): by digits spelt out, by similarity, or by one character.
 
     terms (seq, term) is a dictionary, whose terms are compared; the effective cutoff is at
-    least LEAST_SIMILAR.
+    least LEAST_SIMILAR.  Candidates are written to a table, so texts are read for them once.
     """
     cutoff = max(cutoff, LEAST_SIMILAR)
-    rows = typo_candidates(counts, terms, pairs, least)
+    spark, table = counts.sparkSession, work_folder(counts.sparkSession, "candidates")
+    counts.select("token", "count").write.parquet(f"{table}/counts")  # so that tests of a token are not moved to all its occurrences
+    typo_candidates(spark.read.parquet(f"{table}/counts"), terms, pairs, least).write.parquet(f"{table}/rows")
+    rows = spark.read.parquet(f"{table}/rows")
     plain = terms.where(~F.contains("term", F.lit(" "))).select("term")
     spelt = rows.select("stem").distinct().where("stem rlike '[0-9]'").select("stem", digits_to_sino(F.col("stem")).alias("spelt")).where("spelt <> stem")
     spelt = spelt.join(terms.select(F.col("term").alias("spelt")).distinct(), "spelt")
@@ -118,12 +125,28 @@ def related_to_terms(stems: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def suggest_terms(stems: DataFrame, terms: DataFrame, least: int = 2, most: int = 30) -> DataFrame:
-    """(term, count): frequent stems related to known terms; ties go by first appearance."""
+    """(term, count): frequent stems related to known terms; ties go by first appearance.
+
+    Where a stem stands first is only looked for among ties that may be in the result, since a
+    struct's minimum is found by a sort of all tokens.
+    """
+    spark, table = stems.sparkSession, work_folder(stems.sparkSession, "related")
     t = F.col("token")
     fit = (F.col("count") >= least) & F.length(t).between(2, 12) & ~t.isin(*STOPWORDS) & has_hangul(t) & ~_ends(t, ENDINGS) & ~_ends(t, TERM_ENDINGS)
-    rows = stems.where(fit).join(terms.select(F.col("term").alias("token")).distinct(), "token", "left_anti")
-    rows = rows.join(related_to_terms(rows, terms), "token", "left_semi")
-    return rows.orderBy(F.desc("count"), "first").limit(most).select(F.col("token").alias("term"), "count")
+    stems.select("token", "count").write.parquet(f"{table}/stems")  # so that tests of a stem are not moved to all its occurrences
+    spark.read.parquet(f"{table}/stems").where(fit).join(terms.select(F.col("term").alias("token")).distinct(), "token", "left_anti").write.parquet(f"{table}/fit")
+    rows = spark.read.parquet(f"{table}/fit")
+    rows.join(related_to_terms(rows, terms), "token", "left_semi").write.parquet(f"{table}/near")
+    near = spark.read.parquet(f"{table}/near")
+    last = near.orderBy(F.desc("count")).limit(most).agg(F.min("count")).first()[0]
+    near = near.where(F.col("count") >= F.lit(last))
+    ties = near.groupBy("count").agg(F.count("*").alias("n")).where("n > 1").select("count")
+    near.join(ties, "count", "left_semi").select("token").write.parquet(f"{table}/tied")
+    tied = spark.read.parquet(f"{table}/tied")
+    if tied.isEmpty():
+        return near.orderBy(F.desc("count")).limit(most).select(F.col("token").alias("term"), "count")
+    first = stems.join(tied, "token", "left_semi").select("token", "first")
+    return near.join(first, "token", "left").orderBy(F.desc("count"), "first").limit(most).select(F.col("token").alias("term"), "count")
 
 
 def top_tokens(docs: DataFrame, k: int, key: str = "path", text_col: str = "text") -> DataFrame:
