@@ -275,27 +275,37 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([s[0] for s in stars], pa.int64()), pa.array([s[1] for s in stars], pa.int64())], ["u", "v"])
 
 
+def _label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Node and component of all edges, which one task has: stars, and each component's own node."""
+    for stars in _contract(batches):
+        node, root = stars.columns
+        own = root.unique()
+        yield pa.RecordBatch.from_arrays([pa.concat_arrays([node, own]), pa.concat_arrays([root, own])], ["node", "component"])
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of (u, v): one row (node, component) per node, component the smallest node.
 
     Alternates large-star and small-star steps, each a partial minimum and an equi-join on a
-    table in the shared folder, until nothing changes.  Nulls and loops are ignored; an empty
-    table gives an empty result.
+    table in the shared folder, until nothing changes or one task may take the edges that are left:
+    a step has a dozen exchanges to plan and compile, which costs the driver the same memory for few edges
+    as for many.  Nulls and loops are ignored; an empty table gives an empty result.
     """
     e = cut(edges.where("u <> v").select("u", "v").mapInArrow(_contract, "u long, v long").distinct(), name)
-    tasks = e.count() // EDGES_A_TASK + 4  # fewer than the session's partitions where edges are few
-    seen = None
+    seen = tasks = None
     while True:
+        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if now[0] <= EDGES_A_TASK:
+            return e.coalesce(1).mapInArrow(tidy(_label), "node long, component long")
+        if now == seen:
+            break
+        seen, tasks = now, tasks or now[0] // EDGES_A_TASK + 4  # fewer than the session's partitions where edges are few
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")).coalesce(tasks)
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(tasks).distinct().coalesce(tasks)
         low = large.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks)
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(tasks)
         old, e = e, cut(small.union(low.select("u", F.col("m").alias("v"))).where("u <> v").coalesce(tasks).distinct().coalesce(tasks), name)
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         drop_table(old)
-        if now == seen:
-            break
-        seen = now
     roots = e.select(F.col("v").alias("u")).distinct().select("u", F.col("u").alias("v"))
     return e.select("u", "v").union(roots).groupBy("u").agg(F.min("v").alias("v")).toDF("node", "component")

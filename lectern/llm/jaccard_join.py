@@ -263,6 +263,7 @@ def _linked(pairs: DataFrame, maps: DataFrame, texts: DataFrame, size: int, per:
     left = cut(sides.select("u", "v", "n", "a", "m", "b").mapInArrow(_possible(per, of), "u long, v long").distinct(), "jaccard-possible")
     wanted = texts.sparkSession.sparkContext.broadcast(bloom_filter(left.select("u").union(left.select("v")).distinct()))
     sets = cut(texts.mapInArrow(_sets(size, wanted), "id long, set array<long>"), "jaccard-sets")
+    wanted.destroy()
     both = left.join(sets.select(F.col("id").alias("v"), F.col("set").alias("b")), "v").join(sets.select(F.col("id").alias("u"), F.col("set").alias("a")), "u")
     common = F.size(F.array_intersect("a", "b"))
     links = both.select("u", "v", common.alias("c"), (F.size("a") + F.size("b") - common).alias("d")).where(F.col("c") * of >= F.col("d") * per).select("u", "v")
@@ -287,6 +288,8 @@ def group(docs: DataFrame, size: int = 4, per: int = 85, of: int = 100, id_col:
     told, some = sc.broadcast(levels), sc.broadcast(bloom_filter(classes.select("class_id")))
     limit = max(LEAST_HOT, (rows.agg(F.sum("n")).first()[0] or 0) // MOST_HOT)  # so there are at most MOST_HOT hot tokens
     postings = cut(texts.mapInArrow(_postings(size, told, some, noise, per, of, limit), "kind byte, token long, id long, n int, want byte, at int, bits binary"), "jaccard-postings")
+    told.destroy()
+    some.destroy()
     often = postings.where("kind = 1").groupBy("token").agg(F.sum("n").alias("n"))
     hot = cut(often.where(F.col("n") >= limit).select("token"), "jaccard-hot")
     listed, maps = postings.where("kind = 0").drop("kind", "bits"), postings.where("kind = 2").select("id", "n", "bits")
@@ -320,6 +323,6 @@ def group(docs: DataFrame, size: int = 4, per: int = 85, of: int = 100, id_col:
     for table in (postings, hot, shared, left):
         drop_table(table)
     named = classes.join(groups.withColumnRenamed("node", "class_id"), "class_id", "left").select("sig", "class_id", F.coalesce("component", "class_id").alias("component_id"), "copies")
-    named = named.where("copies > 1 or component_id <> class_id")  # all others are named by themselves
+    named = cut(named.where("copies > 1 or component_id <> class_id"), "jaccard-named")  # all others are named by themselves
     out = hot_lookup(rows, named, ["sig"], "copies")
     return out.select(F.col("id").cast(docs.schema[id_col].dataType).alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"), F.coalesce("class_id", "id").alias("class_id"))

@@ -5,6 +5,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from lectern.llm import common
 from lectern.llm import jaccard_join as jj
 from lectern.llm.common import WordHashes, components
 from tests_llm_cases import empty, odd, odd_rows, words
@@ -100,3 +101,21 @@ def test_components(spark):
     out = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "u long, v long").repartition(6)).collect()}
     assert out == {**{i: 0 for i in range(41)}, 100: 100, 150: 100, 200: 100, 300: 300, 301: 300}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_components_of_more_edges_than_a_task_takes(spark, monkeypatch):
+    rng = random.Random(8)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)]
+    df = spark.createDataFrame(edges, "u long, v long").repartition(6)
+    want = common.forest((a, b) for a, b in edges if a != b)
+    for most in (10, 120, 100_000):  # steps to the end, few steps, none
+        monkeypatch.setattr(common, "EDGES_A_TASK", most)
+        assert {r["node"]: r["component"] for r in components(df).collect()} == want
+
+
+def test_few_edges_cost_the_driver_few_jobs(spark):
+    df = spark.createDataFrame([(i, i + 1) for i in range(0, 300, 2)], "u long, v long").repartition(6)
+    spark.sparkContext.setJobGroup("few-edges", "components of few edges")
+    assert components(df).count() == 300
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("few-edges")) <= 10
