@@ -9,11 +9,13 @@ stays is what a walk over all files finds.  Most of what there is to learn is le
 a guess, and of a round that did, only the ranges after the first such place are walked again.
 
 Tables that grow with the dictionary alone travel by broadcast; of the texts only the first place of
-each manual pair comes back.
+each manual pair comes back.  Texts are folded by their pieces (fold.Pieces), of which most come again, and a walk that looks
+for lessons rewrites only the files in which a pair may be applied that its range has not shown yet.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 from typing import NamedTuple
 
@@ -24,8 +26,8 @@ from pyspark.sql import functions as F
 from lectern.functions.particles import expand_pairs, forms_of
 from lectern.functions.text import is_auto_pair
 from lectern.operators.dictionary import first_by
-from lectern.operators.fold import Ordered
-from lectern.operators.rewrite import STATS, Rules, rewrite_text
+from lectern.operators.fold import Ordered, Pieces
+from lectern.operators.rewrite import STATS, Rules, rewrite_text, verdict
 from lectern.sources.files import work_folder
 
 Pair = tuple[str, str]
@@ -61,14 +63,15 @@ class _InTime:
     of one length those of the dictionary, then taught ones as they were taught, then manual ones.
     """
 
-    def __init__(self, table: Lessons):
+    def __init__(self, table: Lessons, given: Rules):
         self.table = table
         rules: dict[Pair, Pair] = {(w, r): (bw, br) for w, r, bw, br in table.known}
         self.fixed = set(rules)
         self.order = {i: (-len(x[0]), 0, i, 0) for i, x in enumerate(rules)}
         self.literals = list(rules)
         self.forms: dict[Pair, int] = {}
-        for form in dict.fromkeys(f for forms in table.forms.values() for f in forms):
+        # A pair is taught by a rule of its own that is applied, so one that its gates always hold back never is, nor do its forms hold.
+        for form in dict.fromkeys(f for base, forms in table.forms.items() if verdict(given, base) is not False for f in forms):
             if form not in self.fixed:
                 self.forms[form] = len(self.literals)
                 self.literals.append(form)
@@ -84,13 +87,20 @@ class _InTime:
         self.taught: dict[Pair, Pair] = {}
         self.count = 0
         self.aside: list[tuple[Pair, tuple]] = []
+        changing = {*self.forms.values(), *(i for pair, i in self.by_hand.items() if pair in self.forms)}
+        self.pieces = Pieces(self.ordered, self.order, [verdict(given, pair) for pair in self.literals], changing)
+        self.own = replace(given, literals=tuple(self.literals), bases=self)
+        self.ready = self, Ordered(given.stable)
+        self.plain = not (given.topic_rules and (given.contextual or given.families or given.compounds or given.regexes))
 
     def forget(self) -> None:
         for form in self.taught:
             self.order.pop(self.forms[form])
+            self.pieces.changed(self.forms[form])
             self.bases.pop(form, None)
         for pair, place in self.aside:
             self.order[self.by_hand[pair]] = place
+            self.pieces.changed(self.by_hand[pair])
             self.bases[pair] = pair
         self.taught, self.count, self.aside = {}, 0, []
 
@@ -100,37 +110,72 @@ class _InTime:
                 continue
             self.taught[form] = self.bases[form] = pair
             self.order[self.forms[form]] = (-len(form[0]), 1, self.count, k)
+            self.pieces.changed(self.forms[form])
             if form in self.by_hand:
                 self.aside.append((form, self.order.pop(self.by_hand[form])))
+                self.pieces.changed(self.by_hand[form])
         self.count += 1
 
     def fold(self, text: str, gate=None):
-        return self.ordered.fold(text, gate, self.order)
+        return self.pieces.fold(text) or self.ordered.fold(text, gate, self.order)
+
+    def rewritten(self, text: str):
+        return rewrite_text(text, self.own, ready=self.ready)
+
+    def shows_nothing(self, text: str, shown) -> bool:
+        """Whether it is plain that no pair is applied that may be taught and is not among those shown."""
+
+        def loud(i: int) -> bool:
+            base = self.bases.get(self.literals[i])
+            return base in self.table.forms and base not in shown
+
+        return self.plain and self.pieces.quiet(text, loud)
 
     def get(self, pair: Pair, default=None):
         """The base of a rule that holds now."""
         return self.bases.get(pair, default)
 
 
-def _walk(told, given, keep: bool):
+#: The rules that this Python worker made ready last, under the name of their run: its next tasks and walks use them, and the pieces they know, again.
+_READY: dict[str, _InTime] = {}
+
+
+def _ready(name: str, table: Lessons, given: Rules) -> _InTime:
+    if name not in _READY:
+        _READY.clear()
+        _READY[name] = _InTime(table, given)
+    return _READY[name]
+
+
+def _stat_rows(counted: list[list[tuple]]) -> pa.Array:
+    """Statistics of texts as lists of structs, made of flat columns."""
+    kind = pa.list_(pa.struct([("stage", pa.string()), ("ord", pa.int64()), ("wrong", pa.string()), ("right", pa.string()), ("applied", pa.int64()), ("skipped", pa.int64())]))
+    ends, columns = [0], [[] for _ in kind.value_type]
+    for own in counted:
+        for column, values in zip(columns, zip(*own, strict=True)):  # none if there are no statistics
+            column.extend(values)
+        ends.append(len(columns[0]))
+    flat = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind.value_type, strict=True)], fields=list(kind.value_type))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat).cast(kind)
+
+
+def _walk(told, given, keep: bool, name: str):
     """Rewritten texts (keep), or the first place in each range of each pair that was applied, and where ranges begin."""
-    fields = ("stage", "ord", "wrong", "right", "applied", "skipped")
 
     def rows(batches):
         table, guess = told.value
-        now = _InTime(table)
-        own = replace(given, literals=tuple(now.literals), bases=now)
-        ready = now, Ordered(given.stable)
+        now = _ready(name, table, given)
         best: dict[Pair, tuple[int, int]] = {}
         starts: list[int] = []
-        last, at, learnt = None, 0, set()
+        last, at, learnt, shown = None, 0, set(), set()
         for batch in batches:
             texts, stats = [], []
             for number, place, text in zip(*(batch.column(c).to_pylist() for c in ("number", "place", "text")), strict=True):
                 if last is None or number != last + 1:
                     starts.append(place)
                     now.forget()
-                    at, learnt = 0, set()
+                    now.pieces.settled.clear()
+                    at, learnt, shown = 0, set(), set()
                     if not keep:
                         for lesson in guess:
                             if lesson[0] < place:
@@ -141,16 +186,19 @@ def _walk(told, given, keep: bool):
                         now.teach(guess[at][2])
                         at += 1
                 last = number
-                new, counted = rewrite_text(text or "", own, ready=ready)
+                if not keep and now.shows_nothing(text or "", shown):
+                    continue
+                new, counted = now.rewritten(text or "")
                 if keep:
                     texts.append(new)
-                    stats.append([dict(zip(fields, s, strict=True)) for s in counted])
+                    stats.append(counted)
                     continue
                 fresh = []
                 for stage, k, wrong, right, applied, _ in counted:
                     base = now.get((wrong, right)) if stage == "pair" and applied else None
                     if base not in table.forms:
                         continue
+                    shown.add(base)
                     if (place, k) < best.get(base, (place + 1, 0)):
                         best[base] = place, k
                     if base not in learnt:
@@ -159,8 +207,7 @@ def _walk(told, given, keep: bool):
                 for base in fresh:
                     now.teach(base)
             if keep:
-                kind = pa.list_(pa.struct([("stage", pa.string()), ("ord", pa.int64()), ("wrong", pa.string()), ("right", pa.string()), ("applied", pa.int64()), ("skipped", pa.int64())]))
-                yield pa.RecordBatch.from_arrays([batch.column("place"), batch.column("path"), batch.column("text"), pa.array(texts, pa.string()), pa.array(stats, kind)], ["place", "path", "text", "corrected", "stats"])
+                yield pa.RecordBatch.from_arrays([batch.column("place"), batch.column("path"), batch.column("text"), pa.array(texts, pa.string()), _stat_rows(stats)], ["place", "path", "text", "corrected", "stats"])
         if not keep:
             out = [*((*p, *x) for p, x in best.items()), *((None, None, place, 0) for place in starts)]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64()))], ["wrong", "right", "place", "k"])
@@ -183,12 +230,12 @@ def sequential(docs: DataFrame, rules: Rules, pairs: DataFrame, manual: DataFram
     own.repartitionByRange("place").sortWithinPartitions("place").withColumn("number", F.monotonically_increasing_id()).write.parquet(folder)
     rows = spark.read.parquet(folder)
     first: dict[Pair, tuple[int, int]] = {}
-    since = None
+    since, name = None, uuid.uuid4().hex
     in_order = lambda found: sorted((*at, p) for p, at in found.items())
     while True:
         told = spark.sparkContext.broadcast((table, in_order(first)))
         some = rows if since is None else rows.where(F.col("place") >= since)
-        found = some.mapInArrow(_walk(told, rules, False), "wrong string, right string, place long, k long").groupBy("wrong", "right", F.when(F.col("wrong").isNull(), F.col("place")).alias("start")).agg(F.min(F.struct("place", "k")).alias("at"))
+        found = some.mapInArrow(_walk(told, rules, False, name), "wrong string, right string, place long, k long").groupBy("wrong", "right", F.when(F.col("wrong").isNull(), F.col("place")).alias("start")).agg(F.min(F.struct("place", "k")).alias("at"))
         now = {p: at for p, at in first.items() if since is not None and at[0] < since}
         starts = []
         for r in found.collect():  # as many as manual pairs and ranges
@@ -203,5 +250,5 @@ def sequential(docs: DataFrame, rules: Rules, pairs: DataFrame, manual: DataFram
         if since is None:
             break
     told = spark.sparkContext.broadcast((table, in_order(first)))
-    done = rows.mapInArrow(_walk(told, rules, True), f"place long, path string, text string, corrected string, stats {STATS}")
+    done = rows.mapInArrow(_walk(told, rules, True, name), f"place long, path string, text string, corrected string, stats {STATS}")
     return done, spark.createDataFrame([(i, *p, place) for i, (place, _, p) in enumerate(in_order(first))], "seq long, wrong string, right string, place long")

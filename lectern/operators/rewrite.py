@@ -170,6 +170,17 @@ def _passes(rules: Rules, pair, text: str, start: int, end: int, is_raw: bool) -
     return True
 
 
+def verdict(rules: Rules, pair: tuple[str, str]) -> bool | None:
+    """What the gates of a pair say of its every match, or None if its base or the text around may tell."""
+    if pair in rules.forced:
+        return True
+    if rules.topic_rules and rules.raw_priority or rules.pair_exclude.get(pair) or rules.pair_include.get(pair):
+        return None
+    if len(pair[0]) <= 4 and _SHORT.fullmatch(pair[0]):
+        return None if rules.domain_keywords else False
+    return True
+
+
 class _Text:
     """A text under rewriting, and what was counted."""
 

@@ -96,3 +96,23 @@ def test_a_chain_of_lessons_takes_as_many_rounds_as_ranges(spark, monkeypatch):
     _, taught = feedback.sequential(df, Rules(), spark.createDataFrame([], "seq long, wrong string, right string"), two(manual))
     assert [tuple(r)[1:] for r in taught.orderBy("seq").collect()] == walk(docs, Rules(), [], manual)[1] == [(*p, i) for i, p in enumerate(manual)]
     assert len(walks) <= 4 + 2
+
+
+def test_pieces_that_come_again_are_not_scanned_again(monkeypatch):
+    """A walk scanned every text whole, however often its words had come before."""
+    import pyarrow as pa
+
+    from lectern.operators.fold import Ordered
+
+    manual = [(w[:-1] + "갈하하", w) for w in STEMS]
+    forms = {p: [p] for p in manual}
+    texts = [" ".join(random.Random(i % 7).choices([w for p in manual for w in p] + ["그리고", "x"], k=40)) for i in range(300)]
+    want = {tuple(r[:2]): r[2] for r in walk(list(enumerate(texts)), Rules(), [], manual)[1]}
+    scanned, once = [], Ordered._due
+    monkeypatch.setattr(Ordered, "_due", lambda self, text, *a: scanned.append(text) or once(self, text, *a))
+    told = type("Told", (), {"value": (feedback.Lessons([], manual, forms), [])})
+    batch = pa.RecordBatch.from_pydict({"number": list(range(300)), "place": list(range(300)), "path": ["p"] * 300, "text": texts})
+    for keep in (False, True):
+        (out,) = feedback._walk(told, Rules(), keep, f"scans {keep}")([batch])
+        assert keep or {(r["wrong"], r["right"]): r["place"] for r in out.to_pylist() if r["wrong"]} == want
+    assert sum(map(len, scanned)) < sum(map(len, texts)) / 4

@@ -120,3 +120,39 @@ def test_a_worker_makes_the_rules_of_a_run_ready_once():
 
     first = fold._ready("run", Told)
     assert fold._ready("run", Told) is first and first[0].fold("xab") == ("xc", [(0, 1, 0)]) and list(Told.value[0]) == ["ab", ""]
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_pieces_equal_the_whole_fold_while_rules_change(seed):
+    rng = random.Random(seed)
+    word = lambda least, most: "".join(rng.choice("abc") for _ in range(rng.randint(least, most)))
+    wide = lambda: rng.choice([word(1, 2) + " " + word(1, 2), word(1, 2) + " " + word(0, 1) + " " + word(1, 2), word(1, 2) + ", ", " " * (seed % 5 == 0) + word(1, 1), word(1, 1) + "-" + word(1, 2)])
+    rules = [(word(1, 4), rng.choice([word(0, 3), wide()])) for _ in range(8)] + [(wide(), word(0, 3)) for _ in range(3)]
+    verdicts = [rng.choice([True, True, True, False]) for _ in rules]
+    own, order = fold.Ordered(rules), {i: (i,) for i in range(len(rules))}
+    pieces = fold.Pieces(own, order, verdicts, {1, 2, 3})
+    by_piece = 0
+    for _ in range(60):
+        if rng.random() < 0.3:
+            i = rng.choice([1, 2, 3])
+            order.pop(i, None)
+            if rng.random() < 0.7:
+                order[i] = (rng.randint(-1, len(rules)), -1)
+            pieces.changed(i)
+            pieces.settled.clear()
+        text = rng.choice(["", " ", "-"]).join(word(0, 5) + rng.choice(["", " ", ", ", "x"]) for _ in range(rng.randint(0, 12))) + word(0, 3) * rng.choice([1, 1, 90])
+        want = own.fold(text, lambda i, *_: verdicts[i], order)
+        got = pieces.fold(text)
+        by_piece += got is not None
+        assert got in (None, want), (rules, text)
+        loud = rng.choice([0, 1, 9])
+        if pieces.quiet(text, lambda i: i == loud):
+            assert not any(i == loud and applied for i, applied, _ in want[1])
+        pieces.settled.clear()  # another rule is loud the next time
+    assert by_piece or seed % 5 == 0
+
+
+def test_a_rule_whose_context_tells_is_left_to_the_whole_fold():
+    own, order = fold.Ordered([("aa", "b"), ("bc", "d")]), {0: (0,), 1: (1,)}
+    pieces = fold.Pieces(own, order, [True, None], set())
+    assert pieces.fold("aa x aa") == ("b x b", [(0, 2, 0)]) and pieces.fold("aac") is None and not pieces.quiet("x aac", lambda i: False)
