@@ -5,12 +5,18 @@ Ties that a hash order would settle go by the term itself.
 
 from __future__ import annotations
 
+import heapq
+import re
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.functions.text import let, occurrences, title_tokens
+from lectern.functions.text import SPACE, let, occurrences, title_tokens
 from lectern.operators.search import with_terms
-from lectern.operators.segments import sentence_list
+from lectern.operators.segments import ENDS, sentence_list
 from lectern.sources.files import work_folder
 
 # Words that are no keywords.
@@ -83,10 +89,100 @@ def keywords(docs: DataFrame, terms: list[str], limit: int = KEYWORDS, path_col:
     several rows they are counted together as rows.
     """
     own, shared = _apart(docs.select(F.col(path_col).alias("path"), F.col(text_col).alias("text")))
-    out = _ranked(_keyed(own, terms, limit))
+    ranked = lambda path, text, found: ((i, w, other == 0, -less) for i, (other, less, w) in enumerate(_best(text, found, limit), 1))
+    out = _within(own, terms, ranked, rank=pa.int32(), keyword=pa.string(), is_domain=pa.bool_(), count=pa.int64())
     return out if shared is None else out.unionByName(_keyword_rows(shared, terms, limit))
 
 
+#: The patterns of words() and segments.sentence_list(), for texts that Python has; str.splitlines() and str.strip() know the same line ends and blanks.
+_HANGUL, _LATIN, _END = re.compile("[가-힣]{2,}"), re.compile("[a-z]{2,}"), re.compile(f"([{re.escape(ENDS)}]){SPACE}+")
+_SQL = {pa.int32(): "int", pa.int64(): "long", pa.string(): "string", pa.bool_(): "boolean"}
+
+
+def _words(text: str) -> list[str]:
+    """What words() gives."""
+    latin = _LATIN.findall(text.lower())
+    return latin if text.isascii() else _HANGUL.findall(text) + latin
+
+
+def _sentences(text: str) -> Iterator[str]:
+    """What segments.sentence_list() gives."""
+    for line in text.splitlines():
+        parts = [*_END.split(line.strip()), ""]  # what stands before each end, and the end
+        for a, b in zip(parts[::2], parts[1::2], strict=True):
+            if s := (a + b).strip():
+                yield s
+
+
+def _best(text: str | None, found: list[str], limit: int) -> list[tuple[int, int, str]]:
+    """(other, less, keyword) of a text's keywords in order, as in _keyed()."""
+    if text is None:
+        return []
+    domain = sorted((0, -text.count(t), t) for t in found)
+    said = Counter(_words(text))
+    for w in (*STOPWORDS, *found):
+        said.pop(w, None)
+    return [*domain, *heapq.nsmallest(limit - len(domain), ((1, -n, w) for w, n in said.items()))][:limit]
+
+
+def _in_order(text: str | None, keys: set[str]) -> list[tuple[int, int, str]]:
+    """(less, pos, sentence): a text's sentences, the best first, by the same score as _score()."""
+    score = lambda s: sum(map(keys.__contains__, _words(s))) + (20 <= len(s) <= 220)
+    return sorted((-score(s), pos, s) for pos, s in enumerate(_sentences(text or "")))
+
+
+def _within(docs: DataFrame, terms: list[str], make: Callable[..., Iterable[tuple]], **kinds: pa.DataType) -> DataFrame:
+    """(path, *kinds): the rows that make(path, text, terms found) gives of each document (path, text), in one pass over the texts."""
+    names = ["path", *kinds]
+
+    def rows(batches):
+        for batch in batches:
+            at, columns = [], [[] for _ in kinds]
+            for k, given in enumerate(zip(*(batch.column(c).to_pylist() for c in ("path", "text", "found")), strict=True)):
+                for row in make(*given):
+                    at.append(k)
+                    for column, x in zip(columns, row, strict=True):
+                        column.append(x)
+            yield pa.RecordBatch.from_arrays([batch.column("path").take(pa.array(at, pa.int64())), *map(pa.array, columns, kinds.values())], names)
+
+    schema = f"path {docs.schema['path'].dataType.simpleString()}, " + ", ".join(f"{n} {_SQL[k]}" for n, k in kinds.items())
+    return with_terms(docs, sorted(set(terms))).mapInArrow(rows, schema)
+
+
+def document_sentences(docs: DataFrame, terms: list[str], most: int, limit: int = KEYWORDS, path_col: str = "path", text_col: str = "text") -> DataFrame:
+    """scored_sentences() of documents by their own keywords(), up to a rank; all of it is made where a text is, so no text moves.
+
+    Only of paths with several rows texts meet their keywords by a join.  A document without a path has no keywords.
+    """
+    own, shared = _apart(docs.select(F.col(path_col).alias("path"), F.col(text_col).alias("text")))
+
+    def ranked(path, text, found):
+        keys = {w for _, _, w in _best(text, found, limit)} if path is not None else set()
+        return ((pos, s, -less, i) for i, (less, pos, s) in enumerate(_in_order(text, keys)[:most], 1))
+
+    out = _within(own, terms, ranked, pos=pa.int32(), sentence=pa.string(), score=pa.int32(), rank=pa.int32())
+    return out if shared is None else out.unionByName(scored_sentences(shared, _keyword_rows(shared, terms, limit)).where(F.col("rank") <= most))
+
+
+def document_themes(docs: DataFrame, terms: list[str], bullets: int = 4, limit: int = KEYWORDS, path_col: str = "path", text_col: str = "text") -> DataFrame:
+    """theme_sentences() of documents by the themes of their own keywords(), made as in document_sentences()."""
+    own, shared = _apart(docs.select(F.col(path_col).alias("path"), F.col(text_col).alias("text")))
+
+    def picked(path, text, found):
+        keys = [w for _, _, w in _best(text, found, limit)] if path is not None else []
+        every = list(dict.fromkeys(s for _, _, s in _in_order(text, set(keys)))) if keys else []
+        for theme in range(min(THEMES, -(-len(keys) // THEME_SIZE))):
+            ws = keys[theme * THEME_SIZE : (theme + 1) * THEME_SIZE]
+            said = [s for s in every if any(w in s for w in ws)] or [s for s in every if len(s) >= 20]
+            yield from ((theme, n, s) for n, s in enumerate(said[:bullets], 1))
+
+    out = _within(own, terms, picked, theme=pa.int32(), n=pa.int32(), sentence=pa.string())
+    if shared is None:
+        return out
+    keys = _keyword_rows(shared, terms, limit)
+    return out.unionByName(theme_sentences(scored_sentences(shared, keys), themes(keys), bullets))
+
+
 def _ranked(rows: DataFrame) -> DataFrame:
     out = rows.select("path", F.posexplode("best").alias("at", "x"))
     return out.select("path", (F.col("at") + 1).alias("rank"), "x.keyword", (F.col("x.other") == 0).alias("is_domain"), (-F.col("x.less")).alias("count"))

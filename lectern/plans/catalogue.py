@@ -242,10 +242,7 @@ def sentence_scores(spark, sf_dir):
 
 
 def theme_sentences(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
-    keys = summary.keywords(docs, list(TERMS[3:]), 8)
-    picked = summary.theme_sentences(summary.scored_sentences(docs, keys), summary.themes(keys), 2)
-    return picked.select("path", "theme", "n", F.md5("sentence").alias("sentence_md5"))
+    return summary.document_themes(_docs(spark, sf_dir), list(TERMS[3:]), 2, 8).select("path", "theme", "n", F.md5("sentence").alias("sentence_md5"))
 
 
 _KEYS = f"""

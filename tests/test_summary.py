@@ -65,3 +65,31 @@ def test_sections_read_texts_once(spark):
     twice = spark.createDataFrame([(f"{k}.txt", t) for k, t in [*TEXTS.items(), (1, TEXTS[1])]], "path string, text string")
     themes = lambda d: {r["line"] for r in summary.sections(d, ["pass"]).where("part = 1 and path = '1.txt'").collect()}
     assert len(got) and themes(twice) == themes(docs)
+
+
+ODD = [
+    *TEXTS.items(),
+    (5, "Tion one. Two? \x85three three!\x1c　 four 가나다.가나 다라 。 라마 라마\r\n\r\n pass pass. \x0b x"),
+    (6, "İİ Kelvin KELVIN ab。 ab cd! " + "long " * 50 + ". medium sentence without keys here. 𝔘 𝔘x"),
+    (7, " . ! ?\n.\n a b c"),
+    (None, "alpha beta. gamma delta gamma delta gamma delta. beta"),
+]
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_what_is_made_within_a_document_equals_the_joins(spark, repeated):
+    docs = spark.createDataFrame([*ODD, *([(1, "alpha alpha gamma pass 가나다. beta beta")] if repeated else [])], "path long, text string")
+    rows = lambda df: sorted(map(repr, map(tuple, df.collect())))
+    keys = summary._keyword_rows(docs, TERMS, 6)
+    assert rows(summary.keywords(docs, TERMS, 6)) == rows(keys)
+    assert rows(summary._ranked(summary._keyed(docs.where("path > 1"), TERMS, 6))) == rows(keys.where("path > 1"))
+    scored = summary.scored_sentences(docs, keys)
+    assert rows(summary.document_sentences(docs, TERMS, 2, 6)) == rows(scored.where("rank <= 2")) and scored.count()
+    assert rows(summary.document_themes(docs, TERMS, 2, 6)) == rows(summary.theme_sentences(scored, summary.themes(keys), 2))
+
+
+@pytest.mark.parametrize("name", ["theme_sentences"])
+def test_texts_do_not_move(spark, name):
+    from lectern.plans import catalogue
+
+    assert not moved(catalogue.queries()[name](spark, "/root/testdata/sf0.001"))
