@@ -237,8 +237,7 @@ def keywords(spark, sf_dir):
 
 
 def sentence_scores(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
-    return summary.scored_sentences(docs, summary.keywords(docs, list(TERMS[3:]), 8)).where("rank <= 3").select("path", "pos", "score", "rank")
+    return summary.document_sentences(_docs(spark, sf_dir), list(TERMS[3:]), 3, 8).select("path", "pos", "score", "rank")
 
 
 def theme_sentences(spark, sf_dir):

@@ -88,7 +88,7 @@ def test_what_is_made_within_a_document_equals_the_joins(spark, repeated):
     assert rows(summary.document_themes(docs, TERMS, 2, 6)) == rows(summary.theme_sentences(scored, summary.themes(keys), 2))
 
 
-@pytest.mark.parametrize("name", ["theme_sentences"])
+@pytest.mark.parametrize("name", ["sentence_scores", "theme_sentences"])
 def test_texts_do_not_move(spark, name):
     from lectern.plans import catalogue
 
